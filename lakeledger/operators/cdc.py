@@ -13,6 +13,7 @@ from .ordered import DEFAULT_ROWS_PER_SEGMENT
 from .scd2 import scd2_history
 
 START_AT, END_AT = "__START_AT", "__END_AT"
+TOMBSTONE = "__deleted"
 
 
 def apply_changes(changes: DataFrame, keys: Sequence[str], sequence_by: Sequence[str] | str,
@@ -22,13 +23,16 @@ def apply_changes(changes: DataFrame, keys: Sequence[str], sequence_by: Sequence
                   track_history_column_list: Sequence[str] | None = None,
                   target: DataFrame | None = None,
                   version_col: str | None = None,
+                  keep_tombstones: bool = False,
                   rows_per_segment: int = DEFAULT_ROWS_PER_SEGMENT) -> DataFrame:
     """Apply an ordered change log to a target.
 
     Type 1: the latest event per key wins regardless of arrival order; a
     delete removes the key (physical delete).  ``target`` (type 1 only) is
     the previous result and must carry the sequence columns; its rows take
-    part in the same "latest wins" choice.
+    part in the same "latest wins" choice.  ``keep_tombstones`` keeps deleted
+    keys as rows flagged ``__deleted`` (with their sequence), so a later,
+    older upsert of that key still loses; readers filter the flag.
 
     Type 2: one row per version with ``__START_AT`` / ``__END_AT`` (NULL =
     current); an update closes the interval; a delete closes it without a new
@@ -41,12 +45,14 @@ def apply_changes(changes: DataFrame, keys: Sequence[str], sequence_by: Sequence
     is_del = apply_as_deletes if apply_as_deletes is not None else F.lit(False)
 
     if stored_as_scd_type == 1:
-        ev = changes.select(*cols, *[c for c in seq if c not in cols]).withColumn(
-            "_del", F.coalesce(is_del, F.lit(False)))
+        stored = cols + [c for c in seq if c not in cols]
+        ev = changes.withColumn("_del", F.coalesce(is_del, F.lit(False))).select(*stored, "_del")
         if target is not None:
-            ev = ev.unionByName(target.select(*cols, *[c for c in seq if c not in cols])
-                                .withColumn("_del", F.lit(False)))
+            t_del = F.col(TOMBSTONE) if TOMBSTONE in target.columns else F.lit(False)
+            ev = ev.unionByName(target.select(*stored, t_del.alias("_del")))
         last = latest_per_key(ev, keys, seq)
+        if keep_tombstones:
+            return last.select(*stored, F.col("_del").alias(TOMBSTONE))
         return last.filter(~F.col("_del")).select(*cols)
 
     if stored_as_scd_type != 2:

@@ -66,7 +66,10 @@ def sql_ts(v: str) -> str:
 
 EV_COLS = ["event_id", "ts", "user_id", "event_type", "value"]
 SEQ = ["ts", "event_id"]
-IS_DEL = F.col("event_type") == F.lit("error")
+
+
+def is_del():
+    return F.col("event_type") == F.lit("error")
 
 
 def events(spark, d) -> DataFrame:
@@ -186,7 +189,7 @@ RAW_EVENTS_SQL = ("SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELS
 
 def raw_events(spark, d):
     e = events(spark, d)
-    return e.select("event_id", F.when(IS_DEL, F.lit(None)).otherwise(F.col("user_id")).alias("user_key"),
+    return e.select("event_id", F.when(is_del(), F.lit(None)).otherwise(F.col("user_id")).alias("user_key"),
                     "ts", "event_type", "value")
 
 
@@ -454,7 +457,7 @@ def _scd1(spark, d, target, lo, hi, now, kind="delta", deletes=True):
         cond = cond & (F.col("ts") < ts(hi))
     src = e.filter(cond).select("user_id", "event_id", "ts", "event_type", "value")
     return scd1_apply(target, src, ["user_id"], ["event_type"], now, sequence=SEQ,
-                      source_kind=kind, is_delete=IS_DEL if deletes else None, sk_col="user_sk")
+                      source_kind=kind, is_delete=is_del() if deletes else None, sk_col="user_sk")
 
 
 def silver0(spark, d):
@@ -574,7 +577,7 @@ def history(spark, d, lo=None, hi=None, deletes=False):
     e = events(spark, d)
     if hi:
         e = e.filter(F.col("ts") < ts(hi))
-    return scd2_history(e, ["user_id"], ["event_type"], SEQ, is_delete=IS_DEL if deletes else None)
+    return scd2_history(e, ["user_id"], ["event_type"], SEQ, is_delete=is_del() if deletes else None)
 
 
 @register("q_scd2_history", SCD2_SQL)
@@ -655,14 +658,14 @@ AUTO1_SQL = f"SELECT * FROM ({_latest_sql()}) WHERE event_type <> 'error'"
 
 @register("q_auto_cdc_scd1", AUTO1_SQL)
 def q_auto_cdc_scd1(spark, d):
-    return apply_changes(events(spark, d), ["user_id"], SEQ, apply_as_deletes=IS_DEL,
+    return apply_changes(events(spark, d), ["user_id"], SEQ, apply_as_deletes=is_del(),
                          except_column_list=["props"], stored_as_scd_type=1)
 
 
 @register("q_auto_cdc_scd2", _scd2_sql(deletes=True, payload="ts, event_type", start="__START_AT",
                                        end="__END_AT", current=None))
 def q_auto_cdc_scd2(spark, d):
-    return apply_changes(events(spark, d), ["user_id"], SEQ, apply_as_deletes=IS_DEL,
+    return apply_changes(events(spark, d), ["user_id"], SEQ, apply_as_deletes=is_del(),
                          except_column_list=["props", "value", "event_id"], stored_as_scd_type=2,
                          version_col="scd_version")
 
@@ -673,11 +676,11 @@ def q_auto_cdc_scd2(spark, d):
 
 def old_state(spark, d):
     e = events(spark, d).filter(F.col("ts") < ts(SPLIT))
-    return apply_changes(e, ["user_id"], SEQ, apply_as_deletes=IS_DEL, except_column_list=["props"])
+    return apply_changes(e, ["user_id"], SEQ, apply_as_deletes=is_del(), except_column_list=["props"])
 
 
 def new_state(spark, d):
-    return apply_changes(events(spark, d), ["user_id"], SEQ, apply_as_deletes=IS_DEL,
+    return apply_changes(events(spark, d), ["user_id"], SEQ, apply_as_deletes=is_del(),
                          except_column_list=["props"])
 
 
@@ -722,7 +725,7 @@ def event_change_log(spark, d):
     """Each event as a committed change: version = day number since the epoch."""
     e = events(spark, d).select(*EV_COLS)
     s = keyed_scan(e, ["user_id"], SEQ, lag=["event_type"], lag_prefix="_p_")
-    kind = (F.when(IS_DEL, F.lit("delete"))
+    kind = (F.when(is_del(), F.lit("delete"))
              .when(F.col("_p_event_type").isNull() | (F.col("_p_event_type") == "error"), F.lit("insert"))
              .otherwise(F.lit("update_postimage")))
     version = F.datediff(F.col("ts").cast("date"), F.lit(VERSION_EPOCH).cast("date")).cast("bigint")

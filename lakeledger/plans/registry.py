@@ -8,11 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def _load():
-    from . import catalog
-    try:
-        from . import streams  # noqa: F401  (registers into catalog)
-    except ImportError:  # pragma: no cover - streams module is optional while building
-        pass
+    from . import catalog, streams  # noqa: F401  (streams registers into catalog)
     return catalog
 
 
