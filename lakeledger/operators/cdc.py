@@ -24,7 +24,7 @@ def apply_changes(changes: DataFrame, keys: Sequence[str], sequence_by: Sequence
                   target: DataFrame | None = None,
                   version_col: str | None = None,
                   keep_tombstones: bool = False,
-                  rows_per_segment: int = DEFAULT_ROWS_PER_SEGMENT) -> DataFrame:
+                  rows_per_segment: int | None = DEFAULT_ROWS_PER_SEGMENT) -> DataFrame:
     """Apply an ordered change log to a target.
 
     Type 1: the latest event per key wins regardless of arrival order; a

@@ -14,7 +14,7 @@ def readmissions(df: DataFrame, key: str | Sequence[str], date: str,
                  tie_break: Sequence[str] = (), days: int = 30,
                  previous: str = "previous_date", gap: str = "days_since_last",
                  flag: str = "is_readmission_30d",
-                 rows_per_segment: int = DEFAULT_ROWS_PER_SEGMENT) -> DataFrame:
+                 rows_per_segment: int | None = DEFAULT_ROWS_PER_SEGMENT) -> DataFrame:
     """Previous event date per key, whole days since it, and a 0/1 flag.
 
     The input must be event level (several rows per key).  No previous event
@@ -34,7 +34,7 @@ def readmissions(df: DataFrame, key: str | Sequence[str], date: str,
 def status_transitions(df: DataFrame, key: str | Sequence[str], order: Sequence[str],
                        status: str, from_col: str = "from_status",
                        to_col: str = "to_status", count_col: str = "n_transitions",
-                       rows_per_segment: int = DEFAULT_ROWS_PER_SEGMENT) -> DataFrame:
+                       rows_per_segment: int | None = DEFAULT_ROWS_PER_SEGMENT) -> DataFrame:
     """Count (previous status -> status) changes per key over time."""
     keys = [key] if isinstance(key, str) else list(key)
     s = keyed_scan(df.select(*keys, *order, status) if status not in order else df.select(*keys, *order),

@@ -8,8 +8,10 @@ between the key's min and max).  The window runs per (key, segment); the
 first / last row of each segment is then corrected from a per-segment
 summary (count, first row, last row, last non-null value), which has at most
 about ``2 * rows / rows_per_segment`` rows and is therefore safe to
-broadcast.  Keys below the threshold keep segment 0 and pay only one
-column-pruned, map-side-combined count.
+broadcast.  One small eager job (a column-pruned count per key, combined
+map-side) decides whether any key is hot; if none is, the plan is the plain
+one-shuffle window.  The threshold comes from the argument, else from the
+session setting ``lakeledger.skew.rowsPerSegment`` (default 1,000,000).
 
 All orders are ascending and must be total (add tie-breakers); NULLs in the
 leading order column sort first and fall into segment 0.
@@ -25,7 +27,16 @@ from pyspark.sql import types as T
 
 SEG = "_seg"
 HOT = "_hot"
-DEFAULT_ROWS_PER_SEGMENT = 1_000_000
+DEFAULT_ROWS_PER_SEGMENT = None  # resolved per session, see rows_per_segment_of
+FALLBACK_ROWS_PER_SEGMENT = 1_000_000
+CONF_KEY = "lakeledger.skew.rowsPerSegment"
+
+
+def rows_per_segment_of(df: DataFrame, given: int | None) -> int:
+    if given:
+        return int(given)
+    v = df.sparkSession.conf.get(CONF_KEY, None)
+    return int(v) if v else FALLBACK_ROWS_PER_SEGMENT
 
 
 def order_number(df: DataFrame, name: str) -> Column:
@@ -41,20 +52,29 @@ def order_number(df: DataFrame, name: str) -> Column:
     raise TypeError(f"cannot segment on {name}: {dt.simpleString()}")
 
 
-def add_segments(df: DataFrame, keys: Sequence[str], order_col: str,
-                 rows_per_segment: int = DEFAULT_ROWS_PER_SEGMENT) -> DataFrame:
-    """Append ``_seg`` (0 unless the key is hot) and ``_hot``."""
-    if SEG in df.columns:
-        return df
-    keys = list(keys)
+def _hot_stats(df: DataFrame, keys: list[str], order_col: str, rows_per_segment: int) -> DataFrame:
     num = order_number(df, order_col)
-    stats = (df.select(*keys, num.alias("_o"))
-               .groupBy(*keys)
-               .agg(F.count(F.lit(1)).alias("_n"), F.min("_o").alias("_lo"), F.max("_o").alias("_hi"))
-               .filter(F.col("_n") > F.lit(rows_per_segment))
-               .select(*keys,
-                       F.ceil(F.col("_n") / F.lit(rows_per_segment)).cast("long").alias("_nseg"),
-                       "_lo", "_hi"))
+    return (df.select(*keys, num.alias("_o"))
+              .groupBy(*keys)
+              .agg(F.count(F.lit(1)).alias("_n"), F.min("_o").alias("_lo"), F.max("_o").alias("_hi"))
+              .filter(F.col("_n") > F.lit(rows_per_segment))
+              .select(*keys,
+                      F.ceil(F.col("_n") / F.lit(rows_per_segment)).cast("long").alias("_nseg"),
+                      "_lo", "_hi"))
+
+
+def plan_segments(df: DataFrame, keys: Sequence[str], order_col: str,
+                  rows_per_segment: int | None = DEFAULT_ROWS_PER_SEGMENT) -> tuple[DataFrame, bool]:
+    """Append ``_seg`` / ``_hot``; return whether any key is hot.
+
+    One small eager job (a column-pruned count per key, combined map-side)
+    decides.  Without hot keys the plan stays a plain one-shuffle window.
+    """
+    keys = list(keys)
+    rows_per_segment = rows_per_segment_of(df, rows_per_segment)
+    stats = _hot_stats(df, keys, order_col, rows_per_segment)
+    if stats.isEmpty():
+        return df.withColumns({SEG: F.lit(0).cast("long"), HOT: F.lit(False)}), False
     # Size bound: a hot key has more than rows_per_segment rows, so there are
     # at most rows / rows_per_segment of them; broadcasting is safe.
     j = df.join(F.broadcast(stats), on=keys, how="left")
@@ -62,8 +82,17 @@ def add_segments(df: DataFrame, keys: Sequence[str], order_col: str,
     pos = F.floor((order_number(j, order_col) - F.col("_lo")) * F.col("_nseg") / span)
     seg = F.when(F.col("_nseg").isNull(), F.lit(0)).otherwise(
         F.coalesce(F.least(F.col("_nseg") - 1, F.greatest(F.lit(0), pos)), F.lit(0)))
-    return j.select(*[F.col(c) for c in df.columns],
-                    seg.cast("long").alias(SEG), F.col("_nseg").isNotNull().alias(HOT))
+    out = j.select(*[F.col(c) for c in df.columns],
+                   seg.cast("long").alias(SEG), F.col("_nseg").isNotNull().alias(HOT))
+    return out, True
+
+
+def add_segments(df: DataFrame, keys: Sequence[str], order_col: str,
+                 rows_per_segment: int | None = DEFAULT_ROWS_PER_SEGMENT) -> DataFrame:
+    """Append ``_seg`` (0 unless the key is hot) and ``_hot``."""
+    if SEG in df.columns:
+        return df
+    return plan_segments(df, keys, order_col, rows_per_segment)[0]
 
 
 def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
@@ -71,8 +100,8 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
                ffill: Sequence[str] = (), row_number: str | None = None,
                lag_prefix: str = "prev_", lead_prefix: str = "next_",
                ffill_prefix: str = "last_",
-               rows_per_segment: int = DEFAULT_ROWS_PER_SEGMENT,
-               keep_segments: bool = False) -> DataFrame:
+               rows_per_segment: int | None = DEFAULT_ROWS_PER_SEGMENT,
+               keep_segments: bool = False, segmented: bool | None = None) -> DataFrame:
     """Add ordered per-key columns without funnelling a hot key into one task.
 
     ``lag``   -> ``prev_<c>``: value of the previous row of the key.
@@ -83,9 +112,14 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
     keys, order = list(keys), list(order)
     lag, lead, ffill = list(lag), list(lead), list(ffill)
     had_seg = SEG in df.columns
-    s = add_segments(df, keys, order[0], rows_per_segment)
-
-    w = Window.partitionBy(*keys, SEG).orderBy(*order)
+    if had_seg:
+        s = df
+        segmented = True if segmented is None else segmented
+    else:
+        s, segmented = plan_segments(df, keys, order[0], rows_per_segment)
+
+    w = Window.partitionBy(*keys, SEG).orderBy(*order) if segmented else \
+        Window.partitionBy(*keys).orderBy(*order)
     cols: dict[str, Column] = {"_rn": F.row_number().over(w)}
     if lead:
         cols["_islast"] = F.lead(F.lit(1)).over(w).isNull()
@@ -97,6 +131,14 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
     for c in ffill:
         cols[ffill_prefix + c] = F.last(c, ignorenulls=True).over(upto)
     ranked = s.withColumns(cols)
+    keep = [c for c in df.columns]
+    if keep_segments and not had_seg:
+        keep += [SEG, HOT]
+    if not segmented:
+        if row_number:
+            ranked = ranked.withColumn(row_number, F.col("_rn"))
+        extra = [c for c in cols if c not in ("_rn", "_islast")] + ([row_number] if row_number else [])
+        return ranked.select(*keep, *extra)
 
     # Per-segment summary of the hot keys only (partial aggregation map-side).
     ordk = F.struct(*order)
@@ -134,8 +176,5 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
         fixes[row_number] = (F.col("_rn") + F.coalesce(F.col("_b_off"), F.lit(0))).cast("int")
     out = out.withColumns(fixes) if fixes else out
 
-    keep = [c for c in df.columns]
-    if keep_segments and not had_seg:
-        keep += [SEG, HOT]
     new = [c for c in fixes if c not in keep]
     return out.select(*keep, *new)

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import changed_expr
-from .ordered import DEFAULT_ROWS_PER_SEGMENT, HOT, SEG, add_segments, keyed_scan
+from .ordered import DEFAULT_ROWS_PER_SEGMENT, HOT, SEG, keyed_scan, plan_segments
 
 
 def scd2_history(log: DataFrame, keys: Sequence[str], tracked: Sequence[str],
@@ -29,7 +29,7 @@ def scd2_history(log: DataFrame, keys: Sequence[str], tracked: Sequence[str],
                  columns: Sequence[str] | None = None,
                  start_col: str = "scd_start_date", end_col: str = "scd_end_date",
                  current_col: str | None = "is_current", version_col: str | None = "scd_version",
-                 rows_per_segment: int = DEFAULT_ROWS_PER_SEGMENT) -> DataFrame:
+                 rows_per_segment: int | None = DEFAULT_ROWS_PER_SEGMENT) -> DataFrame:
     """Validity intervals per key from an ordered change log.
 
     ``columns``: payload kept on each version (default: ``tracked``).  The
@@ -41,10 +41,10 @@ def scd2_history(log: DataFrame, keys: Sequence[str], tracked: Sequence[str],
     base_cols = list(dict.fromkeys([*keys, *sequence, *tracked, *extra]))
     ev = log.select(*base_cols, (is_delete if is_delete is not None else F.lit(False)).alias("_del"))
     ev = ev.withColumn("_del", F.coalesce(F.col("_del"), F.lit(False)))
-    ev = add_segments(ev, keys, sequence[0], rows_per_segment)
+    ev, segmented = plan_segments(ev, keys, sequence[0], rows_per_segment)
 
     s1 = keyed_scan(ev, keys, sequence, lag=["_del", *tracked], lag_prefix="_p_",
-                    rows_per_segment=rows_per_segment)
+                    rows_per_segment=rows_per_segment, segmented=segmented)
     pd = F.col("_p__del")
     differs = changed_expr(tracked, None, None, right_prefix="_p_")
     keep = ((F.col("_del") & (pd == F.lit(False)))
@@ -52,11 +52,12 @@ def scd2_history(log: DataFrame, keys: Sequence[str], tracked: Sequence[str],
     kept = s1.filter(keep).select(*ev.columns)
 
     s2 = keyed_scan(kept, keys, sequence, lead=[sequence[0]], lead_prefix="_n_",
-                    rows_per_segment=rows_per_segment)
+                    rows_per_segment=rows_per_segment, segmented=segmented)
     live = s2.filter(~F.col("_del")).select(*ev.columns, F.col("_n_" + sequence[0]).alias(end_col))
     out = live
     if version_col:
-        out = keyed_scan(live, keys, sequence, row_number="_v", rows_per_segment=rows_per_segment)
+        out = keyed_scan(live, keys, sequence, row_number="_v", rows_per_segment=rows_per_segment,
+                         segmented=segmented)
         out = out.withColumn(version_col, F.col("_v").cast("bigint"))
     sel = [*keys, *[c for c in payload if c not in keys],
            F.col(sequence[0]).alias(start_col), F.col(end_col)]
@@ -82,7 +83,7 @@ def as_of_date(history: DataFrame, t, start_col: str = "scd_start_date",
 def as_of_join(facts: DataFrame, history: DataFrame, keys: Sequence[str], t_col: str,
                columns: Sequence[str], fact_order: Sequence[str] = (),
                start_col: str = "scd_start_date", end_col: str = "scd_end_date",
-               prefix: str = "", rows_per_segment: int = DEFAULT_ROWS_PER_SEGMENT) -> DataFrame:
+               prefix: str = "", rows_per_segment: int | None = DEFAULT_ROWS_PER_SEGMENT) -> DataFrame:
     """Left as-of join: each fact gets the version of its key valid at ``t``.
 
     Written as union + ordered forward fill, not as an equi join with a range
