@@ -76,7 +76,8 @@ def merge_changed_only(target: DataFrame, source: DataFrame, keys: Sequence[str]
 def scd1_apply(target: DataFrame | None, source: DataFrame, keys: Sequence[str],
                tracked: Sequence[str], now, sequence: Sequence[str] | None = None,
                source_kind: str = "delta", is_delete: Column | None = None,
-               sk_col: str | None = None, ts_type: str = "timestamp_ntz") -> DataFrame:
+               sk_col: str | None = None, ts_type: str = "timestamp_ntz",
+               except_column_list: Sequence[str] = ()) -> DataFrame:
     """SCD type 1 with audit times, soft delete and reactivation.
 
     * new key -> insert, ``_created = _updated = now``;
@@ -88,14 +89,16 @@ def scd1_apply(target: DataFrame | None, source: DataFrame, keys: Sequence[str],
     * ``source_kind="snapshot"``: a live key missing from the source is
       soft-deleted; ``"delta"`` (default): missing keys are untouched;
     * with ``sequence``: a source row older than the stored one is ignored,
-      so late data cannot overwrite newer values.
+      so late data cannot overwrite newer values;
+    * ``except_column_list``: source columns (e.g. an operation code) that are
+      read by ``is_delete`` but not stored.
     """
     keys, tracked = list(keys), list(tracked)
     now_c = as_timestamp(now, ts_type)
     src = source.withColumn("_op_del", is_delete if is_delete is not None else F.lit(False))
     if sequence:
         src = latest_per_key(src, keys, sequence)
-    payload = [c for c in source.columns if c not in keys]
+    payload = [c for c in source.columns if c not in keys and c not in set(except_column_list)]
     out_cols = ([sk_col] if sk_col else []) + keys + payload + AUDIT
 
     if target is None:
