@@ -63,6 +63,13 @@ def bronze_out(schema: T.StructType) -> T.StructType:
     return T.StructType([_f(f.name, f.dataType) for f in schema.fields] + INGEST_FIELDS)
 
 
+def read_layout(schema: T.StructType) -> T.StructType:
+    """Reader schema for a landing file: booleans stay text ('Yes'/'No' are not
+    CSV booleans) and are typed in silver with ``to_bool_safe``."""
+    return T.StructType([_f(f.name, S if isinstance(f.dataType, T.BooleanType) else f.dataType, f.nullable)
+                         for f in schema.fields])
+
+
 def all_strings(schema: T.StructType) -> T.StructType:
     """String-only variant (type inference off; typed later in silver)."""
     return T.StructType([_f(f.name, S, f.nullable) for f in schema.fields])
