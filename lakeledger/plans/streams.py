@@ -21,8 +21,8 @@ from ..session import scratch_path
 from ..sources.files import RESCUE_COL, file_name, read_file_stream, read_files, with_ingest_metadata
 from ..sources.schemas import describe_schema, infer_or_load_schema
 from ..sources.snapshots import publish_snapshot, read_log, read_snapshot
-from ..streaming.silver import (apply_changes_writer, published, scd2_writer, stream_dedup,
-                                stream_latest_per_key, upsert_writer)
+from ..streaming.silver import (apply_changes_writer, bucketed_scd2_writer, bucketed_table, published,
+                                scd2_writer, stream_dedup, stream_latest_per_key, upsert_writer)
 from ..streaming.sinks import append_stream, foreach_batch_stream
 from .catalog import (AUTO1_SQL, EV_COLS, is_del, NOW1, OLD_STATE_SQL, READMISSION_SQL, SCD2_SQL, SEQ,
                       _latest_sql, _orders_as_text, event_change_log, events, new_state, old_state,
@@ -163,6 +163,15 @@ def q_stream_scd2_incremental(spark, d):
     return published(spark, f"{root}/silver")
 
 
+@register("q_stream_scd2_bucketed", SCD2_SQL)
+def q_stream_scd2_bucketed(spark, d):
+    root = scratch_path(spark, "scd2_bucketed")
+    stage, schema = _stage_events_by_type(spark, d, root)
+    w = bucketed_scd2_writer(f"{root}/silver", ["user_id"], ["event_type"], SEQ, buckets=16)
+    foreach_batch_stream(_parquet_stream(spark, stage, schema), w, f"{root}/_chk")
+    return bucketed_table(spark, w)
+
+
 def _event_entity(max_files=2) -> Entity:
     s = T.StructType([T.StructField(c, T.StringType()) for c in EV_COLS])
     return Entity(

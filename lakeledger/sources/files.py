@@ -16,6 +16,9 @@ RESCUE_COL = "_rescued_data"
 
 # Fixed dialect of the landing CSVs: header, comma, double quote, quotes
 # escaped by doubling, records may span lines, fields trimmed on both sides.
+# ``enforceSchema=false`` checks every file's header against the declared
+# schema, so a file with reordered or renamed columns fails loudly instead of
+# being bound by position.
 CSV_OPTIONS = {
     "header": "true",
     "sep": ",",
@@ -25,6 +28,7 @@ CSV_OPTIONS = {
     "ignoreLeadingWhiteSpace": "true",
     "ignoreTrailingWhiteSpace": "true",
     "mode": "PERMISSIVE",
+    "enforceSchema": "false",
 }
 
 INGEST_COLUMNS = ["_source_file", "_source_file_mtime", "_load_datetime", "_batch_id"]

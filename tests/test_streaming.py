@@ -96,3 +96,44 @@ def test_snapshot_writer_reads_version_below_its_own(spark):
     w(df, 1)
     w(df, 1)
     assert seen == [None, 1, 1]
+
+
+def test_reordered_csv_header_fails_instead_of_binding_by_position(spark):
+    import pytest
+    root = scratch_path(spark, "headers")
+    _write(_local(root), "a.csv", "id,name\n1,a\n")
+    _write(_local(root), "b.csv", "name,id\nb,2\n")
+    sch = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType())])
+    from lakeledger.sources.files import read_files
+    with pytest.raises(Exception):
+        read_files(spark, root, sch).collect()
+
+
+def test_json_landing_and_include_existing_false(spark):
+    import datetime as dt
+    import time
+    root = scratch_path(spark, "json")
+    _write(_local(f"{root}/landing"), "old.json", '{"id": 1, "name": "old"}\n')
+    time.sleep(1.5)
+    start = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    time.sleep(1.5)
+    _write(_local(f"{root}/landing"), "new.json", '{"id": 2, "name": "new"}\n{"id": "x", "name": "bad"}\n')
+    sch = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType())])
+    s = read_file_stream(spark, f"{root}/landing", sch, fmt="json", include_existing=False,
+                         start_time=start.strftime("%Y-%m-%d %H:%M:%S"))
+    append_stream(s, f"{root}/bronze", f"{root}/_chk")
+    got = {r.name: r[RESCUE_COL] is not None for r in spark.read.parquet(f"{root}/bronze").collect()}
+    assert got == {"new": False, "bad": True}
+
+
+def test_sql_over_micro_batch_view(spark):
+    root = scratch_path(spark, "view")
+
+    def build(batch, prev, bid):
+        batch.createOrReplaceTempView("incoming_updates")
+        return batch.sparkSession.sql(
+            "SELECT k, max(v) AS v FROM incoming_updates GROUP BY k")
+
+    w = SnapshotWriter(f"{root}/t", build)
+    w(spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string"), 0)
+    assert read_snapshot(spark, f"{root}/t").collect() == [(1, "b")]
