@@ -89,7 +89,8 @@ def scd1_apply(target: DataFrame | None, source: DataFrame, keys: Sequence[str],
     * ``source_kind="snapshot"``: a live key missing from the source is
       soft-deleted; ``"delta"`` (default): missing keys are untouched;
     * with ``sequence``: a source row older than the stored one is ignored,
-      so late data cannot overwrite newer values;
+      so late data cannot overwrite newer values; a soft-deleted row carries
+      the delete's sequence, so an older upsert cannot resurrect it;
     * ``except_column_list``: source columns (e.g. an operation code) that are
       read by ``is_delete`` but not stored.
     """
@@ -139,9 +140,14 @@ def scd1_apply(target: DataFrame | None, source: DataFrame, keys: Sequence[str],
     j = j.withColumn("_act", act).filter(F.col("_act") != "drop")
     take_s = F.col("_act").isin("insert", "update")
     touched = F.col("_act") != "keep"
+    # An explicit delete stores its own sequence on the (soft-deleted) row, so a
+    # late upsert older than the delete cannot bring the key back.
+    seq_from_s = take_s | (in_t & in_s & s_del & ~late)
+    seqs = set(sequence or ())
     merged = j.select(
         *[F.col(k) for k in keys],
-        *[F.when(take_s, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in payload],
+        *[F.when(seq_from_s if c in seqs else take_s, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
+          for c in payload],
         F.when(F.col("_act") == "insert", now_c).otherwise(F.col(f"t.{CREATED}")).alias(CREATED),
         F.when(touched, now_c).otherwise(F.col(f"t.{UPDATED}")).alias(UPDATED),
         F.when(F.col("_act") == "delete", F.lit(True))

@@ -486,8 +486,10 @@ def _scd1_merge_sql(t_sql, lo, hi, now, kind="delta", deletes=True):
     missing = "CASE WHEN NOT t._is_deleted THEN 'delete' ELSE 'keep' END" if kind == "snapshot" else "'keep'"
     return f"""
 SELECT user_id,
-  CASE WHEN act IN ('insert','update') THEN s_event_id ELSE t_event_id END AS event_id,
-  CASE WHEN act IN ('insert','update') THEN s_ts ELSE t_ts END AS ts,
+  CASE WHEN act IN ('insert','update') OR (t_event_id IS NOT NULL AND coalesce(s_is_del, false))
+       THEN s_event_id ELSE t_event_id END AS event_id,
+  CASE WHEN act IN ('insert','update') OR (t_event_id IS NOT NULL AND coalesce(s_is_del, false))
+       THEN s_ts ELSE t_ts END AS ts,
   CASE WHEN act IN ('insert','update') THEN s_event_type ELSE t_event_type END AS event_type,
   CASE WHEN act IN ('insert','update') THEN s_value ELSE t_value END AS value,
   CASE WHEN act = 'insert' THEN {n} ELSE t_created END AS _created_datetime,
@@ -498,6 +500,7 @@ FROM (
     t.event_id AS t_event_id, t.ts AS t_ts, t.event_type AS t_event_type, t.value AS t_value,
     t._created_datetime AS t_created, t._updated_datetime AS t_updated, t._is_deleted AS t_deleted,
     s.event_id AS s_event_id, s.ts AS s_ts, s.event_type AS s_event_type, s.value AS s_value,
+    ({sdel}) AS s_is_del,
     CASE WHEN t.user_id IS NULL AND {sdel} THEN 'drop'
          WHEN t.user_id IS NULL THEN 'insert'
          WHEN s.user_id IS NULL THEN {missing}

@@ -147,3 +147,7 @@ def test_scd1_audit_soft_delete_reactivate_and_late_data(spark):
     s3 = run(s2, [(1, 5, "a", "U")], "2024-01-04 00:00:00", source_kind="snapshot")
     r3 = {r.k: r for r in s3.collect()}
     assert r3[2]._is_deleted and not r3[1]._is_deleted                  # missing from snapshot
+    s4 = run(s1, [(2, 5, None, "D"), (3, 1, "c", "U")], "2024-01-05 00:00:00")   # repeated delete
+    s5 = run(s4, [(2, 4, "b-late", "U")], "2024-01-06 00:00:00")        # older than the last delete
+    r5 = {r.k: r for r in s5.collect()}
+    assert r5[2]._is_deleted and r5[2].seq == 5 and r5[3].v == "c"
