@@ -54,23 +54,28 @@ def merge_changed_only(target: DataFrame, source: DataFrame, keys: Sequence[str]
                        tracked: Sequence[str], action_col: str = "_merge_action") -> DataFrame:
     """Update matched rows only if a tracked column changed (null-safe).
 
-    Adds ``_merge_action`` in {insert, update, unchanged, untouched}.
+    Adds ``_merge_action`` in {insert, update, unchanged, untouched}.  The
+    source must be unique per key.  Target rows whose key is not in the
+    source are split off with a ``left_anti`` join, so only touched rows meet
+    the source in the (left outer) join.
     """
     keys, tracked = list(keys), list(tracked)
     cols = [c for c in target.columns if c not in keys]
-    t = target.withColumn("_in_t", F.lit(True)).alias("t")
-    s = source.select(*keys, *cols).withColumn("_in_s", F.lit(True)).alias("s")
-    j = t.join(s, on=keys, how="full_outer")
-    in_t, in_s = F.col("t._in_t").isNotNull(), F.col("s._in_s").isNotNull()
-    chg = changed_expr(tracked, "t", "s")
+    batch_keys = source.select(*keys)
+    untouched = (target.join(batch_keys, on=keys, how="left_anti")
+                       .withColumn(action_col, F.lit("untouched")))
+    t = target.join(batch_keys, on=keys, how="left_semi").withColumn("_in_t", F.lit(True)).alias("t")
+    s = source.select(*keys, *cols).alias("s")
+    j = s.join(t, on=keys, how="left")
+    in_t = F.col("t._in_t").isNotNull()
     action = (F.when(~in_t, F.lit("insert"))
-               .when(~in_s, F.lit("untouched"))
-               .when(chg, F.lit("update"))
+               .when(changed_expr(tracked, "t", "s"), F.lit("update"))
                .otherwise(F.lit("unchanged")))
     take_s = action.isin("insert", "update")
-    return j.select(*[F.col(k) for k in keys],
-                    *[F.when(take_s, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in cols],
-                    action.alias(action_col))
+    merged = j.select(*[F.col(k) for k in keys],
+                      *[F.when(take_s, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in cols],
+                      action.alias(action_col))
+    return untouched.select(*merged.columns).unionByName(merged)
 
 
 def scd1_apply(target: DataFrame | None, source: DataFrame, keys: Sequence[str],

@@ -40,11 +40,17 @@ def rows_per_segment_of(df: DataFrame, given: int | None) -> int:
 
 
 def order_number(df: DataFrame, name: str) -> Column:
-    """Map an order column onto a number with the same order (session TZ UTC)."""
+    """Map an order column onto a number with the same order, independent of
+    the session time zone (a zone cast of ``timestamp_ntz`` is not monotonic
+    across a daylight-saving gap)."""
     dt = df.schema[name].dataType
     c = F.col(name)
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
+    if isinstance(dt, T.TimestampNTZType):
+        return (F.unix_date(c.cast("date")).cast("double") * F.lit(86400e6)
+                + F.hour(c) * F.lit(3600e6) + F.minute(c) * F.lit(60e6)
+                + F.date_part(F.lit("SECOND"), c).cast("double") * F.lit(1e6))
+    if isinstance(dt, T.TimestampType):
+        return F.unix_micros(c).cast("double")
     if isinstance(dt, T.DateType):
         return F.unix_date(c).cast("double")
     if isinstance(dt, T.NumericType):
