@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.clean import cast_failures
+from ..functions.clean import cast_failures, text
 from ..operators import quality
 from ..operators.cdc import apply_changes
 from ..operators.dedup import latest_per_key
@@ -115,3 +115,51 @@ def run_medallion(spark: SparkSession, entities: Sequence[Entity], landing_root:
         silver_dir = run_silver(spark, e, base, now)
         out[e.name] = published(spark, silver_dir)
     return out
+
+
+def oncology_entities(max_files: int | None = 1) -> list[Entity]:
+    """The five landing entities of the reference job, as :class:`Entity` specs.
+
+    Bronze keeps text (type inference off); silver try-casts and quarantines
+    failures.  Keys follow the data, not the one-key-for-all of the
+    reference (X3): observations and conditions are many per patient.
+    Rows of one key are ordered by the business date where there is one,
+    then by file modification time and file name (a total order, X10).
+    """
+    from ..functions.clean import to_bool_safe, to_date_safe, to_type_safe, upper_text
+    from ..sources.schemas import LANDING, all_strings
+
+    arrival = ["_source_file_mtime", "_source_file"]
+
+    def strings(name):
+        return all_strings(LANDING[name])
+
+    return [
+        Entity("cancer_patient", strings("cancer_patient"), ["Patient_ID"], arrival,
+               clean={"Patient_ID": text("Patient_ID"), "Name": text("Name"),
+                      "Age": to_type_safe("Age", "int"), "Gender": upper_text("Gender"),
+                      "Cancer_Patient": to_bool_safe("Cancer_Patient")},
+               kind="upsert", max_files=max_files),
+        Entity("cancer_disease_status", strings("cancer_disease_status"), ["Patient_ID"],
+               ["Last_Update", *arrival],
+               clean={"Patient_ID": text("Patient_ID"), "Cancer_Disease_Status": text("Cancer_Disease_Status"),
+                      "Last_Update": to_date_safe("Last_Update"), "On_Treatment": to_bool_safe("On_Treatment")},
+               tracked=["Cancer_Disease_Status", "On_Treatment"], kind="scd2", max_files=max_files),
+        Entity("observation", strings("observation"), ["Patient_ID", "Observation_Date", "Doctor"], arrival,
+               clean={"Patient_ID": text("Patient_ID"), "Observation": text("Observation"),
+                      "Doctor": text("Doctor"), "Observation_Date": to_date_safe("Observation_Date")},
+               kind="upsert", max_files=max_files),
+        Entity("primary_cancer_condition", strings("primary_cancer_condition"), ["Patient_ID", "Diagnosis_Date"],
+               arrival,
+               clean={"Patient_ID": text("Patient_ID"),
+                      "Primary_Cancer_Condition": text("Primary_Cancer_Condition"),
+                      "Diagnosis_Date": to_date_safe("Diagnosis_Date"), "Hospital": text("Hospital")},
+               kind="upsert", max_files=max_files),
+        Entity("tnm_stage_group", strings("tnm_stage_group"), ["Patient_ID"], arrival,
+               clean={"Patient_ID": text("Patient_ID"), "TNM_Stage_Group": upper_text("TNM_Stage_Group"),
+                      "Tumor_Size_cm": to_type_safe("Tumor_Size_cm", "double"),
+                      "Node_Involvement": to_bool_safe("Node_Involvement"),
+                      "Metastasis": to_bool_safe("Metastasis")},
+               tracked=["TNM_Stage_Group", "Tumor_Size_cm", "Node_Involvement", "Metastasis"],
+               kind="scd1", max_files=max_files),
+    ]
