@@ -21,7 +21,8 @@ from ..session import scratch_path
 from ..sources.files import RESCUE_COL, file_name, read_file_stream, read_files, with_ingest_metadata
 from ..sources.schemas import describe_schema, infer_or_load_schema
 from ..sources.snapshots import publish_snapshot, read_log, read_snapshot
-from ..streaming.silver import (apply_changes_writer, bucketed_scd2_writer, bucketed_table, published,
+from ..streaming.silver import (apply_changes_writer, bucketed_apply_changes_writer, bucketed_scd2_writer,
+                                bucketed_table, published,
                                 scd2_writer, stream_dedup, stream_latest_per_key, upsert_writer)
 from ..streaming.sinks import append_stream, foreach_batch_stream
 from .catalog import (AUTO1_SQL, EV_COLS, is_del, NOW1, OLD_STATE_SQL, READMISSION_SQL, SCD2_SQL, SEQ,
@@ -41,6 +42,15 @@ def _stage_events_by_type(spark, d, root) -> tuple[str, T.StructType]:
     return stage, e.schema
 
 
+def _stage_events_by_pair(spark, d, root, files=12) -> tuple[str, T.StructType]:
+    """Landing files by hash of (user, event type): a batch touches only some
+    users, and a user's events arrive over several batches, out of time order."""
+    e = events(spark, d)
+    stage = f"{root}/landing_pairs"
+    e.repartition(files, F.col("user_id"), F.col("event_type")).write.mode("overwrite").parquet(stage)
+    return stage, e.schema
+
+
 def _parquet_stream(spark, path, schema, max_files=1):
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
 
@@ -166,12 +176,22 @@ def q_stream_scd2_incremental(spark, d):
 @register("q_stream_scd2_bucketed", SCD2_SQL)
 def q_stream_scd2_bucketed(spark, d):
     root = scratch_path(spark, "scd2_bucketed")
-    stage, schema = _stage_events_by_type(spark, d, root)
+    stage, schema = _stage_events_by_pair(spark, d, root, files=6)
     w = bucketed_scd2_writer(f"{root}/silver", ["user_id"], ["event_type"], SEQ, buckets=16)
     foreach_batch_stream(_parquet_stream(spark, stage, schema), w, f"{root}/_chk")
     return bucketed_table(spark, w)
 
 
+@register("q_stream_auto_cdc_bucketed", AUTO1_SQL)
+def q_stream_auto_cdc_bucketed(spark, d):
+    root = scratch_path(spark, "auto_cdc_bucketed")
+    stage, schema = _stage_events_by_pair(spark, d, root)
+    w = bucketed_apply_changes_writer(f"{root}/silver", ["user_id"], SEQ, buckets=16,
+                                      apply_as_deletes=is_del(), except_column_list=["props"])
+    foreach_batch_stream(_parquet_stream(spark, stage, schema), w, f"{root}/_chk")
+    return bucketed_table(spark, w).select(*EV_COLS)
+
+
 def _event_entity(max_files=2) -> Entity:
     s = T.StructType([T.StructField(c, T.StringType()) for c in EV_COLS])
     return Entity(

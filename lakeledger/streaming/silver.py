@@ -161,7 +161,7 @@ class BucketedWriter:
         return f"{self.base}/table"
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
-        from ..sources.snapshots import path_exists
+        from ..sources.snapshots import has_partitions
         spark = batch_df.sparkSession
         batch = batch_df.withColumn(BUCKET, key_bucket(self.keys, self.buckets)).persist(
             StorageLevel.MEMORY_AND_DISK)
@@ -170,7 +170,7 @@ class BucketedWriter:
                 return
             touched = batch.select(BUCKET).distinct()
             prev = None
-            if path_exists(spark, f"{self.table}/_SUCCESS"):
+            if has_partitions(spark, self.table, BUCKET):
                 prev = spark.read.parquet(self.table).join(touched, on=BUCKET, how="left_semi")
             out = self.build(batch, prev, int(batch_id))
             staged = f"{self.base}/_staging/batch={int(batch_id)}"
@@ -209,6 +209,32 @@ def bucketed_scd2_writer(base: str, keys: Sequence[str], tracked: Sequence[str],
     return BucketedWriter(base, keys, buckets, build)
 
 
+def bucketed_scd1_writer(base: str, keys: Sequence[str], tracked: Sequence[str],
+                         now: Callable[[int], object], buckets: int, sequence: Sequence[str] | None = None,
+                         is_delete: Column | None = None, sk_col: str | None = None,
+                         except_column_list: Sequence[str] = ()) -> BucketedWriter:
+    """SCD type 1 (delta source) rewriting only the touched buckets."""
+    def build(batch, prev, batch_id):
+        return scd1_apply(prev, batch, keys, tracked, now(batch_id), sequence=sequence,
+                          is_delete=is_delete, sk_col=sk_col, except_column_list=except_column_list)
+    return BucketedWriter(base, keys, buckets, build)
+
+
+def bucketed_apply_changes_writer(base: str, keys: Sequence[str], sequence_by: Sequence[str],
+                                  buckets: int, apply_as_deletes: Column | None = None,
+                                  except_column_list: Sequence[str] = ()) -> BucketedWriter:
+    """Type-1 change application (with tombstones) rewriting only the touched buckets."""
+    def build(batch, prev, _):
+        return apply_changes(batch, keys, sequence_by, apply_as_deletes=apply_as_deletes,
+                             except_column_list=except_column_list, stored_as_scd_type=1,
+                             target=prev, keep_tombstones=True)
+    return BucketedWriter(base, keys, buckets, build)
+
+
 def bucketed_table(spark: SparkSession, writer_or_base) -> DataFrame:
+    """The readable table of a bucketed writer (tombstones hidden)."""
     base = writer_or_base.base if isinstance(writer_or_base, BucketedWriter) else writer_or_base
-    return spark.read.parquet(f"{base}/table").drop(BUCKET)
+    df = spark.read.parquet(f"{base}/table").drop(BUCKET)
+    if TOMBSTONE in df.columns:
+        df = df.filter(~F.col(TOMBSTONE)).drop(TOMBSTONE)
+    return df

@@ -137,3 +137,25 @@ def test_sql_over_micro_batch_view(spark):
     w = SnapshotWriter(f"{root}/t", build)
     w(spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string"), 0)
     assert read_snapshot(spark, f"{root}/t").collect() == [(1, "b")]
+
+
+def test_bucketed_scd1_equals_snapshot_scd1(spark):
+    import random
+    from lakeledger.streaming.silver import bucketed_scd1_writer, bucketed_table, scd1_writer
+    rnd = random.Random(5)
+    sch = "k int, seq long, v string, op string"
+    batches = [[(rnd.randint(1, 20), b * 100 + i, rnd.choice("abc"), rnd.choice("UUUD")) for i in range(15)]
+               for b in range(4)]
+    root = scratch_path(spark, "b_scd1")
+    d = F.col("op") == "D"
+    now = lambda b: f"2024-01-0{b + 1} 00:00:00"
+    plain = scd1_writer(f"{root}/plain", ["k"], ["v"], now, sequence=["seq"], is_delete=d)
+    buck = bucketed_scd1_writer(f"{root}/buck", ["k"], ["v"], now, buckets=4, sequence=["seq"],
+                                is_delete=d, except_column_list=["op"])
+    for i, rows in enumerate(batches):
+        df = spark.createDataFrame(rows, sch)
+        plain(df, i)
+        buck(df, i)
+    want = sorted(map(repr, published(spark, f"{root}/plain").drop("op").collect()))
+    got = sorted(map(repr, bucketed_table(spark, buck).select(*published(spark, f"{root}/plain").drop("op").columns).collect()))
+    assert got == want
