@@ -30,7 +30,7 @@ from ..operators.merge import scd1_apply, upsert
 from ..operators.scd2 import scd2_apply, scd2_history
 from ..sources.files import RESCUE_COL, read_file_stream, with_ingest_metadata
 from ..sources.schemas import bronze_out
-from ..streaming.silver import SnapshotWriter, published
+from ..streaming.silver import BUCKET, BucketedWriter, SnapshotWriter, bucketed_table, published
 from ..streaming.sinks import append_stream, foreach_batch_stream
 
 
@@ -48,6 +48,7 @@ class Entity:
     options: dict | None = None
     max_files: int | None = None
     columns: list[str] | None = None     # silver payload (default: all typed columns)
+    buckets: int | None = None           # rewrite only touched key buckets (BucketedWriter)
 
 
 def _silver_builder(e: Entity, base: str, now: Callable[[int], object]):
@@ -61,7 +62,8 @@ def _silver_builder(e: Entity, base: str, now: Callable[[int], object]):
         valid, rejects = quality.split_valid(typed, rules)
         rejects.write.mode("overwrite").parquet(f"{quarantine}/_batch={batch_id}")
         payload = e.columns or [c for c in e.schema.fieldNames()]
-        src = valid.select(*dict.fromkeys([*e.keys, *payload, *e.sequence]),
+        carry = [BUCKET] if BUCKET in batch.columns else []
+        src = valid.select(*dict.fromkeys([*e.keys, *payload, *e.sequence, *carry]),
                            F.col("_load_datetime").alias("_bronze_load_datetime"))
         if e.kind == "upsert":
             src = src.drop("_bronze_load_datetime")
@@ -74,9 +76,19 @@ def _silver_builder(e: Entity, base: str, now: Callable[[int], object]):
             return apply_changes(src, e.keys, e.sequence, apply_as_deletes=e.is_delete,
                                  target=prev, keep_tombstones=True)
         if e.kind == "scd2":
-            src.write.mode("overwrite").parquet(f"{log_base}/_batch={batch_id}")
+            w = src.write.mode("overwrite")
+            (w.partitionBy(BUCKET) if carry else w).parquet(f"{log_base}/_batch={batch_id}")
             log = batch.sparkSession.read.option("basePath", log_base).parquet(log_base).drop("_batch")
             cols = [c for c in payload if c not in e.keys]
+            if carry:  # rebuild touched keys only; the bucket join prunes the log's folders
+                touched = src.select(*e.keys, BUCKET).distinct()
+                log = log.join(touched, on=[*e.keys, BUCKET], how="left_semi")
+                rebuilt = scd2_history(log, e.keys, e.tracked, e.sequence, is_delete=e.is_delete,
+                                       columns=[*cols, BUCKET])
+                if prev is None:
+                    return rebuilt
+                kept = prev.join(touched.select(*e.keys), on=e.keys, how="left_anti")
+                return kept.unionByName(rebuilt.select(*prev.columns))
             if prev is None:
                 return scd2_history(log, e.keys, e.tracked, e.sequence, is_delete=e.is_delete, columns=cols)
             return scd2_apply(prev, log, src, e.keys, e.tracked, e.sequence, is_delete=e.is_delete, columns=cols)
@@ -101,8 +113,9 @@ def run_silver(spark: SparkSession, e: Entity, base: str, now: Callable[[int], o
                                + bschema.fields[len(e.schema.fields):])
     stream = spark.readStream.schema(bschema).parquet(bronze_dir)
     out = f"{base}/silver/{e.name}"
-    foreach_batch_stream(stream, SnapshotWriter(out, _silver_builder(e, base, now)),
-                         f"{base}/_checkpoints/silver_{e.name}")
+    build = _silver_builder(e, base, now)
+    writer = BucketedWriter(out, e.keys, e.buckets, build) if e.buckets else SnapshotWriter(out, build)
+    foreach_batch_stream(stream, writer, f"{base}/_checkpoints/silver_{e.name}")
     return out
 
 
@@ -113,11 +126,11 @@ def run_medallion(spark: SparkSession, entities: Sequence[Entity], landing_root:
     for e in entities:
         run_bronze(spark, e, landing_root, base)
         silver_dir = run_silver(spark, e, base, now)
-        out[e.name] = published(spark, silver_dir)
+        out[e.name] = bucketed_table(spark, silver_dir) if e.buckets else published(spark, silver_dir)
     return out
 
 
-def oncology_entities(max_files: int | None = 1) -> list[Entity]:
+def oncology_entities(max_files: int | None = 1, buckets: int | None = None) -> list[Entity]:
     """The five landing entities of the reference job, as :class:`Entity` specs.
 
     Bronze keeps text (type inference off); silver try-casts and quarantines
@@ -139,27 +152,27 @@ def oncology_entities(max_files: int | None = 1) -> list[Entity]:
                clean={"Patient_ID": text("Patient_ID"), "Name": text("Name"),
                       "Age": to_type_safe("Age", "int"), "Gender": upper_text("Gender"),
                       "Cancer_Patient": to_bool_safe("Cancer_Patient")},
-               kind="upsert", max_files=max_files),
+               kind="upsert", max_files=max_files, buckets=buckets),
         Entity("cancer_disease_status", strings("cancer_disease_status"), ["Patient_ID"],
                ["Last_Update", *arrival],
                clean={"Patient_ID": text("Patient_ID"), "Cancer_Disease_Status": text("Cancer_Disease_Status"),
                       "Last_Update": to_date_safe("Last_Update"), "On_Treatment": to_bool_safe("On_Treatment")},
-               tracked=["Cancer_Disease_Status", "On_Treatment"], kind="scd2", max_files=max_files),
+               tracked=["Cancer_Disease_Status", "On_Treatment"], kind="scd2", max_files=max_files, buckets=buckets),
         Entity("observation", strings("observation"), ["Patient_ID", "Observation_Date", "Doctor"], arrival,
                clean={"Patient_ID": text("Patient_ID"), "Observation": text("Observation"),
                       "Doctor": text("Doctor"), "Observation_Date": to_date_safe("Observation_Date")},
-               kind="upsert", max_files=max_files),
+               kind="upsert", max_files=max_files, buckets=buckets),
         Entity("primary_cancer_condition", strings("primary_cancer_condition"), ["Patient_ID", "Diagnosis_Date"],
                arrival,
                clean={"Patient_ID": text("Patient_ID"),
                       "Primary_Cancer_Condition": text("Primary_Cancer_Condition"),
                       "Diagnosis_Date": to_date_safe("Diagnosis_Date"), "Hospital": text("Hospital")},
-               kind="upsert", max_files=max_files),
+               kind="upsert", max_files=max_files, buckets=buckets),
         Entity("tnm_stage_group", strings("tnm_stage_group"), ["Patient_ID"], arrival,
                clean={"Patient_ID": text("Patient_ID"), "TNM_Stage_Group": upper_text("TNM_Stage_Group"),
                       "Tumor_Size_cm": to_type_safe("Tumor_Size_cm", "double"),
                       "Node_Involvement": to_bool_safe("Node_Involvement"),
                       "Metastasis": to_bool_safe("Metastasis")},
                tracked=["TNM_Stage_Group", "Tumor_Size_cm", "Node_Involvement", "Metastasis"],
-               kind="scd1", max_files=max_files),
+               kind="scd1", max_files=max_files, buckets=buckets),
     ]

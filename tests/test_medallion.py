@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,11 +59,12 @@ def _wave2(root):
         [("P003", "Lung", "2024-03-23", "South")]))     # 20 days after its first diagnosis
 
 
-def test_five_entities_two_waves(spark):
+@pytest.mark.parametrize("buckets", [None, 4])
+def test_five_entities_two_waves(spark, buckets):
     root = scratch_path(spark, "oncology")
     now = lambda b: "2024-06-01 00:00:00"
     _wave1(root)
-    s1 = run_medallion(spark, oncology_entities(), f"{root}/landing", f"{root}/lake", now)
+    s1 = run_medallion(spark, oncology_entities(buckets=buckets), f"{root}/landing", f"{root}/lake", now)
     assert s1["cancer_patient"].count() == 10                       # blank trailing lines ignored
     assert dict(s1["cancer_patient"].dtypes)["Cancer_Patient"] == "boolean"
     assert {r.Gender for r in s1["cancer_patient"].collect()} == {"FEMALE", "MALE"}
@@ -73,7 +75,7 @@ def test_five_entities_two_waves(spark):
     assert [r.Patient_ID for r in q.collect()] == ["P010"]
 
     _wave2(root)
-    s2 = run_medallion(spark, oncology_entities(), f"{root}/landing", f"{root}/lake", now)
+    s2 = run_medallion(spark, oncology_entities(buckets=buckets), f"{root}/landing", f"{root}/lake", now)
     pats = {r.Patient_ID: r for r in s2["cancer_patient"].collect()}
     assert len(pats) == 11 and pats["P001"].Name == "Renamed"
     hist = s2["cancer_disease_status"]
