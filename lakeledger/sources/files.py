@@ -62,10 +62,10 @@ def read_files(spark: SparkSession, path: str, schema: T.StructType | None, fmt:
 def read_file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv",
                      options: dict | None = None, max_files: int | None = None,
                      include_existing: bool = True, start_time=None,
-                     rescue: bool = True, max_bytes: str | None = None) -> DataFrame:
+                     rescue: bool = True, max_bytes: int | None = None) -> DataFrame:
     """Streaming read of a landing directory; a declared schema is required.
 
-    ``max_files`` / ``max_bytes`` (e.g. ``"10g"``) cap one micro-batch, which
+    ``max_files`` / ``max_bytes`` (an integer byte count) cap one micro-batch, which
     bounds what a ``foreachBatch`` silver writer caches per batch.
 
     ``include_existing=False`` keeps only files modified after ``start_time``
@@ -75,7 +75,7 @@ def read_file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt:
     if max_files:
         opts["maxFilesPerTrigger"] = str(max_files)
     if max_bytes:
-        opts["maxBytesPerTrigger"] = str(max_bytes)
+        opts["maxBytesPerTrigger"] = str(int(max_bytes))
     sch = with_rescue(schema) if rescue and fmt in ("csv", "json") else schema
     df = spark.readStream.format(fmt).schema(sch).options(**opts).load(path)
     if not include_existing:
