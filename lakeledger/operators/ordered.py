@@ -20,6 +20,7 @@ leading order column sort first and fall into segment 0.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,6 +31,7 @@ HOT = "_hot"
 DEFAULT_ROWS_PER_SEGMENT = None  # resolved per session, see rows_per_segment_of
 FALLBACK_ROWS_PER_SEGMENT = 1_000_000
 CONF_KEY = "lakeledger.skew.rowsPerSegment"
+MAX_BROADCAST_ROWS = 2_000_000  # hot keys + segments; above this, join by shuffle
 
 
 def rows_per_segment_of(df: DataFrame, given: int | None) -> int:
@@ -69,28 +71,47 @@ def _hot_stats(df: DataFrame, keys: list[str], order_col: str, rows_per_segment:
                       "_lo", "_hi"))
 
 
-def plan_segments(df: DataFrame, keys: Sequence[str], order_col: str,
-                  rows_per_segment: int | None = DEFAULT_ROWS_PER_SEGMENT) -> tuple[DataFrame, bool]:
-    """Append ``_seg`` / ``_hot``; return whether any key is hot.
+class Segmentation(NamedTuple):
+    """Outcome of the hot-key check: whether to segment, and the measured
+    sizes (hot keys, total segments) that decide broadcast vs shuffle join."""
+    segmented: bool
+    hot_keys: int = 0
+    segments: int = 0
+
+    @property
+    def broadcast_ok(self) -> bool:
+        return self.hot_keys + self.segments <= MAX_BROADCAST_ROWS
+
 
-    One small eager job (a column-pruned count per key, combined map-side)
-    decides.  Without hot keys the plan stays a plain one-shuffle window.
+def _maybe_broadcast(df: DataFrame, ok: bool) -> DataFrame:
+    return F.broadcast(df) if ok else df
+
+
+def plan_segments(df: DataFrame, keys: Sequence[str], order_col: str,
+                  rows_per_segment: int | None = DEFAULT_ROWS_PER_SEGMENT) -> tuple[DataFrame, Segmentation]:
+    """Append ``_seg`` / ``_hot`` and report the measured segmentation.
+
+    One small eager job (a column-pruned count per key, combined map-side,
+    then a count of the hot keys and their segments) decides.  Without hot
+    keys the plan stays a plain one-shuffle window.  The hot-key table and
+    the segment summary are broadcast only when their measured row count is
+    under ``MAX_BROADCAST_ROWS``; above it they join by shuffle.
     """
     keys = list(keys)
     rows_per_segment = rows_per_segment_of(df, rows_per_segment)
     stats = _hot_stats(df, keys, order_col, rows_per_segment)
-    if stats.isEmpty():
-        return df.withColumns({SEG: F.lit(0).cast("long"), HOT: F.lit(False)}), False
-    # Size bound: a hot key has more than rows_per_segment rows, so there are
-    # at most rows / rows_per_segment of them; broadcasting is safe.
-    j = df.join(F.broadcast(stats), on=keys, how="left")
+    n = stats.agg(F.count(F.lit(1)).alias("k"), F.coalesce(F.sum("_nseg"), F.lit(0)).alias("s")).first()
+    if not n["k"]:
+        return df.withColumns({SEG: F.lit(0).cast("long"), HOT: F.lit(False)}), Segmentation(False)
+    info = Segmentation(True, int(n["k"]), int(n["s"]))
+    j = df.join(_maybe_broadcast(stats, info.broadcast_ok), on=keys, how="left")
     span = F.col("_hi") - F.col("_lo") + F.lit(1.0)
     pos = F.floor((order_number(j, order_col) - F.col("_lo")) * F.col("_nseg") / span)
     seg = F.when(F.col("_nseg").isNull(), F.lit(0)).otherwise(
         F.coalesce(F.least(F.col("_nseg") - 1, F.greatest(F.lit(0), pos)), F.lit(0)))
     out = j.select(*[F.col(c) for c in df.columns],
                    seg.cast("long").alias(SEG), F.col("_nseg").isNotNull().alias(HOT))
-    return out, True
+    return out, info
 
 
 def add_segments(df: DataFrame, keys: Sequence[str], order_col: str,
@@ -107,7 +128,8 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
                lag_prefix: str = "prev_", lead_prefix: str = "next_",
                ffill_prefix: str = "last_",
                rows_per_segment: int | None = DEFAULT_ROWS_PER_SEGMENT,
-               keep_segments: bool = False, segmented: bool | None = None) -> DataFrame:
+               keep_segments: bool = False,
+               segmented: "Segmentation | bool | None" = None) -> DataFrame:
     """Add ordered per-key columns without funnelling a hot key into one task.
 
     ``lag``   -> ``prev_<c>``: value of the previous row of the key.
@@ -120,9 +142,11 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
     had_seg = SEG in df.columns
     if had_seg:
         s = df
-        segmented = True if segmented is None else segmented
+        info = segmented if isinstance(segmented, Segmentation) else \
+            Segmentation(True if segmented is None else bool(segmented))
     else:
-        s, segmented = plan_segments(df, keys, order[0], rows_per_segment)
+        s, info = plan_segments(df, keys, order[0], rows_per_segment)
+    segmented = info.segmented
 
     w = Window.partitionBy(*keys, SEG).orderBy(*order) if segmented else \
         Window.partitionBy(*keys).orderBy(*order)
@@ -167,8 +191,9 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
     summary = (s.filter(F.col(HOT)).groupBy(*keys, SEG).agg(*aggs)
                  .withColumns(summ)
                  .select(*keys, SEG, *summ.keys()))
-    # Bounded by the number of hot segments (see add_segments): broadcast.
-    out = ranked.join(F.broadcast(summary), on=[*keys, SEG], how="left")
+    # One row per hot segment: broadcast when the measured count allows.
+    out = ranked.join(_maybe_broadcast(summary, info.broadcast_ok or not info.hot_keys),
+                      on=[*keys, SEG], how="left")
 
     fixes: dict[str, Column] = {}
     first = F.col("_rn") == 1

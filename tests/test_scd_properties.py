@@ -151,3 +151,10 @@ def test_scd1_audit_soft_delete_reactivate_and_late_data(spark):
     s5 = run(s4, [(2, 4, "b-late", "U")], "2024-01-06 00:00:00")        # older than the last delete
     r5 = {r.k: r for r in s5.collect()}
     assert r5[2]._is_deleted and r5[2].seq == 5 and r5[3].v == "c"
+
+
+def test_scd2_history_when_hot_tables_are_too_big_to_broadcast(spark, hot, monkeypatch):
+    from lakeledger.operators import ordered
+    monkeypatch.setattr(ordered, "MAX_BROADCAST_ROWS", 0)
+    log = random_log(21, keys=3, n=50)
+    assert spark_history(spark.createDataFrame(log, SCHEMA)) == model_history(log)
