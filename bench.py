@@ -45,13 +45,17 @@ def main() -> None:
                           conf={"spark.driver.memory": "16g"})
     qs = registry.queries()
     times: dict[str, float] = {}
+    errors: dict[str, str] = {}
     for name in names:
         def once() -> float:
             t = time.perf_counter()
             qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             return time.perf_counter() - t
-        once()  # warm-up
-        times[name] = round(statistics.median(once() for _ in range(runs)), 4)
+        try:
+            once()  # warm-up
+            times[name] = round(statistics.median(once() for _ in range(runs)), 4)
+        except Exception as e:  # keep measuring the others; report the failure
+            errors[name] = (str(e).splitlines() or [repr(e)])[0][:300]
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({
         "metric": "sum_of_median_query_seconds",
@@ -62,6 +66,7 @@ def main() -> None:
         "cpus": cpus,
         "shuffle_partitions": cpus,
         "runs": runs,
+        **({"errors": errors} if errors else {}),
     }))
 
 

@@ -36,7 +36,9 @@ def _wave1(root):
         [(p, STATUSES[i % 4], f"2024-01-{i + 1:02d}", "Yes" if i % 2 else "No") for i, p in enumerate(IDS)]))
     _land(root, "observation", "w1.csv", _csv(
         "Patient_ID,Observation,Doctor,Observation_Date",
-        [(p, f"\"Note, {p}\"", "Dr A" if i % 2 else "Dr B", f"2024-02-{i + 1:02d}") for i, p in enumerate(IDS)]))
+        [(p, f"\"Note, {p}\"", "Dr A" if i % 2 else "Dr B", f"2024-02-{i + 1:02d}") for i, p in enumerate(IDS)]
+        + [("", "no patient", "Dr A", "2024-02-03"),            # null key -> quarantine
+           ("P001", "bad date", "Dr C", "2024-13-45")]))         # unparseable date -> quarantine
     _land(root, "primary_cancer_condition", "w1.csv", _csv(
         "Patient_ID,Primary_Cancer_Condition,Diagnosis_Date,Hospital",
         [(p, "Breast" if i % 2 else "Lung", f"2024-03-{i + 1:02d}", "North") for i, p in enumerate(IDS)]))
@@ -73,6 +75,11 @@ def test_five_entities_two_waves(spark, buckets):
     assert s1["tnm_stage_group"].count() == 9                        # 'big' quarantined
     q = spark.read.parquet(f"{root}/lake/quarantine/tnm_stage_group")
     assert [r.Patient_ID for r in q.collect()] == ["P010"]
+    qo = {r.Observation: list(r._reject_reasons) for r in
+          spark.read.parquet(f"{root}/lake/quarantine/observation").collect()}
+    assert qo == {"no patient": ["Patient_ID_not_null"],                     # date is part of the key
+                  "bad date": ["Observation_Date_not_null", "cast_ok"]}
+    assert s1["observation"].count() == 10
 
     _wave2(root)
     s2 = run_medallion(spark, oncology_entities(buckets=buckets), f"{root}/landing", f"{root}/lake", now)
