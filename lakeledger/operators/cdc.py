@@ -47,10 +47,18 @@ def apply_changes(changes: DataFrame, keys: Sequence[str], sequence_by: Sequence
     if stored_as_scd_type == 1:
         stored = cols + [c for c in seq if c not in cols]
         ev = changes.withColumn("_del", F.coalesce(is_del, F.lit(False))).select(*stored, "_del")
+        untouched = None
         if target is not None:
+            # Only target rows whose key changed compete with the changes; the
+            # rest pass through a left_anti join (no aggregation over the target).
             t_del = F.col(TOMBSTONE) if TOMBSTONE in target.columns else F.lit(False)
-            ev = ev.unionByName(target.select(*stored, t_del.alias("_del")))
+            t = target.select(*stored, t_del.alias("_del"))
+            batch_keys = ev.select(*keys).distinct()
+            untouched = t.join(batch_keys, on=keys, how="left_anti")
+            ev = ev.unionByName(t.join(batch_keys, on=keys, how="left_semi"))
         last = latest_per_key(ev, keys, seq)
+        if untouched is not None:
+            last = untouched.select(*last.columns).unionByName(last)
         if keep_tombstones:
             return last.select(*stored, F.col("_del").alias(TOMBSTONE))
         return last.filter(~F.col("_del")).select(*cols)
