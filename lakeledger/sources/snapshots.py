@@ -94,3 +94,17 @@ def read_log(spark: SparkSession, log_base: str) -> DataFrame:
 def latest_version_filter(df: DataFrame, col: str = "v") -> DataFrame:
     """Rows of the greatest ``v`` in a partition-discovered snapshot folder."""
     return df.filter(F.col(col) == df.agg(F.max(col)).scalar())
+
+
+def create_table_if_absent(spark: SparkSession, path: str, schema) -> bool:
+    """``CREATE TABLE IF NOT EXISTS ... USING PARQUET`` for a path-named table.
+
+    Writes an empty Parquet dataset carrying ``schema`` when nothing is at
+    ``path``; returns True if it created it.  NOT NULL is not enforced by
+    Parquet readers (they return nullable columns): use ``enforce_schema``
+    before writing.
+    """
+    if path_exists(spark, path):
+        return False
+    spark.createDataFrame([], schema).write.parquet(path)
+    return True

@@ -159,3 +159,15 @@ def test_bucketed_scd1_equals_snapshot_scd1(spark):
     want = sorted(map(repr, published(spark, f"{root}/plain").drop("op").collect()))
     got = sorted(map(repr, bucketed_table(spark, buck).select(*published(spark, f"{root}/plain").drop("op").columns).collect()))
     assert got == want
+
+
+def test_create_table_if_absent_keeps_declared_layout(spark):
+    from lakeledger.sources.schemas import PATIENTS_SILVER_SCD1
+    from lakeledger.sources.snapshots import create_table_if_absent
+    root = scratch_path(spark, "ddl")
+    assert create_table_if_absent(spark, f"{root}/patients", PATIENTS_SILVER_SCD1)
+    assert not create_table_if_absent(spark, f"{root}/patients", PATIENTS_SILVER_SCD1)
+    got = spark.read.parquet(f"{root}/patients")
+    assert [(f.name, f.dataType) for f in got.schema.fields] == \
+        [(f.name, f.dataType) for f in PATIENTS_SILVER_SCD1.fields]
+    assert got.count() == 0
