@@ -171,3 +171,18 @@ def test_create_table_if_absent_keeps_declared_layout(spark):
     assert [(f.name, f.dataType) for f in got.schema.fields] == \
         [(f.name, f.dataType) for f in PATIENTS_SILVER_SCD1.fields]
     assert got.count() == 0
+
+
+def test_processing_time_trigger_keeps_running_until_stopped(spark):
+    root = scratch_path(spark, "continuous")
+    e = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    e.write.parquet(f"{root}/landing/a")
+    q = append_stream(spark.readStream.schema(e.schema).parquet(f"{root}/landing/a"), f"{root}/bronze",
+                      f"{root}/_chk", trigger={"processingTime": "1 second"})
+    try:
+        assert q.isActive
+        q.processAllAvailable()
+        assert spark.read.parquet(f"{root}/bronze").count() == e.count()
+    finally:
+        q.stop()
+    assert not q.isActive
