@@ -21,7 +21,7 @@ from ..operators.cdc import TOMBSTONE, apply_changes
 from ..operators.dedup import latest_per_key
 from ..operators.merge import scd1_apply, upsert
 from ..operators.scd2 import scd2_apply, scd2_history
-from ..sources.snapshots import publish_snapshot, read_snapshot
+from ..sources.snapshots import list_versions, publish_snapshot, read_snapshot
 
 Builder = Callable[[DataFrame, "DataFrame | None", int], DataFrame]
 
@@ -53,6 +53,12 @@ class SnapshotWriter:
             if batch.isEmpty():  # nothing arrived: publish nothing
                 return
             version = self.offset + int(batch_id)
+            newer = [v for v in list_versions(spark, self.base) if v > version]
+            if newer:
+                # batch ids restart at 0 with a new checkpoint: building on an
+                # old version would silently drop everything published since.
+                raise RuntimeError(f"{self.base} already has version {newer[-1]} > {version}; "
+                                   f"restarted checkpoint? pass offset={newer[-1] + 1}")
             prev = read_snapshot(spark, self.base, below=version)
             src = self.prepare(batch) if self.prepare else batch
             publish_snapshot(self.build(src, prev, int(batch_id)), self.base, version)

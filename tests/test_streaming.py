@@ -186,3 +186,17 @@ def test_processing_time_trigger_keeps_running_until_stopped(spark):
     finally:
         q.stop()
     assert not q.isActive
+
+
+def test_restarted_checkpoint_must_pass_an_offset(spark):
+    import pytest
+    root = scratch_path(spark, "offset")
+    w = SnapshotWriter(f"{root}/t", lambda b, prev, i: b if prev is None else prev.unionByName(b))
+    df = spark.createDataFrame([(1,)], "x int")
+    w(df, 0)
+    w(df, 1)
+    with pytest.raises(RuntimeError, match="offset=2"):
+        w(df, 0)                      # a new checkpoint starts again at batch 0
+    SnapshotWriter(f"{root}/t", w.build, offset=2)(df, 0)
+    assert list_versions(spark, f"{root}/t") == [0, 1, 2]
+    assert read_snapshot(spark, f"{root}/t").count() == 3
