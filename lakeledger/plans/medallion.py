@@ -176,3 +176,41 @@ def oncology_entities(max_files: int | None = 1, buckets: int | None = None) ->
                tracked=["TNM_Stage_Group", "Tumor_Size_cm", "Node_Involvement", "Metastasis"],
                kind="scd1", max_files=max_files, buckets=buckets),
     ]
+
+
+def oncology_gold(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Gold reports over the five silver entities of :func:`oncology_entities`.
+
+    * ``readmission_30d``: previous diagnosis per patient (event-level
+      conditions, not a one-row-per-patient table, X2);
+    * ``status_transitions``: status changes along the SCD2 history;
+    * ``cohort``: current status x TNM stage, with roll-up subtotals;
+    * ``outcome_rates``: share in remission per TNM stage;
+    * ``patient_360``: patient + current status + stage + latest condition +
+      number of observations (each side reduced to one row per patient first).
+    """
+    from ..operators.gold import cohort_rollup, entity_360, outcome_rates, readmissions, status_transitions
+
+    cond = silver["primary_cancer_condition"]
+    hist = silver["cancer_disease_status"]
+    stage = silver["tnm_stage_group"].filter(~F.col("_is_deleted"))
+    current = hist.filter(F.col("is_current")).select("Patient_ID", "Cancer_Disease_Status", "On_Treatment")
+    staged = current.join(stage.select("Patient_ID", "TNM_Stage_Group", "Metastasis"), "Patient_ID")
+    latest_cond = latest_per_key(cond.select("Patient_ID", "Primary_Cancer_Condition", "Diagnosis_Date",
+                                             "Hospital"), ["Patient_ID"], ["Diagnosis_Date", "Hospital"])
+    n_obs = silver["observation"].groupBy("Patient_ID").agg(F.count(F.lit(1)).alias("n_observations"))
+    return {
+        "readmission_30d": readmissions(cond, "Patient_ID", "Diagnosis_Date", tie_break=["Hospital"]),
+        "status_transitions": status_transitions(hist, "Patient_ID", ["scd_start_date", "scd_version"],
+                                                 "Cancer_Disease_Status"),
+        "cohort": cohort_rollup(staged, ["Cancer_Disease_Status", "TNM_Stage_Group"],
+                                {"n_patients": F.count(F.lit(1))}),
+        "outcome_rates": outcome_rates(staged, ["TNM_Stage_Group"],
+                                       F.col("Cancer_Disease_Status") == F.lit("Remission"),
+                                       total_col="n_patients", hit_col="n_remission",
+                                       rate_col="remission_rate"),
+        "patient_360": entity_360(silver["cancer_patient"].select("Patient_ID", "Name", "Age", "Gender"),
+                                  "Patient_ID", {"status": current, "stage": stage.select(
+                                      "Patient_ID", "TNM_Stage_Group", "Tumor_Size_cm"),
+                                      "condition": latest_cond, "observations": n_obs}),
+    }

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeledger.operators.gold import readmissions
-from lakeledger.plans.medallion import oncology_entities, run_medallion
+from lakeledger.plans.medallion import oncology_entities, oncology_gold, run_medallion
 from lakeledger.session import scratch_path
 
 IDS = [f"P{i:03d}" for i in range(1, 11)]
@@ -95,3 +95,15 @@ def test_five_entities_two_waves(spark, buckets):
     flagged = {r.Patient_ID for r in gold.filter(F.col("is_readmission_30d") == 1).collect()}
     assert flagged == {"P003"}
     assert isinstance(cond.schema["Diagnosis_Date"].dataType, T.DateType)
+
+    gold = oncology_gold(s2)
+    assert {r.Patient_ID for r in gold["readmission_30d"].filter("is_readmission_30d = 1").collect()} == {"P003"}
+    tr = {(r.from_status, r.to_status): r.n_transitions for r in gold["status_transitions"].collect()}
+    assert tr == {("Active", "Remission"): 1}
+    total = gold["cohort"].filter(F.col("grouping_level") == 3).first()
+    assert total.n_patients == 9                                     # P010's stage row was quarantined
+    p360 = {r.Patient_ID: r for r in gold["patient_360"].collect()}
+    assert len(p360) == 11 and p360["P003"].Diagnosis_Date.isoformat() == "2024-03-23"
+    assert p360["P001"].n_observations == 1 and p360["P011"].Cancer_Disease_Status is None
+    rates = {r.TNM_Stage_Group: r.remission_rate for r in gold["outcome_rates"].collect()}
+    assert set(rates) == {"T1N0M0"}
