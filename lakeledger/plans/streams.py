@@ -144,6 +144,20 @@ def q_stream_dedup(spark, d):
     return spark.read.parquet(f"{root}/bronze")
 
 
+@register("q_stream_dedup_watermark", EVENTS_SQL)
+def q_stream_dedup_watermark(spark, d):
+    """Bounded-state dedup: ids are forgotten once the watermark passes them.
+    The delay covers the whole event-time range, so no first copy is late."""
+    root = scratch_path(spark, "dedup_wm")
+    e = events(spark, d)
+    e.write.parquet(f"{root}/landing")
+    e.write.mode("append").parquet(f"{root}/landing")
+    out = stream_dedup(_parquet_stream(spark, f"{root}/landing", e.schema), ["event_id"],
+                       watermark=("ts", "62 days"))
+    append_stream(out, f"{root}/bronze", f"{root}/_chk")
+    return spark.read.parquet(f"{root}/bronze")
+
+
 @register("q_stream_latest_per_key", _latest_sql(cols="event_id, ts, user_id, event_type, value, props"))
 def q_stream_latest_per_key(spark, d):
     root = scratch_path(spark, "latest_stream")

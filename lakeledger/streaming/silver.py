@@ -136,7 +136,15 @@ def stream_dedup(df: DataFrame, keys: Sequence[str], watermark: tuple[str, str]
     """First row per key in arrival order.  Without a watermark the state grows
     with the number of keys; with ``(col, delay)`` it is bounded."""
     if watermark:
-        return df.withWatermark(*watermark).dropDuplicatesWithinWatermark(list(keys))
+        col, delay = watermark
+        from pyspark.sql import types as T
+        if isinstance(df.schema[col].dataType, T.TimestampNTZType):
+            # watermarks need TIMESTAMP; derive it, keep the original column
+            out = (df.withColumn("_event_time", F.col(col).cast("timestamp"))
+                     .withWatermark("_event_time", delay)
+                     .dropDuplicatesWithinWatermark(list(keys)))
+            return out.drop("_event_time")
+        return df.withWatermark(col, delay).dropDuplicatesWithinWatermark(list(keys))
     return df.dropDuplicates(list(keys))
 
 
