@@ -133,6 +133,30 @@ def q_stream_rescued(spark, d):
                       F.col(RESCUE_COL).isNotNull().alias("is_rescued"))
 
 
+@register("q_stream_json_rescued", """
+SELECT c_custkey, c_name, c_mktsegment,
+       CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN NULL ELSE c_acctbal END AS c_acctbal,
+       c_mktsegment = 'HOUSEHOLD' AS is_rescued
+FROM customer""")
+def q_stream_json_rescued(spark, d):
+    """JSON landing files; one part carries the balance as text ('n/a'), so its
+    rows keep their raw JSON in _rescued_data and a NULL balance."""
+    root = scratch_path(spark, "json_rescued")
+    c = table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
+    household = F.col("c_mktsegment") == "HOUSEHOLD"
+    c.filter(~household).write.json(f"{root}/landing")
+    (c.filter(household).withColumn("c_acctbal", F.lit("n/a"))
+      .write.mode("append").json(f"{root}/landing"))
+    schema = T.StructType([T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()),
+                           T.StructField("c_mktsegment", T.StringType()),
+                           T.StructField("c_acctbal", T.DoubleType())])
+    src = read_file_stream(spark, f"{root}/landing", schema, fmt="json", max_files=4)
+    append_stream(src, f"{root}/bronze", f"{root}/_chk")
+    got = spark.read.parquet(f"{root}/bronze")
+    return got.select("c_custkey", "c_name", "c_mktsegment", "c_acctbal",
+                      F.col(RESCUE_COL).isNotNull().alias("is_rescued"))
+
+
 @register("q_stream_dedup", EVENTS_SQL)
 def q_stream_dedup(spark, d):
     root = scratch_path(spark, "dedup")
