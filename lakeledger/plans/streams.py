@@ -20,7 +20,7 @@ from ..operators.gold import readmissions
 from ..session import scratch_path
 from ..sources.files import RESCUE_COL, file_name, read_file_stream, read_files, with_ingest_metadata
 from ..sources.schemas import describe_schema, infer_or_load_schema
-from ..sources.snapshots import publish_snapshot, read_log, read_snapshot
+from ..sources.snapshots import publish_snapshot, read_change_stream, read_log, read_snapshot
 from ..streaming.silver import (apply_changes_writer, bucketed_apply_changes_writer, bucketed_scd2_writer,
                                 bucketed_table, published,
                                 scd2_writer, stream_dedup, stream_latest_per_key, upsert_writer)
@@ -345,6 +345,23 @@ def q_change_log_stored(spark, d):
     return out.withColumn("_commit_version", F.col("_commit_version").cast("bigint"))
 
 
+@register("q_stream_change_feed_from_version", f"""
+SELECT event_id, ts, user_id, event_type, value,
+  CASE WHEN event_type = 'error' THEN 'delete'
+       WHEN prev IS NULL OR prev = 'error' THEN 'insert' ELSE 'update_postimage' END AS _change_type,
+  datediff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS _commit_version
+FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM events)
+WHERE datediff('day', DATE '2024-01-01', CAST(ts AS DATE)) >= 20""")
+def q_stream_change_feed_from_version(spark, d):
+    """A change log stored per commit version, consumed as a stream from version 20."""
+    root = scratch_path(spark, "cdf_stream")
+    log = event_change_log(spark, d)
+    log.write.partitionBy("_commit_version").parquet(f"{root}/log")
+    stream = read_change_stream(spark, f"{root}/log", log.schema, from_version=20, max_files=8)
+    append_stream(stream, f"{root}/out", f"{root}/_chk")
+    return spark.read.parquet(f"{root}/out").select(*log.columns)
+
+
 @register("q_medallion_end_to_end", READMISSION_SQL)
 def q_medallion_end_to_end(spark, d):
     root = scratch_path(spark, "medallion")

@@ -108,3 +108,20 @@ def create_table_if_absent(spark: SparkSession, path: str, schema) -> bool:
         return False
     spark.createDataFrame([], schema).write.parquet(path)
     return True
+
+
+def read_change_stream(spark: SparkSession, log_base: str, schema, from_version: int = 0,
+                       version_col: str = "_commit_version", max_files: int | None = None):
+    """The change log as a stream, from ``from_version`` on (0 = whole history).
+
+    The log is ``<log_base>/<version_col>=<n>/`` Parquet (see
+    :func:`append_changes`); new versions are new folders, so the file stream
+    source picks them up.  The version filter is a partition filter.
+    """
+    from pyspark.sql import types as T
+    fields = [f for f in schema.fields if f.name != version_col]
+    full = T.StructType(fields + [T.StructField(version_col, T.LongType(), True)])
+    r = spark.readStream.schema(full)
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    return r.parquet(log_base).filter(F.col(version_col) >= F.lit(from_version))
