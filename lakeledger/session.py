@@ -23,13 +23,29 @@ DEFAULT_CONF = {
 }
 
 
+# Profile for a large cluster (about 1000 executors, 100 TB inputs).  Start with
+# many shuffle partitions and let AQE coalesce them towards ~256 MB each; split
+# input files at 256 MB; let AQE split skewed join partitions; keep broadcasts
+# to sides Catalyst has measured under 64 MB.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "16000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
+}
+
+
 def build_session(master: str | None = None, app: str = "lakeledger",
                   shuffle_partitions: int | None = None,
-                  conf: dict | None = None) -> SparkSession:
+                  conf: dict | None = None, cluster: bool = False) -> SparkSession:
+    """A session with our defaults; ``cluster=True`` adds :data:`CLUSTER_CONF`."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    for k, v in DEFAULT_CONF.items():
+    for k, v in {**DEFAULT_CONF, **(CLUSTER_CONF if cluster else {})}.items():
         b = b.config(k, v)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
