@@ -171,3 +171,93 @@ def scd2_append_latest(current: DataFrame, incoming: DataFrame, keys: Sequence[s
 
 __all__ = ["scd2_history", "scd2_apply", "scd2_append_latest", "current_rows",
            "as_of_date", "as_of_join", "SEG", "HOT"]
+
+
+LAST_SEQ = "_last_seq"
+
+
+def scd2_key_state(log: DataFrame, keys: Sequence[str], sequence: Sequence[str]) -> DataFrame:
+    """Per key, the greatest event sequence seen (no-op updates and deletes included)."""
+    keys, sequence = list(keys), list(sequence)
+    return log.groupBy(*keys).agg(F.max(F.struct(*sequence)).alias(LAST_SEQ))
+
+
+def scd2_apply_fast(target: DataFrame, state: DataFrame, batch: DataFrame, log: DataFrame | None,
+                    keys: Sequence[str], tracked: Sequence[str], sequence: Sequence[str],
+                    is_delete: Column | None = None, columns: Sequence[str] | None = None,
+                    start_col: str = "scd_start_date", end_col: str = "scd_end_date",
+                    current_col: str = "is_current", version_col: str = "scd_version"
+                    ) -> tuple[DataFrame, DataFrame]:
+    """Incremental SCD2 that reads the log only for keys with late events.
+
+    ``state`` is :func:`scd2_key_state` of everything applied so far.  A key
+    whose batch events are all newer than its ``_last_seq`` (or that is new) is
+    continued from its last version: that version becomes a synthetic first
+    event (an upsert with its values, or a delete at its end if it was
+    closed), the batch events follow, and the usual rules run on this short
+    sequence with version numbers continuing.  Other keys are rebuilt from
+    ``log`` (which must then include the batch).  Returns (history, state).
+    """
+    keys, tracked, sequence = list(keys), list(tracked), list(sequence)
+    payload = list(columns) if columns is not None else tracked
+    pcols = [c for c in payload if c not in keys]
+    seq0 = sequence[0]
+    ev = batch.select(*dict.fromkeys([*keys, *sequence, *tracked, *pcols]),
+                      F.coalesce(is_delete if is_delete is not None else F.lit(False), F.lit(False)).alias("_del"))
+    first_in = ev.groupBy(*keys).agg(F.min(F.struct(*sequence)).alias("_first"))
+    verdict = (first_in.join(state, on=keys, how="left")
+                       .select(*keys, (F.col(LAST_SEQ).isNull() | (F.col("_first") > F.col(LAST_SEQ)))
+                               .alias("_in_order")))
+    in_order = verdict.filter("_in_order").select(*keys)
+    late = verdict.filter(~F.col("_in_order")).select(*keys)
+    # one small eager count (at most two rows) lets us skip an empty branch
+    n = {bool(r["_in_order"]): r["n"] for r in
+         verdict.groupBy("_in_order").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+    kept = target.join(late, on=keys, how="left_anti")
+    cont = None
+    if n.get(True):
+        # Last version of each in-order key (current, or closed by a delete): a
+        # partial max_by aggregate, so a key with many versions is no hot task.
+        rest = [c for c in target.columns if c not in keys]
+        last = (target.join(in_order, on=keys, how="left_semi").groupBy(*keys)
+                      .agg(F.max_by(F.struct(*rest), F.col(version_col)).alias("_r"))
+                      .select(*keys, *[F.col("_r")[c].alias(c) for c in rest]))
+        # The synthetic event sorts first among equal first-sequence values (rank 0).
+        order = [seq0, "_rank", *sequence[1:]]
+        synth = last.select(
+            *keys,
+            F.when(F.col(current_col), F.col(start_col)).otherwise(F.col(end_col))
+             .cast(ev.schema[seq0].dataType).alias(seq0),
+            F.lit(0).alias("_rank"),
+            *[(F.col(c) if c in last.columns else F.lit(None)).cast(ev.schema[c].dataType).alias(c)
+              for c in dict.fromkeys([*sequence[1:], *tracked, *pcols]) if c != seq0],
+            (~F.col(current_col)).alias("_del"),
+            F.col(version_col).alias("_base_v"), F.col(current_col).alias("_was_current"))
+        batch_in = ev.join(in_order, on=keys, how="left_semi").withColumn("_rank", F.lit(1))
+        short = synth.unionByName(batch_in, allowMissingColumns=True)
+        offsets = synth.select(*keys, (F.col("_base_v") - F.when(F.col("_was_current"), 1).otherwise(0))
+                               .alias("_off"))
+        cont = scd2_history(short.drop("_base_v", "_was_current"), keys, tracked, order,
+                            is_delete=F.col("_del"), columns=payload, start_col=start_col, end_col=end_col,
+                            current_col=current_col, version_col=version_col)
+        cont = (cont.join(offsets, on=keys, how="left")
+                    .withColumn(version_col, (F.col(version_col) + F.coalesce("_off", F.lit(0))).cast("bigint"))
+                    .drop("_off"))
+        # old rows kept: untouched keys, and in-order keys' rows except a current last version
+        replaced = last.filter(F.col(current_col)).select(*keys, version_col)
+        kept = kept.join(replaced, on=[*keys, version_col], how="left_anti")
+    parts = [kept] + ([cont.select(*target.columns)] if cont is not None else [])
+    if n.get(False):
+        if log is None:
+            raise ValueError("late events for some keys: pass the log to rebuild them")
+        rebuilt = scd2_history(log.join(late, on=keys, how="left_semi"), keys, tracked, sequence,
+                               is_delete=is_delete, columns=columns, start_col=start_col, end_col=end_col,
+                               current_col=current_col, version_col=version_col)
+        parts.append(rebuilt.select(*target.columns))
+    history = parts[0]
+    for p in parts[1:]:
+        history = history.unionByName(p)
+    new_state = (state.unionByName(ev.groupBy(*keys).agg(F.max(F.struct(*sequence)).alias(LAST_SEQ)))
+                      .groupBy(*keys).agg(F.max(LAST_SEQ).alias(LAST_SEQ)))
+    return history, new_state

@@ -24,7 +24,8 @@ from ..operators.dedup import duplicate_keys, first_per_key, latest_per_key
 from ..operators.gold import cohort_rollup, outcome_rates, readmissions, status_transitions
 from ..operators.merge import merge_changed_only, scd1_apply, soft_delete_missing, upsert, new_keys
 from ..operators.ordered import keyed_scan
-from ..operators.scd2 import as_of_date, as_of_join, current_rows, scd2_append_latest, scd2_apply, scd2_history
+from ..operators.scd2 import (as_of_date, as_of_join, current_rows, scd2_append_latest, scd2_apply,
+                              scd2_apply_fast, scd2_history, scd2_key_state)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -601,6 +602,22 @@ def q_scd2_incremental(spark, d):
     return scd2_apply(target, e, batch, ["user_id"], ["event_type"], SEQ)
 
 
+@register("q_scd2_incremental_fast", SCD2_SQL)
+def q_scd2_incremental_fast(spark, d):
+    """Batch newer than every stored key: continued from the last versions, log not read."""
+    from ..session import scratch_path
+    e = events(spark, d)
+    old = e.filter(F.col("ts") < ts(SPLIT))
+    root = scratch_path(spark, "scd2_fast")
+    # the stored silver history and key state, as a pipeline would hold them
+    history(spark, d, hi=SPLIT).write.parquet(f"{root}/history")
+    scd2_key_state(old, ["user_id"], SEQ).write.parquet(f"{root}/state")
+    target, state = spark.read.parquet(f"{root}/history"), spark.read.parquet(f"{root}/state")
+    batch = e.filter(F.col("ts") >= ts(SPLIT))
+    out, _ = scd2_apply_fast(target, state, batch, e, ["user_id"], ["event_type"], SEQ)
+    return out
+
+
 SCD2_OLD_SQL = _scd2_sql(f"ts < {sql_ts(SPLIT)}")
 _APPEND_SQL = f"""
 WITH cur AS (SELECT * FROM ({SCD2_OLD_SQL}) WHERE is_current), b AS ({BATCH_SQL}),
