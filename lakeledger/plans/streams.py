@@ -21,8 +21,8 @@ from ..session import scratch_path
 from ..sources.files import RESCUE_COL, file_name, read_file_stream, read_files, with_ingest_metadata
 from ..sources.schemas import describe_schema, infer_or_load_schema
 from ..sources.snapshots import publish_snapshot, read_change_stream, read_log, read_snapshot
-from ..streaming.silver import (apply_changes_writer, bucketed_apply_changes_writer, bucketed_scd2_writer,
-                                bucketed_table, published,
+from ..streaming.silver import (FastScd2Writer, apply_changes_writer, bucketed_apply_changes_writer,
+                                bucketed_scd2_writer, bucketed_table, published,
                                 scd2_writer, stream_dedup, stream_latest_per_key, upsert_writer)
 from ..streaming.sinks import append_stream, foreach_batch_stream
 from .catalog import (AUTO1_SQL, EV_COLS, is_del, NOW1, OLD_STATE_SQL, READMISSION_SQL, SCD2_SQL, SEQ,
@@ -220,6 +220,17 @@ def q_stream_scd2_bucketed(spark, d):
     return bucketed_table(spark, w)
 
 
+@register("q_stream_scd2_fast", SCD2_SQL)
+def q_stream_scd2_fast(spark, d):
+    """SCD2 per micro-batch from the last versions; the log is read only for
+    keys that receive events older than what was already applied."""
+    root = scratch_path(spark, "scd2_fast_stream")
+    stage, schema = _stage_events_by_pair(spark, d, root, files=4)
+    w = FastScd2Writer(f"{root}/silver", ["user_id"], ["event_type"], SEQ)
+    foreach_batch_stream(_parquet_stream(spark, stage, schema), w, f"{root}/_chk")
+    return w.history(spark)
+
+
 @register("q_stream_auto_cdc_bucketed", AUTO1_SQL)
 def q_stream_auto_cdc_bucketed(spark, d):
     root = scratch_path(spark, "auto_cdc_bucketed")
