@@ -64,3 +64,18 @@ def test_bucketed_log_read_is_pruned_dynamically(spark):
 def test_as_of_join_has_no_range_join(spark):
     p = initial(plan(Q["q_scd2_as_of_join"](spark, SF)))
     assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p
+
+
+def test_no_query_pairs_rows_or_leaves_the_jvm(spark):
+    """Across every batch query: no cartesian / nested-loop join, no Python UDF operator."""
+    from lakeledger.plans import catalog
+    bad = {}
+    for name, fn in sorted(catalog.QUERIES.items()):
+        if fn.__module__ != catalog.__name__:      # file / streaming scenarios live in streams.py
+            continue
+        p = plan(fn(spark, SF), "extended")
+        hits = [op for op in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
+                              "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas") if op in p]
+        if hits:
+            bad[name] = hits
+    assert not bad, bad
