@@ -208,6 +208,14 @@ def scd2_apply_fast(target: DataFrame, state: DataFrame, batch: DataFrame, log:
     verdict = (first_in.join(state, on=keys, how="left")
                        .select(*keys, (F.col(LAST_SEQ).isNull() | (F.col("_first") > F.col(LAST_SEQ)))
                                .alias("_in_order")))
+    # The key verdict and the last versions are small; writing them to the shared
+    # folder cuts their lineage, so the final plan does not re-derive them through
+    # several self-joins of the same inputs.
+    from ..session import scratch_path
+    spark = target.sparkSession
+    tmp = scratch_path(spark, "scd2_fast")
+    verdict.write.parquet(f"{tmp}/verdict")
+    verdict = spark.read.parquet(f"{tmp}/verdict")
     in_order = verdict.filter("_in_order").select(*keys)
     late = verdict.filter(~F.col("_in_order")).select(*keys)
     # one small eager count (at most two rows) lets us skip an empty branch
@@ -223,6 +231,8 @@ def scd2_apply_fast(target: DataFrame, state: DataFrame, batch: DataFrame, log:
         last = (target.join(in_order, on=keys, how="left_semi").groupBy(*keys)
                       .agg(F.max_by(F.struct(*rest), F.col(version_col)).alias("_r"))
                       .select(*keys, *[F.col("_r")[c].alias(c) for c in rest]))
+        last.write.parquet(f"{tmp}/last")
+        last = spark.read.parquet(f"{tmp}/last")
         # The synthetic event sorts first among equal first-sequence values (rank 0).
         order = [seq0, "_rank", *sequence[1:]]
         synth = last.select(
