@@ -219,3 +219,29 @@ def test_scd2_fast_path_equals_model(spark, seed, late_share):
         state = spark.createDataFrame(state.collect(), state.schema)
     got = sorted(((r.k, r.v, r.scd_start_date, r.scd_end_date, r.scd_version) for r in target.collect()), key=repr)
     assert got == model_history(log)
+
+
+def test_scd2_fast_path_when_inputs_share_lineage(spark):
+    """Target history, key state and batch all derived from one bronze table
+    (date-first struct sequence).  A run of this shape, with the history read back
+    from storage, once lost the last versions in the assembled plan. Writing the
+    control frames to the shared folder fixed it; this test covers the shape."""
+    from lakeledger.functions.clean import cast_failures
+    from lakeledger.operators.scd2 import scd2_apply_fast, scd2_key_state
+    from lakeledger.plans import medallion
+    from lakeledger.session import scratch_path
+    import test_medallion as tm
+    root = scratch_path(spark, "fast_lineage")
+    e = [x for x in medallion.oncology_entities() if x.name == "cancer_disease_status"][0]
+    tm._wave1(root)
+    tm._wave2(root)
+    medallion.run_bronze(spark, e, f"{root}/landing", f"{root}/lake")
+    br = cast_failures(spark.read.parquet(f"{root}/lake/bronze/cancer_disease_status"), e.clean)
+    seq = ["Last_Update", "_source_file_mtime", "_source_file"]
+    tracked, cols = ["Cancer_Disease_Status", "On_Treatment"], ["Cancer_Disease_Status", "Last_Update", "On_Treatment"]
+    old, new = br.filter("Last_Update < '2024-02-01'"), br.filter("Last_Update = '2024-02-01'")
+    target = scd2_history(old, ["Patient_ID"], tracked, seq, columns=cols)
+    hist, _ = scd2_apply_fast(target, scd2_key_state(old, ["Patient_ID"], seq), new, br, ["Patient_ID"],
+                              tracked, seq, columns=cols)
+    want = scd2_history(br, ["Patient_ID"], tracked, seq, columns=cols)
+    assert sorted(map(repr, hist.collect())) == sorted(map(repr, want.select(*hist.columns).collect()))
