@@ -113,7 +113,7 @@ class Forest:
 
 
 def fit(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 4, rate: float = 0.2,
-        bins: int = 64, l2: float = 1.0, least: float = 5.0) -> Forest:
+        bins: int = 64, l2: float = 1.0, least: float = 1.0) -> Forest:
     """Boosted trees for the logistic loss; a node splits if both sides keep ``least`` of hessian."""
     mean = float(np.clip(y.mean(), 1e-3, 1 - 1e-3)) if len(y) else 0.5
     inner, leaves, wide = 2 ** depth - 1, 2 ** depth, x.shape[1]
