@@ -28,6 +28,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -77,7 +78,7 @@ def chunks(raw: bytes, cuts: np.ndarray) -> list[bytes]:
 class ChunkEncoder:
     """Encodes texts; remembers pieces and chunks up to a bound."""
 
-    def __init__(self, path: str, entries: int = 300_000, chunk_bytes: int = 24 << 20):
+    def __init__(self, path: str, entries: int = 400_000, chunk_bytes: int = 24 << 20):
         self.tok = tokenizer(path)
         spec = json.loads(self.tok.to_str())
         pre = json.dumps(spec["pre_tokenizer"])
@@ -155,10 +156,16 @@ class ChunkEncoder:
         return b"".join(ids), b" ".join(words)
 
 
+@lru_cache(maxsize=2)
+def worker_encoder(path: str) -> ChunkEncoder:
+    """The encoder of this Python worker, kept from task to task."""
+    return ChunkEncoder(path)
+
+
 def encode_documents(docs: DataFrame, vocabulary: str, summary: bool = True) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256``, or with ``summary=False`` ``doc_id, ids, decoded``."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder(vocabulary)
+        encoder = worker_encoder(vocabulary)
         for b in slices(batches, "text", 2 << 20):
             texts = [t or b"" for t in b.column("text").cast(pa.binary()).to_pylist()]
             ends = np.cumsum([len(t) for t in texts])
