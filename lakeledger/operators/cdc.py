@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .dedup import latest_per_key
-from .ordered import DEFAULT_ROWS_PER_SEGMENT
 from .scd2 import scd2_history
 
 START_AT, END_AT = "__START_AT", "__END_AT"
@@ -23,8 +22,7 @@ def apply_changes(changes: DataFrame, keys: Sequence[str], sequence_by: Sequence
                   track_history_column_list: Sequence[str] | None = None,
                   target: DataFrame | None = None,
                   version_col: str | None = None,
-                  keep_tombstones: bool = False,
-                  rows_per_segment: int | None = DEFAULT_ROWS_PER_SEGMENT) -> DataFrame:
+                  keep_tombstones: bool = False) -> DataFrame:
     """Apply an ordered change log to a target.
 
     Type 1: the latest event per key wins regardless of arrival order; a
@@ -70,4 +68,4 @@ def apply_changes(changes: DataFrame, keys: Sequence[str], sequence_by: Sequence
     payload = [c for c in cols if c not in keys]
     return scd2_history(changes, keys, tracked, seq, is_delete=is_del, columns=payload,
                         start_col=START_AT, end_col=END_AT, current_col=None,
-                        version_col=version_col, rows_per_segment=rows_per_segment)
+                        version_col=version_col)

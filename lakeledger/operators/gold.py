@@ -7,22 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import DEFAULT_ROWS_PER_SEGMENT, keyed_scan
+from .ordered import keyed_scan
 
 
 def readmissions(df: DataFrame, key: str | Sequence[str], date: str,
                  tie_break: Sequence[str] = (), days: int = 30,
                  previous: str = "previous_date", gap: str = "days_since_last",
-                 flag: str = "is_readmission_30d",
-                 rows_per_segment: int | None = DEFAULT_ROWS_PER_SEGMENT) -> DataFrame:
+                 flag: str = "is_readmission_30d") -> DataFrame:
     """Previous event date per key, whole days since it, and a 0/1 flag.
 
     The input must be event level (several rows per key).  No previous event
     gives NULL gap and flag 0; a same-day event gives gap 0 and flag 1.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    s = keyed_scan(df, keys, [date, *tie_break], lag=[date], lag_prefix="_prev_",
-                   rows_per_segment=rows_per_segment)
+    s = keyed_scan(df, keys, [date, *tie_break], lag=[date], lag_prefix="_prev_")
     prev = F.col("_prev_" + date)
     d = F.datediff(F.col(date).cast("date"), prev.cast("date"))
     return (s.withColumn(previous, prev)
@@ -33,13 +31,11 @@ def readmissions(df: DataFrame, key: str | Sequence[str], date: str,
 
 def status_transitions(df: DataFrame, key: str | Sequence[str], order: Sequence[str],
                        status: str, from_col: str = "from_status",
-                       to_col: str = "to_status", count_col: str = "n_transitions",
-                       rows_per_segment: int | None = DEFAULT_ROWS_PER_SEGMENT) -> DataFrame:
+                       to_col: str = "to_status", count_col: str = "n_transitions") -> DataFrame:
     """Count (previous status -> status) changes per key over time."""
     keys = [key] if isinstance(key, str) else list(key)
     s = keyed_scan(df.select(*keys, *order, status) if status not in order else df.select(*keys, *order),
-                   keys, order, lag=[status], lag_prefix="_from_",
-                   rows_per_segment=rows_per_segment)
+                   keys, order, lag=[status], lag_prefix="_from_")
     moved = s.filter(F.col("_from_" + status).isNotNull()
                      & ~F.col("_from_" + status).eqNullSafe(F.col(status)))
     return (moved.groupBy(F.col("_from_" + status).alias(from_col), F.col(status).alias(to_col))

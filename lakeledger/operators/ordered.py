@@ -1,211 +1,143 @@
-"""Skew-safe ordered scans within a key: lag, lead, row number, forward fill.
-
-A plain ``Window.partitionBy(key)`` sends every row of a key to one task.
-If one key holds a third of the data, that task sorts a third of the data.
-Here a key whose row count exceeds ``rows_per_segment`` is split into
-order-preserving segments on the leading order column (equal-width slices
-between the key's min and max).  The window runs per (key, segment); the
-first / last row of each segment is then corrected from a per-segment
-summary (count, first row, last row, last non-null value), which has at most
-about ``2 * rows / rows_per_segment`` rows and is therefore safe to
-broadcast.  One small eager job (a column-pruned count per key, combined
-map-side) decides whether any key is hot; if none is, the plan is the plain
-one-shuffle window.  The threshold comes from the argument, else from the
-session setting ``lakeledger.skew.rowsPerSegment`` (default 1,000,000).
-
-All orders are ascending and must be total (add tie-breakers); NULLs in the
-leading order column sort first and fall into segment 0.
+"""Ordered scans within a key that no key can overload: lag, lead, counts, forward fill.
+
+A plain ``Window.partitionBy(key)`` sends every row of a key to one task.  Here
+rows are first laid out by range of (keys, full order): each partition holds
+about as many rows as any other, whether they belong to many keys, to one, to
+one instant of one, or to a NULL key.  The partition's number is stored with the
+rows and the layout is written once to the shared folder, as range bounds come
+from a sample and could differ if they were computed again.  All steps of an
+operator use that layout (:func:`ordered_layout`; rows may be filtered between
+steps).
+
+A step runs its windows per (partition, key).  Only a partition's first key can
+go on from an earlier partition and only its last key into a later one, so a
+summary of one row per partition repairs both.  There is no threshold and one
+plan for all sizes.
+
+All orders are ascending, NULLs first, and must be total (add tie-breakers); any
+orderable type will do.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-SEG = "_seg"
-HOT = "_hot"
-DEFAULT_ROWS_PER_SEGMENT = None  # resolved per session, see rows_per_segment_of
-FALLBACK_ROWS_PER_SEGMENT = 1_000_000
-CONF_KEY = "lakeledger.skew.rowsPerSegment"
-MAX_BROADCAST_ROWS = 2_000_000  # hot keys + segments; above this, join by shuffle
-
-
-def rows_per_segment_of(df: DataFrame, given: int | None) -> int:
-    if given:
-        return int(given)
-    v = df.sparkSession.conf.get(CONF_KEY, None)
-    return int(v) if v else FALLBACK_ROWS_PER_SEGMENT
-
-
-def order_number(df: DataFrame, name: str) -> Column:
-    """Map an order column onto a number with the same order, independent of
-    the session time zone (a zone cast of ``timestamp_ntz`` is not monotonic
-    across a daylight-saving gap)."""
-    dt = df.schema[name].dataType
-    c = F.col(name)
-    if isinstance(dt, T.TimestampNTZType):
-        return (F.unix_date(c.cast("date")).cast("double") * F.lit(86400e6)
-                + F.hour(c) * F.lit(3600e6) + F.minute(c) * F.lit(60e6)
-                + F.date_part(F.lit("SECOND"), c).cast("double") * F.lit(1e6))
-    if isinstance(dt, T.TimestampType):
-        return F.unix_micros(c).cast("double")
-    if isinstance(dt, T.DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(dt, T.NumericType):
-        return c.cast("double")
-    raise TypeError(f"cannot segment on {name}: {dt.simpleString()}")
-
-
-def _hot_stats(df: DataFrame, keys: list[str], order_col: str, rows_per_segment: int) -> DataFrame:
-    num = order_number(df, order_col)
-    return (df.select(*keys, num.alias("_o"))
-              .groupBy(*keys)
-              .agg(F.count(F.lit(1)).alias("_n"), F.min("_o").alias("_lo"), F.max("_o").alias("_hi"))
-              .filter(F.col("_n") > F.lit(rows_per_segment))
-              .select(*keys,
-                      F.ceil(F.col("_n") / F.lit(rows_per_segment)).cast("long").alias("_nseg"),
-                      "_lo", "_hi"))
-
-
-class Segmentation(NamedTuple):
-    """Outcome of the hot-key check: whether to segment, and the measured
-    sizes (hot keys, total segments) that decide broadcast vs shuffle join."""
-    segmented: bool
-    hot_keys: int = 0
-    segments: int = 0
-
-    @property
-    def broadcast_ok(self) -> bool:
-        return self.hot_keys + self.segments <= MAX_BROADCAST_ROWS
-
-
-def _maybe_broadcast(df: DataFrame, ok: bool) -> DataFrame:
-    return F.broadcast(df) if ok else df
-
-
-def plan_segments(df: DataFrame, keys: Sequence[str], order_col: str,
-                  rows_per_segment: int | None = DEFAULT_ROWS_PER_SEGMENT) -> tuple[DataFrame, Segmentation]:
-    """Append ``_seg`` / ``_hot`` and report the measured segmentation.
-
-    One small eager job (a column-pruned count per key, combined map-side,
-    then a count of the hot keys and their segments) decides.  Without hot
-    keys the plan stays a plain one-shuffle window.  The hot-key table and
-    the segment summary are broadcast only when their measured row count is
-    under ``MAX_BROADCAST_ROWS``; above it they join by shuffle.
-    """
-    keys = list(keys)
-    rows_per_segment = rows_per_segment_of(df, rows_per_segment)
-    stats = _hot_stats(df, keys, order_col, rows_per_segment)
-    n = stats.agg(F.count(F.lit(1)).alias("k"), F.coalesce(F.sum("_nseg"), F.lit(0)).alias("s")).first()
-    if not n["k"]:
-        return df.withColumns({SEG: F.lit(0).cast("long"), HOT: F.lit(False)}), Segmentation(False)
-    info = Segmentation(True, int(n["k"]), int(n["s"]))
-    j = df.join(_maybe_broadcast(stats, info.broadcast_ok), on=keys, how="left")
-    span = F.col("_hi") - F.col("_lo") + F.lit(1.0)
-    pos = F.floor((order_number(j, order_col) - F.col("_lo")) * F.col("_nseg") / span)
-    seg = F.when(F.col("_nseg").isNull(), F.lit(0)).otherwise(
-        F.coalesce(F.least(F.col("_nseg") - 1, F.greatest(F.lit(0), pos)), F.lit(0)))
-    out = j.select(*[F.col(c) for c in df.columns],
-                   seg.cast("long").alias(SEG), F.col("_nseg").isNotNull().alias(HOT))
-    return out, info
-
-
-def add_segments(df: DataFrame, keys: Sequence[str], order_col: str,
-                 rows_per_segment: int | None = DEFAULT_ROWS_PER_SEGMENT) -> DataFrame:
-    """Append ``_seg`` (0 unless the key is hot) and ``_hot``."""
-    if SEG in df.columns:
+
+from ..session import scratch_path
+
+PART = "_part"
+CONF_KEY = "lakeledger.layout.partitions"  # number of range partitions; else spark.sql.shuffle.partitions
+
+
+def ordered_layout(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``df`` with ``_part``: its rows by range of (keys, order), written once."""
+    if PART in df.columns:
         return df
-    return plan_segments(df, keys, order_col, rows_per_segment)[0]
+    spark = df.sparkSession
+    n = spark.conf.get(CONF_KEY, None)
+    by = [F.col(c) for c in dict.fromkeys([*keys, *order])]
+    dealt = df.repartitionByRange(int(n), *by) if n else df.repartitionByRange(*by)
+    return cut(dealt.withColumn(PART, F.spark_partition_id()), "layout")
+
+
+def cut(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and go on from there."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _summary(df: DataFrame, keys: list[str], order: list[str], lag: list[str], lead: list[str],
+             ffill: list[str], counted: Column | None) -> DataFrame:
+    """One row per partition: what its first key takes over and its last key goes on to."""
+    key = F.struct(*keys)
+    place = F.struct(*dict.fromkeys([*keys, *order]))
+    aggs = [F.min(key).alias("_first"), F.max(key).alias("_last")]
+    if lag:
+        aggs.append(F.max_by(F.struct(*lag), place).alias("_end"))
+    if lead:
+        aggs.append(F.min_by(F.struct(*lead), place).alias("_start"))
+    for i, c in enumerate(ffill):
+        aggs.append(F.max_by(F.struct(key.alias("k"), F.col(c).alias("v")),
+                             F.when(F.col(c).isNotNull(), place)).alias(f"_f{i}"))
+    per = df.groupBy(PART).agg(*aggs)
+    if counted is not None:
+        sizes = (df.groupBy(PART, *keys).agg(F.count_if(counted).alias("_n"))
+                   .groupBy(PART).agg(F.max_by("_n", key).alias("_n")))
+        per = per.join(sizes, PART)
+    # windows over one row per partition of the layout
+    w = Window.orderBy(PART)
+    goes_on = F.lag("_last").over(w).eqNullSafe(F.col("_first")) & F.lag(PART).over(w).isNotNull()
+    cols = {}
+    if lag:
+        cols["_before"] = F.when(goes_on, F.lag("_end").over(w))
+    if lead:
+        more = F.lead("_first").over(w).eqNullSafe(F.col("_last")) & F.lead(PART).over(w).isNotNull()
+        cols["_after"] = F.when(more, F.lead("_start").over(w))
+    for i, _ in enumerate(ffill):
+        held = F.last(f"_f{i}", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+        cols[f"_fill{i}"] = F.when(held["k"].eqNullSafe(F.col("_first")), held["v"])
+    if counted is not None:
+        per = per.withColumn("_sum", F.sum("_n").over(Window.partitionBy("_last").orderBy(PART)))
+        cols["_offset"] = F.when(goes_on, F.lag("_sum").over(w))
+    return per.withColumns(cols).select(PART, "_first", "_last", *cols)
 
 
 def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
                lag: Sequence[str] = (), lead: Sequence[str] = (),
-               ffill: Sequence[str] = (), row_number: str | None = None,
+               ffill: Sequence[str] = (), row_number: str | None = None, counted: Column | None = None,
                lag_prefix: str = "prev_", lead_prefix: str = "next_",
-               ffill_prefix: str = "last_",
-               rows_per_segment: int | None = DEFAULT_ROWS_PER_SEGMENT,
-               keep_segments: bool = False,
-               segmented: "Segmentation | bool | None" = None) -> DataFrame:
-    """Add ordered per-key columns without funnelling a hot key into one task.
+               ffill_prefix: str = "last_", keep_layout: bool = False) -> DataFrame:
+    """Add ordered per-key columns; rows of one key may lie in any number of tasks.
 
     ``lag``   -> ``prev_<c>``: value of the previous row of the key.
     ``lead``  -> ``next_<c>``: value of the next row of the key.
     ``ffill`` -> ``last_<c>``: last non-null value up to and including the row.
-    ``row_number`` -> 1-based position of the row within its key.
+    ``row_number`` -> 1-based position of the row within its key (long), or the
+    number of rows so far that meet ``counted``.
+
+    ``df`` may be a layout of :func:`ordered_layout` on the same keys and order
+    (or rows filtered from one); else one is written first.  ``keep_layout``
+    keeps ``_part`` for a next step.
     """
     keys, order = list(keys), list(order)
     lag, lead, ffill = list(lag), list(lead), list(ffill)
-    had_seg = SEG in df.columns
-    if had_seg:
-        s = df
-        info = segmented if isinstance(segmented, Segmentation) else \
-            Segmentation(True if segmented is None else bool(segmented))
-    else:
-        s, info = plan_segments(df, keys, order[0], rows_per_segment)
-    segmented = info.segmented
-
-    w = Window.partitionBy(*keys, SEG).orderBy(*order) if segmented else \
-        Window.partitionBy(*keys).orderBy(*order)
+    laid = ordered_layout(df, keys, order)
+    if row_number and counted is None:
+        counted = F.lit(True)
+
+    w = Window.partitionBy(PART, *keys).orderBy(*order)
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cols: dict[str, Column] = {"_rn": F.row_number().over(w)}
     if lead:
-        cols["_islast"] = F.lead(F.lit(1)).over(w).isNull()
+        cols["_is_last"] = F.lead(F.lit(1)).over(w).isNull()
     for c in lag:
         cols[lag_prefix + c] = F.lag(c).over(w)
     for c in lead:
         cols[lead_prefix + c] = F.lead(c).over(w)
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     for c in ffill:
         cols[ffill_prefix + c] = F.last(c, ignorenulls=True).over(upto)
-    ranked = s.withColumns(cols)
-    keep = [c for c in df.columns]
-    if keep_segments and not had_seg:
-        keep += [SEG, HOT]
-    if not segmented:
-        if row_number:
-            ranked = ranked.withColumn(row_number, F.col("_rn"))
-        extra = [c for c in cols if c not in ("_rn", "_islast")] + ([row_number] if row_number else [])
-        return ranked.select(*keep, *extra)
-
-    # Per-segment summary of the hot keys only (partial aggregation map-side).
-    ordk = F.struct(*order)
-    aggs = [F.count(F.lit(1)).alias("_cnt")]
-    if lag:
-        aggs.append(F.max_by(F.struct(*lag), ordk).alias("_last"))
-    if lead:
-        aggs.append(F.min_by(F.struct(*lead), ordk).alias("_first"))
-    for i, c in enumerate(ffill):
-        aggs.append(F.max_by(F.col(c), F.when(F.col(c).isNotNull(), ordk)).alias(f"_fl{i}"))
-    ws = Window.partitionBy(*keys).orderBy(SEG)
-    before = ws.rowsBetween(Window.unboundedPreceding, -1)
-    summ = {"_b_off": F.coalesce(F.sum("_cnt").over(before), F.lit(0))}
-    if lag:
-        summ["_b_prev"] = F.lag("_last").over(ws)
-    if lead:
-        summ["_b_next"] = F.lead("_first").over(ws)
-    for i, _ in enumerate(ffill):
-        summ[f"_b_fl{i}"] = F.last(f"_fl{i}", ignorenulls=True).over(before)
-    summary = (s.filter(F.col(HOT)).groupBy(*keys, SEG).agg(*aggs)
-                 .withColumns(summ)
-                 .select(*keys, SEG, *summ.keys()))
-    # One row per hot segment: broadcast when the measured count allows.
-    out = ranked.join(_maybe_broadcast(summary, info.broadcast_ok or not info.hot_keys),
-                      on=[*keys, SEG], how="left")
+    if row_number:
+        cols[row_number] = F.count_if(counted).over(upto)
+    # Catalyst measures the summary (a row per partition) and picks the join
+    met = laid.withColumns(cols).join(
+        _summary(laid, keys, order, lag, lead, ffill, counted if row_number else None), PART, "left")
 
+    key = F.struct(*keys)
+    in_first, in_last = key.eqNullSafe(F.col("_first")), key.eqNullSafe(F.col("_last"))
     fixes: dict[str, Column] = {}
-    first = F.col("_rn") == 1
     for c in lag:
-        fixes[lag_prefix + c] = F.when(first & F.col(HOT), F.col("_b_prev")[c]).otherwise(F.col(lag_prefix + c))
+        fixes[lag_prefix + c] = F.when(in_first & (F.col("_rn") == 1), F.col("_before")[c]) \
+            .otherwise(F.col(lag_prefix + c))
     for c in lead:
-        fixes[lead_prefix + c] = F.when(F.col("_islast") & F.col(HOT), F.col("_b_next")[c]).otherwise(F.col(lead_prefix + c))
+        fixes[lead_prefix + c] = F.when(in_last & F.col("_is_last"), F.col("_after")[c]) \
+            .otherwise(F.col(lead_prefix + c))
     for i, c in enumerate(ffill):
-        fixes[ffill_prefix + c] = F.coalesce(F.col(ffill_prefix + c), F.col(f"_b_fl{i}"))
+        fixes[ffill_prefix + c] = F.coalesce(F.col(ffill_prefix + c), F.when(in_first, F.col(f"_fill{i}")))
     if row_number:
-        fixes[row_number] = (F.col("_rn") + F.coalesce(F.col("_b_off"), F.lit(0))).cast("int")
-    out = out.withColumns(fixes) if fixes else out
-
-    new = [c for c in fixes if c not in keep]
-    return out.select(*keep, *new)
+        fixes[row_number] = F.col(row_number) + F.when(
+            in_first, F.coalesce("_offset", F.lit(0))).otherwise(F.lit(0))
+    kept = [c for c in laid.columns if keep_layout or c != PART or PART in df.columns]
+    return met.withColumns(fixes).select(*kept, *[c for c in fixes if c not in kept])

@@ -9,8 +9,8 @@ total order ``sequence``:
 2. on the kept events, ``end = start of the next kept event``;
 3. drop the deletes; ``version = position``; ``is_current = end IS NULL``.
 
-All ordered steps go through :func:`keyed_scan`, which splits hot keys into
-order-preserving segments so no single task owns a huge key.
+All ordered steps go through :func:`keyed_scan` on one layout by range of
+(keys, sequence), so no single task owns a huge key.
 """
 
 from __future__ import annotations
@@ -21,15 +21,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import changed_expr
-from .ordered import DEFAULT_ROWS_PER_SEGMENT, HOT, SEG, keyed_scan, plan_segments
+from .ordered import PART, cut, keyed_scan, ordered_layout
 
 
 def scd2_history(log: DataFrame, keys: Sequence[str], tracked: Sequence[str],
                  sequence: Sequence[str], is_delete: Column | None = None,
                  columns: Sequence[str] | None = None,
                  start_col: str = "scd_start_date", end_col: str = "scd_end_date",
-                 current_col: str | None = "is_current", version_col: str | None = "scd_version",
-                 rows_per_segment: int | None = DEFAULT_ROWS_PER_SEGMENT) -> DataFrame:
+                 current_col: str | None = "is_current", version_col: str | None = "scd_version") -> DataFrame:
     """Validity intervals per key from an ordered change log.
 
     ``columns``: payload kept on each version (default: ``tracked``).  The
@@ -41,23 +40,18 @@ def scd2_history(log: DataFrame, keys: Sequence[str], tracked: Sequence[str],
     base_cols = list(dict.fromkeys([*keys, *sequence, *tracked, *extra]))
     ev = log.select(*base_cols, (is_delete if is_delete is not None else F.lit(False)).alias("_del"))
     ev = ev.withColumn("_del", F.coalesce(F.col("_del"), F.lit(False)))
-    ev, segmented = plan_segments(ev, keys, sequence[0], rows_per_segment)
-
-    s1 = keyed_scan(ev, keys, sequence, lag=["_del", *tracked], lag_prefix="_p_",
-                    rows_per_segment=rows_per_segment, segmented=segmented)
+    s1 = keyed_scan(ordered_layout(ev, keys, sequence), keys, sequence, lag=["_del", *tracked], lag_prefix="_p_")
     pd = F.col("_p__del")
     differs = changed_expr(tracked, None, None, right_prefix="_p_")
     keep = ((F.col("_del") & (pd == F.lit(False)))
             | (~F.col("_del") & (pd.isNull() | pd | differs)))
-    kept = s1.filter(keep).select(*ev.columns)
+    # the kept events are read twice by the next step: written once, the first step runs once
+    kept = cut(s1.filter(keep).select(*ev.columns, PART), "scd2_kept")
 
-    s2 = keyed_scan(kept, keys, sequence, lead=[sequence[0]], lead_prefix="_n_",
-                    rows_per_segment=rows_per_segment, segmented=segmented)
-    live = s2.filter(~F.col("_del")).select(*ev.columns, F.col("_n_" + sequence[0]).alias(end_col))
-    out = live
+    out = keyed_scan(kept, keys, sequence, lead=[sequence[0]], lead_prefix="_n_",
+                     row_number="_v" if version_col else None, counted=~F.col("_del"))
+    out = out.filter(~F.col("_del")).withColumn(end_col, F.col("_n_" + sequence[0]))
     if version_col:
-        out = keyed_scan(live, keys, sequence, row_number="_v", rows_per_segment=rows_per_segment,
-                         segmented=segmented)
         out = out.withColumn(version_col, F.col("_v").cast("bigint"))
     sel = [*keys, *[c for c in payload if c not in keys],
            F.col(sequence[0]).alias(start_col), F.col(end_col)]
@@ -83,27 +77,31 @@ def as_of_date(history: DataFrame, t, start_col: str = "scd_start_date",
 def as_of_join(facts: DataFrame, history: DataFrame, keys: Sequence[str], t_col: str,
                columns: Sequence[str], fact_order: Sequence[str] = (),
                start_col: str = "scd_start_date", end_col: str = "scd_end_date",
-               prefix: str = "", rows_per_segment: int | None = DEFAULT_ROWS_PER_SEGMENT) -> DataFrame:
+               prefix: str = "") -> DataFrame:
     """Left as-of join: each fact gets the version of its key valid at ``t``.
 
     Written as union + ordered forward fill, not as an equi join with a range
     residual: the latter compares every fact of a key with every version of
-    the key, which explodes on a hot key.
+    the key, which explodes on a hot key.  Of versions that start at one
+    instant the one that lasts longest counts; empty ones never do.
     """
     keys = list(keys)
     fact_cols = facts.columns
     hv = F.struct(*[F.col(c) for c in columns], F.col(end_col).alias("__end"))
-    h = history.select(*[F.col(k) for k in keys], F.col(start_col).alias("_t"),
-                       F.lit(0).alias("_kind"), hv.alias("_h"),
-                       *[F.lit(None).cast(facts.schema[c].dataType).alias(c)
-                         for c in fact_cols if c not in keys])
+    # A version that ends where it starts is valid at no instant.
+    h = history.filter(F.col(end_col).isNull() | (F.col(start_col) < F.col(end_col)))
+    h = h.select(*[F.col(k) for k in keys], F.col(start_col).alias("_t"), F.lit(0).alias("_kind"),
+                 F.col(end_col).isNull().alias("_open"), F.col(end_col).alias("_until"), hv.alias("_h"),
+                 *[F.lit(None).cast(facts.schema[c].dataType).alias(c)
+                   for c in fact_cols if c not in keys])
     f = facts.select(*[F.col(k) for k in keys], F.col(t_col).cast(history.schema[start_col].dataType).alias("_t"),
-                     F.lit(1).alias("_kind"), F.lit(None).cast(hv_type(history, columns, end_col)).alias("_h"),
+                     F.lit(1).alias("_kind"), F.lit(None).cast("boolean").alias("_open"),
+                     F.lit(None).cast(history.schema[end_col].dataType).alias("_until"),
+                     F.lit(None).cast(hv_type(history, columns, end_col)).alias("_h"),
                      *[F.col(c) for c in fact_cols if c not in keys])
     u = h.unionByName(f)
-    order = ["_t", "_kind", *fact_order]
-    s = keyed_scan(u, keys, order, ffill=["_h"], ffill_prefix="_last",
-                   rows_per_segment=rows_per_segment)
+    order = ["_t", "_kind", "_open", "_until", *fact_order]
+    s = keyed_scan(u, keys, order, ffill=["_h"], ffill_prefix="_last")
     s = s.filter(F.col("_kind") == 1)
     hit = F.col("_last_h").isNotNull() & (F.col("_last_h.__end").isNull()
                                           | (F.col("_t") < F.col("_last_h.__end")))
@@ -169,10 +167,6 @@ def scd2_append_latest(current: DataFrame, incoming: DataFrame, keys: Sequence[s
     return expired.unionByName(new_rows).select(*current.columns)
 
 
-__all__ = ["scd2_history", "scd2_apply", "scd2_append_latest", "current_rows",
-           "as_of_date", "as_of_join", "SEG", "HOT"]
-
-
 LAST_SEQ = "_last_seq"
 
 
@@ -271,3 +265,7 @@ def scd2_apply_fast(target: DataFrame, state: DataFrame, batch: DataFrame, log:
     new_state = (state.unionByName(ev.groupBy(*keys).agg(F.max(F.struct(*sequence)).alias(LAST_SEQ)))
                       .groupBy(*keys).agg(F.max(LAST_SEQ).alias(LAST_SEQ)))
     return history, new_state
+
+
+__all__ = ["scd2_history", "scd2_apply", "scd2_append_latest", "current_rows",
+           "as_of_date", "as_of_join", "scd2_key_state", "scd2_apply_fast"]

@@ -19,8 +19,8 @@ def spark():
 
 @pytest.fixture()
 def hot(spark):
-    """Force the hot-key path: every key above 2 rows is split into segments."""
+    """Lay rows out over many small partitions, so that every key spans several."""
     from lakeledger.operators.ordered import CONF_KEY
-    spark.conf.set(CONF_KEY, "2")
+    spark.conf.set(CONF_KEY, "23")
     yield
     spark.conf.unset(CONF_KEY)

@@ -5,11 +5,12 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from lakeledger.plans import registry
 from oracle_compare import assert_same
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = registry.queries()
+ORACLES = registry.oracle_sql()
 
 ORDERED = ["q_readmission_30d", "q_prev_event", "q_status_transitions", "q_scd2_history",
            "q_scd2_incremental", "q_scd2_as_of_join", "q_auto_cdc_scd2", "q_change_feed_since_version"]

@@ -153,11 +153,13 @@ def test_scd1_audit_soft_delete_reactivate_and_late_data(spark):
     assert r5[2]._is_deleted and r5[2].seq == 5 and r5[3].v == "c"
 
 
-def test_scd2_history_when_hot_tables_are_too_big_to_broadcast(spark, hot, monkeypatch):
-    from lakeledger.operators import ordered
-    monkeypatch.setattr(ordered, "MAX_BROADCAST_ROWS", 0)
-    log = random_log(21, keys=3, n=50)
-    assert spark_history(spark.createDataFrame(log, SCHEMA)) == model_history(log)
+@pytest.mark.parametrize("swap", [False, True])
+def test_as_of_on_equal_starts_takes_the_lasting_version(spark, swap):
+    h = [(1, "b", 5, 5), (1, "c", 5, None), (2, "x", 3, 7), (2, "y", 3, 3)]
+    hist = spark.createDataFrame(h[::-1] if swap else h, "k int, v string, scd_start_date int, scd_end_date int")
+    facts = spark.createDataFrame([(1, 5), (1, 7), (2, 3), (2, 7), (3, 1)], "k int, t int")
+    got = {(r.k, r.t): r.v for r in as_of_join(facts, hist, ["k"], "t", ["v"]).collect()}
+    assert got == {(1, 5): "c", (1, 7): "c", (2, 3): "x", (2, 7): None, (3, 1): None}
 
 
 @pytest.mark.parametrize("seed", [31, 32])
