@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import materialise
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BLANK = " \t\n\x0b\x0c\r"
 
@@ -49,8 +51,11 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3,
              .select("_id", "_t1", "_t2", "_pos", line_key(F.col("_line")).alias("_key"))
              .filter(F.char_length("_key") >= min_chars)
              .select("_id", "_t1", "_t2", "_pos", *_hash128(F.col("_key"))))
-    common = (lines.select("_h1", "_h2", "_id").distinct().groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"), F.max("_id").alias("_keep"))
-              .filter(F.col("_n") >= min_docs))
+    # written, so that the join below has a shuffle on both sides and AQE can split a frequent line
+    common = materialise(
+        lines.select("_h1", "_h2", "_id").distinct()
+        .groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"), F.max("_id").alias("_keep"))
+        .filter(F.col("_n") >= min_docs), "common")
     dropped = (lines.join(common, ["_h1", "_h2"])
                .filter(~F.col("_id").eqNullSafe(F.col("_keep")))
                .groupBy("_id", "_t1", "_t2").agg(F.collect_set("_pos").alias("_lost"))
