@@ -63,6 +63,8 @@ def apply_changes(changes: DataFrame, keys: Sequence[str], sequence_by: Sequence
 
     if stored_as_scd_type != 2:
         raise ValueError("stored_as_scd_type must be 1 or 2")
+    if target is not None:
+        raise ValueError("type 2 is built from the whole log; continue a stored history with scd2_apply")
     tracked = list(track_history_column_list) if track_history_column_list is not None else \
         [c for c in cols if c not in keys and c not in seq]
     payload = [c for c in cols if c not in keys]

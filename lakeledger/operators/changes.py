@@ -81,10 +81,13 @@ def incremental_since(df: DataFrame, ts_col: str, high_water_mark) -> DataFrame:
 
     ``high_water_mark`` is a literal (pushed to the Parquet scan) or a
     DataFrame whose single column holds processed timestamps; its maximum is
-    evaluated once as a scalar subquery (no join).
+    evaluated once as a scalar subquery (no join).  Without a mark yet (an
+    empty DataFrame, or None) every row is new.
     """
+    if high_water_mark is None:
+        return df
     if isinstance(high_water_mark, DataFrame):
         c = high_water_mark.columns[0]
         bound = high_water_mark.agg(F.max(c)).scalar()
-        return df.filter(F.col(ts_col) > F.coalesce(bound, F.lit(None).cast(df.schema[ts_col].dataType)))
+        return df.filter(bound.isNull() | (F.col(ts_col) > bound))
     return df.filter(F.col(ts_col) > F.lit(high_water_mark).cast(df.schema[ts_col].dataType))

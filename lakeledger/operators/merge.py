@@ -41,10 +41,17 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     """WHEN MATCHED UPDATE SET * / WHEN NOT MATCHED INSERT *.
 
     The source is first reduced to its latest row per key (``sequence``
-    must then be given); an undeduplicated source would insert duplicates.
+    must then be given); an undeduplicated source would insert duplicates.  If
+    the target stores the sequence, its row competes with the source's, so a
+    late, older row changes nothing.  Source rows with a NULL key are rejected
+    (they match nothing, and would pile up): quarantine them before.
     """
     keys = list(keys)
+    source = source.dropna(subset=keys)
     if sequence:
+        if set(sequence) <= set(target.columns):
+            stored = target.join(source.select(*keys), on=keys, how="left_semi")
+            source = source.select(*target.columns).unionByName(stored)
         source = latest_per_key(source, keys, sequence)
     kept = target.join(source.select(*keys), on=keys, how="left_anti")
     return kept.unionByName(source.select(*target.columns), allowMissingColumns=False)
@@ -82,7 +89,7 @@ def scd1_apply(target: DataFrame | None, source: DataFrame, keys: Sequence[str],
                tracked: Sequence[str], now, sequence: Sequence[str] | None = None,
                source_kind: str = "delta", is_delete: Column | None = None,
                sk_col: str | None = None, ts_type: str = "timestamp_ntz",
-               except_column_list: Sequence[str] = ()) -> DataFrame:
+               except_column_list: Sequence[str] = (), keep_tombstones: bool = False) -> DataFrame:
     """SCD type 1 with audit times, soft delete and reactivation.
 
     * new key -> insert, ``_created = _updated = now``;
@@ -90,27 +97,34 @@ def scd1_apply(target: DataFrame | None, source: DataFrame, keys: Sequence[str],
       ``_updated = now``, ``_is_deleted = false`` (reactivation also when the
       returning values are identical);
     * explicit delete (``is_delete``) of a live key -> ``_is_deleted = true``;
-      delete of an unknown key is a no-op;
+      delete of an unknown key is a no-op, or with ``keep_tombstones`` (and
+      ``sequence``) a deleted row that was never created, so that a late, older
+      upsert of that key still loses (:func:`without_tombstones` hides it);
     * ``source_kind="snapshot"``: a live key missing from the source is
       soft-deleted; ``"delta"`` (default): missing keys are untouched;
     * with ``sequence``: a source row older than the stored one is ignored,
       so late data cannot overwrite newer values; a soft-deleted row carries
-      the delete's sequence, so an older upsert cannot resurrect it;
+      the delete's sequence, so an older upsert cannot resurrect it, and an
+      unchanged row advances the stored sequence;
+    * source rows with a NULL key are rejected: quarantine them before;
     * ``except_column_list``: source columns (e.g. an operation code) that are
       read by ``is_delete`` but not stored.
     """
     keys, tracked = list(keys), list(tracked)
     now_c = as_timestamp(now, ts_type)
-    src = source.withColumn("_op_del", is_delete if is_delete is not None else F.lit(False))
+    deleted = is_delete if is_delete is not None else F.lit(False)
+    src = source.dropna(subset=keys).withColumn("_op_del", F.coalesce(deleted, F.lit(False)))
+    tombstones = keep_tombstones and bool(sequence)
     if sequence:
         src = latest_per_key(src, keys, sequence)
     payload = [c for c in source.columns if c not in keys and c not in set(except_column_list)]
     out_cols = ([sk_col] if sk_col else []) + keys + payload + AUDIT
 
     if target is None:
-        ins = src.filter(~F.col("_op_del"))
-        res = ins.select(*keys, *payload).withColumns(
-            {CREATED: now_c, UPDATED: now_c, DELETED: F.lit(False)})
+        ins = src if tombstones else src.filter(~F.col("_op_del"))
+        res = ins.select(*keys, *payload,
+                         F.when(~F.col("_op_del"), now_c).alias(CREATED), now_c.alias(UPDATED),
+                         F.col("_op_del").alias(DELETED))
         if sk_col:
             res = res.withColumn(sk_col, surrogate_key_expr(keys))
         return res.select(*out_cols)
@@ -132,9 +146,10 @@ def scd1_apply(target: DataFrame | None, source: DataFrame, keys: Sequence[str],
     late = F.lit(False)
     if sequence:
         late = F.struct(*[F.col(f"s.{c}") for c in sequence]) < F.struct(*[F.col(f"t.{c}") for c in sequence])
+        late = F.coalesce(in_t & in_s & late, F.lit(False))
     chg = changed_expr(tracked, "t", "s")
 
-    act = (F.when(~in_t & in_s & s_del, F.lit("drop"))
+    act = (F.when(~in_t & in_s & s_del, F.lit("tombstone" if tombstones else "drop"))
             .when(~in_t, F.lit("insert"))
             .when(~in_s, F.when(F.lit(source_kind == "snapshot") & ~t_del, F.lit("delete"))
                           .otherwise(F.lit("keep")))
@@ -145,17 +160,18 @@ def scd1_apply(target: DataFrame | None, source: DataFrame, keys: Sequence[str],
     j = j.withColumn("_act", act).filter(F.col("_act") != "drop")
     take_s = F.col("_act").isin("insert", "update")
     touched = F.col("_act") != "keep"
-    # An explicit delete stores its own sequence on the (soft-deleted) row, so a
-    # late upsert older than the delete cannot bring the key back.
-    seq_from_s = take_s | (in_t & in_s & s_del & ~late)
+    # Whatever is not late leaves its sequence on the row: a delete, so that an older
+    # upsert cannot bring the key back, and an unchanged row, so that an older one cannot win.
+    seq_from_s = take_s | (in_s & ~late)
     seqs = set(sequence or ())
     merged = j.select(
         *[F.col(k) for k in keys],
         *[F.when(seq_from_s if c in seqs else take_s, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
           for c in payload],
-        F.when(F.col("_act") == "insert", now_c).otherwise(F.col(f"t.{CREATED}")).alias(CREATED),
+        F.when((F.col("_act") == "insert") | ((F.col("_act") == "update") & F.col(f"t.{CREATED}").isNull()), now_c)
+         .otherwise(F.col(f"t.{CREATED}")).alias(CREATED),
         F.when(touched, now_c).otherwise(F.col(f"t.{UPDATED}")).alias(UPDATED),
-        F.when(F.col("_act") == "delete", F.lit(True))
+        F.when(F.col("_act").isin("delete", "tombstone"), F.lit(True))
          .when(take_s, F.lit(False)).otherwise(t_del).alias(DELETED))
     if sk_col:
         merged = merged.withColumn(sk_col, surrogate_key_expr(keys))
@@ -165,6 +181,11 @@ def scd1_apply(target: DataFrame | None, source: DataFrame, keys: Sequence[str],
     return untouched.select(*out_cols).unionByName(merged)
 
 
+def without_tombstones(target: DataFrame) -> DataFrame:
+    """An SCD1 table without the rows of keys that were deleted before they were ever seen."""
+    return target.filter(~(F.col(DELETED) & F.col(CREATED).isNull()))
+
+
 def soft_delete_missing(target: DataFrame, snapshot_keys: DataFrame, keys: Sequence[str],
                         now, ts_type: str = "timestamp_ntz") -> DataFrame:
     """WHEN NOT MATCHED BY SOURCE: flag live target rows absent from a full extract."""

@@ -47,7 +47,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # Fixed values of the stand-in scenario.
 SPLIT = "2024-01-15 00:00:00"       # old log | batch
 SPLIT_EARLY = "2024-01-01 06:00:00"  # for "new keys"
-EXTRACT_END = "2024-01-17 00:00:00"  # end of the full extract used as a snapshot source
 SECOND_BATCH = "2024-01-22 00:00:00"  # start of a second delta batch
 AS_OF = "2024-01-20 12:00:00"
 NOW1 = "2024-01-15 00:00:00"
@@ -292,7 +291,7 @@ def orders_schema():
     ])
 
 
-def _orders_as_text(spark, d):
+def _orders_as_text(spark, d, *more):
     o = table(spark, d, "orders")
     return o.select(
         F.col("o_orderkey").cast("string").alias("o_orderkey"),
@@ -300,7 +299,7 @@ def _orders_as_text(spark, d):
         F.when((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "2-HIGH"), F.lit("unknown"))
          .otherwise(F.col("o_totalprice").cast("string")).alias("o_totalprice"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"),
-        "o_orderstatus")
+        "o_orderstatus", *more)
 
 
 @register("q_enforce_schema", """
@@ -480,17 +479,24 @@ def _scd1_initial_sql(hi, now):
             + _latest_sql(_win(None, hi)) + ") WHERE event_type <> 'error'")
 
 
+def extract(spark, d):
+    """A full extract: the last event of each user over all events; users whose last one deletes them are gone."""
+    e = events(spark, d).select("user_id", "event_id", "ts", "event_type", "value")
+    return latest_per_key(e, ["user_id"], SEQ).filter(~is_del())
+
+
+EXTRACT_SQL = f"SELECT * FROM ({_latest_sql()}) WHERE event_type <> 'error'"
+
+
 def _scd1_merge_sql(t_sql, lo, hi, now, kind="delta", deletes=True):
-    """SCD1 merge of target CTE text with the latest batch row per key."""
+    """SCD1 merge of target CTE text with the latest batch row per key (all batches are newer)."""
+    source = EXTRACT_SQL if kind == "snapshot" else _latest_sql(_win(lo, hi))
     n = sql_ts(now)
     sdel = "s.event_type = 'error'" if deletes else "false"
     missing = "CASE WHEN NOT t._is_deleted THEN 'delete' ELSE 'keep' END" if kind == "snapshot" else "'keep'"
     return f"""
 SELECT user_id,
-  CASE WHEN act IN ('insert','update') OR (t_event_id IS NOT NULL AND coalesce(s_is_del, false))
-       THEN s_event_id ELSE t_event_id END AS event_id,
-  CASE WHEN act IN ('insert','update') OR (t_event_id IS NOT NULL AND coalesce(s_is_del, false))
-       THEN s_ts ELSE t_ts END AS ts,
+  coalesce(s_event_id, t_event_id) AS event_id, coalesce(s_ts, t_ts) AS ts,
   CASE WHEN act IN ('insert','update') THEN s_event_type ELSE t_event_type END AS event_type,
   CASE WHEN act IN ('insert','update') THEN s_value ELSE t_value END AS value,
   CASE WHEN act = 'insert' THEN {n} ELSE t_created END AS _created_datetime,
@@ -508,7 +514,7 @@ FROM (
          WHEN {sdel} THEN CASE WHEN t._is_deleted THEN 'keep' ELSE 'delete' END
          WHEN t.event_type IS DISTINCT FROM s.event_type OR t._is_deleted THEN 'update'
          ELSE 'keep' END AS act
-  FROM ({t_sql}) t FULL JOIN ({_latest_sql(_win(lo, hi))}) s ON t.user_id = s.user_id
+  FROM ({t_sql}) t FULL JOIN ({source}) s ON t.user_id = s.user_id
 ) WHERE act <> 'drop'"""
 
 
@@ -531,20 +537,20 @@ def q_scd1_insert_audit(spark, d):
     return q_scd1_delta(spark, d).filter(F.col("_created_datetime") == ts(NOW2))
 
 
-@register("q_scd1_snapshot", _with_sk(_scd1_merge_sql(S0_SQL, SPLIT, EXTRACT_END, NOW2, kind="snapshot", deletes=False)))
+@register("q_scd1_snapshot", _with_sk(_scd1_merge_sql(S0_SQL, None, None, NOW2, kind="snapshot", deletes=False)))
 def q_scd1_snapshot(spark, d):
-    return _scd1(spark, d, silver0(spark, d), SPLIT, EXTRACT_END, NOW2, kind="snapshot", deletes=False)
+    return scd1_apply(silver0(spark, d), extract(spark, d), ["user_id"], ["event_type"], NOW2, sequence=SEQ,
+                      source_kind="snapshot", sk_col="user_sk")
 
 
 @register("q_soft_delete_missing", _with_sk(f"""
 SELECT t.user_id, t.event_id, t.ts, t.event_type, t.value, t._created_datetime,
        CASE WHEN p.user_id IS NULL AND NOT t._is_deleted THEN {sql_ts(NOW2)} ELSE t._updated_datetime END AS _updated_datetime,
        CASE WHEN p.user_id IS NULL AND NOT t._is_deleted THEN true ELSE t._is_deleted END AS _is_deleted
-FROM ({S0_SQL}) t LEFT JOIN (SELECT DISTINCT user_id FROM events WHERE {_win(SPLIT, EXTRACT_END)}) p
+FROM ({S0_SQL}) t LEFT JOIN (SELECT user_id FROM ({EXTRACT_SQL})) p
 ON t.user_id = p.user_id"""))
 def q_soft_delete_missing(spark, d):
-    present = events(spark, d).filter((F.col("ts") >= ts(SPLIT)) & (F.col("ts") < ts(EXTRACT_END)))
-    return soft_delete_missing(silver0(spark, d), present, ["user_id"], NOW2)
+    return soft_delete_missing(silver0(spark, d), extract(spark, d), ["user_id"], NOW2)
 
 
 @register("q_scd1_reactivate", _with_sk(_scd1_merge_sql(
@@ -770,3 +776,84 @@ def q_incremental_high_water_mark(spark, d):
     e = events(spark, d)
     processed = e.filter(F.col("ts") < ts(SPLIT)).select("ts")
     return incremental_since(e, "ts", processed).select("event_id", "ts", "user_id", "event_type")
+
+
+# --------------------------------------------------------------------------
+# Ties, NULL keys, string sequences, arrival out of order
+# --------------------------------------------------------------------------
+
+DAY_SQL = "(SELECT * REPLACE (date_trunc('day', ts) AS ts) FROM events)"
+
+
+def by_day(spark, d):
+    """Events with their instant cut to the day: many rows of a key at one instant."""
+    return events(spark, d).withColumn("ts", F.date_trunc("day", "ts").cast("timestamp_ntz"))
+
+
+@register("q_prev_event_ties", f"""
+SELECT event_id, user_id, ts, event_type, lag(event_type) OVER w AS prev_event_type,
+       row_number() OVER w AS n FROM {DAY_SQL} WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
+def q_prev_event_ties(spark, d):
+    e = by_day(spark, d).select("event_id", "user_id", "ts", "event_type")
+    return keyed_scan(e, ["user_id"], SEQ, lag=["event_type"], row_number="n")
+
+
+NULL_KEY_SQL = "(SELECT * REPLACE (CASE WHEN event_type = 'click' THEN NULL ELSE user_id END AS user_id) FROM events)"
+
+
+@register("q_scd2_history_null_key", SCD2_SQL.replace("FROM events", f"FROM {NULL_KEY_SQL}"))
+def q_scd2_history_null_key(spark, d):
+    e = events(spark, d).withColumn("user_id", F.when(F.col("event_type") != "click", F.col("user_id")))
+    return scd2_history(e, ["user_id"], ["event_type"], SEQ)
+
+
+STRING_SEQ_SQL = "(SELECT * REPLACE (strftime(ts, '%Y-%m-%dT%H:%M:%S') AS ts) FROM events)"
+
+
+@register("q_scd2_history_string_seq", SCD2_SQL.replace("FROM events", f"FROM {STRING_SEQ_SQL}"))
+def q_scd2_history_string_seq(spark, d):
+    e = events(spark, d).withColumn("ts", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
+    return scd2_history(e, ["user_id"], ["event_type"], SEQ)
+
+
+@register("q_scd2_as_of_ties", f"""
+WITH h AS ({_scd2_sql(deletes=True).replace("FROM events", f"FROM {DAY_SQL}")}),
+f AS (SELECT event_id, user_id, date_trunc('day', ts) AS probe_ts FROM events)
+SELECT f.event_id, f.user_id, f.probe_ts, h.event_type AS version_event_type, h.scd_version AS version_scd_version
+FROM f LEFT JOIN h ON f.user_id = h.user_id AND h.scd_start_date <= f.probe_ts
+ AND (h.scd_end_date IS NULL OR f.probe_ts < h.scd_end_date)""")
+def q_scd2_as_of_ties(spark, d):
+    e = by_day(spark, d)
+    h = scd2_history(e, ["user_id"], ["event_type"], SEQ, is_delete=is_del())
+    return as_of_join(e.select("event_id", "user_id", F.col("ts").alias("probe_ts")), h, ["user_id"], "probe_ts",
+                      ["event_type", "scd_version"], fact_order=["event_id"], prefix="version_")
+
+
+@register("q_incremental_first_run", "SELECT event_id, ts, user_id, event_type FROM events")
+def q_incremental_first_run(spark, d):
+    e = events(spark, d)
+    processed = spark.createDataFrame([], e.select("ts").schema)  # nothing processed so far
+    return incremental_since(e, "ts", processed).select("event_id", "ts", "user_id", "event_type")
+
+
+@register("q_upsert_out_of_order", _latest_sql())
+def q_upsert_out_of_order(spark, d):
+    """The newer half is stored; the older half arrives late and changes no newer row."""
+    e = events(spark, d).select(*EV_COLS)
+    stored = latest_per_key(e.filter(F.col("ts") >= ts(SPLIT)), ["user_id"], SEQ)
+    return upsert(stored, e.filter(F.col("ts") < ts(SPLIT)), ["user_id"], sequence=SEQ)
+
+
+SCD1_STATE_SQL = f"SELECT user_id, event_id, ts, event_type, value FROM ({_latest_sql()}) WHERE event_type <> 'error'"
+
+
+@register("q_scd1_out_of_order", SCD1_STATE_SQL)
+def q_scd1_out_of_order(spark, d):
+    """Four batches by hash of the event, each over the whole time range: the live rows are the one-batch answer's."""
+    e = events(spark, d).select("user_id", "event_id", "ts", "event_type", "value")
+    state = None
+    for n in range(4):
+        batch = e.filter(F.pmod(F.xxhash64("event_id"), F.lit(4)) == n)
+        state = scd1_apply(state, batch, ["user_id"], ["event_type", "value"], NOW1, sequence=SEQ,
+                           is_delete=is_del(), keep_tombstones=True)
+    return state.filter(~F.col("_is_deleted")).select("user_id", "event_id", "ts", "event_type", "value")

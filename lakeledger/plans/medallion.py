@@ -6,9 +6,9 @@ entity would run them):
 1. **bronze**: landing directory -> file stream with a declared (string)
    schema and rescue column -> ingest metadata -> checkpointed Parquet append.
 2. **silver**: bronze directory as a stream -> ``foreachBatch``: type the
-   raw strings, quarantine rows with a null key or a failed cast (kept with
-   their reasons under ``quarantine/<entity>/_batch=<id>``), then merge the
-   valid rows into a new snapshot version (upsert / SCD1 / SCD2 / type-1 CDC).
+   raw strings, quarantine rows with a null key, a failed cast or rescued data
+   (kept with their reasons under ``quarantine/<entity>/_batch=<version>``), then
+   merge the valid rows into a new snapshot version (upsert / SCD1 / SCD2 / type-1 CDC).
 
 Each stream uses ``availableNow`` and is awaited before the next step.
 """
@@ -30,7 +30,8 @@ from ..operators.merge import scd1_apply, upsert
 from ..operators.scd2 import scd2_apply, scd2_history
 from ..sources.files import RESCUE_COL, read_file_stream, with_ingest_metadata
 from ..sources.schemas import bronze_out
-from ..streaming.silver import BUCKET, BucketedWriter, SnapshotWriter, bucketed_table, published
+from ..streaming.silver import (BUCKET, BucketedWriter, SnapshotWriter, bucketed_table, published,
+                                read_batches)
 from ..streaming.sinks import append_stream, foreach_batch_stream
 
 
@@ -55,12 +56,14 @@ def _silver_builder(e: Entity, base: str, now: Callable[[int], object]):
     quarantine = f"{base}/quarantine/{e.name}"
     log_base = f"{base}/silver_log/{e.name}"
 
-    def build(batch: DataFrame, prev: DataFrame | None, batch_id: int) -> DataFrame:
+    def build(batch: DataFrame, prev: DataFrame | None, version: int) -> DataFrame:
         typed = cast_failures(batch, e.clean) if e.clean else batch.withColumn("_cast_failures", F.array())
         rules = {f"{k}_not_null": F.col(k).isNotNull() for k in e.keys}
         rules["cast_ok"] = F.size("_cast_failures") == 0
+        if RESCUE_COL in batch.columns:
+            rules["nothing_rescued"] = F.col(RESCUE_COL).isNull()
         valid, rejects = quality.split_valid(typed, rules)
-        rejects.write.mode("overwrite").parquet(f"{quarantine}/_batch={batch_id}")
+        rejects.write.mode("overwrite").parquet(f"{quarantine}/_batch={version}")
         payload = e.columns or [c for c in e.schema.fieldNames()]
         carry = [BUCKET] if BUCKET in batch.columns else []
         src = valid.select(*dict.fromkeys([*e.keys, *payload, *e.sequence, *carry]),
@@ -70,15 +73,15 @@ def _silver_builder(e: Entity, base: str, now: Callable[[int], object]):
             return latest_per_key(src, e.keys, e.sequence) if prev is None else \
                 upsert(prev, src.select(*prev.columns), e.keys, sequence=e.sequence)
         if e.kind == "scd1":
-            return scd1_apply(prev, src, e.keys, e.tracked, now(batch_id), sequence=e.sequence,
-                              is_delete=e.is_delete)
+            return scd1_apply(prev, src, e.keys, e.tracked, now(version), sequence=e.sequence,
+                              is_delete=e.is_delete, keep_tombstones=True)
         if e.kind == "cdc1":
             return apply_changes(src, e.keys, e.sequence, apply_as_deletes=e.is_delete,
                                  target=prev, keep_tombstones=True)
         if e.kind == "scd2":
             w = src.write.mode("overwrite")
-            (w.partitionBy(BUCKET) if carry else w).parquet(f"{log_base}/_batch={batch_id}")
-            log = batch.sparkSession.read.option("basePath", log_base).parquet(log_base).drop("_batch")
+            (w.partitionBy(BUCKET) if carry else w).parquet(f"{log_base}/_batch={version}")
+            log = read_batches(batch.sparkSession, log_base, src.schema)
             cols = [c for c in payload if c not in e.keys]
             if carry:  # rebuild touched keys only; the bucket join prunes the log's folders
                 touched = src.select(*e.keys, BUCKET).distinct()
@@ -114,7 +117,9 @@ def run_silver(spark: SparkSession, e: Entity, base: str, now: Callable[[int], o
     stream = spark.readStream.schema(bschema).parquet(bronze_dir)
     out = f"{base}/silver/{e.name}"
     build = _silver_builder(e, base, now)
-    writer = BucketedWriter(out, e.keys, e.buckets, build) if e.buckets else SnapshotWriter(out, build)
+    log_base = f"{base}/silver_log/{e.name}"
+    writer = (BucketedWriter(out, e.keys, e.buckets, build, log_base=log_base) if e.buckets
+              else SnapshotWriter(out, build, log_base=log_base))
     foreach_batch_stream(stream, writer, f"{base}/_checkpoints/silver_{e.name}")
     return out
 

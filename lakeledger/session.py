@@ -57,10 +57,12 @@ def build_session(master: str | None = None, app: str = "lakeledger",
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder for checkpoints; set a local one only if unset."""
+    """The shared folder for checkpoints; a local one is set only for a local master."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
+    if not d and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="lakeledger-ckpt-")
         spark.sparkContext.setCheckpointDir(d)

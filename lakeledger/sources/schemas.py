@@ -82,20 +82,19 @@ def save_schema(spark: SparkSession, schema: T.StructType, schema_path: str) ->
 
 
 def load_schema(spark: SparkSession, schema_path: str) -> T.StructType | None:
-    try:
-        rows = spark.read.text(schema_path).limit(1).collect()
-    except Exception:  # absent path: nothing persisted yet
+    from .snapshots import path_exists
+    if not path_exists(spark, schema_path):  # any other failure must not re-infer the types
         return None
+    rows = spark.read.text(schema_path).limit(1).collect()
     return T.StructType.fromJson(json.loads(rows[0][0])) if rows else None
 
 
 def infer_or_load_schema(spark: SparkSession, path: str, schema_path: str, fmt: str = "csv",
-                         options: dict | None = None, sampling_ratio: float = 1.0) -> T.StructType:
-    """Infer once with a batch read, persist, and reuse on every later run.
+                         options: dict | None = None) -> T.StructType:
+    """Infer once with a batch read of all rows, persist, and reuse on every later run.
 
     Streams refuse to start without a schema; the persisted one keeps the
-    types stable across runs.  ``sampling_ratio`` bounds the inference pass
-    on large landing zones.
+    types stable across runs.
     """
     saved = load_schema(spark, schema_path)
     if saved is not None:
@@ -103,7 +102,7 @@ def infer_or_load_schema(spark: SparkSession, path: str, schema_path: str, fmt:
     from .files import CSV_OPTIONS
     opts = dict(CSV_OPTIONS) if fmt == "csv" else {}
     opts.update(options or {})
-    opts.update({"inferSchema": "true", "samplingRatio": str(sampling_ratio)})
+    opts["inferSchema"] = "true"
     schema = spark.read.format(fmt).options(**opts).load(path).schema
     save_schema(spark, schema, schema_path)
     return schema

@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+COMMIT_TIMESTAMP = "_commit_timestamp"
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -50,15 +53,38 @@ def list_versions(spark: SparkSession, base: str, prefix: str = "v=") -> list[in
     return sorted(out)
 
 
+def numbered(spark: SparkSession, base: str, prefix: str) -> list[int]:
+    """Numbers of the folders ``<prefix><n>`` under ``base``, committed or not."""
+    _, p, fs = _fs(spark, base)
+    if not fs.exists(p):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+    return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix))
+
+
+def drop_old_versions(spark: SparkSession, base: str, keep: int, prefix: str = "v=") -> None:
+    """Remove all but the ``keep`` newest committed versions under ``base``."""
+    jvm, _, fs = _fs(spark, base)
+    for v in list_versions(spark, base, prefix)[:-keep]:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{base}/{prefix}{v}"), True)
+
+
 def publish_snapshot(df: DataFrame, base: str, version: int, sort_by: list[str] | None = None,
-                     partition_by: list[str] | None = None) -> str:
-    """Write ``df`` as version ``version`` (overwrite = idempotent replay)."""
+                     partition_by: list[str] | None = None, keep: int | None = None) -> str:
+    """Write ``df`` as version ``version`` (overwrite = idempotent replay).
+
+    ``keep`` retains that many versions (2 at least, as ``df`` may read the one
+    before); older ones are removed once this one is committed.
+    """
     out = f"{base}/v={int(version)}"
     w = df.sortWithinPartitions(*sort_by) if sort_by else df
-    writer = w.write.mode("overwrite")
+    # static: the whole folder is this version, and its commit leaves the marker
+    writer = w.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(out)
+    if keep is not None:
+        drop_old_versions(df.sparkSession, base, max(2, keep))
     return out
 
 
@@ -80,9 +106,17 @@ def read_snapshot(spark: SparkSession, base: str, version: int | None = None,
 
 def append_changes(feed: DataFrame, log_base: str, version: int,
                    version_col: str = "_commit_version") -> str:
-    """Store a change feed as partition ``_commit_version=<version>`` of the log."""
+    """Store a change feed as partition ``_commit_version=<version>`` of the log.
+
+    A committed version never changes: storing it again (a replayed batch) does
+    nothing, so that consumers get it once.  Each row gets its commit time as
+    ``_commit_timestamp``.
+    """
     out = f"{log_base}/{version_col}={int(version)}"
-    feed.write.mode("overwrite").parquet(out)
+    if not path_exists(feed.sparkSession, f"{out}/_SUCCESS"):
+        if COMMIT_TIMESTAMP not in feed.columns:
+            feed = feed.withColumn(COMMIT_TIMESTAMP, F.current_timestamp())
+        feed.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(out)
     return out
 
 
@@ -91,11 +125,6 @@ def read_log(spark: SparkSession, log_base: str) -> DataFrame:
     return spark.read.option("basePath", log_base).parquet(log_base)
 
 
-def latest_version_filter(df: DataFrame, col: str = "v") -> DataFrame:
-    """Rows of the greatest ``v`` in a partition-discovered snapshot folder."""
-    return df.filter(F.col(col) == df.agg(F.max(col)).scalar())
-
-
 def create_table_if_absent(spark: SparkSession, path: str, schema) -> bool:
     """``CREATE TABLE IF NOT EXISTS ... USING PARQUET`` for a path-named table.
 
@@ -110,15 +139,19 @@ def create_table_if_absent(spark: SparkSession, path: str, schema) -> bool:
     return True
 
 
-def read_change_stream(spark: SparkSession, log_base: str, schema, from_version: int = 0,
+def read_change_stream(spark: SparkSession, log_base: str, schema, from_version: int | str = 0,
                        version_col: str = "_commit_version", max_files: int | None = None):
     """The change log as a stream, from ``from_version`` on (0 = whole history).
 
+    ``"latest"`` starts after the newest version there is now.
+
     The log is ``<log_base>/<version_col>=<n>/`` Parquet (see
     :func:`append_changes`); new versions are new folders, so the file stream
     source picks them up.  The version filter is a partition filter.
     """
     from pyspark.sql import types as T
+    if from_version == "latest":
+        from_version = max(numbered(spark, log_base, f"{version_col}="), default=-1) + 1
     fields = [f for f in schema.fields if f.name != version_col]
     full = T.StructType(fields + [T.StructField(version_col, T.LongType(), True)])
     r = spark.readStream.schema(full)

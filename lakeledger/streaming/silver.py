@@ -1,11 +1,13 @@
 """Silver maintenance inside ``foreachBatch``: each micro-batch publishes one
 new snapshot version computed from the previous version and the batch.
 
-The callback is idempotent: version = ``offset + batch_id``, the base it
-reads is the greatest committed version *below* that, and the write is an
-overwrite of its own folder — a batch replayed after a failure yields the
-same folder contents.  Non-time windows cannot run on streaming DataFrames,
-so per-key ordering happens here, on the batch.
+The callback is idempotent: the base it reads is the greatest committed version
+*below* its own, and the write is an overwrite of its own folder — a batch
+replayed after a failure yields the same folder contents.  Version, change log,
+staging and quarantine folders all carry the durable number of
+:func:`batch_version`, so a stream that goes on with a new checkpoint adds to
+what an earlier run left and never overwrites it.  Non-time windows cannot run on
+streaming DataFrames, so per-key ordering happens here, on the batch.
 """
 
 from __future__ import annotations
@@ -19,13 +21,46 @@ from pyspark.sql import functions as F
 from ..functions.clean import key_bucket
 from ..operators.cdc import TOMBSTONE, apply_changes
 from ..operators.dedup import latest_per_key
-from ..operators.merge import scd1_apply, upsert
+from ..operators.merge import CREATED, DELETED, scd1_apply, upsert, without_tombstones
 from ..operators.scd2 import scd2_apply, scd2_history
-from ..sources.snapshots import list_versions, publish_snapshot, read_snapshot
+from ..sources.snapshots import numbered, path_exists, publish_snapshot, read_snapshot
 
 Builder = Callable[[DataFrame, "DataFrame | None", int], DataFrame]
 
 
+def batch_version(spark: SparkSession, base: str, batch_id: int, offset: int | None,
+                  folders: Sequence[tuple[str, str]]) -> int:
+    """The durable number of a batch: where its run began, plus its id.
+
+    Batch ids restart at 0 with a new checkpoint.  A run is named by its
+    checkpoint's query id; its first number, kept under ``<base>/_runs``, is past
+    every number that ``folders`` (path, name prefix) hold when it starts.  A
+    call outside a stream has no run: it gets ``offset`` plus the id, and is
+    refused if newer numbers exist, as it would build on an old version.
+    """
+    newest = max((n for path, prefix in folders for n in numbered(spark, path, prefix)), default=-1)
+    run = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if run is None:
+        version = (offset or 0) + int(batch_id)
+        if newest > version:
+            raise RuntimeError(f"{base} already has version {newest} > {version}; "
+                               f"restarted checkpoint? pass offset={newest + 1}")
+        return version
+    place = f"{base}/_runs/{run}"
+    if path_exists(spark, f"{place}/_SUCCESS"):
+        first = spark.read.schema("first long").parquet(place).first()["first"]
+    else:
+        first = max(newest + 1, offset or 0)
+        spark.createDataFrame([(first,)], "first long").coalesce(1).write.mode("overwrite").parquet(place)
+    return first + int(batch_id)
+
+
+def read_batches(spark: SparkSession, log_base: str, schema) -> DataFrame:
+    """The change log ``<log_base>/_batch=<n>``; its schema is given, as batches may be empty."""
+    full = schema.add("_batch", "long") if "_batch" not in schema.fieldNames() else schema
+    return spark.read.schema(full).option("basePath", log_base).parquet(log_base).drop("_batch")
+
+
 class SnapshotWriter:
     """``foreachBatch`` callback: ``build(batch, previous, batch_id)`` -> next version.
 
@@ -35,16 +70,18 @@ class SnapshotWriter:
     stateful aggregations, whose plans cannot be cached.
     """
 
-    def __init__(self, base: str, build: Builder, offset: int = 0,
+    def __init__(self, base: str, build: Builder, offset: int | None = None,
                  prepare: Callable[[DataFrame], DataFrame] | None = None,
-                 materialize: str = "persist"):
+                 materialize: str = "persist", log_base: str | None = None, keep: int | None = None):
         self.base, self.build, self.offset, self.prepare = base, build, offset, prepare
-        self.materialize = materialize
+        self.materialize, self.keep = materialize, keep
+        self.folders = [(base, "v="), *([(log_base, "_batch=")] if log_base else [])]
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
+        version = batch_version(spark, self.base, batch_id, self.offset, self.folders)
         if self.materialize == "stage":
-            staged = f"{self.base}/_staging/batch={int(batch_id)}"
+            staged = f"{self.base}/_staging/batch={version}"
             batch_df.write.mode("overwrite").parquet(staged)
             batch = spark.read.parquet(staged)
         else:
@@ -52,16 +89,9 @@ class SnapshotWriter:
         try:
             if batch.isEmpty():  # nothing arrived: publish nothing
                 return
-            version = self.offset + int(batch_id)
-            newer = [v for v in list_versions(spark, self.base) if v > version]
-            if newer:
-                # batch ids restart at 0 with a new checkpoint: building on an
-                # old version would silently drop everything published since.
-                raise RuntimeError(f"{self.base} already has version {newer[-1]} > {version}; "
-                                   f"restarted checkpoint? pass offset={newer[-1] + 1}")
             prev = read_snapshot(spark, self.base, below=version)
             src = self.prepare(batch) if self.prepare else batch
-            publish_snapshot(self.build(src, prev, int(batch_id)), self.base, version)
+            publish_snapshot(self.build(src, prev, version), self.base, version, keep=self.keep)
         finally:
             if self.materialize != "stage":
                 batch.unpersist()
@@ -79,9 +109,9 @@ def scd1_writer(base: str, keys: Sequence[str], tracked: Sequence[str],
                 now: Callable[[int], object], sequence: Sequence[str] | None = None,
                 is_delete: Column | None = None, source_kind: str = "delta",
                 sk_col: str | None = None, **kw) -> SnapshotWriter:
-    def build(batch, prev, batch_id):
-        return scd1_apply(prev, batch, keys, tracked, now(batch_id), sequence=sequence,
-                          source_kind=source_kind, is_delete=is_delete, sk_col=sk_col)
+    def build(batch, prev, version):
+        return scd1_apply(prev, batch, keys, tracked, now(version), sequence=sequence,
+                          source_kind=source_kind, is_delete=is_delete, sk_col=sk_col, keep_tombstones=True)
     return SnapshotWriter(base, build, **kw)
 
 
@@ -100,24 +130,27 @@ def apply_changes_writer(base: str, keys: Sequence[str], sequence_by: Sequence[s
 def scd2_writer(base: str, log_base: str, keys: Sequence[str], tracked: Sequence[str],
                 sequence: Sequence[str], is_delete: Column | None = None,
                 columns: Sequence[str] | None = None, **kw) -> SnapshotWriter:
-    """Incremental SCD2: log the batch (``_batch=<id>``, overwrite), then
+    """Incremental SCD2: log the batch (``_batch=<version>``, overwrite), then
     rebuild only the keys of the batch from the whole log."""
-    def build(batch, prev, batch_id):
-        spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{log_base}/_batch={batch_id}")
-        log = spark.read.option("basePath", log_base).parquet(log_base).drop("_batch")
+    def build(batch, prev, version):
+        batch.write.mode("overwrite").parquet(f"{log_base}/_batch={version}")
+        log = read_batches(batch.sparkSession, log_base, batch.schema)
         if prev is None:
             return scd2_history(log, keys, tracked, sequence, is_delete=is_delete, columns=columns)
         return scd2_apply(prev, log, batch, keys, tracked, sequence, is_delete=is_delete, columns=columns)
-    return SnapshotWriter(base, build, **kw)
+    return SnapshotWriter(base, build, log_base=log_base, **kw)
 
 
 def published(spark: SparkSession, base: str, version: int | None = None) -> DataFrame | None:
     """The readable silver table: latest (or given) version without tombstones."""
     df = read_snapshot(spark, base, version=version)
-    if df is not None and TOMBSTONE in df.columns:
-        df = df.filter(~F.col(TOMBSTONE)).drop(TOMBSTONE)
-    return df
+    return None if df is None else _hidden(df)
+
+
+def _hidden(df: DataFrame) -> DataFrame:
+    if TOMBSTONE in df.columns:
+        return df.filter(~F.col(TOMBSTONE)).drop(TOMBSTONE)
+    return without_tombstones(df) if {CREATED, DELETED} <= set(df.columns) else df
 
 
 def stream_latest_per_key(df: DataFrame, keys: Sequence[str], sequence: Sequence[str]) -> DataFrame:
@@ -167,8 +200,11 @@ class BucketedWriter:
     batch is replayed; the stream does replay it, as the batch is uncommitted.
     """
 
-    def __init__(self, base: str, keys: Sequence[str], buckets: int, build: Builder):
+    def __init__(self, base: str, keys: Sequence[str], buckets: int, build: Builder,
+                 offset: int | None = None, log_base: str | None = None):
         self.base, self.keys, self.buckets, self.build = base, list(keys), int(buckets), build
+        self.offset = offset
+        self.folders = [(f"{base}/_staging", "batch="), *([(log_base, "_batch=")] if log_base else [])]
 
     @property
     def table(self) -> str:
@@ -177,6 +213,7 @@ class BucketedWriter:
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         from ..sources.snapshots import has_partitions
         spark = batch_df.sparkSession
+        version = batch_version(spark, self.base, batch_id, self.offset, self.folders)
         batch = batch_df.withColumn(BUCKET, key_bucket(self.keys, self.buckets)).persist(
             StorageLevel.MEMORY_AND_DISK)
         try:
@@ -186,10 +223,11 @@ class BucketedWriter:
             prev = None
             if has_partitions(spark, self.table, BUCKET):
                 prev = spark.read.parquet(self.table).join(touched, on=BUCKET, how="left_semi")
-            out = self.build(batch, prev, int(batch_id))
-            staged = f"{self.base}/_staging/batch={int(batch_id)}"
+            out = self.build(batch, prev, version)
+            staged = f"{self.base}/_staging/batch={version}"
             out.write.mode("overwrite").partitionBy(BUCKET).parquet(staged)
-            (spark.read.parquet(staged).write.mode("overwrite")
+            # the schema is given: nothing may be left of the batch
+            (spark.read.schema(out.schema).parquet(staged).write.mode("overwrite")
                   .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(self.table))
         finally:
             batch.unpersist()
@@ -200,18 +238,17 @@ def bucketed_scd2_writer(base: str, keys: Sequence[str], tracked: Sequence[str],
                          columns: Sequence[str] | None = None) -> BucketedWriter:
     """Incremental SCD2 with a bucket-partitioned log and silver table.
 
-    The batch is appended to ``<base>/log/_batch=<id>/_bucket=<b>``; the
+    The batch is appended to ``<base>/log/_batch=<version>/_bucket=<b>``; the
     rebuild reads only the touched buckets of the log (dynamic partition
     pruning through the ``left_semi`` join on ``_bucket``).
     """
     keys = list(keys)
     log_base = f"{base}/log"
 
-    def build(batch, prev, batch_id):
-        spark = batch.sparkSession
-        batch.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{log_base}/_batch={batch_id}")
+    def build(batch, prev, version):
+        batch.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{log_base}/_batch={version}")
         touched = batch.select(*keys, BUCKET).distinct()
-        log = (spark.read.option("basePath", log_base).parquet(log_base).drop("_batch")
+        log = (read_batches(batch.sparkSession, log_base, batch.schema)
                     .join(touched, on=[*keys, BUCKET], how="left_semi"))
         rebuilt = scd2_history(log, keys, tracked, sequence, is_delete=is_delete, columns=columns)
         rebuilt = rebuilt.withColumn(BUCKET, key_bucket(keys, buckets))
@@ -220,7 +257,7 @@ def bucketed_scd2_writer(base: str, keys: Sequence[str], tracked: Sequence[str],
         kept = prev.join(touched.select(*keys), on=keys, how="left_anti")
         return kept.unionByName(rebuilt.select(*prev.columns))
 
-    return BucketedWriter(base, keys, buckets, build)
+    return BucketedWriter(base, keys, buckets, build, log_base=log_base)
 
 
 def bucketed_scd1_writer(base: str, keys: Sequence[str], tracked: Sequence[str],
@@ -228,9 +265,9 @@ def bucketed_scd1_writer(base: str, keys: Sequence[str], tracked: Sequence[str],
                          is_delete: Column | None = None, sk_col: str | None = None,
                          except_column_list: Sequence[str] = ()) -> BucketedWriter:
     """SCD type 1 (delta source) rewriting only the touched buckets."""
-    def build(batch, prev, batch_id):
-        return scd1_apply(prev, batch, keys, tracked, now(batch_id), sequence=sequence,
-                          is_delete=is_delete, sk_col=sk_col, except_column_list=except_column_list)
+    def build(batch, prev, version):
+        return scd1_apply(prev, batch, keys, tracked, now(version), sequence=sequence, is_delete=is_delete,
+                          sk_col=sk_col, except_column_list=except_column_list, keep_tombstones=True)
     return BucketedWriter(base, keys, buckets, build)
 
 
@@ -248,36 +285,36 @@ def bucketed_apply_changes_writer(base: str, keys: Sequence[str], sequence_by: S
 def bucketed_table(spark: SparkSession, writer_or_base) -> DataFrame:
     """The readable table of a bucketed writer (tombstones hidden)."""
     base = writer_or_base.base if isinstance(writer_or_base, BucketedWriter) else writer_or_base
-    df = spark.read.parquet(f"{base}/table").drop(BUCKET)
-    if TOMBSTONE in df.columns:
-        df = df.filter(~F.col(TOMBSTONE)).drop(TOMBSTONE)
-    return df
+    return _hidden(spark.read.parquet(f"{base}/table").drop(BUCKET))
 
 
 class FastScd2Writer:
     """``foreachBatch`` SCD2 writer on :func:`scd2_apply_fast`.
 
-    Per batch id ``n``: append the batch to ``<base>/log/_batch=n`` (overwrite,
+    Per batch number ``n``: append the batch to ``<base>/log/_batch=n`` (overwrite,
     so replays are idempotent), read history and key state at the greatest
     version below ``n``, apply, then publish ``<base>/state/v=n`` and
     ``<base>/history/v=n``.  The log is read only for keys with late events.
     """
 
     def __init__(self, base: str, keys: Sequence[str], tracked: Sequence[str], sequence: Sequence[str],
-                 is_delete: Column | None = None, columns: Sequence[str] | None = None):
+                 is_delete: Column | None = None, columns: Sequence[str] | None = None,
+                 offset: int | None = None, keep: int | None = None):
         self.base, self.keys, self.tracked, self.sequence = base, list(keys), list(tracked), list(sequence)
-        self.is_delete, self.columns = is_delete, columns
+        self.is_delete, self.columns, self.offset, self.keep = is_delete, columns, offset, keep
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         from ..operators.scd2 import scd2_apply_fast, scd2_key_state
         spark = batch_df.sparkSession
-        bid = int(batch_id)
+        bid = batch_version(spark, self.base, batch_id, self.offset,
+                            [(f"{self.base}/log", "_batch="), (f"{self.base}/state", "v="),
+                             (f"{self.base}/history", "v=")])
         batch = batch_df.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if batch.isEmpty():
                 return
             batch.write.mode("overwrite").parquet(f"{self.base}/log/_batch={bid}")
-            log = spark.read.option("basePath", f"{self.base}/log").parquet(f"{self.base}/log").drop("_batch")
+            log = read_batches(spark, f"{self.base}/log", batch.schema)
             history = read_snapshot(spark, f"{self.base}/history", below=bid)
             state = read_snapshot(spark, f"{self.base}/state", below=bid)
             if history is None:
@@ -287,8 +324,8 @@ class FastScd2Writer:
             else:
                 new_h, new_s = scd2_apply_fast(history, state, batch, log, self.keys, self.tracked,
                                                self.sequence, is_delete=self.is_delete, columns=self.columns)
-            publish_snapshot(new_s, f"{self.base}/state", bid)
-            publish_snapshot(new_h, f"{self.base}/history", bid)
+            publish_snapshot(new_s, f"{self.base}/state", bid, keep=self.keep)
+            publish_snapshot(new_h, f"{self.base}/history", bid, keep=self.keep)
         finally:
             batch.unpersist()
 
