@@ -267,5 +267,41 @@ def scd2_apply_fast(target: DataFrame, state: DataFrame, batch: DataFrame, log:
     return history, new_state
 
 
+def scd2_apply_snapshot(target: DataFrame | None, extract: DataFrame, keys: Sequence[str],
+                        tracked: Sequence[str], at, columns: Sequence[str] | None = None,
+                        start_col: str = "scd_start_date", end_col: str = "scd_end_date",
+                        current_col: str = "is_current", version_col: str = "scd_version") -> DataFrame:
+    """SCD2 from full extracts: the next state of ``target`` after the extract taken ``at``.
+
+    ``extract`` has one row per key and all keys there are.  A new key gets a
+    version, a changed one ends its version and gets the next, an unchanged one
+    stays, and the current version of a key gone from the extract ends; a key that
+    comes back goes on counting.  ``target`` is None at first.  All joins are
+    between rows unique per key.
+    """
+    keys, tracked = list(keys), list(tracked)
+    payload = [c for c in (columns if columns is not None else tracked) if c not in keys]
+    when = at if isinstance(at, Column) else F.lit(at).cast("timestamp_ntz")
+    new = extract.select(*keys, *payload, when.alias(start_col), F.lit(None).cast("timestamp_ntz").alias(end_col),
+                         F.lit(True).alias(current_col))
+    out = [*keys, *payload, start_col, end_col, current_col, version_col]
+    if target is None:
+        return new.withColumn(version_col, F.lit(1).cast("bigint")).select(*out)
+    current = target.filter(F.col(current_col))
+    met = current.alias("t").join(new.alias("s"), on=keys, how="left")
+    gone = F.col(f"s.{current_col}").isNull()
+    ends = gone | changed_expr(tracked, "t", "s")
+    kept = met.select(*keys, *[F.col(f"t.{c}").alias(c) for c in [*payload, start_col]],
+                      F.when(ends, when.cast(target.schema[end_col].dataType)).otherwise(F.col(f"t.{end_col}"))
+                      .alias(end_col),
+                      (~ends).alias(current_col), F.col(f"t.{version_col}").alias(version_col))
+    counts = target.groupBy(*keys).agg(F.max(version_col).alias("_v"))
+    same = met.filter(~ends).select(*keys)
+    begun = (new.join(same, on=keys, how="left_anti").join(counts, on=keys, how="left")
+             .withColumn(version_col, F.coalesce(F.col("_v"), F.lit(0).cast("bigint")) + 1))
+    return (target.filter(~F.col(current_col)).select(*out).unionByName(kept.select(*out))
+            .unionByName(begun.select(*out)))
+
+
 __all__ = ["scd2_history", "scd2_apply", "scd2_append_latest", "current_rows",
-           "as_of_date", "as_of_join", "scd2_key_state", "scd2_apply_fast"]
+           "as_of_date", "as_of_join", "scd2_key_state", "scd2_apply_fast", "scd2_apply_snapshot"]

@@ -21,11 +21,11 @@ from ..operators import quality
 from ..operators.cdc import apply_changes
 from ..operators.changes import diff, incremental_since, postimages, read_changes, replay
 from ..operators.dedup import duplicate_keys, first_per_key, latest_per_key
-from ..operators.gold import cohort_rollup, outcome_rates, readmissions, status_transitions
+from ..operators.gold import cohort_rollup, entity_360, outcome_rates, readmissions, status_transitions
 from ..operators.merge import merge_changed_only, scd1_apply, soft_delete_missing, upsert, new_keys
 from ..operators.ordered import keyed_scan
 from ..operators.scd2 import (as_of_date, as_of_join, current_rows, scd2_append_latest, scd2_apply,
-                              scd2_apply_fast, scd2_history, scd2_key_state)
+                              scd2_apply_fast, scd2_apply_snapshot, scd2_history, scd2_key_state)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -171,8 +171,8 @@ def q_entity_360(spark, d):
     c = table(spark, d, "customer")
     geo = (table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
            .select("n_nationkey", "n_name", "r_name"))
-    return (c.join(geo, c.c_nationkey == geo.n_nationkey, "left")
-             .join(o, c.c_custkey == o.o_custkey, "left")
+    base = c.join(geo, c.c_nationkey == geo.n_nationkey, "left")
+    return (entity_360(base, "c_custkey", {"orders": o.withColumnRenamed("o_custkey", "c_custkey")})
              .select("c_custkey", "c_name", "c_mktsegment", "n_name", "r_name",
                      F.coalesce("n_orders", F.lit(0).cast("bigint")).alias("n_orders"),
                      "last_order_date", "last_order_status",
@@ -857,3 +857,22 @@ def q_scd1_out_of_order(spark, d):
         state = scd1_apply(state, batch, ["user_id"], ["event_type", "value"], NOW1, sequence=SEQ,
                            is_delete=is_del(), keep_tombstones=True)
     return state.filter(~F.col("_is_deleted")).select("user_id", "event_id", "ts", "event_type", "value")
+
+
+@register("q_scd2_snapshot_source", f"""
+WITH a AS (SELECT user_id, event_type FROM ({_latest_sql(f"ts < {sql_ts(SPLIT)}")}) WHERE event_type <> 'error'),
+b AS (SELECT user_id, event_type FROM ({EXTRACT_SQL})),
+j AS (SELECT coalesce(a.user_id, b.user_id) AS user_id, a.event_type AS old, b.event_type AS new,
+             a.user_id IS NOT NULL AS was, b.user_id IS NOT NULL AS now,
+             a.event_type IS NOT DISTINCT FROM b.event_type AS same FROM a FULL JOIN b ON a.user_id = b.user_id)
+SELECT user_id, old AS event_type, {sql_ts(NOW1)} AS scd_start_date,
+  CASE WHEN NOT now OR NOT same THEN {sql_ts(NOW2)} END AS scd_end_date, now AND same AS is_current,
+  CAST(1 AS BIGINT) AS scd_version FROM j WHERE was
+UNION ALL
+SELECT user_id, new, {sql_ts(NOW2)}, NULL, true, CAST(CASE WHEN was THEN 2 ELSE 1 END AS BIGINT)
+FROM j WHERE now AND NOT (was AND same)""")
+def q_scd2_snapshot_source(spark, d):
+    """Two full extracts; users gone from the second end their version."""
+    first = latest_per_key(events(spark, d).filter(F.col("ts") < ts(SPLIT)).select(*EV_COLS), ["user_id"], SEQ)
+    state = scd2_apply_snapshot(None, first.filter(~is_del()), ["user_id"], ["event_type"], NOW1)
+    return scd2_apply_snapshot(state, extract(spark, d), ["user_id"], ["event_type"], NOW2)

@@ -26,8 +26,8 @@ from ..functions.clean import cast_failures, text
 from ..operators import quality
 from ..operators.cdc import apply_changes
 from ..operators.dedup import latest_per_key
-from ..operators.merge import scd1_apply, upsert
-from ..operators.scd2 import scd2_apply, scd2_history
+from ..operators.merge import as_timestamp, scd1_apply, upsert
+from ..operators.scd2 import scd2_apply, scd2_apply_snapshot, scd2_history
 from ..sources.files import RESCUE_COL, read_file_stream, with_ingest_metadata
 from ..sources.schemas import bronze_out
 from ..streaming.silver import (BUCKET, BucketedWriter, SnapshotWriter, bucketed_table, published,
@@ -35,6 +35,9 @@ from ..streaming.silver import (BUCKET, BucketedWriter, SnapshotWriter, bucketed
 from ..streaming.sinks import append_stream, foreach_batch_stream
 
 
+HOPS = ["_bronze_load_datetime", "_silver_load_datetime"]  # when a row reached each layer
+
+
 @dataclass
 class Entity:
     name: str
@@ -50,6 +53,13 @@ class Entity:
     max_files: int | None = None
     columns: list[str] | None = None     # silver payload (default: all typed columns)
     buckets: int | None = None           # rewrite only touched key buckets (BucketedWriter)
+    sk_col: str | None = None            # surrogate key (scd1)
+    source_kind: str = "delta"           # "snapshot": a batch is a full extract (scd1, scd2)
+    layout: T.StructType | None = None   # declared silver layout: columns in its order
+
+    def __post_init__(self):
+        if self.source_kind == "snapshot" and (self.buckets or self.max_files or self.kind not in ("scd1", "scd2")):
+            raise ValueError("a full extract is one batch over all buckets, for scd1 or scd2")
 
 
 def _silver_builder(e: Entity, base: str, now: Callable[[int], object]):
@@ -67,22 +77,26 @@ def _silver_builder(e: Entity, base: str, now: Callable[[int], object]):
         payload = e.columns or [c for c in e.schema.fieldNames()]
         carry = [BUCKET] if BUCKET in batch.columns else []
         src = valid.select(*dict.fromkeys([*e.keys, *payload, *e.sequence, *carry]),
-                           F.col("_load_datetime").alias("_bronze_load_datetime"))
+                           F.col("_load_datetime").alias("_bronze_load_datetime"),
+                           as_timestamp(now(version)).alias("_silver_load_datetime"))
         if e.kind == "upsert":
-            src = src.drop("_bronze_load_datetime")
             return latest_per_key(src, e.keys, e.sequence) if prev is None else \
                 upsert(prev, src.select(*prev.columns), e.keys, sequence=e.sequence)
         if e.kind == "scd1":
             return scd1_apply(prev, src, e.keys, e.tracked, now(version), sequence=e.sequence,
-                              is_delete=e.is_delete, keep_tombstones=True)
+                              is_delete=e.is_delete, keep_tombstones=True, sk_col=e.sk_col,
+                              source_kind=e.source_kind)
         if e.kind == "cdc1":
             return apply_changes(src, e.keys, e.sequence, apply_as_deletes=e.is_delete,
                                  target=prev, keep_tombstones=True)
+        if e.kind == "scd2" and e.source_kind == "snapshot":
+            return scd2_apply_snapshot(prev, latest_per_key(src, e.keys, e.sequence), e.keys, e.tracked,
+                                       as_timestamp(now(version)), columns=[*payload, *HOPS])
         if e.kind == "scd2":
             w = src.write.mode("overwrite")
             (w.partitionBy(BUCKET) if carry else w).parquet(f"{log_base}/_batch={version}")
             log = read_batches(batch.sparkSession, log_base, src.schema)
-            cols = [c for c in payload if c not in e.keys]
+            cols = [*[c for c in payload if c not in e.keys], *HOPS]
             if carry:  # rebuild touched keys only; the bucket join prunes the log's folders
                 touched = src.select(*e.keys, BUCKET).distinct()
                 log = log.join(touched, on=[*e.keys, BUCKET], how="left_semi")
@@ -131,7 +145,8 @@ def run_medallion(spark: SparkSession, entities: Sequence[Entity], landing_root:
     for e in entities:
         run_bronze(spark, e, landing_root, base)
         silver_dir = run_silver(spark, e, base, now)
-        out[e.name] = bucketed_table(spark, silver_dir) if e.buckets else published(spark, silver_dir)
+        df = bucketed_table(spark, silver_dir) if e.buckets else published(spark, silver_dir)
+        out[e.name] = df.select(*e.layout.fieldNames()) if e.layout is not None and df is not None else df
     return out
 
 
@@ -183,6 +198,32 @@ def oncology_entities(max_files: int | None = 1, buckets: int | None = None) ->
     ]
 
 
+def production_entities(max_files: int | None = None, buckets: int | None = None) -> dict[str, Entity]:
+    """Patients as SCD1 (full extracts) and as SCD2, and encounters as SCD2, in their declared layouts."""
+    from ..functions.clean import to_bool_safe, to_date_safe, upper_text
+    from ..sources import schemas as L
+
+    arrival = ["_source_file_mtime", "_source_file"]
+    patient = L.all_strings(L.PATIENTS_BRONZE_IN)
+    clean = {"patient_id": text("patient_id"), "name": text("name"), "dob": to_date_safe("dob"), "ssn": text("ssn"),
+             "gender": upper_text("gender"), "cancer_patient": to_bool_safe("cancer_patient")}
+    tracked = ["name", "dob", "ssn", "gender", "cancer_patient"]
+    return {
+        "patients_scd1": Entity("patients_scd1", patient, ["patient_id"], arrival, clean=clean, tracked=tracked,
+                                kind="scd1", sk_col="patient_sk", source_kind="snapshot",
+                                layout=L.PATIENTS_SILVER_SCD1),
+        "patients_scd2": Entity("patients_scd2", patient, ["patient_id"], arrival, clean=clean, tracked=tracked,
+                                kind="scd2", source_kind="snapshot", layout=L.PATIENTS_SILVER_SCD2),
+        "encounter": Entity("encounter", L.all_strings(L.ENCOUNTER_BRONZE_IN), ["Patient_ID"],
+                            ["Last_Update", "Encounter_ID"],
+                            clean={"Encounter_ID": text("Encounter_ID"), "Patient_ID": text("Patient_ID"),
+                                   "Cancer_Disease_Status": text("Cancer_Disease_Status"),
+                                   "Last_Update": to_date_safe("Last_Update"), "On_Treatment": text("On_Treatment")},
+                            tracked=["Cancer_Disease_Status", "On_Treatment"], kind="scd2", max_files=max_files,
+                            buckets=buckets, layout=L.ENCOUNTER_SILVER_SCD2),
+    }
+
+
 def oncology_gold(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Gold reports over the five silver entities of :func:`oncology_entities`.
 

@@ -25,10 +25,10 @@ from ..streaming.silver import (FastScd2Writer, apply_changes_writer, bucketed_a
                                 bucketed_scd2_writer, bucketed_table, published,
                                 scd1_writer, scd2_writer, stream_dedup, stream_latest_per_key, upsert_writer)
 from ..streaming.sinks import append_stream, foreach_batch_stream
-from .catalog import (AUTO1_SQL, EV_COLS, is_del, NOW1, OLD_STATE_SQL, READMISSION_SQL, SCD1_STATE_SQL, SCD2_SQL, SEQ,
+from .catalog import (AUTO1_SQL, EV_COLS, is_del, NOW1, NOW2, OLD_STATE_SQL, READMISSION_SQL, SCD1_STATE_SQL, SCD2_SQL, SEQ,
                       _latest_sql, _orders_as_text, event_change_log, events, new_state, old_state,
                       orders_schema, register, table)
-from .medallion import Entity, run_medallion
+from .medallion import Entity, production_entities, run_medallion
 
 EVENTS_SQL = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
 
@@ -462,3 +462,84 @@ def q_stream_change_feed_latest(spark, d):
         append_stream(stream, f"{root}/out", f"{root}/_chk")
     out = spark.read.parquet(f"{root}/out")
     return out.filter(F.col("_commit_timestamp").isNotNull()).select(*EV_COLS)
+
+
+# --------------------------------------------------------------------------
+# Production entities in their declared layouts
+# --------------------------------------------------------------------------
+
+def _patients(spark, d, second=False):
+    """Customers as a full extract of patients; the second one lacks one segment and changed another."""
+    c = table(spark, d, "customer")
+    changed = F.col("c_mktsegment") == "BUILDING" if second else F.lit(False)
+    out = c.select(F.col("c_custkey").alias("patient_id"), F.col("c_name").alias("name"),
+                   F.date_add(F.lit("1950-01-01").cast("date"), (F.col("c_custkey") % 20000).cast("int")).alias("dob"),
+                   F.concat(F.lit("s-"), F.col("c_custkey").cast("string")).alias("ssn"),
+                   F.when(changed, "x").otherwise(F.lit("f")).alias("gender"),
+                   F.when(F.col("c_acctbal") > 0, "Yes").otherwise("No").alias("cancer_patient"), "c_mktsegment")
+    return (out.filter(F.col("c_mktsegment") != "MACHINERY") if second else out).drop("c_mktsegment")
+
+
+def _two_extracts(spark, d, entity):
+    root = scratch_path(spark, entity.name)
+    now = lambda version: (NOW1, NOW2)[min(version, 1)]
+    for n in range(2):
+        _stage_csv(_patients(spark, d, second=bool(n)), f"{root}/landing/{entity.name}/extract={n}", parts=3)
+        entity.options = {"recursiveFileLookup": "true"}
+        got = run_medallion(spark, [entity], f"{root}/landing", f"{root}/lake", now)[entity.name]
+    return _declared(got, entity)
+
+
+def _declared(df, entity):
+    """The silver table, which must have the declared columns; a load time of the day becomes a flag."""
+    if df.columns != entity.layout.fieldNames():
+        raise ValueError(f"{df.columns} are not the declared columns")
+    return df.withColumn("has_bronze_time", F.col("_bronze_load_datetime").isNotNull()).drop("_bronze_load_datetime")
+
+
+PATIENT_SQL = """CAST(c_custkey AS VARCHAR) AS patient_id, c_name AS name,
+ CAST(DATE '1950-01-01' + CAST(c_custkey % 20000 AS INTEGER) AS DATE) AS dob, 's-' || c_custkey AS ssn,
+ c_acctbal > 0 AS cancer_patient, true AS has_bronze_time"""
+
+
+@register("q_medallion_patients_scd1", f"""
+SELECT sha256(CAST(c_custkey AS VARCHAR)) AS patient_sk, {PATIENT_SQL},
+ CASE WHEN c_mktsegment = 'BUILDING' THEN 'X' ELSE 'F' END AS gender, TIMESTAMP '{NOW1}' AS _created_datetime,
+ CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN TIMESTAMP '{NOW2}' ELSE TIMESTAMP '{NOW1}' END AS _updated_datetime,
+ CASE WHEN c_mktsegment = 'BUILDING' THEN TIMESTAMP '{NOW2}' ELSE TIMESTAMP '{NOW1}' END AS _silver_load_datetime,
+ c_mktsegment = 'MACHINERY' AS _is_deleted FROM customer""")
+def q_medallion_patients_scd1(spark, d):
+    return _two_extracts(spark, d, production_entities()["patients_scd1"])
+
+
+@register("q_medallion_patients_scd2", f"""
+SELECT {PATIENT_SQL}, 'F' AS gender, TIMESTAMP '{NOW1}' AS scd_start_date,
+ CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN TIMESTAMP '{NOW2}' END AS scd_end_date,
+ c_mktsegment NOT IN ('BUILDING', 'MACHINERY') AS is_current, CAST(1 AS BIGINT) AS scd_version,
+ TIMESTAMP '{NOW1}' AS _silver_load_datetime FROM customer
+UNION ALL
+SELECT {PATIENT_SQL}, 'X', TIMESTAMP '{NOW2}', NULL, true, CAST(2 AS BIGINT), TIMESTAMP '{NOW2}'
+FROM customer WHERE c_mktsegment = 'BUILDING'""")
+def q_medallion_patients_scd2(spark, d):
+    return _two_extracts(spark, d, production_entities()["patients_scd2"])
+
+
+@register("q_medallion_encounter_scd2", f"""
+WITH l AS (SELECT CAST(o_orderkey AS VARCHAR) AS Encounter_ID, CAST(o_custkey AS VARCHAR) AS Patient_ID,
+  o_orderstatus AS Cancer_Disease_Status, CAST(o_orderdate AS DATE) AS Last_Update, o_orderpriority AS On_Treatment FROM orders),
+k AS (SELECT * FROM (SELECT *, row_number() OVER w AS rn, lag(Cancer_Disease_Status) OVER w AS pc, lag(On_Treatment) OVER w AS pt
+      FROM l WINDOW w AS (PARTITION BY Patient_ID ORDER BY Last_Update, Encounter_ID))
+      WHERE rn = 1 OR pc IS DISTINCT FROM Cancer_Disease_Status OR pt IS DISTINCT FROM On_Treatment)
+SELECT Encounter_ID, Patient_ID, Cancer_Disease_Status, Last_Update, On_Treatment, Last_Update AS scd_start_date,
+ lead(Last_Update) OVER v AS scd_end_date, lead(Last_Update) OVER v IS NULL AS is_current,
+ row_number() OVER v AS scd_version, TIMESTAMP '{NOW1}' AS _silver_load_datetime, true AS has_bronze_time
+FROM k WINDOW v AS (PARTITION BY Patient_ID ORDER BY Last_Update, Encounter_ID)""")
+def q_medallion_encounter_scd2(spark, d):
+    root, e = scratch_path(spark, "encounter"), production_entities(max_files=2, buckets=8)["encounter"]
+    o = table(spark, d, "orders")
+    _stage_csv(o.select(F.col("o_orderkey").alias("Encounter_ID"), F.col("o_custkey").alias("Patient_ID"),
+                        F.col("o_orderstatus").alias("Cancer_Disease_Status"),
+                        F.date_format("o_orderdate", "yyyy-MM-dd").alias("Last_Update"),
+                        F.col("o_orderpriority").alias("On_Treatment")), f"{root}/landing/encounter", parts=4)
+    got = run_medallion(spark, [e], f"{root}/landing", f"{root}/lake", lambda _: NOW1)["encounter"]
+    return _declared(got, e)
