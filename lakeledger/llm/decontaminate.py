@@ -6,9 +6,9 @@ in blocks with their greatest impact.  Every training document is read in
 passages of ``2 * UNIT`` words that overlap by half, so each unit that occurs
 whole is whole in some passage.  A passage is a query of its distinct terms; all
 units that score ``threshold`` and more are retrieved, by document-at-a-time
-traversal with a pivot and block maxima.  A passage whose term maxima sum to
-less than the threshold has no pivot at all; these sums are taken for a whole
-batch at once, and only the other passages are traversed.
+traversal with a pivot and block maxima.  Traversal is skipped where it could
+retrieve nothing: a passage's term maxima are summed by group of blocks, for a
+whole batch at once, and only passages with a sum of the threshold are traversed.
 
 An item that was retrieved is verified against the whole document: five-word
 shingles of its question and of its answer (the last sentence, or else the last
@@ -39,7 +39,8 @@ from pyspark.sql import functions as F
 
 from .common import slices, strings
 
-UNIT, BLOCK, SHARD_CHARS = 64, 32, 64 << 20
+UNIT, BLOCK, SHARD_CHARS = 64, 4, 8 << 20
+GROUPS = 64  # at most so many groups of blocks are bounded at once
 K1, B = 1.2, 0.75
 _PUNCTUATION = bytes(c for c in range(128) if not chr(c).isalnum())
 _TABLE = bytes(32 if c in _PUNCTUATION else c for c in range(256))
@@ -100,6 +101,11 @@ class Index:
         self.block_max = [np.maximum.reduceat(s, b) for s, b in zip(self.impact, self.starts)]
         self.block_last = [i[np.minimum(b + BLOCK, len(i)) - 1] for i, b in zip(self.ids, self.starts)]
         self.most = np.array([s.max() for s in self.impact])
+        # the greatest impact of each term in each group of neighbouring units
+        wide = max(BLOCK, -(-len(units) // GROUPS))
+        self.group_max = np.zeros((len(self.impact), -(-len(units) // wide)), np.float32)
+        for t, (i, s) in enumerate(zip(self.ids, self.impact)):
+            np.maximum.at(self.group_max[t], i // wide, s)
 
     def wand(self, terms: list[int], threshold: float) -> list[tuple[int, float]]:
         """All (unit, score) with a score of ``threshold`` and more."""
@@ -152,25 +158,35 @@ def _units(words: list[bytes]) -> list[list[bytes]]:
 def candidates(index: Index, texts: list[list[bytes]], threshold: float) -> list[dict[int, float]]:
     """Per text the items that some passage retrieves, with their best score."""
     out: list[dict[int, float]] = [{} for _ in texts]
+    terms = len(index.most)
+    if not terms:
+        return out
     get = index.term.get
     codes = np.fromiter((get(w, -1) for t in texts for w in t), np.int64)
-    place = np.concatenate([np.arange(len(t)) for t in texts]) // UNIT if texts else np.zeros(0, np.int64)
-    halves = np.array([-(-len(t) // UNIT) for t in texts], np.int64)  # half passages of each text
+    sizes = np.array([len(t) for t in texts], np.int64)
+    halves = -(-sizes // UNIT)  # half passages of each text
     first = np.concatenate(([0], np.cumsum(halves + 1)))  # one empty half between texts
-    half = place + np.repeat(first[:-1], [len(t) for t in texts])
+    start = np.concatenate(([0], np.cumsum(sizes)))[:-1]
+    half = (np.arange(len(codes)) - np.repeat(start, sizes)) // UNIT + np.repeat(first[:-1], sizes)
     kept = np.flatnonzero(codes >= 0)
-    codes, half = codes[kept], half[kept]
-    terms = max(len(index.most), 1)
-    # passage p is halves p and p + 1: each half's terms go to both of its passages
-    both = np.unique(np.concatenate((half, half - 1)) * terms + np.concatenate((codes, codes)))
-    both = both[both >= 0]
-    passage, code = both // terms, both % terms
-    bound = np.bincount(passage, index.most[code], first[-1] + 1) if len(both) else np.zeros(1)
-    starts = np.searchsorted(passage, np.arange(len(bound) + 1))
-    for p in np.flatnonzero(bound >= threshold - 1e-9).tolist():
-        text = int(np.searchsorted(first, p, side="right")) - 1
-        mine = out[text if p < first[text] + halves[text] else min(text + 1, len(out) - 1)]
-        for unit, score in index.wand(code[starts[p]:starts[p + 1]].tolist(), threshold - 1e-9):
+    half, codes = half[kept], codes[kept]
+    # passage p is halves p and p + 1: a half's terms go to both, each once
+    pairs = np.unique(np.concatenate((half, half - 1)) * terms + np.concatenate((codes, codes)))
+    pairs = pairs[pairs >= 0]
+    passage, code = pairs // terms, pairs % terms
+    ends = np.searchsorted(passage, np.arange(first[-1] + 1))
+    over = np.zeros(first[-1], bool)
+    for p in range(0, first[-1], 512):
+        a, z = ends[p], ends[min(p + 512, first[-1])]
+        if z > a:
+            own, at = np.unique(passage[a:z], return_index=True)
+            bound = np.add.reduceat(index.group_max[code[a:z]], at, axis=0).max(axis=1)
+            over[own[bound >= threshold - 1e-4]] = True
+    over[first[1:] - 1] = False  # the empty half and what follows it: a part of the next passage
+    text_of = np.repeat(np.arange(len(texts)), halves + 1)
+    for p in np.flatnonzero(over).tolist():
+        mine = out[text_of[p]]
+        for unit, score in index.wand(code[ends[p]:ends[p + 1]].tolist(), threshold - 1e-9):
             item = int(index.item_of[unit])
             mine[item] = max(score, mine.get(item, 0.0))
     return out
