@@ -29,10 +29,14 @@ HEADLINE = [
     "q_scd1_delta",
     "q_scd2_history",
     "q_scd2_incremental",
+    "q_scd2_incremental_fast",
     "q_scd2_as_of_join",
     "q_auto_cdc_scd2",
     "q_change_feed_diff",
     "q_stream_bronze_to_silver",
+    "q_stream_scd2_incremental",
+    "q_stream_scd2_fast",
+    "q_medallion_end_to_end",
 ]
 
 

@@ -40,11 +40,6 @@ def to_type_safe(c: str, type_name: str) -> Column:
     return text(c).try_cast(type_name) if type_name != "string" else text(c)
 
 
-def clean_and_cast(df: DataFrame, spec: dict[str, Column]) -> DataFrame:
-    """Apply ``{column: expression}``; columns not named pass through."""
-    return df.withColumns(spec)
-
-
 def cast_failures(raw: DataFrame, spec: dict[str, Column], name: str = "_cast_failures") -> DataFrame:
     """Add the typed columns plus an array naming columns whose cast failed."""
     staged = raw.withColumns({f"__typed_{c}": e for c, e in spec.items()})
@@ -57,11 +52,6 @@ def cast_failures(raw: DataFrame, spec: dict[str, Column], name: str = "_cast_fa
     return out.drop(*[f"__typed_{c}" for c in spec])
 
 
-def surrogate_key(df: DataFrame, keys: Sequence[str], name: str = "sk") -> DataFrame:
-    """SHA-256 hex of the business key (composite keys joined by U+0001)."""
-    return df.withColumn(name, surrogate_key_expr(keys))
-
-
 def surrogate_key_expr(keys: Sequence[str]) -> Column:
     keys = list(keys)
     if len(keys) == 1:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 from functools import reduce
-from operator import and_, or_
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -23,26 +23,3 @@ def changed_expr(tracked: Sequence[str], left: str | None = "t", right: str | No
     if not tracked:
         return F.lit(False)
     return reduce(or_, [~_ref(left, c).eqNullSafe(_ref(right, right_prefix + c)) for c in tracked])
-
-
-def same_expr(tracked: Sequence[str], left: str | None = "t", right: str | None = "s",
-              right_prefix: str = "") -> Column:
-    """Negation of :func:`changed_expr`."""
-    if not tracked:
-        return F.lit(True)
-    return reduce(and_, [_ref(left, c).eqNullSafe(_ref(right, right_prefix + c)) for c in tracked])
-
-
-def all_of(conds: Iterable[Column]) -> Column:
-    conds = list(conds)
-    return reduce(and_, conds) if conds else F.lit(True)
-
-
-def any_of(conds: Iterable[Column]) -> Column:
-    conds = list(conds)
-    return reduce(or_, conds) if conds else F.lit(False)
-
-
-def order_struct(cols: Sequence[str]) -> Column:
-    """A struct that compares lexicographically on ``cols`` (total order key)."""
-    return F.struct(*[F.col(c) for c in cols])

@@ -38,10 +38,6 @@ def split_valid(df: DataFrame, rules: dict[str, Column],
     return valid, rejects
 
 
-def not_null_rules(cols: Sequence[str]) -> dict[str, Column]:
-    return {f"{c}_not_null": F.col(c).isNotNull() for c in cols}
-
-
 def enforce_schema(df: DataFrame, schema: T.StructType,
                    col: str = REASONS) -> tuple[DataFrame, DataFrame]:
     """Project onto ``schema``: try-cast every field, check NOT NULL.

@@ -18,7 +18,7 @@ from ..operators import quality
 from ..operators.changes import read_changes
 from ..operators.gold import readmissions
 from ..session import scratch_path
-from ..sources.files import RESCUE_COL, file_name, read_file_stream, read_files, with_ingest_metadata
+from ..sources.files import MULTILINE, RESCUE_COL, file_name, read_file_stream, read_files, with_ingest_metadata
 from ..sources.schemas import describe_schema, infer_or_load_schema
 from ..sources.snapshots import append_changes, publish_snapshot, read_change_stream, read_log, read_snapshot
 from ..streaming.silver import (FastScd2Writer, apply_changes_writer, bucketed_apply_changes_writer,
@@ -100,7 +100,7 @@ def q_csv_dialect(spark, d):
       .write.option("header", True).option("quote", '"').option("escape", '"').csv(f"{root}/landing"))
     schema = T.StructType([T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()),
                            T.StructField("c_mktsegment", T.StringType()), T.StructField("note", T.StringType())])
-    got = read_files(spark, f"{root}/landing", schema)
+    got = read_files(spark, f"{root}/landing", schema, options=MULTILINE)
     return got.select("c_custkey", "c_name", "c_mktsegment", "note",
                       F.col(RESCUE_COL).isNull().alias("parsed"))
 

@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 RESCUE_COL = "_rescued_data"
 
 # Fixed dialect of the landing CSVs: header, comma, double quote, quotes
-# escaped by doubling, records may span lines, fields trimmed on both sides.
+# escaped by doubling, fields trimmed on both sides.  Records that span lines are
+# a choice of the entity (MULTILINE): such a file can't be split over tasks.
 # ``enforceSchema=false`` checks every file's header against the declared
 # schema, so a file with reordered or renamed columns fails loudly instead of
 # being bound by position.
@@ -24,13 +25,14 @@ CSV_OPTIONS = {
     "sep": ",",
     "quote": '"',
     "escape": '"',
-    "multiLine": "true",
     "ignoreLeadingWhiteSpace": "true",
     "ignoreTrailingWhiteSpace": "true",
     "mode": "PERMISSIVE",
     "enforceSchema": "false",
 }
 
+MULTILINE = {"multiLine": "true"}
+
 INGEST_COLUMNS = ["_source_file", "_source_file_mtime", "_load_datetime", "_batch_id"]
 
 
