@@ -688,8 +688,10 @@ def q_auto_cdc_scd1(spark, d):
                          except_column_list=["props"], stored_as_scd_type=1)
 
 
-@register("q_auto_cdc_scd2", _scd2_sql(deletes=True, payload="ts, event_type", start="__START_AT",
-                                       end="__END_AT", current=None))
+AUTO2_SQL = _scd2_sql(deletes=True, payload="ts, event_type", start="__START_AT", end="__END_AT", current=None)
+
+
+@register("q_auto_cdc_scd2", AUTO2_SQL)
 def q_auto_cdc_scd2(spark, d):
     return apply_changes(events(spark, d), ["user_id"], SEQ, apply_as_deletes=is_del(),
                          except_column_list=["props", "value", "event_id"], stored_as_scd_type=2,

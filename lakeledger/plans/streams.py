@@ -21,11 +21,12 @@ from ..session import scratch_path
 from ..sources.files import MULTILINE, RESCUE_COL, file_name, read_file_stream, read_files, with_ingest_metadata
 from ..sources.schemas import describe_schema, infer_or_load_schema
 from ..sources.snapshots import append_changes, publish_snapshot, read_change_stream, read_log, read_snapshot
-from ..streaming.silver import (FastScd2Writer, apply_changes_writer, bucketed_apply_changes_writer,
+from ..streaming.silver import (FastScd2Writer, apply_changes_scd2_writer, apply_changes_writer,
+                                bucketed_apply_changes_writer,
                                 bucketed_scd2_writer, bucketed_table, published,
                                 scd1_writer, scd2_writer, stream_dedup, stream_latest_per_key, upsert_writer)
 from ..streaming.sinks import append_stream, foreach_batch_stream
-from .catalog import (AUTO1_SQL, EV_COLS, is_del, NOW1, NOW2, OLD_STATE_SQL, READMISSION_SQL, SCD1_STATE_SQL, SCD2_SQL, SEQ,
+from .catalog import (AUTO1_SQL, AUTO2_SQL, EV_COLS, is_del, NOW1, NOW2, OLD_STATE_SQL, READMISSION_SQL, SCD1_STATE_SQL, SCD2_SQL, SEQ,
                       _latest_sql, _orders_as_text, event_change_log, events, new_state, old_state,
                       orders_schema, register, table)
 from .medallion import Entity, production_entities, run_medallion
@@ -543,3 +544,18 @@ def q_medallion_encounter_scd2(spark, d):
                         F.col("o_orderpriority").alias("On_Treatment")), f"{root}/landing/encounter", parts=4)
     got = run_medallion(spark, [e], f"{root}/landing", f"{root}/lake", lambda _: NOW1)["encounter"]
     return _declared(got, e)
+
+
+@register("q_stream_auto_cdc_scd2", AUTO2_SQL)
+def q_stream_auto_cdc_scd2(spark, d):
+    """Type 2 over a stored change feed; its four commits each span the whole time range."""
+    root = scratch_path(spark, "auto_cdc2_stream")
+    e = events(spark, d).select(*EV_COLS)
+    for version in range(4):
+        append_changes(e.filter(F.pmod(F.xxhash64("event_id"), F.lit(4)) == version), f"{root}/log", version)
+    schema = spark.read.parquet(f"{root}/log/_commit_version=0").schema
+    w = apply_changes_scd2_writer(f"{root}/silver", ["user_id"], SEQ, ["user_id", "ts", "event_type"], buckets=8,
+                                  apply_as_deletes=is_del(), track_history_column_list=["event_type"],
+                                  version_col="scd_version")
+    foreach_batch_stream(read_change_stream(spark, f"{root}/log", schema, max_files=4), w, f"{root}/_chk")
+    return bucketed_table(spark, w)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.clean import key_bucket
-from ..operators.cdc import TOMBSTONE, apply_changes
+from ..operators.cdc import END_AT, START_AT, TOMBSTONE, apply_changes
 from ..operators.dedup import latest_per_key
 from ..operators.merge import CREATED, DELETED, scd1_apply, upsert, without_tombstones
 from ..operators.scd2 import scd2_apply, scd2_history
@@ -235,7 +235,7 @@ class BucketedWriter:
 
 def bucketed_scd2_writer(base: str, keys: Sequence[str], tracked: Sequence[str],
                          sequence: Sequence[str], buckets: int, is_delete: Column | None = None,
-                         columns: Sequence[str] | None = None) -> BucketedWriter:
+                         columns: Sequence[str] | None = None, **names) -> BucketedWriter:
     """Incremental SCD2 with a bucket-partitioned log and silver table.
 
     The batch is appended to ``<base>/log/_batch=<version>/_bucket=<b>``; the
@@ -250,7 +250,7 @@ def bucketed_scd2_writer(base: str, keys: Sequence[str], tracked: Sequence[str],
         touched = batch.select(*keys, BUCKET).distinct()
         log = (read_batches(batch.sparkSession, log_base, batch.schema)
                     .join(touched, on=[*keys, BUCKET], how="left_semi"))
-        rebuilt = scd2_history(log, keys, tracked, sequence, is_delete=is_delete, columns=columns)
+        rebuilt = scd2_history(log, keys, tracked, sequence, is_delete=is_delete, columns=columns, **names)
         rebuilt = rebuilt.withColumn(BUCKET, key_bucket(keys, buckets))
         if prev is None:
             return rebuilt
@@ -260,6 +260,22 @@ def bucketed_scd2_writer(base: str, keys: Sequence[str], tracked: Sequence[str],
     return BucketedWriter(base, keys, buckets, build, log_base=log_base)
 
 
+def apply_changes_scd2_writer(base: str, keys: Sequence[str], sequence_by: Sequence[str], columns: Sequence[str],
+                              buckets: int, apply_as_deletes: Column | None = None,
+                              track_history_column_list: Sequence[str] | None = None,
+                              version_col: str | None = None) -> BucketedWriter:
+    """Type-2 :func:`~lakeledger.operators.cdc.apply_changes` of a change stream, touched buckets only.
+
+    ``columns`` are stored; those that are no key and no sequence are tracked
+    unless a list is given.
+    """
+    payload = [c for c in columns if c not in keys]
+    tracked = list(track_history_column_list) if track_history_column_list is not None else \
+        [c for c in payload if c not in sequence_by]
+    return bucketed_scd2_writer(base, keys, tracked, sequence_by, buckets, is_delete=apply_as_deletes, columns=payload,
+                                start_col=START_AT, end_col=END_AT, current_col=None, version_col=version_col)
+
+
 def bucketed_scd1_writer(base: str, keys: Sequence[str], tracked: Sequence[str],
                          now: Callable[[int], object], buckets: int, sequence: Sequence[str] | None = None,
                          is_delete: Column | None = None, sk_col: str | None = None,
