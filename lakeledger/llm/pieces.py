@@ -30,7 +30,7 @@ def tokenizer(path: str):
 class Memo:
     """piece -> its ids as little-endian integers of ``dtype``."""
 
-    def __init__(self, path: str, dtype: str = "<u4", entries: int = 400_000):
+    def __init__(self, path: str, dtype: str = "<u4", entries: int = 700_000):
         self.tok, self.dtype, self.entries = tokenizer(path), np.dtype(dtype), entries
         self.ids: dict[str, bytes] = {}
 
@@ -46,6 +46,12 @@ class Memo:
             self.ids[p] = np.array(e.ids, self.dtype).tobytes()
 
 
+@lru_cache(maxsize=2)
+def worker_memo(path: str, dtype: str) -> Memo:
+    """The memo of this Python worker, kept from task to task."""
+    return Memo(path, dtype)
+
+
 def blank_cut(text: str) -> list[str]:
     """Pieces whose ids, in order, are the text's: cuts are before a blank between non-blanks.
 
