@@ -9,10 +9,10 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 from functools import lru_cache
 
-import numpy as np
-
 _HARD = re.compile(r"[^\S ] [^\S ]")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
@@ -28,46 +28,68 @@ def tokenizer(path: str):
 
 
 class Memo:
-    """piece -> its ids as little-endian integers of ``dtype``."""
+    """The ids of pieces as little-endian integers of ``width`` bytes.
 
-    def __init__(self, path: str, dtype: str = "<u4", entries: int = 700_000):
-        self.tok, self.dtype, self.entries = tokenizer(path), np.dtype(dtype), entries
-        self.ids: dict[str, bytes] = {}
+    Holds ``entries`` pieces; the first ones seen hold the frequent ones.  Once
+    full it stays as it is until it has missed four times as many, as it does
+    when the texts change, and then starts anew.
+    """
 
-    def learn(self, pieces) -> None:
-        """Encode the pieces that the memo lacks, in one call of the library."""
-        new = [p for p in pieces if p not in self.ids]
-        if not new:
-            return
-        if len(self.ids) + len(new) > self.entries:
-            self.ids.clear()
-            new = list(pieces)
-        for p, e in zip(new, self.tok.encode_batch_fast(new, add_special_tokens=False)):
-            self.ids[p] = np.array(e.ids, self.dtype).tobytes()
+    def __init__(self, path: str, width: int = 4, entries: int = 1_000_000):
+        self.tok, self.code, self.entries = tokenizer(path), "H" if width == 2 else "I", entries
+        self.missed = 0
+        self.after_blank: dict[str, bytes] = {}  # word -> ids of a blank and the word
+        self.at_start: dict[str, bytes] = {}
+
+    def ids_of(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece, in one call of the library."""
+        code, swap = self.code, sys.byteorder == "big"
+        out = [array(code, e.ids) for e in self.tok.encode_batch_fast(pieces, add_special_tokens=False)]
+        if swap:
+            for a in out:
+                a.byteswap()
+        return [a.tobytes() for a in out]
+
+    def learn(self, memo: dict[str, bytes], lead: str, new: list[str]) -> dict[str, bytes]:
+        """Encode pieces that ``memo`` lacks and keep them where there is room."""
+        fresh = dict(zip(new, self.ids_of([lead + p for p in new]))) if new else {}
+        if len(memo) + len(new) <= self.entries:
+            memo.update(fresh)
+        else:
+            self.missed += len(new)
+            if self.missed > 4 * self.entries:
+                memo.clear()
+                self.missed = 0
+        return fresh
 
 
 @lru_cache(maxsize=2)
-def worker_memo(path: str, dtype: str) -> Memo:
+def worker_memo(path: str, width: int) -> Memo:
     """The memo of this Python worker, kept from task to task."""
-    return Memo(path, dtype)
+    return Memo(path, width)
 
 
 def blank_cut(text: str) -> list[str]:
-    """Pieces whose ids, in order, are the text's: cuts are before a blank between non-blanks.
+    """The text cut at blanks: the ids of the first part, and of each other one after a blank, are the text's.
 
     A run of white space stays whole where the byte-level pattern reads it as
     one: around double blanks, blanks among other white space, and at the end.
     """
     if text.endswith(" ") or "  " in text or _HARD.search(text):
-        parts = _CUT.split(text)
-    else:
-        parts = text.split(" ")
-    return [parts[0], *[" " + p for p in parts[1:]]]
+        return _CUT.split(text)
+    return text.split(" ")
 
 
 def encode_texts(memo: Memo, texts: list[str]) -> list[bytes]:
-    """The ids of each text, as bytes."""
+    """The ids of each text, as bytes; only parts that the memo lacks are encoded."""
     cut = [blank_cut(t) for t in texts]
-    memo.learn(set().union(*cut))
-    get = memo.ids.__getitem__
-    return [b"".join(map(get, c)) for c in cut]
+    firsts = [c[0] for c in cut]
+    start = {p: i for p in firsts if (i := memo.at_start.get(p)) is not None}
+    start |= memo.learn(memo.at_start, "", list(set(firsts) - start.keys()))
+    get = memo.after_blank.get
+    found = [list(map(get, c[1:])) for c in cut]
+    gaps = [i for i, f in enumerate(found) if None in f]
+    new = memo.learn(memo.after_blank, " ", list({p for i in gaps for p, f in zip(cut[i][1:], found[i]) if f is None}))
+    for i in gaps:
+        found[i] = [f if f is not None else new[p] for p, f in zip(cut[i][1:], found[i])]
+    return [start[first] + b"".join(f) for first, f in zip(firsts, found)]

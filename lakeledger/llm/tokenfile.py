@@ -108,7 +108,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int, vocab
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         shard, number = TaskContext.get().partitionId(), 0
-        memo, ids, parts, held = worker_memo(vocabulary, f"<u{width}"), [], [], 0
+        memo, ids, parts, held = worker_memo(vocabulary, width), [], [], 0
         for b in slices(batches, "text", 2 << 20):
             for i, p in zip(b.column("doc_id").to_pylist(), encode_texts(memo, strings(b, "text"))):
                 ids.append(i)
