@@ -52,14 +52,16 @@ class Entity:
     options: dict | None = None
     max_files: int | None = None
     columns: list[str] | None = None     # silver payload (default: all typed columns)
-    buckets: int | None = None           # rewrite only touched key buckets (BucketedWriter)
+    buckets: int | None = 16             # rewrite only touched key buckets; None: a whole version per batch
     sk_col: str | None = None            # surrogate key (scd1)
     source_kind: str = "delta"           # "snapshot": a batch is a full extract (scd1, scd2)
     layout: T.StructType | None = None   # declared silver layout: columns in its order
 
     def __post_init__(self):
-        if self.source_kind == "snapshot" and (self.buckets or self.max_files or self.kind not in ("scd1", "scd2")):
-            raise ValueError("a full extract is one batch over all buckets, for scd1 or scd2")
+        if self.source_kind == "snapshot":
+            if self.max_files or self.kind not in ("scd1", "scd2"):
+                raise ValueError("a full extract is one batch, for scd1 or scd2")
+            self.buckets = None  # keys may be gone from any bucket
 
 
 def _silver_builder(e: Entity, base: str, now: Callable[[int], object]):
@@ -150,7 +152,7 @@ def run_medallion(spark: SparkSession, entities: Sequence[Entity], landing_root:
     return out
 
 
-def oncology_entities(max_files: int | None = 1, buckets: int | None = None) -> list[Entity]:
+def oncology_entities(max_files: int | None = 1, buckets: int | None = 16) -> list[Entity]:
     """The five landing entities of the reference job, as :class:`Entity` specs.
 
     Bronze keeps text (type inference off); silver try-casts and quarantines
@@ -198,7 +200,7 @@ def oncology_entities(max_files: int | None = 1, buckets: int | None = None) ->
     ]
 
 
-def production_entities(max_files: int | None = None, buckets: int | None = None) -> dict[str, Entity]:
+def production_entities(max_files: int | None = None, buckets: int | None = 16) -> dict[str, Entity]:
     """Patients as SCD1 (full extracts) and as SCD2, and encounters as SCD2, in their declared layouts."""
     from ..functions.clean import to_bool_safe, to_date_safe, upper_text
     from ..sources import schemas as L

@@ -225,7 +225,8 @@ class BucketedWriter:
                 prev = spark.read.parquet(self.table).join(touched, on=BUCKET, how="left_semi")
             out = self.build(batch, prev, version)
             staged = f"{self.base}/_staging/batch={version}"
-            out.write.mode("overwrite").partitionBy(BUCKET).parquet(staged)
+            # rebalanced: one file a bucket where buckets are small, several where one is large
+            out.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(staged)
             # the schema is given: nothing may be left of the batch
             (spark.read.schema(out.schema).parquet(staged).write.mode("overwrite")
                   .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(self.table))
