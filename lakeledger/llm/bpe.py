@@ -3,7 +3,7 @@
 A rolling hash over the bytes of a text cuts it where the hash of the last 32
 bytes has a given form, so that equal passages give equal chunks wherever they
 stand.  A chunk is encoded once while a worker's memo holds it; documents are
-first dealt by range of the least hash of their lines, so that copies and near
+first dealt by range of (a hash of) the least hash of their lines, so that copies and near
 copies meet in one task (the second sort key splits a large group of copies
 over many tasks).  Within a chunk, distinct blank-separated pieces are encoded
 by the tokenizers library once.
@@ -27,6 +27,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+import sys
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -87,74 +89,109 @@ class ChunkEncoder:
             raise ValueError("chunk reuse needs a tokenizer whose pre-tokens hold no blank")
         self.entries, self.chunk_bytes = entries, chunk_bytes
         self.memo: dict[str, tuple[bytes, bytes]] = {"": (b"", b"")}
+        self.fresh: dict[str, tuple[bytes, bytes]] = {}  # pieces of this call that found no room in the memo
         self.known: dict[bytes, tuple] = {}
-        self.held = self.encoded = self.reused = 0
+        self.held = self.missed = self.encoded = self.reused = 0
 
     def learn(self, pieces: set[str]) -> None:
-        new = [p for p in pieces if p not in self.memo]
+        """Encode pieces in one call of the library; the memo keeps the first ones, which hold the frequent ones.
+
+        Once full it stays as it is until it has missed four times as many, as it
+        does when the texts change, and then starts anew.
+        """
+        new = [p for p in pieces if p not in self.memo and p not in self.fresh]
         if not new:
             return
-        if len(self.memo) + len(new) > self.entries:
-            self.memo = {"": (b"", b"")}
-            new = [p for p in pieces if p]
         name = self.tok.id_to_token
+        found = {}
         for p, e in zip(new, self.tok.encode_batch_fast(new, add_special_tokens=False)):
             ids = e.ids
-            self.memo[p] = (np.array(ids, "<u4").tobytes(), " ".join([name(i) for i in ids]).encode())
-
-    def encode_pieces(self, pieces: list[str]) -> tuple[bytes, list[bytes]]:
-        got = [self.memo[p] for p in pieces]
+            found[p] = (array("I", ids).tobytes() if sys.byteorder == "little" else
+                        np.array(ids, "<u4").tobytes(), " ".join(map(name, ids)).encode())
+        if len(self.memo) + len(new) <= self.entries:
+            self.memo.update(found)
+            return
+        self.fresh.update(found)
+        self.missed += len(new)
+        if self.missed > 4 * self.entries:
+            self.fresh |= self.memo  # what this call has looked up stays
+            self.memo, self.missed = {"": (b"", b"")}, 0
+
+    def encode_pieces(self, pieces: list[str], got: list | None = None) -> tuple[bytes, list[bytes]]:
+        """The ids of learned pieces and their decoded texts; ``got`` is what the memo had of them before."""
+        got = list(map(self.memo.get, pieces)) if got is None else got
+        if None in got:
+            got = [g or self.memo.get(p) or self.fresh[p] for p, g in zip(pieces, got)]
         return b"".join([g[0] for g in got]), [g[1] for g in got if g[0]]
 
-    def encode_chunk(self, chunk: bytes) -> tuple:
-        """(pieces, ids, decoded pieces) of a chunk on its own; each chunk is encoded once."""
-        got = self.known.get(chunk)
-        if got is not None:
-            self.reused += 1
-            return got
-        pieces = chunk.decode("utf-8", "surrogatepass").split(" ")
-        self.learn(set(pieces))
-        ids, words = self.encode_pieces(pieces)
-        got = (pieces[:8], pieces[-8:], len(pieces), ids, words)
-        self.encoded += 1
-        size = 3 * len(chunk) + 4 * len(ids) + 60 * len(words)
+    def encode_chunk(self, pieces: list[str], got: list) -> tuple:
+        """(first pieces, last pieces, ids, decoded pieces) of a chunk on its own."""
+        ids, words = self.encode_pieces(pieces, got)
+        return pieces[:8], pieces[-8:], ids, words
+
+    def keep(self, chunks_now: dict[bytes, tuple]) -> None:
+        """Remember chunks for later texts, up to the bound."""
+        size = sum(2 * len(c) + 2 * len(got[2]) + 16 * len(got[3]) for c, got in chunks_now.items())
         if self.held + size > self.chunk_bytes:
             self.known, self.held = {}, 0
-        self.known[chunk] = got
-        self.held += size
-        return got
+        if size <= self.chunk_bytes:
+            self.known.update(chunks_now)
+            self.held += size
 
-    def repair(self, left: tuple, right: tuple) -> tuple[bytes, bytes, list[bytes], int, int]:
-        """The window's ids: (ids lost at the left, at the right, decoded, words lost left, right)."""
+    def repair(self, left: tuple, right: tuple) -> tuple[int, int, bytes, list[bytes], int, int]:
+        """(bytes of ids lost at the left, at the right, the window's ids, decoded, words lost left, right)."""
         width = 1
         while True:
             tail, head = left[1][-width:], right[0][:width]
             window = tail[:-1] + [tail[-1] + head[0]] + head[1:]
-            self.learn(set(tail + head + window))
+            self.learn({*tail, *head, *window})
             a, wa = self.encode_pieces(tail)
             b, wb = self.encode_pieces(head)
-            if left[3].endswith(a) and right[3].startswith(b):
-                return a, b, self.encode_pieces(window), len(wa), len(wb)
+            if left[2].endswith(a) and right[2].startswith(b):
+                return len(a), len(b), *self.encode_pieces(window), len(wa), len(wb)
             if width >= 8:
                 raise ValueError("a join did not agree within its window")
             width *= 2
 
-    def encode(self, raw: bytes, cuts: np.ndarray) -> tuple[bytes, bytes]:
-        """(ids, decoded text) of a text in UTF-8."""
-        parts = [self.encode_chunk(c) for c in chunks(raw, cuts)]
+    def join(self, parts: list[tuple]) -> tuple[bytes, bytes]:
+        """(ids, decoded text) of a text from its chunks."""
         if len(parts) == 1:
-            return parts[0][3], b" ".join(parts[0][4])
+            return parts[0][2], b" ".join(parts[0][3])
         ids, words, skip, skip_words = [], [], 0, 0
         for left, right in zip(parts, parts[1:]):
-            a, b, (window, window_words), wa, wb = self.repair(left, right)
-            ids += [left[3][skip:len(left[3]) - len(a)], window]
-            words += left[4][skip_words:len(left[4]) - wa]
+            a, b, window, window_words, wa, wb = self.repair(left, right)
+            ids += [left[2][skip:len(left[2]) - a], window]
+            words += left[3][skip_words:len(left[3]) - wa]
             words += window_words
-            skip, skip_words = len(b), wb
-        ids.append(parts[-1][3][skip:])
-        words += parts[-1][4][skip_words:]
+            skip, skip_words = b, wb
+        ids.append(parts[-1][2][skip:])
+        words += parts[-1][3][skip_words:]
         return b"".join(ids), b" ".join(words)
 
+    def encode(self, texts: list[bytes], cuts: list[np.ndarray]) -> list[tuple[bytes, bytes]]:
+        """(ids, decoded text) of each text in UTF-8; chunks that are known, or come twice, are encoded once."""
+        self.fresh = {}
+        parts = [chunks(t, c) for t, c in zip(texts, cuts)]
+        distinct = {c for p in parts for c in p}
+        mine = {c: self.known[c] for c in distinct if c in self.known}
+        self.encoded += len(distinct) - len(mine)
+        self.reused += sum(map(len, parts)) - len(distinct) + len(mine)
+        split, get, lacking = {}, self.memo.get, set()
+        for c in distinct - mine.keys():
+            pieces = c.decode("utf-8", "surrogatepass").split(" ")
+            split[c] = pieces, (got := list(map(get, pieces)))
+            if None in got:
+                lacking.update(p for p, g in zip(pieces, got) if g is None)
+        for p in parts:
+            for left, right in zip(p, p[1:]):
+                lacking.add((left[left.rfind(b" ") + 1:] + right[:right.find(b" ")]).decode("utf-8", "surrogatepass"))
+        self.learn(lacking)
+        new = {c: self.encode_chunk(*s) for c, s in split.items()}
+        mine |= new
+        out = [self.join([mine[c] for c in p]) for p in parts]
+        self.keep(new)
+        return out
+
 
 @lru_cache(maxsize=2)
 def worker_encoder(path: str) -> ChunkEncoder:
@@ -171,11 +208,8 @@ def encode_documents(docs: DataFrame, vocabulary: str, summary: bool = True) ->
             ends = np.cumsum([len(t) for t in texts])
             cuts = boundaries(np.frombuffer(b"".join(texts), np.uint8))
             at = np.searchsorted(cuts, np.concatenate(([0], ends)))
-            out = []
-            for i, t in enumerate(texts):
-                start = int(ends[i]) - len(t)
-                own = cuts[at[i]:at[i + 1]] - start
-                out.append(encoder.encode(t, own[own >= WINDOW]))
+            own = [cuts[at[i]:at[i + 1]] - (int(ends[i]) - len(t)) for i, t in enumerate(texts)]
+            out = encoder.encode(texts, [c[c >= WINDOW] for c in own])
             if summary:
                 yield pa.record_batch([
                     b.column("doc_id"), pa.array([len(x) // 4 for x, _ in out], pa.int64()),
@@ -188,7 +222,8 @@ def encode_documents(docs: DataFrame, vocabulary: str, summary: bool = True) ->
                     pa.array([d.decode("utf-8", "replace") for _, d in out])], names=["doc_id", "ids", "decoded"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    near = F.array_min(F.transform(F.split("text", "\n"), lambda x: F.xxhash64(x)))
+    # hashed again: the least hash of many lines is small, and long texts would share a range
+    near = F.xxhash64(F.array_min(F.transform(F.split("text", "\n"), lambda x: F.xxhash64(x))))
     return (rows.repartitionByRange(near, F.xxhash64("text", "doc_id"))
             .mapInArrow(scan, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" if summary
                         else "doc_id long, ids array<int>, decoded string"))

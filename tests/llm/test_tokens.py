@@ -99,13 +99,29 @@ def test_shared_chunks_are_encoded_once():
     encoder, tok = bpe.ChunkEncoder(WORD), Tokenizer.from_file(WORD)
     for lead in ("", "some words before ", "x"):
         raw = (lead + passage).encode()
-        ids, decoded = encoder.encode(raw, bpe.boundaries(np.frombuffer(raw, np.uint8)))
+        (ids, decoded), = encoder.encode([raw], [bpe.boundaries(np.frombuffer(raw, np.uint8))])
         want = tok.encode(raw.decode(), add_special_tokens=False).ids
         assert np.frombuffer(ids, "<u4").tolist() == want
         assert decoded.decode() == tok.decode(want, skip_special_tokens=False)
     assert encoder.reused > 1.5 * encoder.encoded
 
 
+def test_a_full_memo_changes_nothing():
+    rng = random.Random(6)
+    texts = [" ".join("".join(rng.choice("abcdé.") for _ in range(rng.randrange(1, 7))) for _ in range(800))
+             for _ in range(12)]
+    tok = Tokenizer.from_file(WORD)
+    encoder = bpe.ChunkEncoder(WORD, entries=50, chunk_bytes=4000)
+    for t in texts:
+        raw = t.encode()
+        (ids, decoded), = encoder.encode([raw], [bpe.boundaries(np.frombuffer(raw, np.uint8))])
+        want = tok.encode(t, add_special_tokens=False).ids
+        assert np.frombuffer(ids, "<u4").tolist() == want and decoded.decode() == tok.decode(want)
+    memo, tok = pieces.Memo(BYTE, entries=50), pieces.tokenizer(BYTE)
+    for got, t in zip(sum((pieces.encode_texts(memo, texts[i:i + 3]) for i in range(0, 12, 3)), []), texts):
+        assert np.frombuffer(got, "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids
+
+
 def test_bpe_ids_and_text(edge):
     r = bpe.encode_documents(edge([(1, "Hello  World", "s")]), WORD, summary=False).first()
     tok = Tokenizer.from_file(WORD)
