@@ -1,6 +1,7 @@
 """Physical-plan properties that matter at scale (read from explain output)."""
 
 import io
+import re
 from contextlib import redirect_stdout
 
 from pyspark.sql import functions as F
