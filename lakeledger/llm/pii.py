@@ -1,21 +1,29 @@
 """Personal data: base forms, and contextual extraction bootstrapped from them.
 
 Base spans (``email``, ``ip``, ``card``, ``phone``) seed the method and always
-stay.  A seed's two words to the left are a lexical pattern.  Slots are tokens
-with four and more digits that no base span touches; with the seeds they make
-a bipartite graph of patterns and instances (distinct values).  Spark scores it
-in rounds: a pattern's score for a kind is the share of that kind among its
-distinct instances (smoothed by one), an instance's score is that of its best
-pattern; seeds keep 1.  A pattern with ``min_seeds`` distinct seeds and a score
-of ``accept`` or more marks the unseen tokens in its slots as spans of its kind.
-
-Edges (pattern, instance) are made distinct before they are counted, sums are
-combined before their shuffle, and joins on a frequent pattern are split by
-AQE, so a context that fills a third of the corpus is not one task's.  Each
-round is written to the shared folder.
+stay.  The two words to the left of a span and the two to its right are lexical
+patterns, one of each side.  Slots are spans that no base span touches, by
+shape: numbers (tokens of four and more digits, or short groups of digits next
+to one another) and handles (``@name``, words joined by dots or underscores,
+and e-mail addresses written with "at" and "dot").
+
+Patterns and values make a bipartite graph, which Spark joins in rounds.  A
+pattern takes a shape for a kind if it has ``min_seeds`` distinct known values
+of the kind, and these are the share ``accept`` of all its values, base ones and
+those of the shape (smoothed by one).  All slots of the shape in it are spans of
+the kind.  Distinctive values among them (seven and more digits, handles) are
+known from the next round on: they count in other patterns, and are spans
+wherever they stand.  Only values known before a pattern was taken speak for it.
+Rounds go on until no pattern is new.
+
+Edges (pattern, value) are made distinct before they are counted, sums are
+combined before their shuffle, and what a frequent pattern or value is joined
+with is written first, so that AQE can split it: a context that fills a third of
+the corpus is not one task's.
 
 Edge cases: a null text is the empty text; repeated rows are one instance each
-value; an empty table, or one without seeds, has base spans only.
+value; an empty table, or one without seeds, has base spans only.  A word of
+letters alone is not a slot.
 """
 
 from __future__ import annotations
@@ -41,6 +49,10 @@ IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 SLOT = re.compile(r"[0-9](?:\S*[0-9])?")
+PLAIN = re.compile(r"[0-9().-]+")
+HANDLE = re.compile(r"(?<![\w.@/-])(?:@[A-Za-z0-9_]++(?:\.[A-Za-z0-9_]++)*+|[A-Za-z][A-Za-z0-9]*+(?:[._][A-Za-z0-9]++)++)(?![\w@/(-])")
+AT = re.compile(r"\x20?[\[({<]\x20?at\x20?[\])}>]\x20?|\x20at\x20", re.I)
+SPELT = re.compile(r"[a-z0-9-]++(?:(?:\.|\x20?[\[({<]\x20?dot\x20?[\])}>]\x20?|\x20dot\x20)[a-z0-9-]++)++", re.I)
 LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 
@@ -85,39 +97,95 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
-def context(text: str, start: int, reach: int = 80) -> str:
-    """The two words to the left, within ``reach`` characters, in lower case."""
-    return " ".join(text[max(0, start - reach):start].lower().split()[-2:])
+def contexts(text: str, start: int, end: int, reach: int = 80) -> tuple[str, str]:
+    """The two words to the left and to the right, within ``reach`` characters, in lower case."""
+    left = text[max(0, start - reach):start].lower().split()[-2:]
+    right = text[end:end + reach].lower().split()[:2]
+    return " ".join(["<", *left]) if left else "", " ".join([">", *right]) if right else ""
 
 
-def slots(text: str, taken: list[tuple[str, int, int]], min_digits: int = 4) -> list[tuple[int, int]]:
-    """Tokens with digits that no base span touches, without punctuation around them."""
-    found, spans, k = [], sorted((s, e) for _, s, e in taken), 0
+def n_digits(text: str) -> int:
+    return sum(c in "0123456789" for c in text)
+
+
+def numbers(text: str, min_digits: int = 4, most: int = 19) -> list[tuple[int, int]]:
+    """Tokens with digits, without punctuation around them; short groups of digits side by side are one."""
+    found, grouped = [], False
     for m in SLOT.finditer(text):
-        if sum(c in "0123456789" for c in m[0]) < min_digits:
-            continue
         start, end = m.span()
         while start and text[start - 1].isalnum():
             start -= 1
         while end < len(text) and text[end].isalnum():
             end += 1
-        while k < len(spans) and spans[k][1] <= start:
-            k += 1
-        if k == len(spans) or spans[k][0] >= end:
+        short = bool(PLAIN.fullmatch(text, start, end)) and n_digits(text[start:end]) <= 7
+        if short and grouped and text[found[-1][1]:start] in (" ", ") ", " (") \
+                and n_digits(text[found[-1][0]:end]) <= most:
+            found[-1] = (found[-1][0], end)
+        else:
             found.append((start, end))
+        grouped = short
+    return [(s, e) for s, e in found if n_digits(text[s:e]) >= min_digits]
+
+
+def handles(text: str) -> list[tuple[int, int]]:
+    """Names with an @ or joined words, and e-mail addresses in words."""
+    found = []
+    for m in AT.finditer(text):
+        start = m.start()
+        while start and text[start - 1] in LOCAL_CHARS:
+            start -= 1
+        if start < m.start() and (d := SPELT.match(text, m.end())):
+            found.append((start, d.end()))
+    return found + [m.span() for m in HANDLE.finditer(text)]
+
+
+def slots(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """(shape, start, end) of the spans that no base span and no slot of an earlier shape touches."""
+    spans = sorted((s, e) for _, s, e in taken)
+    found = []
+    for shape, each in (("handle", handles(text)), ("number", numbers(text))):
+        free, k, last = [], 0, 0
+        for s, e in sorted(each):
+            while k < len(spans) and spans[k][1] <= s:
+                k += 1
+            if s >= last and (k == len(spans) or spans[k][0] >= e):
+                free.append((s, e))
+                last = e
+        found += [(shape, s, e) for s, e in free]
+        spans = sorted(spans + free)
     return found
 
 
+def identity(kind: str, text: str) -> str:
+    """What a value is compared by: digits alone for numbers, else lower case."""
+    if kind in ("card", "phone", "number") and not any(c.isalpha() for c in text):
+        return "".join(c for c in text if c in "0123456789")
+    return text.lower()
+
+
+def distinctive(shape: str, value: str) -> bool:
+    return shape == "handle" or n_digits(value) >= 7
+
+
+SHAPES = ("number", "handle")
 SCAN_SCHEMA = ("doc_id long, _row string, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, "
-               "found array<struct<kind:string,start:int,end:int,pattern:string,value:string>>")
-FOUND_TYPE = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()),
-                                 ("pattern", pa.string()), ("value", pa.string())]))
+               "found array<struct<kind:string,shape:string,start:int,end:int,left:string,right:string,"
+               "value:string,strong:boolean>>")
+FOUND_TYPE = pa.list_(pa.struct([("kind", pa.string()), ("shape", pa.string()), ("start", pa.int32()),
+                                 ("end", pa.int32()), ("left", pa.string()), ("right", pa.string()),
+                                 ("value", pa.string()), ("strong", pa.bool_())]))
 
 
 def _hash(s: str) -> str:
     return hashlib.blake2b(s.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
 
 
+def _found(text: str, kind: str, shape: str, start: int, end: int) -> dict:
+    (left, right), value = contexts(text, start, end), identity(kind or shape, text[start:end])
+    return {"kind": kind, "shape": shape, "start": start, "end": end, "left": left, "right": right,
+            "value": _hash(value), "strong": bool(kind) or distinctive(shape, value)}
+
+
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
     task, n = TaskContext.get().partitionId(), 0
@@ -128,8 +196,8 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kinds = Counter(s[0] for s in base)
             counts.append([kinds[k] for k in KINDS])
             shas.append(hashlib.sha256(",".join(f"{k}:{s}:{e}" for k, s, e in base).encode()).hexdigest())
-            found.append([{"kind": k, "start": s, "end": e, "pattern": context(text, s), "value": _hash(text[s:e])}
-                          for k, s, e in base + [("", s, e) for s, e in slots(text, base)]])
+            found.append([_found(text, k, "", s, e) for k, s, e in base]
+                         + [_found(text, "", shape, s, e) for shape, s, e in slots(text, base)])
             rows.append(f"{task}-{n}")
             n += 1
         yield pa.record_batch(
@@ -139,42 +207,58 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["doc_id", "_row", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "found"])
 
 
-def score_patterns(each: DataFrame, rounds: int = 3, min_seeds: int = 3) -> DataFrame:
-    """``pattern, label, score`` of each pattern with ``min_seeds`` distinct seeds of a kind.
+def _sides(each: DataFrame, *columns: str) -> DataFrame:
+    """A row for each pattern of a span."""
+    return each.select(F.explode(F.array("left", "right")).alias("pattern"), *columns).filter("pattern <> ''")
+
+
+def bootstrap(each: DataFrame, min_seeds: int = 3, accept: float = 0.7) -> tuple[DataFrame, DataFrame]:
+    """(``pattern, shape, label, score`` of the patterns taken, ``value, label, score`` of the values known).
 
-    ``each`` has ``kind`` (empty for a slot), ``pattern``, ``value``.
+    ``each`` has ``kind`` (empty for a slot), ``shape``, ``left``, ``right``, ``value``, ``strong``.
     """
-    each = each.filter("pattern <> ''")
-    seeds = each.filter("kind <> ''").select("pattern", F.col("kind").alias("label"), "value").distinct()
-    rich = materialise(seeds.groupBy("pattern", "label").agg(F.count(F.lit(1)).alias("seeds"))
-                       .filter(F.col("seeds") >= min_seeds), "patterns")
-    edges = materialise(each.select("pattern", "value").distinct()
-                        .join(rich.select("pattern").distinct(), "pattern", "left_semi"), "edges")
-    sizes = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
-    known = seeds.select("value", "label").distinct().withColumn("s", F.lit(1.0))
-    instances, scores = known, None
-    for _ in range(rounds):
-        scores = materialise(
-            rich.join(edges.join(instances, "value").groupBy("pattern", "label")
-                      .agg(F.sum("s").alias("held")), ["pattern", "label"], "left")
-            .join(sizes, "pattern")
-            .select("pattern", "label", (F.coalesce("held", F.lit(0.0)) / (F.col("n") + 1)).alias("score")),
-            "scores")
-        instances = materialise(
-            edges.join(scores, "pattern").select("value", "label", F.col("score").alias("s"))
-            .unionByName(known).groupBy("value", "label").agg(F.max("s").alias("s")), "instances")
-    return scores
-
-
-def extract(docs: DataFrame, rounds: int = 3, min_seeds: int = 3,
-            accept: float = 0.7) -> tuple[DataFrame, DataFrame]:
+    known = materialise(each.filter("kind <> ''").select("value", F.col("kind").alias("label"),
+                                                         F.lit(1.0).alias("score")).distinct(), "known")
+    sides = _sides(each, "kind", "shape", "value", "strong")
+    able = materialise(sides.filter("strong").select("pattern", "value").distinct().groupBy("pattern")
+                       .agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_seeds).select("pattern"), "able")
+    shapes = F.when(F.col("kind") == "", F.array("shape")).otherwise(F.array(*[F.lit(x) for x in SHAPES]))
+    edges = materialise(
+        sides.join(able, "pattern", "left_semi")
+        .select("pattern", F.explode(shapes).alias("shape"), "value", "strong", (F.col("kind") == "").alias("slot"))
+        .groupBy("pattern", "shape", "value").agg(F.max("strong").alias("strong"), F.max("slot").alias("slot")), "edges")
+    sizes = materialise(edges.groupBy("pattern", "shape").agg(F.count(F.lit(1)).alias("n")), "sizes")
+    before = 0
+    while True:
+        held = edges.join(known.select("value", "label").distinct(), "value") \
+            .groupBy("pattern", "shape", "label").agg(F.count(F.lit(1)).alias("held")) \
+            .filter(F.col("held") >= min_seeds)
+        best = held.join(sizes, ["pattern", "shape"]) \
+            .withColumn("score", F.col("held") / (F.col("n") + 1)).filter(F.col("score") >= accept) \
+            .groupBy("pattern", "shape").agg(F.max(F.struct("score", "label")).alias("b"))
+        taken = materialise(best.select("pattern", "shape", "b.label", "b.score"), "taken")
+        now = taken.count()
+        if now == before:  # shares only grow, so the same number is the same patterns
+            return taken, known
+        before = now
+        new = edges.filter("slot AND strong").join(taken, ["pattern", "shape"]).select("value", "label", "score")
+        known = materialise(known.unionByName(new).groupBy("value", "label")
+                            .agg(F.max("score").alias("score")), "known")
+
+
+def extract(docs: DataFrame, min_seeds: int = 3, accept: float = 0.7) -> tuple[DataFrame, DataFrame]:
     """(rows of documents with base counts, all their spans ``_row, kind, start, end``)."""
     rows = materialise(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
                        .mapInArrow(_scan, SCAN_SCHEMA), "pii")
     each = rows.select("_row", F.explode("found").alias("f")).select("_row", "f.*")
-    best = score_patterns(each, rounds, min_seeds).filter(F.col("score") >= accept) \
-        .groupBy("pattern").agg(F.max(F.struct("score", "label")).alias("b"))
-    new = each.filter("kind = ''").join(best, "pattern") \
+    taken, known = bootstrap(each, min_seeds, accept)
+    free = each.filter("kind = ''")
+    values = materialise(known.groupBy("value").agg(F.max(F.struct("score", "label")).alias("b"))
+                         .select("value", "b.label", "b.score"), "values")
+    marks = ["_row", "start", "end", "label", "score"]
+    new = _sides(free, "shape", "_row", "start", "end").join(taken, ["pattern", "shape"]).select(*marks) \
+        .unionByName(free.filter("strong").join(values, "value").select(*marks)) \
+        .groupBy("_row", "start", "end").agg(F.max(F.struct("score", "label")).alias("b")) \
         .select("_row", F.col("b.label").alias("kind"), "start", "end")
     return rows.drop("found"), each.filter("kind <> ''").select("_row", "kind", "start", "end").unionByName(new)
 

@@ -154,3 +154,25 @@ def test_a_pattern_of_mixed_use_discovers_nothing(edge):
     rows += [(100 + i, f"see also {20000 + i} pages", "a") for i in range(30)]
     got = pii.personal_spans(edge(rows)).filter(F.col("doc_id") >= 100)
     assert {r.spans for r in got.collect()} == {""}
+
+
+def test_discovered_values_are_seeds_and_marked_everywhere(edge):
+    rows = [(i, f"please phone me: +1 555 010 {1000 + i} thanks", "a") for i in range(30)]
+    rows += [(100 + i, f"please phone me: 555 123 {4560 + i} today", "a") for i in range(8)]
+    rows += [(200 + i, f"reach my desk on 555-123-{4560 + i} if needed", "a") for i in range(8)]  # a pattern of found ones
+    rows += [(300, "reach my desk on 777 888 9999 tomorrow", "a"), (301, "I wrote down 555.123.4561 somewhere", "a"),
+             (302, "I wrote down 555.999.4561 somewhere", "a"), (303, "please phone me: 4567", "a")]
+    rows += [(400 + i, f"please write to u{i}@mail.example.org soon", "a") for i in range(9)]
+    rows += [(500, "please write to jane (at) mail dot org soon", "a"), (501, "please write to @jane_doe soon", "a")]
+    got = {r.doc_id: r.spans for r in pii.personal_spans(edge(rows)).collect()}
+    assert got[100] == "phone:17:29" and got[200] == "phone:17:29" and got[300] == "phone:17:29"
+    assert got[301] == "phone:13:25" and got[302] == "" and got[303] == "phone:17:21"
+    assert got[500] == "email:16:38" and got[501] == "email:16:25"
+
+
+def test_slots_are_shapes():
+    text = "call (555) 123-4567 or 4111 1111 1111 1112, 12 eggs, in 2024, x_y z.w @me bob [at] a [dot] b 1 2"
+    assert [(k, text[s:e]) for k, s, e in pii.slots(text, [])] == [
+        ("handle", "x_y"), ("handle", "z.w"), ("handle", "@me"), ("handle", "bob [at] a [dot] b"),
+        ("number", "555) 123-4567"), ("number", "4111 1111 1111 1112"), ("number", "2024")]
+    assert pii.slots("9 " * 50000 + "a.b" * 50000 + " at" * 50000, [])
