@@ -176,3 +176,11 @@ def test_slots_are_shapes():
         ("handle", "x_y"), ("handle", "z.w"), ("handle", "@me"), ("handle", "bob [at] a [dot] b"),
         ("number", "555) 123-4567"), ("number", "4111 1111 1111 1112"), ("number", "2024")]
     assert pii.slots("9 " * 50000 + "a.b" * 50000 + " at" * 50000, [])
+
+
+@pytest.mark.parametrize("share", [35, 60])
+def test_a_pattern_with_a_third_or_half_of_seeds_discovers_nothing(edge, share):
+    rows = [(i, f"number was +1 555 010 {1000 + i} then", "a") for i in range(share)]
+    rows += [(1000 + i, f"number was {2000000 + i} so", "a") for i in range(100 - share)]
+    got = pii.personal_spans(edge(rows)).filter(F.col("doc_id") >= 1000)
+    assert {r.spans for r in got.collect()} == {""}
