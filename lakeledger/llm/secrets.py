@@ -4,15 +4,19 @@ Each whole text is scanned for three kinds of secrets (``assign``, ``access``,
 ``hex``, the base spans, which always stay) and for opaque tokens: words of 20
 and more characters of a key's alphabet with letters and digits.  Every
 candidate value is hashed, and the hashes are aggregated over the corpus into
-the numbers of distinct repositories and owners that hold the value.  A value
-of more than ``max_owners`` owners is a widely copied example; a value of few
-owners that looks random is a live-looking credential.  Opaque tokens with such
-a value are added as spans of kind ``opaque``; spans inside a base span are not
-added again.
-
-Only (hash, repository, owner) rows are shuffled; they are made distinct
-before they are counted, with partial aggregation, so that a key pasted into a
-third of all rows is a few rows per map task.
+the numbers of distinct repositories and owners that hold the value.  Copies of
+a document (texts equal but for white space) are one repository and one owner,
+the least of the group: a mirror is no second holder.  A document that is
+nothing but such values counts by itself, as nothing else tells a copy of it
+from a second use.  A value of more than ``max_owners`` owners or ``max_repos``
+repositories is a widely copied example; a value of few of both that looks
+random is a live-looking credential.  Opaque tokens
+with such a value are added as spans of kind ``opaque``; spans inside a base
+span are not added again.
+
+Only (hash, text, repository, owner) rows are shuffled; they are made distinct
+before they are counted, with partial aggregation.  A key pasted into a third of
+all rows is a few rows per map task.
 
 Edge cases: a null text is the empty text; a null owner or repository counts as
 one more of its kind; repeated rows are scanned each, and count once as owners;
@@ -78,36 +82,51 @@ def digest_of(spans) -> str:
 
 
 CANDIDATE = "array<struct<kind:string,start:int,end:int,hash:string,live:boolean>>"
-SCAN_SCHEMA = (f"doc_id long, repo string, owner string, _row string, n_assign long, n_access long, "
+SCAN_SCHEMA = (f"doc_id long, repo string, owner string, _text string, _row string, n_assign long, n_access long, "
                f"n_hex long, base_sha256 string, found {CANDIDATE}")
 FOUND_TYPE = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()),
                                  ("hash", pa.string()), ("live", pa.bool_())]))
 
 
+def _hash(s: str) -> str:
+    return hashlib.blake2b(s.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+
+
+def _copies(text: str, found: list[dict]) -> str | None:
+    """What copies of a document share; nothing if it has no word beside the values found."""
+    end = 0
+    for s in sorted(found, key=lambda f: f["start"]) + [{"start": len(text), "end": len(text)}]:
+        if any(c.isalnum() for c in text[end:s["start"]]):
+            return _hash(" ".join(text.split())) if found else None
+        end = max(end, s["end"])
+    return None
+
+
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
     task, n = TaskContext.get().partitionId(), 0
     for b in slices(batches, "text"):
-        counts, shas, found, rows = [], [], [], []
+        counts, shas, found, rows, whole = [], [], [], [], []
         for text in strings(b, "text"):
             base = base_spans(text)
             kinds = Counter(s[0] for s in base)
             counts.append([kinds[k] for k in KINDS[:3]])
             shas.append(digest_of(base))
             found.append([{"kind": k, "start": s, "end": e, "live": k == "opaque" or looks_random(v),
-                           "hash": hashlib.blake2b(v.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()}
+                           "hash": _hash(v)}
                           for k, s, e, v in base + opaque_spans(text, base)])
             rows.append(f"{task}-{n}")
+            whole.append(_copies(text, found[-1]) or rows[-1])
             n += 1
         yield pa.record_batch(
-            [b.column("doc_id"), b.column("repo"), b.column("owner"), pa.array(rows),
+            [b.column("doc_id"), b.column("repo"), b.column("owner"), pa.array(whole), pa.array(rows),
              *[pa.array([c[i] for c in counts], pa.int64()) for i in range(3)],
              pa.array(shas), pa.array(found, FOUND_TYPE)],
-            names=["doc_id", "repo", "owner", "_row", "n_assign", "n_access", "n_hex", "base_sha256", "found"])
+            names=["doc_id", "repo", "owner", "_text", "_row", "n_assign", "n_access", "n_hex", "base_sha256", "found"])
 
 
 def scan_secrets(docs: DataFrame, repo_col: str = "doc_id", owner_col: str = "source",
-                 max_owners: int = 1) -> tuple[DataFrame, DataFrame]:
+                 max_owners: int = 1, max_repos: int = 20) -> tuple[DataFrame, DataFrame]:
     """(rows of documents with base counts, all their spans with verdicts).
 
     The spans have ``_row, kind, start, end, hash, n_repos, n_owners, verdict``;
@@ -116,16 +135,22 @@ def scan_secrets(docs: DataFrame, repo_col: str = "doc_id", owner_col: str = "so
     rows = materialise(docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col(repo_col).cast("string").alias("repo"),
         F.col(owner_col).cast("string").alias("owner"), "text").mapInArrow(_scan, SCAN_SCHEMA), "secrets")
-    each = rows.select("_row", F.coalesce("repo", F.lit("\0")).alias("repo"),
+    each = rows.select("_row", "_text", F.coalesce("repo", F.lit("\0")).alias("repo"),
                        F.coalesce("owner", F.lit("\0")).alias("owner"),
-                       F.explode("found").alias("f")).select("_row", "repo", "owner", "f.*")
-    held = each.select("hash", "repo", "owner").distinct()
-    counts = held.groupBy("hash").agg(F.count_distinct("repo").alias("n_repos"),
-                                      F.count_distinct("owner").alias("n_owners"))
-    spans = each.drop("repo", "owner").join(counts, "hash").withColumn(
-        "verdict", F.when(F.col("n_owners") > max_owners, "copied").when(F.col("live"), "live")
-        .otherwise("plain"))
-    return rows.drop("found"), spans.filter((F.col("kind") != "opaque") | (F.col("verdict") == "live"))
+                       F.explode("found").alias("f")).select("_row", "_text", "repo", "owner", "f.*")
+    # one holder for each group of equal texts
+    held = each.groupBy("hash", "_text").agg(F.min(F.struct("repo", "owner")).alias("h")).select("hash", "h.*")
+    counts = _counts(held)
+    spans = each.drop("_text", "repo", "owner").join(counts, "hash").withColumn(
+        "verdict", F.when((F.col("n_owners") > max_owners) | (F.col("n_repos") > max_repos), "copied")
+        .when(F.col("live"), "live").otherwise("plain"))
+    return rows.drop("found", "_text"), spans.filter((F.col("kind") != "opaque") | (F.col("verdict") == "live"))
+
+
+def _counts(held: DataFrame) -> DataFrame:
+    """Distinct repositories and owners of each hash."""
+    return held.groupBy("hash").agg(F.count_distinct("repo").alias("n_repos"),
+                                    F.count_distinct("owner").alias("n_owners"))
 
 
 def secret_spans(docs: DataFrame) -> DataFrame:

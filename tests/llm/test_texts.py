@@ -184,3 +184,14 @@ def test_a_pattern_with_a_third_or_half_of_seeds_discovers_nothing(edge, share):
     rows += [(1000 + i, f"number was {2000000 + i} so", "a") for i in range(100 - share)]
     got = pii.personal_spans(edge(rows)).filter(F.col("doc_id") >= 1000)
     assert {r.spans for r in got.collect()} == {""}
+
+
+def test_ownership_counts_documents_and_copies_of_a_document_once(edge):
+    mirrored, pasted, few = "q7Zp2Lw9Xc4Vb8Nm3Kd6", "m4Rt8Yk2Wq6Zx1Cv5Bn9", "h5Jt7Rw3Ys9Dk2Fg8Lp4"
+    docs = edge([(1, f"see {mirrored} here", "a"), (2, f"see  {mirrored} here\n", "b"), (3, f"see {mirrored} here", "c")]
+                + [(100 + i, f"note {i} on {pasted}", "a") for i in range(30)]
+                + [(200 + i, f"page {i} on {few}", "a") for i in range(3)])
+    got = {r.doc_id: (r.spans, r.n_live, r.n_copied) for r in secrets.secret_spans(docs).collect()}
+    assert got[1] == got[3] == ("opaque:4:24", 1, 0) and got[2] == ("opaque:5:25", 1, 0)
+    assert {got[100 + i] for i in range(30)} == {("", 0, 0)}
+    assert {got[200 + i] for i in range(3)} == {("opaque:10:30", 1, 0)}
