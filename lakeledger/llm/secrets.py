@@ -15,8 +15,9 @@ with such a value are added as spans of kind ``opaque``; spans inside a base
 span are not added again.
 
 Only (hash, text, repository, owner) rows are shuffled; they are made distinct
-before they are counted, with partial aggregation.  A key pasted into a third of
-all rows is a few rows per map task.
+before they are counted, with partial aggregation.  The counts are written
+before they are joined, so that AQE can split a value that fills a third of all
+rows.
 
 Edge cases: a null text is the empty text; a null owner or repository counts as
 one more of its kind; repeated rows are scanned each, and count once as owners;
@@ -140,7 +141,7 @@ def scan_secrets(docs: DataFrame, repo_col: str = "doc_id", owner_col: str = "so
                        F.explode("found").alias("f")).select("_row", "_text", "repo", "owner", "f.*")
     # one holder for each group of equal texts
     held = each.groupBy("hash", "_text").agg(F.min(F.struct("repo", "owner")).alias("h")).select("hash", "h.*")
-    counts = _counts(held)
+    counts = materialise(_counts(held), "counts")
     spans = each.drop("_text", "repo", "owner").join(counts, "hash").withColumn(
         "verdict", F.when((F.col("n_owners") > max_owners) | (F.col("n_repos") > max_repos), "copied")
         .when(F.col("live"), "live").otherwise("plain"))

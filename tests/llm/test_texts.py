@@ -195,3 +195,8 @@ def test_ownership_counts_documents_and_copies_of_a_document_once(edge):
     assert got[1] == got[3] == ("opaque:4:24", 1, 0) and got[2] == ("opaque:5:25", 1, 0)
     assert {got[100 + i] for i in range(30)} == {("", 0, 0)}
     assert {got[200 + i] for i in range(3)} == {("opaque:10:30", 1, 0)}
+
+
+def test_counts_are_written_before_they_are_joined(documents):
+    plan = secrets.scan_secrets(documents)[1]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan and "Aggregate" not in plan
