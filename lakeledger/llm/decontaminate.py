@@ -10,6 +10,13 @@ traversal with a pivot and block maxima.  Traversal is skipped where it could
 retrieve nothing: a passage's term maxima are summed by group of blocks, for a
 whole batch at once, and only passages with a sum of the threshold are traversed.
 
+A document may hold the question and the answer in places far apart, so that no
+passage reaches the threshold.  Such items are retrieved by keys: if the share
+``overlap`` of a part's shingles is contained, then so is one of any choice of
+more than the rest of them; each part is indexed by such a choice, those that
+the fewest items share, and an item is retrieved if a key of each part occurs.
+No item that verifies is missed.  Its score is that of its best passage.
+
 An item that was retrieved is verified against the whole document: five-word
 shingles of its question and of its answer (the last sentence, or else the last
 third of the words) must both be contained to ``overlap`` (0.8) or more; fewer
@@ -29,6 +36,7 @@ an empty table on either side gives no rows.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
 
@@ -75,7 +83,7 @@ def contained(part: list[bytes], joined: bytes, n: int = 5) -> float:
 class Index:
     """Inverted index of item units with block maxima."""
 
-    def __init__(self, items: list[tuple[int | None, str]]):
+    def __init__(self, items: list[tuple[int | None, str]], overlap: float = 0.8):
         self.items = [(i, question_answer(t)) for i, t in items]
         units = [(n, part) for n, (_, t) in enumerate(items)
                  for w in [words_of(t)] for part in _units(w)]
@@ -106,6 +114,37 @@ class Index:
         self.group_max = np.zeros((len(self.impact), -(-len(units) // wide)), np.float32)
         for t, (i, s) in enumerate(zip(self.ids, self.impact)):
             np.maximum.at(self.group_max[t], i // wide, s)
+        self._keys(overlap)
+
+    def _keys(self, overlap: float) -> None:
+        """For each shingle length: sorted hashes of keys, and the (item, part) of each."""
+        sets = [[shingles(part) for part in parts] for _, parts in self.items]
+        shared = Counter(chain.from_iterable(chain.from_iterable(sets)))
+        keys: dict[int, list[tuple[int, int, int]]] = {}
+        self.parts = np.array([sum(bool(own) for own in parts) for parts in sets], np.int64)
+        for item, parts in enumerate(sets):
+            for part, own in enumerate(parts):
+                least = next((c for c in range(1, len(own) + 1) if c / len(own) >= overlap), len(own))
+                for key in sorted(own, key=lambda x: (shared[x], x))[:len(own) - least + 1]:
+                    codes = np.array([self.term[w] for w in key.split(b" ")], np.int64)
+                    keys.setdefault(len(codes), []).append((int(_rolled(codes, len(codes))[0]), item, part))
+        self.keys = {}
+        for n, found in keys.items():
+            found.sort()
+            self.keys[n] = (np.array([f[0] for f in found], np.uint64), np.array([f[1:] for f in found], np.int64))
+
+    def score(self, item: int, words: list[bytes]) -> float:
+        """Greatest score of the item's units in a passage."""
+        best, units = 0.0, set(np.flatnonzero(self.item_of == item).tolist())
+        for i in range(0, max(len(words), 1), UNIT):
+            held = dict.fromkeys(units, 0.0)
+            for t in {self.term[w] for w in words[i:i + 2 * UNIT] if w in self.term}:
+                for u in units:
+                    at = int(np.searchsorted(self.ids[t], u))
+                    if at < len(self.ids[t]) and self.ids[t][at] == u:
+                        held[u] += float(self.impact[t][at])
+            best = max(best, *held.values())
+        return best
 
     def wand(self, terms: list[int], threshold: float) -> list[tuple[int, float]]:
         """All (unit, score) with a score of ``threshold`` and more."""
@@ -151,6 +190,39 @@ class Index:
         return found
 
 
+def _rolled(codes: np.ndarray, n: int) -> np.ndarray:
+    """A hash of each run of ``n`` codes."""
+    out = np.zeros(max(0, len(codes) - n + 1), np.uint64)
+    for i in range(n):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + codes[i:i + len(out)].astype(np.uint64) + np.uint64(1)
+        out ^= out >> np.uint64(29)
+    return out
+
+
+def by_keys(index: Index, texts: list[list[bytes]]) -> list[set[int]]:
+    """Per text the items of which each part has a key in it."""
+    get = index.term.get
+    sizes = np.array([len(t) + 1 for t in texts], np.int64)
+    codes = np.fromiter((c for t in texts for c in chain((get(w, -1) for w in t), (-1,))), np.int64, int(sizes.sum()))
+    text_of = np.repeat(np.arange(len(texts)), sizes)
+    unknown = np.concatenate(([0], np.cumsum(codes < 0)))
+    met: list[set[tuple[int, int]]] = [set() for _ in texts]
+    for n, (hashes, entries) in index.keys.items():
+        whole = np.flatnonzero(unknown[n:] == unknown[:-n])  # runs of known words within a text
+        if not len(whole):
+            continue
+        own = _rolled(codes, n)[whole]
+        a = np.searchsorted(hashes, own)
+        for i in np.flatnonzero(hashes[np.minimum(a, len(hashes) - 1)] == own).tolist():
+            z = int(np.searchsorted(hashes, own[i], "right"))
+            met[text_of[whole[i]]].update(map(tuple, entries[a[i]:z].tolist()))
+    out = []
+    for m in met:
+        n_met = Counter(item for item, _ in m)
+        out.append({item for item, k in n_met.items() if k == index.parts[item]})
+    return out
+
+
 def _units(words: list[bytes]) -> list[list[bytes]]:
     return [words[i:i + UNIT] for i in range(0, len(words), UNIT)]
 
@@ -196,14 +268,16 @@ def matches(index: Index, texts: list[str], threshold: float, overlap: float) ->
     """Per text (item number, score, question overlap, answer overlap) of each verified item."""
     words = [words_of(t) for t in texts]
     out = []
-    for w, found in zip(words, candidates(index, words, threshold)):
+    for w, found, keyed in zip(words, candidates(index, words, threshold), by_keys(index, words)):
+        keyed -= found.keys()
+        found |= dict.fromkeys(keyed, 0.0)
         joined = b" " + b" ".join(w) + b" " if found else b""
         rows = []
         for item in sorted(found):
             question, answer = index.items[item][1]
             q, a = contained(question, joined), contained(answer, joined)
             if q >= overlap and a >= overlap:
-                rows.append((item, found[item], q, a))
+                rows.append((item, index.score(item, w) if item in keyed else found[item], q, a))
         out.append(rows)
     return out
 
@@ -228,7 +302,7 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.6, over
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = None
     for shard in _shards(items, shard_chars):
-        index = spark.sparkContext.broadcast(Index(shard))
+        index = spark.sparkContext.broadcast(Index(shard, overlap))
 
         def scan(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for b in slices(batches, "text", 2 << 20):
@@ -250,7 +324,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, threshold: float = 0.6, ove
     """``docs`` without the rows that hold a test item; narrow, so texts are never shuffled."""
     spark, at = docs.sparkSession, docs.columns.index("text")
     for shard in _shards(items, shard_chars):
-        index = spark.sparkContext.broadcast(Index(shard))
+        index = spark.sparkContext.broadcast(Index(shard, overlap))
 
         def scan(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for b in slices(batches, "text", 2 << 20):

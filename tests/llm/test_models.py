@@ -184,3 +184,22 @@ def test_pipeline_runs_on_nothing(spark, tmp_path):
     for t in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{SF}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_question_and_answer_far_apart_are_found(spark, edge):
+    question = " ".join(f"ask{i}" for i in range(30))
+    answer = " ".join(f"reply{i}" for i in range(30))
+    long = " ".join(f"part{i}" for i in range(200))
+    items = [(1, f"{question}. {answer}."), (2, f"{long}. Yes indeed."), (3, "Short one? No."), (4, "alone")]
+    gap = " ".join(f"gap{i}" for i in range(400))
+    cut = long.split()
+    scattered = f" {gap} ".join(" ".join(cut[i:i + 60]) for i in range(0, 200, 60))
+    docs = [(1, f"{question} {gap} {answer}"), (2, f"yes indeed {gap} {scattered}"), (3, f"no {gap} short one"),
+            (4, f"{question} {gap}"), (5, f"{gap} {answer}"), (6, f"x alone {gap}"), (7, gap)]
+    want = brute_leaks(docs, items)
+    assert want == {(1, 1), (2, 2), (3, 3), (6, 4)}
+    table = spark.createDataFrame(items, "item_id long, text string")
+    for chars in (decontaminate.SHARD_CHARS, 500):
+        got = decontaminate.contaminated(edge([(*d, "a") for d in docs]), table, shard_chars=chars).collect()
+        assert {(r.doc_id, r.item_id) for r in got} == want and len(got) == 4
+        assert all(0 < r.score <= 1 + 1e-9 for r in got)
