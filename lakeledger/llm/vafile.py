@@ -12,9 +12,13 @@ order of the bound, until the kth exact score is above every bound left.  Ties
 go to the smaller ``vec_id``.  Results per task merge by rank, with a limit per
 query before the shuffle.
 
+Vectors with a component of 2^20 and more once scaled have no cells, as float
+products would not be exact: they are scored with Python's whole numbers
+against all others, as queries and as candidates, and merged into the ranks.
+
 Edge cases: vectors that are null or hold a null or non-finite component take
-no part, nor do rows with a null ``vec_id``, empty vectors, or components of
-2^20 and more once scaled (their products would not be exact); rows that repeat
+no part, nor do rows with a null ``vec_id`` or empty vectors; a score past 64
+bits ranks as it is and shows as the nearest long; rows that repeat
 both id and vector count once; a query has only rows of its own dimension as
 candidates; rows with the query's own id are never candidates; an empty table
 gives an empty result.
@@ -23,6 +27,7 @@ gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import floor, isfinite
 
 import numpy as np
 import pyarrow as pa
@@ -35,18 +40,28 @@ SCALE, LARGEST = 256.0, float(1 << 20)
 
 
 def approximation_file(vectors: DataFrame, id_col: str = "vec_id", col: str = "embedding") -> DataFrame:
-    """``vec_id, dim, exact, shift, cells``: int vectors (little-endian int32) and their byte cells."""
-    names = ["vec_id", "dim", "exact", "shift", "cells"]
+    """``vec_id, dim, exact, shift, cells, wide``: int vectors (little-endian int32) and their byte cells.
+
+    ``wide`` vectors do not fit: ``exact`` is their text and ``cells`` is empty.
+    """
+    names = ["vec_id", "dim", "exact", "shift", "cells", "wide"]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, dims, exact, shifts, cells = [], [], [], [], []
+            ids, dims, exact, shifts, cells, wide = [], [], [], [], [], []
             for i, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if i is None or not v or any(x is None for x in v):
+                if i is None or not v or any(x is None or not isfinite(x) for x in v):
                     continue
                 with np.errstate(all="ignore"):
                     scaled = np.floor(SCALE * np.asarray(v, np.float64))
-                if not np.isfinite(scaled).all() or np.abs(scaled).max() >= LARGEST:
+                if np.abs(scaled).max() >= LARGEST:
+                    ids.append(i)
+                    dims.append(len(v))
+                    exact.append(",".join(str(floor(x) * 256 if abs(x) >= LARGEST * LARGEST * LARGEST
+                                              else floor(x * SCALE)) for x in v).encode())
+                    shifts.append(0)
+                    cells.append(b"")
+                    wide.append(True)
                     continue
                 whole = scaled.astype("<i4")
                 shift = max(0, int(max(whole.max(), -1 - whole.min())).bit_length() - 7)
@@ -55,13 +70,14 @@ def approximation_file(vectors: DataFrame, id_col: str = "vec_id", col: str = "e
                 exact.append(whole.tobytes())
                 shifts.append(shift)
                 cells.append((whole >> shift).astype("i1").tobytes())
+                wide.append(False)
             yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(dims, pa.int32()),
                                    pa.array(exact, pa.binary()), pa.array(shifts, pa.int32()),
-                                   pa.array(cells, pa.binary())], names=names)
+                                   pa.array(cells, pa.binary()), pa.array(wide, pa.bool_())], names=names)
 
     found = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(col).alias("embedding")) \
-        .mapInArrow(scan, "vec_id long, dim int, exact binary, shift int, cells binary")
-    return materialise(found.dropDuplicates(["vec_id", "exact"]), "cells")
+        .mapInArrow(scan, "vec_id long, dim int, exact binary, shift int, cells binary, wide boolean")
+    return materialise(found.dropDuplicates(["vec_id", "wide", "exact"]), "cells")
 
 
 def _matrix(column, dtype, dim: int) -> np.ndarray:
@@ -90,6 +106,53 @@ def _tiles(n: int, rows: int = 1024):
     return [slice(i, i + rows) for i in range(0, n, rows)]
 
 
+FOUND = "query_id long, vec_id long, score long, place binary"
+
+
+def _place(score: int) -> bytes:
+    """Bytes that sort as whole numbers of any size do."""
+    body = abs(score).to_bytes((abs(score).bit_length() + 7) // 8, "big")
+    if score < 0:
+        return (32768 - len(body)).to_bytes(2, "big") + bytes(255 - b for b in body)
+    return (32768 + len(body)).to_bytes(2, "big") + body
+
+
+def _ranked(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
+    """(query, vector, score) rows as a batch of ``FOUND``."""
+    q, v, s = zip(*rows)
+    near = [max(-1 << 63, min((1 << 63) - 1, x)) for x in s]
+    return pa.record_batch([pa.array(q, pa.int64()), pa.array(v, pa.int64()), pa.array(near, pa.int64()),
+                            pa.array(list(map(_place, s)), pa.binary())],
+                           names=["query_id", "vec_id", "score", "place"])
+
+
+def _numbers(exact: bytes, wide: bool) -> list[int]:
+    return [int(x) for x in exact.split(b",")] if wide else np.frombuffer(exact, "<i4").tolist()
+
+
+def _wide(block, k: int):
+    """Scores of the pairs in which a vector is wide: of each query the k best of a task."""
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict = {}
+        for b in batches:
+            ids, wide = b.column("vec_id").to_numpy(), np.array(b.column("wide").to_pylist(), bool)
+            exact = b.column("exact")
+            for dim, at in _by_dim(b, 256):
+                queries = block.value.get(dim, [])
+                rows = np.array([_numbers(exact[int(i)].as_py(), wide[i]) for i in at], object)
+                for n, (query, own, own_wide) in enumerate(queries):
+                    use = np.flatnonzero((wide[at] | own_wide) & (ids[at] != query))
+                    if len(use):
+                        scores = rows[use] @ np.array(_numbers(own, own_wide), object)
+                        held[dim, n] = sorted(held.get((dim, n), []) + list(zip(
+                            (-scores).tolist(), ids[at[use]].tolist())))[:k]
+        found = [(block.value[d][n][0], i, -s) for (d, n), best in held.items() for s, i in best]
+        if found:
+            yield _ranked(found)
+
+    return scan
+
+
 def _floors(block, k: int):
     """First scan: per task the k greatest lower bounds of each query."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,8 +183,6 @@ def _floors(block, k: int):
 
 def _exact(block, floors, k: int):
     """Second scan: exact scores of the rows that the floor leaves, in order of their bound."""
-    names_out = ["query_id", "vec_id", "score"]
-
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict = {}
         for b in batches:
@@ -152,7 +213,7 @@ def _exact(block, floors, k: int):
                         held[dim, t.start + q] = best
         rows = [(int(block.value[d][0][q]), i, int(-s)) for (d, q), best in held.items() for s, i in best]
         if rows:
-            yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*rows)], names=names_out)
+            yield _ranked(rows)
 
     return scan
 
@@ -160,14 +221,23 @@ def _exact(block, floors, k: int):
 def top_k(vectors: DataFrame, is_query, k: int = 5, block: int = 16384) -> DataFrame:
     """``query_id, rank, vec_id, score`` of every row that ``is_query`` (a condition on vec_id) selects."""
     spark = vectors.sparkSession
-    file = approximation_file(vectors)
-    queries = file.filter(is_query).select("vec_id", "dim", "exact")
+    both = approximation_file(vectors)
+    file, wide = both.filter("NOT wide"), both.filter("wide")
+    any_wide = bool(wide.take(1))
+    queries = both.filter(is_query).select("vec_id", "dim", "exact", "wide")
     blocks = max(1, -(-queries.count() // (block // 2)))  # hashing deals unevenly: plan for half-full blocks
     parts = []
     for n in range(blocks):
         mine: dict = {}
-        for dim, group in _grouped(queries.filter(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == n)).items():
-            group.sort()
+        groups = _grouped(queries.filter(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == n))
+        if any_wide and groups:
+            own = any(w for group in groups.values() for *_, w in group)
+            parts.append((both if own else wide).select("vec_id", "dim", "exact", "wide").mapInArrow(
+                _wide(spark.sparkContext.broadcast(groups), k), FOUND))
+        for dim, group in groups.items():
+            group = sorted((i, v) for i, v, w in group if not w)
+            if not group:
+                continue
             mine[dim] = (np.array([i for i, _ in group], np.int64),
                          _matrix([v for _, v in group], "<i4", dim).astype(np.float64))
         if not mine:
@@ -182,21 +252,21 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, block: int = 16384) -> DataF
         for dim, q, floor in kth.select("dim", "q", "low").collect():  # one row per query of the block
             floors[dim][q] = floor
         parts.append(file.mapInArrow(_exact(sent, spark.sparkContext.broadcast(floors), k),
-                                     "query_id long, vec_id long, score long"))
+                                     FOUND))
     if not parts:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     found = parts[0]
     for p in parts[1:]:
         found = found.unionByName(p)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))
+    order = Window.partitionBy("query_id").orderBy(F.desc("place"), F.asc("vec_id"))
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k) \
                 .select("query_id", "rank", "vec_id", "score")
 
 
-def _grouped(queries: DataFrame) -> dict[int, list[tuple[int, bytes]]]:
-    groups: dict[int, list[tuple[int, bytes]]] = {}
-    for i, dim, exact in queries.collect():  # one bounded block of queries
-        groups.setdefault(dim, []).append((i, bytes(exact)))
+def _grouped(queries: DataFrame) -> dict[int, list[tuple[int, bytes, bool]]]:
+    groups: dict[int, list[tuple[int, bytes, bool]]] = {}
+    for i, dim, exact, wide in queries.collect():  # one bounded block of queries
+        groups.setdefault(dim, []).append((i, bytes(exact), wide))
     return groups
 
 

@@ -203,3 +203,18 @@ def test_question_and_answer_far_apart_are_found(spark, edge):
         got = decontaminate.contaminated(edge([(*d, "a") for d in docs]), table, shard_chars=chars).collect()
         assert {(r.doc_id, r.item_id) for r in got} == want and len(got) == 4
         assert all(0 < r.score <= 1 + 1e-9 for r in got)
+
+
+def test_top_k_keeps_vectors_of_large_components(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=4).astype(np.float32).tolist()) for i in range(200)]
+    rows += [(201, [4096.0, 1.0, -2.0, 0.5]), (250, [-5000.0, 3.5, 1e6, 2.0]), (251, [1e6, 1e6, 1e6, -1e6]),
+             (300, [3000.0] * 4), (301, [4096.0, 4096.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    for block in (16384, 4):
+        got = sorted(tuple(r) for r in vafile.top_k(df, F.col("vec_id") % 50 == 0, 5, block).collect())
+        assert got == brute_top(rows, 5)
+    huge = spark.createDataFrame([(0, [1.0]), (1, [1e300]), (2, [1e308]), (3, [-1e308]), (4, [2.0])],
+                                 "vec_id long, embedding array<double>")
+    got = [r.vec_id for r in vafile.top_k(huge, F.col("vec_id") == 0, 4).orderBy("rank").collect()]
+    assert got == [2, 1, 4, 3]
