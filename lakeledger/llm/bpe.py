@@ -8,12 +8,13 @@ copies meet in one task (the second sort key splits a large group of copies
 over many tasks).  Within a chunk, distinct blank-separated pieces are encoded
 by the tokenizers library once.
 
-A chunk's own ids are wrong at its ends if the cut is inside a word.  Each join
-is repaired: the last pieces of the left chunk and the first of the right are
-encoded together, and replace the separate ids once those agree with the ends
-of both chunks; until they do, the window grows.  Cuts without a blank on both
-sides are given up.  This is exact for tokenizers whose pre-tokens contain no
-blank (checked when the tokenizer is loaded).
+A chunk's own ids are wrong at its ends if the cut is inside a word.  At each
+join the last piece of the left chunk and the first of the right are encoded
+together and replace the separate ids.  Cuts without a blank on both sides are
+given up.  This is exact for tokenizers whose pre-tokens contain no blank
+(checked when the tokenizer is loaded): pieces are then independent, and a
+chunk's ids are those of its pieces in the memo, one after the other.  That the
+ends of both chunks agree with the window's pieces is therefore a guard only.
 
 Decoding follows the library for a tokenizer without a decoder: tokens joined by
 one blank; it is kept per piece beside the ids.
