@@ -24,7 +24,8 @@ than five words must occur in sequence.
 
 The index of a set of items is broadcast in shards of at most ``SHARD_CHARS``
 characters of items, each with a pass of its own, so its size is bounded however
-large the set.  Documents are never shuffled.
+large the set.  Document frequencies, the number of units and their mean length
+are those of the whole set in every shard.  Documents are never shuffled.
 
 Words are runs of anything but white space and ASCII punctuation, in lower case.
 
@@ -45,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, strings
+from .common import materialise, slices, strings
 
 UNIT, BLOCK, SHARD_CHARS = 64, 4, 8 << 20
 GROUPS = 64  # at most so many groups of blocks are bounded at once
@@ -83,13 +84,16 @@ def contained(part: list[bytes], joined: bytes, n: int = 5) -> float:
 class Index:
     """Inverted index of item units with block maxima."""
 
-    def __init__(self, items: list[tuple[int | None, str]], overlap: float = 0.8):
+    def __init__(self, items: list[tuple[int | None, str]], overlap: float = 0.8,
+                 whole: tuple[int, int, dict[bytes, int]] | None = None):
+        """``whole``: units, their words in all, and units of each term, of the set that ``items`` are of."""
         self.items = [(i, question_answer(t)) for i, t in items]
         units = [(n, part) for n, (_, t) in enumerate(items)
                  for w in [words_of(t)] for part in _units(w)]
         units.sort(key=lambda u: len(u[1]))  # units of like length share blocks: tighter maxima
         self.item_of = np.array([u[0] for u in units], np.int64)
-        mean = sum(len(u[1]) for u in units) / max(len(units), 1)
+        n_units, n_words, df = whole or (len(units), sum(len(u[1]) for u in units), None)
+        mean = n_words / max(n_units, 1)
         postings: dict[bytes, list[tuple[int, int]]] = {}
         for u, (_, part) in enumerate(units):
             for w in sorted(set(part)):
@@ -97,7 +101,8 @@ class Index:
         self.term = {w: k for k, w in enumerate(postings)}
         impacts, own = [], np.zeros(len(units))
         for w, posts in postings.items():
-            idf = np.log1p((len(units) - len(posts) + 0.5) / (len(posts) + 0.5))
+            n = df[w] if df else len(posts)
+            idf = np.log1p((n_units - n + 0.5) / (n + 0.5))
             score = np.array([idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(units[u][1]) / mean))
                               for u, tf in posts])
             ids = np.array([u for u, _ in posts], np.int64)
@@ -282,14 +287,42 @@ def matches(index: Index, texts: list[str], threshold: float, overlap: float) ->
     return out
 
 
-def _shards(items: DataFrame, max_chars: int) -> Iterator[list[tuple[int | None, str]]]:
-    """The items in lists of about ``max_chars`` characters, one in the driver at a time."""
+def _count_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each shard and term with its units; the null term has all units and their words."""
+    for b in batches:
+        n_units, n_words = Counter(), Counter()
+        for shard, text in zip(b.column("shard").to_pylist(), strings(b, "t")):
+            for part in _units(words_of(text)):
+                n_units.update((shard, w) for w in {*part, None})
+                n_words[shard, None] += len(part)
+        if n_units:
+            yield pa.record_batch([pa.array([k[0] for k in n_units], pa.int64()),
+                                   pa.array([k[1] for k in n_units], pa.binary()),
+                                   pa.array(list(n_units.values()), pa.int64()),
+                                   pa.array([n_words[k] for k in n_units], pa.int64())],
+                                  names=["shard", "term", "units", "words"])
+
+
+def _shards(items: DataFrame, max_chars: int, overlap: float) -> Iterator[Index]:
+    """Indexes of about ``max_chars`` characters of items, one in the driver at a time."""
     rows = items.select(F.col("item_id").cast("long").alias("i"), F.coalesce("text", F.lit("")).alias("t"))
     total = rows.agg(F.sum(F.length("t"))).first()[0] or 0
     n = -(-total // max_chars)
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("i", "t"), F.lit(n)).cast("long")) if n else rows
+    if n > 1:
+        per = materialise(rows.select("shard", "t").mapInArrow(
+            _count_units, "shard long, term binary, units long, words long")
+            .groupBy("shard", "term").agg(F.sum("units").alias("units"), F.sum("words").alias("words")), "units")
+        terms = materialise(per.groupBy("term").agg(F.sum("units").alias("units"), F.sum("words").alias("words")),
+                            "terms")
+        every = terms.filter("term IS NULL").select("units", "words").first()
     for shard in range(n):
-        yield [(r.i, r.t) for r in rows.filter(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == shard)
-               .orderBy("i", "t").collect()]
+        whole = None
+        if n > 1 and every:
+            own = per.filter((F.col("shard") == shard) & F.col("term").isNotNull()).select("term")
+            whole = (*every, {bytes(r.term): r.units for r in terms.join(own, "term").select("term", "units").collect()})
+        yield Index([(r.i, r.t) for r in rows.filter(F.col("shard") == shard).orderBy("i", "t").collect()],
+                    overlap, whole)
 
 
 MATCH = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
@@ -301,8 +334,8 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.6, over
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = None
-    for shard in _shards(items, shard_chars):
-        index = spark.sparkContext.broadcast(Index(shard, overlap))
+    for shard in _shards(items, shard_chars, overlap):
+        index = spark.sparkContext.broadcast(shard)
 
         def scan(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for b in slices(batches, "text", 2 << 20):
@@ -323,8 +356,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, threshold: float = 0.6, ove
                   shard_chars: int = SHARD_CHARS) -> DataFrame:
     """``docs`` without the rows that hold a test item; narrow, so texts are never shuffled."""
     spark, at = docs.sparkSession, docs.columns.index("text")
-    for shard in _shards(items, shard_chars):
-        index = spark.sparkContext.broadcast(Index(shard, overlap))
+    for shard in _shards(items, shard_chars, overlap):
+        index = spark.sparkContext.broadcast(shard)
 
         def scan(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for b in slices(batches, "text", 2 << 20):

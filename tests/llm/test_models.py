@@ -218,3 +218,14 @@ def test_top_k_keeps_vectors_of_large_components(spark):
                                  "vec_id long, embedding array<double>")
     got = [r.vec_id for r in vafile.top_k(huge, F.col("vec_id") == 0, 4).orderBy("rank").collect()]
     assert got == [2, 1, 4, 3]
+
+
+def test_scores_do_not_depend_on_the_number_of_shards(spark, edge):
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice(["red", "green", "blue", f"w{i}", f"v{i}"]) for _ in range(12 + 7 * i)) for i in range(12)]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    docs = edge([(i, " ".join(t.split()[:-1]), "a") for i, t in enumerate(texts)])
+    one, many = ({(r.doc_id, r.item_id): r.score for r in decontaminate.contaminated(docs, items, shard_chars=c).collect()}
+                 for c in (decontaminate.SHARD_CHARS, 700))
+    assert one.keys() == many.keys() and len(one) >= 5 and min(one.values()) < 1
+    assert all(abs(one[k] - many[k]) < 1e-9 for k in one)
