@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, decontaminate, lines, pii, quality, secrets, simhash, tokenfile, vafile
+from . import (bpe, chat, decontaminate, lines, packing, pii, quality, ranked, secrets, simhash, spelling,
+               tokenfile, vafile)
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,8 +58,21 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_spans(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_pieces(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_decontaminate, op2_secrets, op3_lines, op4_chat, op5_tokens, op6_bpe, op7_quality,
-    op8_vafile, op9_simhash, op10_pii)}
+    op8_vafile, op9_simhash, op10_pii, op11_spelling, op12_ranked, op13_packing)}
 
-ORACLE: dict[str, str] = {"op3_lines": lines.ORACLE, "op8_vafile": vafile.ORACLE}
+ORACLE: dict[str, str] = {"op3_lines": lines.ORACLE, "op8_vafile": vafile.ORACLE,
+                          "op12_ranked": ranked.ORACLE}

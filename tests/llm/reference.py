@@ -125,3 +125,69 @@ def bpe(docs, tok):
         out.append((i, len(ids), sha(b"".join(x.to_bytes(4, "little") for x in ids)),
                     sha(tok.decode(ids, skip_special_tokens=False))))
     return sorted(out, key=repr)
+
+
+def spelling(docs):
+    """[(doc_id, text)] -> sorted (word, form, root, n, n_near, form_n), every pair of words compared."""
+    low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    count = {}
+    for i, t in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", t or ""):
+            w = run.translate(low)
+            h = zlib.crc32(f"{i}:{w}".encode())
+            if i is not None and h % 97 == 0:
+                at = h % len(w)
+                w = w[:at] + w[at + 1:]
+            count[w] = count.get(w, 0) + 1
+    words = {w: n for w, n in count.items() if len(w) >= 5 and n >= 3}
+
+    def one_edit(a, b):
+        if len(a) == len(b):
+            return sum(x != y for x, y in zip(a, b)) == 1
+        a, b = sorted((a, b), key=len)
+        return len(b) == len(a) + 1 and any(b[:i] + b[i + 1:] == a for i in range(len(b)))
+
+    by_length = {}
+    for w in words:
+        by_length.setdefault(len(w), []).append(w)
+    near = {w: [v for k in (-1, 0, 1) for v in by_length.get(len(w) + k, ()) if v != w and one_edit(w, v)] for w in words}
+    form = {}
+    for w, vs in near.items():
+        best = min(vs, key=lambda v: (-words[v], v), default=None)
+        form[w] = best if best is not None and words[best] >= 2 * words[w] else None
+
+    def root(w):
+        while form[w] is not None:
+            w = form[w]
+        return w
+
+    return sorted([(w, form[w], root(w), n, len(near[w]), words.get(form[w])) for w, n in words.items()], key=repr)
+
+
+def ranked(docs, items, k=10):
+    """[(doc_id, text)], [(item_id, text)] -> sorted (item_id, rank, doc_id, score); every document is scored."""
+    import math
+    low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    split = lambda t: re.findall("[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", (t or "").translate(low))
+    texts = [(i, w) for i, t in docs if (w := split(t))]
+    big_n, big_l = len(texts), sum(len(w) for _, w in texts)
+    tfs = []
+    df = {}
+    for _, w in texts:
+        c = {}
+        for x in w:
+            c[x] = c.get(x, 0) + 1
+        tfs.append(c)
+        for x in c:
+            df[x] = df.get(x, 0) + 1
+    out = []
+    for item, t in items:
+        found = []
+        for (i, w), c in zip(texts, tfs):
+            m = 100 - 75 + (75 * len(w) * big_n) // big_l
+            score = sum(math.floor(1000 * math.log((2 * big_n + 2) / (2 * df[x] + 1)))
+                        * ((1000000000 * c[x]) // (1000 * c[x] + 8 * m)) for x in split(t) if x in c)
+            if score > 0:
+                found.append((-score, i is None, i or 0, i))
+        out += [(item, r, x[3], -x[0]) for r, x in enumerate(sorted(found, key=lambda x: x[:3])[:k], 1)]
+    return sorted(out, key=repr)
