@@ -13,6 +13,9 @@ import sys
 from array import array
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
+
 _HARD = re.compile(r"[^\S ] [^\S ]")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
@@ -38,6 +41,8 @@ class Memo:
     def __init__(self, path: str, width: int = 4, entries: int = 1_000_000):
         self.tok, self.code, self.entries = tokenizer(path), "H" if width == 2 else "I", entries
         self.missed = 0
+        self.begins = np.zeros(self.tok.get_vocab_size(with_added_tokens=True), bool)  # tokens that begin with a blank
+        self.begins[[i for t, i in self.tok.get_vocab().items() if t.startswith("Ġ")]] = True
         self.after_blank: dict[str, bytes] = {}  # word -> ids of a blank and the word
         self.at_start: dict[str, bytes] = {}
 
@@ -50,9 +55,30 @@ class Memo:
                 a.byteswap()
         return [a.tobytes() for a in out]
 
+    def ids_after_blank(self, pieces: list[str]) -> list[bytes]:
+        """The ids of a blank and each piece: pieces without blanks are encoded as one text.
+
+        Only a piece's first token can begin with a blank, so these tokens say where it begins.
+        """
+        plain = [p for p in pieces if " " not in p]
+        ids = np.array(self.tok.encode_batch_fast([" " + " ".join(plain)], add_special_tokens=False)[0].ids
+                       if plain else [], np.int64)
+        at = np.flatnonzero(self.begins[ids])
+        if len(at) != len(plain) or len(at) and at[0]:
+            return self.ids_of([" " + p for p in pieces])
+        width = 2 if self.code == "H" else 4
+        flat, ends = ids.astype(f"<u{width}").tobytes(), (np.append(at, len(ids)) * width).tolist()
+        parts = [flat[s:e] for s, e in zip(ends, ends[1:])]
+        if len(plain) < len(pieces):
+            known = dict(zip(plain, parts))
+            rest = [p for p in pieces if " " in p]
+            known.update(zip(rest, self.ids_of([" " + p for p in rest])))
+            parts = [known[p] for p in pieces]
+        return parts
+
     def learn(self, memo: dict[str, bytes], lead: str, new: list[str]) -> dict[str, bytes]:
         """Encode pieces that ``memo`` lacks and keep them where there is room."""
-        fresh = dict(zip(new, self.ids_of([lead + p for p in new]))) if new else {}
+        fresh = dict(zip(new, self.ids_after_blank(new) if lead else self.ids_of(new))) if new else {}
         if len(memo) + len(new) <= self.entries:
             memo.update(fresh)
         else:
@@ -81,15 +107,30 @@ def blank_cut(text: str) -> list[str]:
 
 
 def encode_texts(memo: Memo, texts: list[str]) -> list[bytes]:
-    """The ids of each text, as bytes; only parts that the memo lacks are encoded."""
+    """The ids of each text, as bytes; only parts that the memo lacks are encoded.
+
+    Equal parts of these texts are looked up once and their ids dealt out by
+    position, so pass several megabytes of text at a time.
+    """
     cut = [blank_cut(t) for t in texts]
     firsts = [c[0] for c in cut]
-    start = {p: i for p in firsts if (i := memo.at_start.get(p)) is not None}
+    start = {p: i for p in set(firsts) if (i := memo.at_start.get(p)) is not None}
     start |= memo.learn(memo.at_start, "", list(set(firsts) - start.keys()))
-    get = memo.after_blank.get
-    found = [list(map(get, c[1:])) for c in cut]
-    gaps = [i for i, f in enumerate(found) if None in f]
-    new = memo.learn(memo.after_blank, " ", list({p for i in gaps for p, f in zip(cut[i][1:], found[i]) if f is None}))
-    for i in gaps:
-        found[i] = [f if f is not None else new[p] for p, f in zip(cut[i][1:], found[i])]
-    return [start[first] + b"".join(f) for first, f in zip(firsts, found)]
+    parts = pa.array([p for c in cut for p in c[1:]], pa.string()).dictionary_encode()
+    distinct = parts.dictionary.to_pylist()
+    found = list(map(memo.after_blank.get, distinct))
+    if None in found:
+        gaps = [i for i, f in enumerate(found) if f is None]
+        new = memo.learn(memo.after_blank, " ", [distinct[i] for i in gaps])
+        for i in gaps:
+            found[i] = new[distinct[i]]
+    width = 2 if memo.code == "H" else 4
+    flat = np.frombuffer(b"".join(found), f"<u{width}")
+    sizes = np.fromiter(map(len, found), np.int64, len(found)) // width
+    at = parts.indices.to_numpy()
+    n = sizes[at]
+    ends = np.cumsum(n)
+    # place in ``flat`` of each id: its part's place there, less the part's place in the texts, plus its own
+    ids = flat[np.repeat((np.cumsum(sizes) - sizes)[at] - (ends - n), n) + np.arange(n.sum())].tobytes()
+    bounds = (np.append(0, ends)[np.cumsum([0] + [len(c) - 1 for c in cut])] * width).tolist()
+    return [start[first] + ids[s:e] for first, s, e in zip(firsts, bounds, bounds[1:])]
