@@ -117,7 +117,7 @@ def encode_texts(memo: Memo, texts: list[str]) -> list[bytes]:
     start = {p: i for p in set(firsts) if (i := memo.at_start.get(p)) is not None}
     start |= memo.learn(memo.at_start, "", list(set(firsts) - start.keys()))
     parts = pa.array([p for c in cut for p in c[1:]], pa.string()).dictionary_encode()
-    distinct = parts.dictionary.to_pylist()
+    distinct = parts.dictionary.to_numpy(zero_copy_only=False).tolist()  # faster than to_pylist
     found = list(map(memo.after_blank.get, distinct))
     if None in found:
         gaps = [i for i, f in enumerate(found) if f is None]
