@@ -279,8 +279,10 @@ def near_words(words: DataFrame, group_words: int = 4096) -> DataFrame:
     """
     placed = materialise(frontiers(words, group_words), "placed")
     part = F.substring(F.concat("word", F.lit(END)), F.lit(1), F.col("depth"))
-    inside = placed.select(part.alias("part"), "word", "n").repartition("part").sortWithinPartitions("part", "word") \
-        .mapInArrow(_compose, NEAR)
+    # a number is given, so that AQE does not merge small partitions of costly groups
+    tasks = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    inside = placed.select(part.alias("part"), "word", "n").repartition(tasks, "part") \
+        .sortWithinPartitions("part", "word").mapInArrow(_compose, NEAR)
     # the edit stands before the frontier: what follows it is the same in both words
     cut = placed.select("word", "n", F.explode(F.sequence(
         F.lit(0), F.least(F.col("depth"), F.char_length("word")) - 1)).alias("i")).select(
