@@ -35,8 +35,11 @@ def apply_changes(changes: DataFrame, keys: Sequence[str], sequence_by: Sequence
     Type 2: one row per version with ``__START_AT`` / ``__END_AT`` (NULL =
     current); an update closes the interval; a delete closes it without a new
     row; a no-op update (same tracked values) adds nothing.
+
+    Changes with a NULL key are rejected.
     """
     keys = list(keys)
+    changes = changes.dropna(subset=keys)
     seq = [sequence_by] if isinstance(sequence_by, str) else list(sequence_by)
     excluded = set(except_column_list)
     cols = [c for c in changes.columns if c not in excluded]

@@ -62,12 +62,13 @@ def merge_changed_only(target: DataFrame, source: DataFrame, keys: Sequence[str]
     """Update matched rows only if a tracked column changed (null-safe).
 
     Adds ``_merge_action`` in {insert, update, unchanged, untouched}.  The
-    source must be unique per key.  Target rows whose key is not in the
-    source are split off with a ``left_anti`` join, so only touched rows meet
+    source must be unique per key; its rows with a NULL key are rejected.
+    Target rows whose key is not in the source are split off with a ``left_anti`` join, so only touched rows meet
     the source in the (left outer) join.
     """
     keys, tracked = list(keys), list(tracked)
     cols = [c for c in target.columns if c not in keys]
+    source = source.dropna(subset=keys)
     batch_keys = source.select(*keys)
     untouched = (target.join(batch_keys, on=keys, how="left_anti")
                        .withColumn(action_col, F.lit("untouched")))
@@ -201,5 +202,5 @@ def soft_delete_missing(target: DataFrame, snapshot_keys: DataFrame, keys: Seque
 
 
 def new_keys(incoming: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``incoming`` whose key is not in ``target`` (left anti join)."""
-    return incoming.join(target.select(*keys), on=list(keys), how="left_anti")
+    """Rows of ``incoming`` whose key is not in ``target`` (left anti join); those with a NULL key are rejected."""
+    return incoming.dropna(subset=list(keys)).join(target.select(*keys), on=list(keys), how="left_anti")

@@ -16,11 +16,13 @@ All ordered steps go through :func:`keyed_scan` on one layout by range of
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expressions import changed_expr
+from ..functions.expressions import changed_expr, join_on_key
 from .ordered import PART, cut, keyed_scan, ordered_layout
 
 
@@ -89,7 +91,7 @@ def as_of_join(facts: DataFrame, history: DataFrame, keys: Sequence[str], t_col:
     fact_cols = facts.columns
     hv = F.struct(*[F.col(c) for c in columns], F.col(end_col).alias("__end"))
     # A version that ends where it starts is valid at no instant.
-    h = history.filter(F.col(end_col).isNull() | (F.col(start_col) < F.col(end_col)))
+    h = history.dropna(subset=keys).filter(F.col(end_col).isNull() | (F.col(start_col) < F.col(end_col)))
     h = h.select(*[F.col(k) for k in keys], F.col(start_col).alias("_t"), F.lit(0).alias("_kind"),
                  F.col(end_col).isNull().alias("_open"), F.col(end_col).alias("_until"), hv.alias("_h"),
                  *[F.lit(None).cast(facts.schema[c].dataType).alias(c)
@@ -129,10 +131,10 @@ def scd2_apply(target: DataFrame, log: DataFrame, batch: DataFrame, keys: Sequen
     """
     keys = list(keys)
     touched = batch.select(*keys).distinct()
-    log_t = log.join(touched, on=keys, how="left_semi")
+    log_t = join_on_key(log, touched, keys, "left_semi")
     rebuilt = scd2_history(log_t, keys, tracked, sequence, is_delete=is_delete,
                            columns=columns, **names)
-    kept = target.join(touched, on=keys, how="left_anti")
+    kept = join_on_key(target, touched, keys, "left_anti")
     return kept.unionByName(rebuilt.select(*target.columns))
 
 
@@ -149,7 +151,9 @@ def scd2_append_latest(current: DataFrame, incoming: DataFrame, keys: Sequence[s
     keys, tracked = list(keys), list(tracked)
     cur = current.filter(F.col(current_col)).alias("t")
     inc = incoming.alias("s")
-    j = inc.join(cur, on=keys, how="left")
+    same = reduce(and_, [F.col(f"s.{k}").eqNullSafe(F.col(f"t.{k}")) for k in keys])
+    j = inc.join(cur, same, "left").select("s.*", F.struct("t.*").alias("_t"))
+    j = j.select(F.struct(*incoming.columns).alias("s"), F.col("_t").alias("t"), *keys)
     has_t = F.col(f"t.{version_col}").isNotNull()
     chg = ~has_t | changed_expr(tracked, "t", "s")
     j = j.filter(chg)
@@ -199,7 +203,7 @@ def scd2_apply_fast(target: DataFrame, state: DataFrame, batch: DataFrame, log:
     ev = batch.select(*dict.fromkeys([*keys, *sequence, *tracked, *pcols]),
                       F.coalesce(is_delete if is_delete is not None else F.lit(False), F.lit(False)).alias("_del"))
     first_in = ev.groupBy(*keys).agg(F.min(F.struct(*sequence)).alias("_first"))
-    verdict = (first_in.join(state, on=keys, how="left")
+    verdict = (join_on_key(first_in, state, keys, "left")
                        .select(*keys, (F.col(LAST_SEQ).isNull() | (F.col("_first") > F.col(LAST_SEQ)))
                                .alias("_in_order")))
     # The key verdict and the last versions are small; writing them to the shared
@@ -216,13 +220,13 @@ def scd2_apply_fast(target: DataFrame, state: DataFrame, batch: DataFrame, log:
     n = {bool(r["_in_order"]): r["n"] for r in
          verdict.groupBy("_in_order").agg(F.count(F.lit(1)).alias("n")).collect()}
 
-    kept = target.join(late, on=keys, how="left_anti")
+    kept = join_on_key(target, late, keys, "left_anti")
     cont = None
     if n.get(True):
         # Last version of each in-order key (current, or closed by a delete): a
         # partial max_by aggregate, so a key with many versions is no hot task.
         rest = [c for c in target.columns if c not in keys]
-        last = (target.join(in_order, on=keys, how="left_semi").groupBy(*keys)
+        last = (join_on_key(target, in_order, keys, "left_semi").groupBy(*keys)
                       .agg(F.max_by(F.struct(*rest), F.col(version_col)).alias("_r"))
                       .select(*keys, *[F.col("_r")[c].alias(c) for c in rest]))
         last.write.parquet(f"{tmp}/last")
@@ -238,24 +242,24 @@ def scd2_apply_fast(target: DataFrame, state: DataFrame, batch: DataFrame, log:
               for c in dict.fromkeys([*sequence[1:], *tracked, *pcols]) if c != seq0],
             (~F.col(current_col)).alias("_del"),
             F.col(version_col).alias("_base_v"), F.col(current_col).alias("_was_current"))
-        batch_in = ev.join(in_order, on=keys, how="left_semi").withColumn("_rank", F.lit(1))
+        batch_in = join_on_key(ev, in_order, keys, "left_semi").withColumn("_rank", F.lit(1))
         short = synth.unionByName(batch_in, allowMissingColumns=True)
         offsets = synth.select(*keys, (F.col("_base_v") - F.when(F.col("_was_current"), 1).otherwise(0))
                                .alias("_off"))
         cont = scd2_history(short.drop("_base_v", "_was_current"), keys, tracked, order,
                             is_delete=F.col("_del"), columns=payload, start_col=start_col, end_col=end_col,
                             current_col=current_col, version_col=version_col)
-        cont = (cont.join(offsets, on=keys, how="left")
+        cont = (join_on_key(cont, offsets, keys, "left")
                     .withColumn(version_col, (F.col(version_col) + F.coalesce("_off", F.lit(0))).cast("bigint"))
                     .drop("_off"))
         # old rows kept: untouched keys, and in-order keys' rows except a current last version
         replaced = last.filter(F.col(current_col)).select(*keys, version_col)
-        kept = kept.join(replaced, on=[*keys, version_col], how="left_anti")
+        kept = join_on_key(kept, replaced, [*keys, version_col], "left_anti")
     parts = [kept] + ([cont.select(*target.columns)] if cont is not None else [])
     if n.get(False):
         if log is None:
             raise ValueError("late events for some keys: pass the log to rebuild them")
-        rebuilt = scd2_history(log.join(late, on=keys, how="left_semi"), keys, tracked, sequence,
+        rebuilt = scd2_history(join_on_key(log, late, keys, "left_semi"), keys, tracked, sequence,
                                is_delete=is_delete, columns=columns, start_col=start_col, end_col=end_col,
                                current_col=current_col, version_col=version_col)
         parts.append(rebuilt.select(*target.columns))
@@ -282,7 +286,7 @@ def scd2_apply_snapshot(target: DataFrame | None, extract: DataFrame, keys: Sequ
     keys, tracked = list(keys), list(tracked)
     payload = [c for c in (columns if columns is not None else tracked) if c not in keys]
     when = at if isinstance(at, Column) else F.lit(at).cast("timestamp_ntz")
-    new = extract.select(*keys, *payload, when.alias(start_col), F.lit(None).cast("timestamp_ntz").alias(end_col),
+    new = extract.dropna(subset=keys).select(*keys, *payload, when.alias(start_col), F.lit(None).cast("timestamp_ntz").alias(end_col),
                          F.lit(True).alias(current_col))
     out = [*keys, *payload, start_col, end_col, current_col, version_col]
     if target is None:

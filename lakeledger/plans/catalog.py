@@ -878,3 +878,68 @@ def q_scd2_snapshot_source(spark, d):
     first = latest_per_key(events(spark, d).filter(F.col("ts") < ts(SPLIT)).select(*EV_COLS), ["user_id"], SEQ)
     state = scd2_apply_snapshot(None, first.filter(~is_del()), ["user_id"], ["event_type"], NOW1)
     return scd2_apply_snapshot(state, extract(spark, d), ["user_id"], ["event_type"], NOW2)
+
+
+# --------------------------------------------------------------------------
+# NULL keys: histories take them as one key, merges reject them, lookups miss them
+# --------------------------------------------------------------------------
+
+def null_key_events(spark, d):
+    return events(spark, d).withColumn("user_id", F.when(F.col("event_type") != "click", F.col("user_id")))
+
+
+def _on_null_keys(sql: str) -> str:
+    return sql.replace("FROM events", f"FROM {NULL_KEY_SQL}")
+
+
+@register("q_scd2_incremental_null_key", _on_null_keys(SCD2_SQL))
+def q_scd2_incremental_null_key(spark, d):
+    e = null_key_events(spark, d)
+    target = scd2_history(e.filter(F.col("ts") < ts(SPLIT)), ["user_id"], ["event_type"], SEQ)
+    return scd2_apply(target, e, e.filter(F.col("ts") >= ts(SPLIT)), ["user_id"], ["event_type"], SEQ)
+
+
+@register("q_scd2_incremental_fast_null_key", _on_null_keys(_scd2_sql(deletes=True)))
+def q_scd2_incremental_fast_null_key(spark, d):
+    e = null_key_events(spark, d)
+    old, batch = e.filter(F.col("ts") < ts(SPLIT)), e.filter(F.col("ts") >= ts(SPLIT))
+    target = scd2_history(old, ["user_id"], ["event_type"], SEQ, is_delete=is_del())
+    out, _ = scd2_apply_fast(target, scd2_key_state(old, ["user_id"], SEQ), batch, e, ["user_id"], ["event_type"], SEQ,
+                             is_delete=is_del())
+    return out
+
+
+@register("q_auto_cdc_null_key", f"SELECT * FROM ({_on_null_keys(_latest_sql())}) "
+                                 "WHERE event_type <> 'error' AND user_id IS NOT NULL")
+def q_auto_cdc_null_key(spark, d):
+    """Three batches, the last of them twice: NULL keys neither win nor pile up."""
+    e = null_key_events(spark, d).select(*EV_COLS)
+    state = None
+    for n in (0, 1, 2, 2):
+        state = apply_changes(e.filter(F.pmod(F.xxhash64("event_id"), F.lit(3)) == n), ["user_id"], SEQ,
+                              apply_as_deletes=is_del(), target=state, keep_tombstones=True)
+    return state.filter(~F.col("__deleted")).drop("__deleted")
+
+
+@register("q_merge_null_key", f"""
+WITH l AS ({_on_null_keys(_latest_sql())})
+SELECT user_id, event_type, ts FROM l WHERE user_id IS NOT NULL""")
+def q_merge_null_key(spark, d):
+    """A conditional merge and then its replay, of whose rows none is new."""
+    batch = latest_per_key(null_key_events(spark, d).select("user_id", "event_id", "ts", "event_type"), ["user_id"], SEQ)
+    once = merge_changed_only(batch.limit(0), batch, ["user_id"], ["event_type"]).drop("_merge_action")
+    again = merge_changed_only(once, batch, ["user_id"], ["event_type"]).drop("_merge_action")
+    return again.unionByName(new_keys(batch, again, ["user_id"])).select("user_id", "event_type", "ts")
+
+
+@register("q_scd2_as_of_null_key", f"""
+WITH h AS ({_on_null_keys(SCD2_SQL)}),
+f AS (SELECT event_id, user_id, ts FROM {NULL_KEY_SQL})
+SELECT f.event_id, f.user_id, f.ts, h.event_type AS version_event_type, h.scd_version AS version_scd_version
+FROM f LEFT JOIN h ON f.user_id = h.user_id AND h.scd_start_date <= f.ts
+ AND (h.scd_end_date IS NULL OR f.ts < h.scd_end_date)""")
+def q_scd2_as_of_null_key(spark, d):
+    e = null_key_events(spark, d)
+    h = scd2_history(e, ["user_id"], ["event_type"], SEQ)
+    return as_of_join(e.select("event_id", "user_id", "ts"), h, ["user_id"], "ts", ["event_type", "scd_version"],
+                      fact_order=["event_id"], prefix="version_")

@@ -457,7 +457,7 @@ def q_stream_change_feed_latest(spark, d):
     for version in (0, 1, 1):
         append_changes(old.filter(F.pmod(F.xxhash64("event_id"), F.lit(2)) == version), f"{root}/log", version)
     schema = spark.read.parquet(f"{root}/log/_commit_version=0").schema
-    stream = read_change_stream(spark, f"{root}/log", schema, from_version="latest")
+    stream = read_change_stream(spark, f"{root}/log", schema, from_version="latest", checkpoint=f"{root}/_chk")
     for _ in range(2):  # the commit, then its replay
         append_changes(new, f"{root}/log", 2)
         append_stream(stream, f"{root}/out", f"{root}/_chk")
@@ -559,3 +559,30 @@ def q_stream_auto_cdc_scd2(spark, d):
                                   version_col="scd_version")
     foreach_batch_stream(read_change_stream(spark, f"{root}/log", schema, max_files=4), w, f"{root}/_chk")
     return bucketed_table(spark, w)
+
+
+@register("q_stream_change_feed_restart", f"SELECT event_id, ts, user_id, event_type, value FROM events WHERE ts >= TIMESTAMP '{NOW1}'")
+def q_stream_change_feed_restart(spark, d):
+    """Two commits are there when a consumer starts at "latest".  One comes while it runs, three while it
+    is down; it starts again, at "latest", twice: each of the four arrives once."""
+    root = scratch_path(spark, "cdf_restart")
+    e = events(spark, d).select(*EV_COLS).withColumn("_change_type", F.lit("insert"))
+    new = F.col("ts") >= F.lit(NOW1).cast("timestamp_ntz")
+
+    def commit(versions, rows):
+        for v in versions:  # a quarter of the rows each
+            append_changes(rows.filter(F.pmod(F.xxhash64("event_id"), F.lit(4)) == (v + 2) % 4), f"{root}/log", v)
+
+    def consume():
+        schema = spark.read.parquet(f"{root}/log/_commit_version=0").schema
+        stream = read_change_stream(spark, f"{root}/log", schema, from_version="latest", checkpoint=f"{root}/_chk")
+        append_stream(stream, f"{root}/out", f"{root}/_chk")
+
+    commit((0, 1), e.filter(~new))
+    consume()
+    commit((2,), e.filter(new))
+    consume()
+    commit((3, 4, 5), e.filter(new))
+    consume()
+    consume()
+    return spark.read.parquet(f"{root}/out").select(*EV_COLS)

@@ -139,19 +139,42 @@ def create_table_if_absent(spark: SparkSession, path: str, schema) -> bool:
     return True
 
 
+def consumer_start(spark: SparkSession, log_base: str, checkpoint: str, from_version: int | str = "latest",
+                   version_col: str = "_commit_version") -> int:
+    """The first version that the consumer with this checkpoint reads.
+
+    Decided once, when the consumer first starts, and kept beside its
+    checkpoint (``<checkpoint>-start``): whatever is asked for later, and however
+    many versions were stored while the consumer was down, it goes on from there.
+    """
+    place = f"{checkpoint.rstrip('/')}-start"
+    if not path_exists(spark, f"{place}/_SUCCESS"):
+        first = from_version
+        if first == "latest":
+            first = max(numbered(spark, log_base, f"{version_col}="), default=-1) + 1
+        spark.createDataFrame([(int(first),)], "first long").coalesce(1).write.mode("overwrite").parquet(place)
+    return spark.read.schema("first long").parquet(place).first()["first"]
+
+
 def read_change_stream(spark: SparkSession, log_base: str, schema, from_version: int | str = 0,
-                       version_col: str = "_commit_version", max_files: int | None = None):
+                       version_col: str = "_commit_version", max_files: int | None = None,
+                       checkpoint: str | None = None):
     """The change log as a stream, from ``from_version`` on (0 = whole history).
 
-    ``"latest"`` starts after the newest version there is now.
+    ``"latest"`` starts after the newest version there is when the consumer first
+    starts; it needs the consumer's ``checkpoint``, beside which the start is kept
+    (:func:`consumer_start`).  With a checkpoint a number is kept in the same way.
 
     The log is ``<log_base>/<version_col>=<n>/`` Parquet (see
     :func:`append_changes`); new versions are new folders, so the file stream
     source picks them up.  The version filter is a partition filter.
     """
     from pyspark.sql import types as T
-    if from_version == "latest":
-        from_version = max(numbered(spark, log_base, f"{version_col}="), default=-1) + 1
+    if checkpoint is not None:
+        from_version = consumer_start(spark, log_base, checkpoint, from_version, version_col)
+    elif from_version == "latest":
+        raise ValueError('"latest" needs the consumer\'s checkpoint: counted anew at a restart, '
+                         "it would skip what was stored in between")
     fields = [f for f in schema.fields if f.name != version_col]
     full = T.StructType(fields + [T.StructField(version_col, T.LongType(), True)])
     r = spark.readStream.schema(full)
