@@ -271,6 +271,14 @@ def scd2_apply_fast(target: DataFrame, state: DataFrame, batch: DataFrame, log:
     return history, new_state
 
 
+def not_before(target: DataFrame, at: Column, start_col: str, end_col: str) -> Column:
+    """``at``; the query fails if ``target`` holds a version that began or ended later."""
+    newest = target.agg(F.max(F.greatest(start_col, end_col))).scalar()
+    late = F.concat(F.lit("an extract of "), at.cast("string"), F.lit(" is older than the table's newest version, "),
+                    newest.cast("string"), F.lit("; build the history again from all extracts"))
+    return F.when(newest > at, F.raise_error(late).cast("timestamp_ntz")).otherwise(at)
+
+
 def scd2_apply_snapshot(target: DataFrame | None, extract: DataFrame, keys: Sequence[str],
                         tracked: Sequence[str], at, columns: Sequence[str] | None = None,
                         start_col: str = "scd_start_date", end_col: str = "scd_end_date",
@@ -281,7 +289,8 @@ def scd2_apply_snapshot(target: DataFrame | None, extract: DataFrame, keys: Sequ
     version, a changed one ends its version and gets the next, an unchanged one
     stays, and the current version of a key gone from the extract ends; a key that
     comes back goes on counting.  ``target`` is None at first.  All joins are
-    between rows unique per key.
+    between rows unique per key.  The query fails if ``at`` is before what ``target``
+    holds.  For several extracts see :func:`~lakeledger.operators.extracts.scd2_extract_series`.
     """
     keys, tracked = list(keys), list(tracked)
     payload = [c for c in (columns if columns is not None else tracked) if c not in keys]
@@ -291,6 +300,8 @@ def scd2_apply_snapshot(target: DataFrame | None, extract: DataFrame, keys: Sequ
     out = [*keys, *payload, start_col, end_col, current_col, version_col]
     if target is None:
         return new.withColumn(version_col, F.lit(1).cast("bigint")).select(*out)
+    when = not_before(target, when, start_col, end_col)
+    new = new.withColumn(start_col, when)
     current = target.filter(F.col(current_col))
     met = current.alias("t").join(new.alias("s"), on=keys, how="left")
     gone = F.col(f"s.{current_col}").isNull()
