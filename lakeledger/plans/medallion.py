@@ -11,6 +11,11 @@ entity would run them):
    merge the valid rows into a new snapshot version (upsert / SCD1 / SCD2 / type-1 CDC).
 
 Each stream uses ``availableNow`` and is awaited before the next step.
+
+Entities of full extracts (``source_kind="snapshot"``) are not cut into micro-batches
+but along their extracts, by a manifest (:mod:`lakeledger.sources.extracts`): an extract
+is read once it is complete, however many wait.  An entity without data, or without a
+landing folder, gets an empty silver table; the run goes on.
 """
 
 from __future__ import annotations
@@ -27,11 +32,14 @@ from ..operators import quality
 from ..operators.cdc import apply_changes
 from ..operators.dedup import latest_per_key
 from ..operators.merge import as_timestamp, scd1_apply, upsert
-from ..operators.scd2 import scd2_apply, scd2_apply_snapshot, scd2_history
-from ..sources.files import RESCUE_COL, read_file_stream, with_ingest_metadata
+from ..operators.extracts import scd2_extract_series
+from ..operators.scd2 import scd2_apply, scd2_history
+from ..sources.extracts import REFUSED, Manifest
+from ..sources.files import RESCUE_COL, read_file_stream, read_files, with_ingest_metadata
 from ..sources.schemas import bronze_out
+from ..sources.snapshots import has_partitions, list_versions, path_exists, publish_snapshot, read_snapshot
 from ..streaming.silver import (BUCKET, BucketedWriter, SnapshotWriter, bucketed_table, published,
-                                read_batches)
+                                read_batches, visible)
 from ..streaming.sinks import append_stream, foreach_batch_stream
 
 
@@ -54,84 +62,167 @@ class Entity:
     columns: list[str] | None = None     # silver payload (default: all typed columns)
     buckets: int | None = 16             # rewrite only touched key buckets; None: a whole version per batch
     sk_col: str | None = None            # surrogate key (scd1)
-    source_kind: str = "delta"           # "snapshot": a batch is a full extract (scd1, scd2)
+    source_kind: str = "delta"           # "snapshot": landing sub-folders are full extracts (scd1, scd2)
+    mark: str = "_SUCCESS"               # file that says an extract is complete
+    extract_time: str = "load"           # instant of an extract: "load" (now of its number) or "name" (its folder)
+    late: str = "refuse"                 # an extract older than a known one; "place" (scd2): build anew from all
     layout: T.StructType | None = None   # declared silver layout: columns in its order
 
     def __post_init__(self):
         if self.source_kind == "snapshot":
             if self.max_files or self.kind not in ("scd1", "scd2"):
                 raise ValueError("a full extract is one batch, for scd1 or scd2")
+            if self.late != "refuse" and self.kind != "scd2":
+                raise ValueError("only a history can place a late extract")
             self.buckets = None  # keys may be gone from any bucket
 
 
-def _silver_builder(e: Entity, base: str, now: Callable[[int], object]):
-    quarantine = f"{base}/quarantine/{e.name}"
-    log_base = f"{base}/silver_log/{e.name}"
+def _typed(e: Entity, batch: DataFrame, load_time) -> tuple[DataFrame, DataFrame]:
+    """Valid rows with typed columns, and the rejected ones with their reasons."""
+    typed = cast_failures(batch, e.clean) if e.clean else batch.withColumn("_cast_failures", F.array())
+    rules = {f"{k}_not_null": F.col(k).isNotNull() for k in e.keys}
+    rules["cast_ok"] = F.size("_cast_failures") == 0
+    if RESCUE_COL in batch.columns:
+        rules["nothing_rescued"] = F.col(RESCUE_COL).isNull()
+    valid, rejects = quality.split_valid(typed, rules)
+    carry = [BUCKET] if BUCKET in batch.columns else []
+    return valid.select(*dict.fromkeys([*e.keys, *_payload(e), *e.sequence, *carry]),
+                        F.col("_load_datetime").alias("_bronze_load_datetime"),
+                        as_timestamp(load_time).alias("_silver_load_datetime")), rejects
+
+
+def _payload(e: Entity) -> list[str]:
+    return e.columns or list(e.schema.fieldNames())
+
+
+def _next_state(e: Entity, src: DataFrame, prev: DataFrame | None, load_time,
+                log: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Silver after the valid rows ``src``; ``log(src)`` keeps them and gives all there were (scd2)."""
+    if e.kind == "upsert":
+        return latest_per_key(src, e.keys, e.sequence) if prev is None else \
+            upsert(prev, src.select(*prev.columns), e.keys, sequence=e.sequence)
+    if e.kind == "scd1":
+        return scd1_apply(prev, src, e.keys, e.tracked, load_time, sequence=e.sequence,
+                          is_delete=e.is_delete, keep_tombstones=True, sk_col=e.sk_col,
+                          source_kind=e.source_kind)
+    if e.kind == "cdc1":
+        return apply_changes(src, e.keys, e.sequence, apply_as_deletes=e.is_delete,
+                             target=prev, keep_tombstones=True)
+    if e.kind == "scd2":
+        whole = log(src)
+        cols = [*[c for c in _payload(e) if c not in e.keys], *HOPS]
+        if BUCKET in src.columns:  # rebuild touched keys only; the bucket join prunes the log's folders
+            touched = src.select(*e.keys, BUCKET).distinct()
+            whole = whole.join(touched, on=[*e.keys, BUCKET], how="left_semi")
+            rebuilt = scd2_history(whole, e.keys, e.tracked, e.sequence, is_delete=e.is_delete,
+                                   columns=[*cols, BUCKET])
+            if prev is None:
+                return rebuilt
+            kept = prev.join(touched.select(*e.keys), on=e.keys, how="left_anti")
+            return kept.unionByName(rebuilt.select(*prev.columns))
+        if prev is None:
+            return scd2_history(whole, e.keys, e.tracked, e.sequence, is_delete=e.is_delete, columns=cols)
+        return scd2_apply(prev, whole, src, e.keys, e.tracked, e.sequence, is_delete=e.is_delete, columns=cols)
+    raise ValueError(f"unknown silver kind {e.kind}")
+
 
+def _series(e: Entity, prev: DataFrame | None, extracts: DataFrame, instants: Sequence[str]) -> DataFrame:
+    once = latest_per_key(extracts, [*e.keys, "_at"], e.sequence)
+    return scd2_extract_series(prev, once, instants, e.keys, e.tracked, columns=[*_payload(e), *HOPS])
+
+
+def _silver_builder(e: Entity, base: str, now: Callable[[int], object]):
     def build(batch: DataFrame, prev: DataFrame | None, version: int) -> DataFrame:
-        typed = cast_failures(batch, e.clean) if e.clean else batch.withColumn("_cast_failures", F.array())
-        rules = {f"{k}_not_null": F.col(k).isNotNull() for k in e.keys}
-        rules["cast_ok"] = F.size("_cast_failures") == 0
-        if RESCUE_COL in batch.columns:
-            rules["nothing_rescued"] = F.col(RESCUE_COL).isNull()
-        valid, rejects = quality.split_valid(typed, rules)
-        rejects.write.mode("overwrite").parquet(f"{quarantine}/_batch={version}")
-        payload = e.columns or [c for c in e.schema.fieldNames()]
-        carry = [BUCKET] if BUCKET in batch.columns else []
-        src = valid.select(*dict.fromkeys([*e.keys, *payload, *e.sequence, *carry]),
-                           F.col("_load_datetime").alias("_bronze_load_datetime"),
-                           as_timestamp(now(version)).alias("_silver_load_datetime"))
-        if e.kind == "upsert":
-            return latest_per_key(src, e.keys, e.sequence) if prev is None else \
-                upsert(prev, src.select(*prev.columns), e.keys, sequence=e.sequence)
-        if e.kind == "scd1":
-            return scd1_apply(prev, src, e.keys, e.tracked, now(version), sequence=e.sequence,
-                              is_delete=e.is_delete, keep_tombstones=True, sk_col=e.sk_col,
-                              source_kind=e.source_kind)
-        if e.kind == "cdc1":
-            return apply_changes(src, e.keys, e.sequence, apply_as_deletes=e.is_delete,
-                                 target=prev, keep_tombstones=True)
-        if e.kind == "scd2" and e.source_kind == "snapshot":
-            return scd2_apply_snapshot(prev, latest_per_key(src, e.keys, e.sequence), e.keys, e.tracked,
-                                       as_timestamp(now(version)), columns=[*payload, *HOPS])
-        if e.kind == "scd2":
-            w = src.write.mode("overwrite")
-            (w.partitionBy(BUCKET) if carry else w).parquet(f"{log_base}/_batch={version}")
-            log = read_batches(batch.sparkSession, log_base, src.schema)
-            cols = [*[c for c in payload if c not in e.keys], *HOPS]
-            if carry:  # rebuild touched keys only; the bucket join prunes the log's folders
-                touched = src.select(*e.keys, BUCKET).distinct()
-                log = log.join(touched, on=[*e.keys, BUCKET], how="left_semi")
-                rebuilt = scd2_history(log, e.keys, e.tracked, e.sequence, is_delete=e.is_delete,
-                                       columns=[*cols, BUCKET])
-                if prev is None:
-                    return rebuilt
-                kept = prev.join(touched.select(*e.keys), on=e.keys, how="left_anti")
-                return kept.unionByName(rebuilt.select(*prev.columns))
-            if prev is None:
-                return scd2_history(log, e.keys, e.tracked, e.sequence, is_delete=e.is_delete, columns=cols)
-            return scd2_apply(prev, log, src, e.keys, e.tracked, e.sequence, is_delete=e.is_delete, columns=cols)
-        raise ValueError(f"unknown silver kind {e.kind}")
+        src, rejects = _typed(e, batch, now(version))
+        rejects.write.mode("overwrite").parquet(f"{base}/quarantine/{e.name}/_batch={version}")
+        log_base = f"{base}/silver_log/{e.name}"
+
+        def log(rows: DataFrame) -> DataFrame:
+            w = rows.write.mode("overwrite")
+            (w.partitionBy(BUCKET) if BUCKET in rows.columns else w).parquet(f"{log_base}/_batch={version}")
+            return read_batches(batch.sparkSession, log_base, rows.schema)
+        return _next_state(e, src, prev, now(version), log)
     return build
 
 
+def _bronze_schema(e: Entity) -> T.StructType:
+    schema = bronze_out(e.schema)
+    if e.fmt in ("csv", "json"):
+        n = len(e.schema.fields)
+        schema = T.StructType(schema.fields[:n] + [T.StructField(RESCUE_COL, T.StringType(), True)] + schema.fields[n:])
+    return schema
+
+
+def run_extracts(spark: SparkSession, e: Entity, landing_root: str, base: str, now: Callable[[int], object]) -> str:
+    """Bronze and silver of an entity of full extracts; returns the silver folder.
+
+    Extract ``n`` of the manifest goes to ``bronze/<entity>/_extract=<n>``; silver's
+    version is the number of the last extract applied, so a run that is repeated
+    after a failure applies the same ones again to the same version.  SCD2 takes all
+    that wait in one step.  An extract that is complete and has no rows deletes all keys.
+    """
+    bronze, out = f"{base}/bronze/{e.name}", f"{base}/silver/{e.name}"
+    manifest = Manifest(spark, f"{base}/_extracts/{e.name}")
+    entries = manifest.discover(f"{landing_root}/{e.name}", e.mark, e.late,
+                                at=(lambda n: str(now(n))) if e.extract_time == "load" else None)
+    done = max(list_versions(spark, out), default=-1)
+    usable = [x for x in entries if x.state != REFUSED]
+    pending = [x for x in usable if x.number > done]
+    for x in pending:
+        if x.n_rows is None:
+            rows = with_ingest_metadata(read_files(spark, x.folder, e.schema, fmt=e.fmt, options=e.options))
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{bronze}/_extract={x.number}")
+            x.n_rows = spark.read.schema(_bronze_schema(e)).parquet(f"{bronze}/_extract={x.number}").count()
+            manifest.put(x)
+    if not pending:
+        return out
+
+    def typed(x):
+        rows = spark.read.schema(_bronze_schema(e)).parquet(f"{bronze}/_extract={x.number}")
+        src, rejects = _typed(e, rows, now(x.number))
+        rejects.write.mode("overwrite").parquet(f"{base}/quarantine/{e.name}/_batch={x.number}")
+        return src
+
+    if e.kind == "scd1":
+        for x in pending:
+            prev = read_snapshot(spark, out, below=x.number)
+            publish_snapshot(_next_state(e, typed(x), prev, now(x.number), lambda s: s), out, x.number)
+        return out
+    applied = max((x.at for x in usable if x.number <= done), default="")
+    prev = read_snapshot(spark, out, below=pending[0].number)
+    if min(x.at for x in pending) < applied:  # a late one: its place is among those applied before
+        pending, prev = sorted(usable, key=lambda x: x.at), None
+    rows = None
+    for x in pending:
+        each = typed(x).withColumn("_at", F.lit(x.at))
+        rows = each if rows is None else rows.unionByName(each)
+    publish_snapshot(_series(e, prev, rows, [x.at for x in pending]), out, max(x.number for x in pending))
+    return out
+
+
+def _empty_silver(spark: SparkSession, e: Entity, now: Callable[[int], object]) -> DataFrame:
+    """The silver table of an entity that has no data yet."""
+    src, _ = _typed(e, spark.createDataFrame([], _bronze_schema(e)), now(0))
+    if e.kind == "scd2" and e.source_kind == "snapshot":
+        return _series(e, None, src.withColumn("_at", F.lit(str(now(0)))), [str(now(0))])
+    return visible(_next_state(e, src, None, now(0), lambda s: s))
+
+
 def run_bronze(spark: SparkSession, e: Entity, landing_root: str, base: str) -> str:
     out = f"{base}/bronze/{e.name}"
-    src = read_file_stream(spark, f"{landing_root}/{e.name}", e.schema, fmt=e.fmt,
-                           options=e.options, max_files=e.max_files)
-    append_stream(with_ingest_metadata(src), out, f"{base}/_checkpoints/bronze_{e.name}")
+    if path_exists(spark, f"{landing_root}/{e.name}"):  # nothing has landed: nothing to read
+        src = read_file_stream(spark, f"{landing_root}/{e.name}", e.schema, fmt=e.fmt,
+                               options=e.options, max_files=e.max_files)
+        append_stream(with_ingest_metadata(src), out, f"{base}/_checkpoints/bronze_{e.name}")
     return out
 
 
 def run_silver(spark: SparkSession, e: Entity, base: str, now: Callable[[int], object]) -> str:
     bronze_dir = f"{base}/bronze/{e.name}"
-    bschema = bronze_out(e.schema)
-    if e.fmt in ("csv", "json"):
-        bschema = T.StructType(bschema.fields[:len(e.schema.fields)]
-                               + [T.StructField(RESCUE_COL, T.StringType(), True)]
-                               + bschema.fields[len(e.schema.fields):])
-    stream = spark.readStream.schema(bschema).parquet(bronze_dir)
     out = f"{base}/silver/{e.name}"
+    if not path_exists(spark, bronze_dir):
+        return out
+    stream = spark.readStream.schema(_bronze_schema(e)).parquet(bronze_dir)
     build = _silver_builder(e, base, now)
     log_base = f"{base}/silver_log/{e.name}"
     writer = (BucketedWriter(out, e.keys, e.buckets, build, log_base=log_base) if e.buckets
@@ -145,10 +236,18 @@ def run_medallion(spark: SparkSession, entities: Sequence[Entity], landing_root:
     """Run bronze then silver for each entity; return the published silver tables."""
     out = {}
     for e in entities:
-        run_bronze(spark, e, landing_root, base)
-        silver_dir = run_silver(spark, e, base, now)
-        df = bucketed_table(spark, silver_dir) if e.buckets else published(spark, silver_dir)
-        out[e.name] = df.select(*e.layout.fieldNames()) if e.layout is not None and df is not None else df
+        if e.source_kind == "snapshot":
+            df = published(spark, run_extracts(spark, e, landing_root, base, now))
+        else:
+            run_bronze(spark, e, landing_root, base)
+            silver_dir = run_silver(spark, e, base, now)
+            if not e.buckets:
+                df = published(spark, silver_dir)
+            else:
+                df = bucketed_table(spark, silver_dir) if has_partitions(spark, f"{silver_dir}/table", BUCKET) else None
+        if df is None:
+            df = _empty_silver(spark, e, now)
+        out[e.name] = df.select(*e.layout.fieldNames()) if e.layout is not None else df
     return out
 
 

@@ -16,7 +16,10 @@ from pyspark.sql import types as T
 from ..functions.clean import text
 from ..operators import quality
 from ..operators.changes import read_changes
+from ..operators.dedup import latest_per_key
+from ..operators.extracts import scd2_extract_series
 from ..operators.gold import readmissions
+from ..operators.ordered import cut
 from ..session import scratch_path
 from ..sources.files import MULTILINE, RESCUE_COL, file_name, read_file_stream, read_files, with_ingest_metadata
 from ..sources.schemas import describe_schema, infer_or_load_schema
@@ -29,7 +32,7 @@ from ..streaming.sinks import append_stream, foreach_batch_stream
 from .catalog import (AUTO1_SQL, AUTO2_SQL, EV_COLS, is_del, NOW1, NOW2, OLD_STATE_SQL, READMISSION_SQL, SCD1_STATE_SQL, SCD2_SQL, SEQ,
                       _latest_sql, _orders_as_text, event_change_log, events, new_state, old_state,
                       orders_schema, register, table)
-from .medallion import Entity, production_entities, run_medallion
+from .medallion import Entity, oncology_entities, oncology_gold, production_entities, run_medallion
 
 EVENTS_SQL = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
 
@@ -586,3 +589,102 @@ def q_stream_change_feed_restart(spark, d):
     consume()
     consume()
     return spark.read.parquet(f"{root}/out").select(*EV_COLS)
+
+
+# --------------------------------------------------------------------------
+# Full extracts that pile up; all entities of the job
+# --------------------------------------------------------------------------
+
+EXTRACT_DAYS = ["2024-01-05", "2024-01-10", "2024-01-15", "2024-01-20", "2024-01-25"]
+EMPTY_DAY = "2024-01-15"  # this extract has no rows
+
+
+def _extract_at(spark, d, day):
+    """Users as they are at an instant: their last event before it, unless it deletes them."""
+    e = events(spark, d).filter((F.col("ts") < F.lit(day).cast("timestamp_ntz")) & F.lit(day != EMPTY_DAY))
+    return latest_per_key(e.select("user_id", "event_id", "ts", "event_type"), ["user_id"], SEQ).filter(~is_del())
+
+
+_AT_SQL = "(VALUES " + ", ".join(f"({n}, TIMESTAMP '{day}')" for n, day in enumerate(EXTRACT_DAYS, 1)) + ") AS x(n, taken)"
+EXTRACT_SERIES_SQL = f"""
+WITH x AS (SELECT * FROM {_AT_SQL}),
+p AS (SELECT x.n, x.taken, e.user_id, e.event_type,
+        row_number() OVER (PARTITION BY x.n, e.user_id ORDER BY e.ts DESC, e.event_id DESC) AS rn
+      FROM x JOIN events e ON e.ts < x.taken WHERE x.taken <> TIMESTAMP '{EMPTY_DAY}'),
+r AS (SELECT n, taken, user_id, event_type FROM p WHERE rn = 1 AND event_type <> 'error'),
+b AS (SELECT *, CASE WHEN lag(n) OVER w = n - 1 AND lag(event_type) OVER w = event_type THEN 0 ELSE 1 END AS begins
+      FROM r WINDOW w AS (PARTITION BY user_id ORDER BY n)),
+i AS (SELECT *, sum(begins) OVER (PARTITION BY user_id ORDER BY n) AS island FROM b),
+g AS (SELECT user_id, island, min(event_type) AS event_type, min(taken) AS starts, max(n) AS last_n FROM i GROUP BY 1, 2)
+SELECT user_id, event_type, starts AS scd_start_date, x.taken AS scd_end_date, x.taken IS NULL AS is_current,
+  CAST(island AS BIGINT) AS scd_version FROM g LEFT JOIN x ON x.n = last_n + 1"""
+
+
+@register("q_scd2_extract_series", EXTRACT_SERIES_SQL)
+def q_scd2_extract_series(spark, d):
+    """Two extracts are stored; three wait: one without rows, and the newest before the older one."""
+    def rows(days):
+        out = None
+        for day in days:
+            each = _extract_at(spark, d, day).select("user_id", "event_type").withColumn("_at", F.lit(day))
+            out = each if out is None else out.unionByName(each)
+        return out
+    first, rest = EXTRACT_DAYS[:2], [EXTRACT_DAYS[4], EXTRACT_DAYS[2], EXTRACT_DAYS[3]]
+    stored = cut(scd2_extract_series(None, rows(first), first, ["user_id"], ["event_type"]), "two_extracts")
+    return scd2_extract_series(stored, rows(rest), rest, ["user_id"], ["event_type"])
+
+
+@register("q_medallion_extract_series", EXTRACT_SERIES_SQL.replace("user_id, event_type, starts", "CAST(user_id AS VARCHAR) AS user_id, event_type, starts"))
+def q_medallion_extract_series(spark, d):
+    """Extracts in dated folders: two runs of two and three extracts; the third lacks its mark until all others are
+    applied, so it comes late and the history is built again from all."""
+    root = scratch_path(spark, "extract_series")
+    cols = ["user_id", "event_type"]
+    e = Entity("users", T.StructType([T.StructField(c, T.StringType()) for c in cols]), ["user_id"],
+               ["event_type"], clean={c: text(c) for c in cols}, tracked=["event_type"], kind="scd2",
+               source_kind="snapshot", extract_time="name", late="place")
+    for days in (EXTRACT_DAYS[:2], EXTRACT_DAYS[3:], EXTRACT_DAYS[2:3]):
+        for day in days:
+            _stage_csv(_extract_at(spark, d, day).select(*cols), f"{root}/landing/users/at={day}")
+        got = run_medallion(spark, [e], f"{root}/landing", f"{root}/lake", lambda _: NOW1)["users"]
+    return got.select(*cols, "scd_start_date", "scd_end_date", "is_current", "scd_version")
+
+
+@register("q_medallion_five_entities", """
+WITH o AS (SELECT *, lag(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS prev FROM orders),
+r AS (SELECT o_custkey, count(*) FILTER (WHERE datediff('day', prev, o_orderdate) <= 30) AS n_readmissions,
+        max(CAST(o_orderdate AS DATE)) AS last_diagnosis FROM o GROUP BY 1),
+s AS (SELECT o_custkey, arg_max(o_orderstatus, struct_pack(d := CAST(o_orderdate AS DATE), k := o_orderkey)) AS status
+      FROM orders GROUP BY 1)
+SELECT 'P' || c_custkey AS Patient_ID, c_name AS Name, s.status AS Cancer_Disease_Status,
+  CASE WHEN c_acctbal > 0 THEN 'T1' ELSE 'T2' END AS TNM_Stage_Group, last_diagnosis,
+  CAST(NULL AS BIGINT) AS n_observations, coalesce(n_readmissions, 0) AS n_readmissions
+FROM customer LEFT JOIN r ON r.o_custkey = c_custkey LEFT JOIN s ON s.o_custkey = c_custkey""")
+def q_medallion_five_entities(spark, d):
+    """The job of five entities and its gold tables; no observation has landed yet."""
+    root = scratch_path(spark, "five_entities")
+    c, o = table(spark, d, "customer"), table(spark, d, "orders")
+    patient = F.concat(F.lit("P"), F.col("c_custkey").cast("string")).alias("Patient_ID")
+    ordered = F.concat(F.lit("P"), F.col("o_custkey").cast("string")).alias("Patient_ID")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    stage = lambda df, name: _stage_csv(df, f"{root}/landing/{name}")
+    stage(c.select(patient, F.col("c_name").alias("Name"), F.lit("50").alias("Age"), F.lit("f").alias("Gender"),
+                   F.lit("Yes").alias("Cancer_Patient")), "cancer_patient")
+    # of a patient's states on a day the last order's holds: one row a day, as an entity's file would have it
+    status = latest_per_key(o.select("o_custkey", "o_orderkey", "o_orderstatus", "o_orderdate"),
+                            ["o_custkey", "o_orderdate"], ["o_orderkey"])
+    stage(status.select(ordered, F.col("o_orderstatus").alias("Cancer_Disease_Status"), day.alias("Last_Update"),
+                        F.lit("Yes").alias("On_Treatment")), "cancer_disease_status")
+    stage(o.select(ordered, F.lit("lung").alias("Primary_Cancer_Condition"), day.alias("Diagnosis_Date"),
+                   F.lpad(F.col("o_orderkey").cast("string"), 12, "0").alias("Hospital")), "primary_cancer_condition")
+    stage(c.select(patient, F.when(F.col("c_acctbal") > 0, "t1").otherwise("t2").alias("TNM_Stage_Group"),
+                   F.lit("1.5").alias("Tumor_Size_cm"), F.lit("No").alias("Node_Involvement"),
+                   F.lit("No").alias("Metastasis")), "tnm_stage_group")
+    entities = {e.name: e for e in oncology_entities(max_files=None, buckets=8)}
+    entities["primary_cancer_condition"].keys.append("Hospital")  # a stand-in patient has several a day
+    silver = run_medallion(spark, list(entities.values()), f"{root}/landing", f"{root}/lake", lambda _: NOW1)
+    gold = oncology_gold(silver)
+    again = gold["readmission_30d"].groupBy("Patient_ID").agg(F.sum("is_readmission_30d").alias("n_readmissions"))
+    return gold["patient_360"].join(again, "Patient_ID", "left").select(
+        "Patient_ID", "Name", "Cancer_Disease_Status", "TNM_Stage_Group", F.col("Diagnosis_Date").alias("last_diagnosis"),
+        "n_observations", F.coalesce("n_readmissions", F.lit(0)).cast("bigint").alias("n_readmissions"))

@@ -144,10 +144,11 @@ def scd2_writer(base: str, log_base: str, keys: Sequence[str], tracked: Sequence
 def published(spark: SparkSession, base: str, version: int | None = None) -> DataFrame | None:
     """The readable silver table: latest (or given) version without tombstones."""
     df = read_snapshot(spark, base, version=version)
-    return None if df is None else _hidden(df)
+    return None if df is None else visible(df)
 
 
-def _hidden(df: DataFrame) -> DataFrame:
+def visible(df: DataFrame) -> DataFrame:
+    """A stored state without its tombstones."""
     if TOMBSTONE in df.columns:
         return df.filter(~F.col(TOMBSTONE)).drop(TOMBSTONE)
     return without_tombstones(df) if {CREATED, DELETED} <= set(df.columns) else df
@@ -302,7 +303,7 @@ def bucketed_apply_changes_writer(base: str, keys: Sequence[str], sequence_by: S
 def bucketed_table(spark: SparkSession, writer_or_base) -> DataFrame:
     """The readable table of a bucketed writer (tombstones hidden)."""
     base = writer_or_base.base if isinstance(writer_or_base, BucketedWriter) else writer_or_base
-    return _hidden(spark.read.parquet(f"{base}/table").drop(BUCKET))
+    return visible(spark.read.parquet(f"{base}/table").drop(BUCKET))
 
 
 class FastScd2Writer:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeledger.operators.gold import readmissions
-from lakeledger.plans.medallion import oncology_entities, oncology_gold, run_medallion
+from lakeledger.plans.medallion import oncology_entities, oncology_gold, production_entities, run_medallion
 from lakeledger.session import scratch_path
 
 IDS = [f"P{i:03d}" for i in range(1, 11)]
@@ -107,3 +107,35 @@ def test_five_entities_two_waves(spark, buckets):
     assert p360["P001"].n_observations == 1 and p360["P011"].Cancer_Disease_Status is None
     rates = {r.TNM_Stage_Group: r.remission_rate for r in gold["outcome_rates"].collect()}
     assert set(rates) == {"T1N0M0"}
+
+
+def test_an_entity_without_data_does_not_end_the_run(spark):
+    """One landing folder is missing, one is empty, one extract has no rows and one has no mark."""
+    root = scratch_path(spark, "no_data")
+    now = lambda b: f"2024-06-0{b + 1} 00:00:00"
+    entities = {e.name: e for e in oncology_entities(buckets=4)}
+    spark.createDataFrame([("P1", "Ann", "5", "f", "Yes")], entities["cancer_patient"].schema) \
+        .write.option("header", True).csv(f"{root}/landing/cancer_patient")
+    os.makedirs(f"{root}/landing/observation".replace("file:", "", 1))
+    got = run_medallion(spark, list(entities.values()), f"{root}/landing", f"{root}/lake", now)
+    assert {n: df.count() for n, df in got.items()} == {"cancer_patient": 1, **{n: 0 for n in entities if n != "cancer_patient"}}
+    gold = oncology_gold(got)
+    assert [(r.Patient_ID, r.n_observations) for r in gold["patient_360"].collect()] == [("P1", None)]
+
+    for kind in ("patients_scd1", "patients_scd2"):
+        e = production_entities()[kind]
+        extract = spark.createDataFrame([(f"{i}", "n", "1980-01-01", "s", "f", "Yes") for i in range(3)], e.schema)
+        here = f"{root}/landing/{kind}"
+        assert run_medallion(spark, [e], f"{root}/landing", f"{root}/lake", now)[kind].count() == 0
+        extract.write.option("header", True).csv(f"{here}/extract=0")
+        extract.filter("patient_id <> '1'").write.option("header", True).csv(f"{here}/extract=1")
+        extract.write.option("header", True).option(
+            "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").csv(f"{here}/extract=2")  # not complete
+        live = "not _is_deleted" if kind == "patients_scd1" else "is_current"
+        both = run_medallion(spark, [e], f"{root}/landing", f"{root}/lake", now)[kind]  # the two that wait stay two
+        assert sorted(r.patient_id for r in both.filter(live).collect()) == ["0", "2"] and both.count() == 3
+        extract.limit(0).write.option("header", True).csv(f"{here}/extract=3")  # complete, and empty
+        gone = run_medallion(spark, [e], f"{root}/landing", f"{root}/lake", now)[kind]
+        assert gone.filter(live).count() == 0 and gone.count() == 3
+        again = run_medallion(spark, [e], f"{root}/landing", f"{root}/lake", now)[kind]
+        assert sorted(map(str, again.collect())) == sorted(map(str, gone.collect()))
