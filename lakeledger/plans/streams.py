@@ -28,9 +28,10 @@ from ..streaming.silver import (FastScd2Writer, apply_changes_scd2_writer, apply
                                 bucketed_apply_changes_writer,
                                 bucketed_scd2_writer, bucketed_table, published,
                                 scd1_writer, scd2_writer, stream_dedup, stream_latest_per_key, upsert_writer)
+from ..streaming.scd2_store import Scd2Store, read_directory
 from ..streaming.sinks import append_stream, foreach_batch_stream
 from .catalog import (AUTO1_SQL, AUTO2_SQL, EV_COLS, is_del, NOW1, NOW2, OLD_STATE_SQL, READMISSION_SQL, SCD1_STATE_SQL, SCD2_SQL, SEQ,
-                      _latest_sql, _orders_as_text, event_change_log, events, new_state, old_state,
+                      _latest_sql, _orders_as_text, _scd2_sql, event_change_log, events, new_state, old_state,
                       orders_schema, register, table)
 from .medallion import Entity, oncology_entities, oncology_gold, production_entities, run_medallion
 
@@ -688,3 +689,52 @@ def q_medallion_five_entities(spark, d):
     return gold["patient_360"].join(again, "Patient_ID", "left").select(
         "Patient_ID", "Name", "Cancer_Disease_Status", "TNM_Stage_Group", F.col("Diagnosis_Date").alias("last_diagnosis"),
         "n_observations", F.coalesce("n_readmissions", F.lit(0)).cast("bigint").alias("n_readmissions"))
+
+
+# --------------------------------------------------------------------------
+# The two-part SCD2 store
+# --------------------------------------------------------------------------
+
+def _thirds(spark, d, root, store):
+    """Three commits by event id, each over the whole time range, through the store."""
+    e = events(spark, d).select(*EV_COLS)
+    for version in range(3):
+        append_changes(e.filter(F.col("event_id") % 3 == version), f"{root}/log", version)
+        schema = spark.read.parquet(f"{root}/log/_commit_version=0").schema
+        foreach_batch_stream(read_change_stream(spark, f"{root}/log", schema), store, f"{root}/_chk")
+
+
+@register("q_stream_scd2_two_part", _scd2_sql(deletes=True))
+def q_stream_scd2_two_part(spark, d):
+    """Events in time order, by weeks: keys go on from their open state, closed versions are only appended."""
+    root = scratch_path(spark, "two_part")
+    week = F.floor(F.datediff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date")) / 7)
+    e = events(spark, d)
+    e.withColumn("_week", week).repartition("_week").drop("_week").sortWithinPartitions("ts") \
+        .write.parquet(f"{root}/landing")
+    store = Scd2Store(f"{root}/silver", ["user_id"], ["event_type"], SEQ, is_delete=is_del(), keep=2)
+    foreach_batch_stream(_parquet_stream(spark, f"{root}/landing", e.schema, max_files=2), store, f"{root}/_chk")
+    return store.history(spark)
+
+
+@register("q_stream_scd2_growing_buckets", _scd2_sql(deletes=True))
+def q_stream_scd2_growing_buckets(spark, d):
+    """One bucket at first, and a size that later batches go past: it splits, and gives what fixed ones give."""
+    root = scratch_path(spark, "growing")
+    store = Scd2Store(f"{root}/silver", ["user_id"], ["event_type"], SEQ, is_delete=is_del(), depth=0,
+                      bucket_bytes=4 << 10)
+    _thirds(spark, d, root, store)
+    if read_directory(spark, f"{root}/silver").count() < 2:
+        raise ValueError("no bucket was split")
+    return store.history(spark)
+
+
+@register("q_bucketed_time_travel", " UNION ALL ".join(
+    f"SELECT {n} AS version, * FROM ({_scd2_sql(where=f'event_id % 3 <= {n}', deletes=True)})" for n in range(3)))
+def q_bucketed_time_travel(spark, d):
+    """The history as it was after the first, the second and the last batch."""
+    root = scratch_path(spark, "time_travel")
+    store = Scd2Store(f"{root}/silver", ["user_id"], ["event_type"], SEQ, is_delete=is_del())
+    _thirds(spark, d, root, store)
+    out = [store.history(spark, version=n).select(F.lit(n).alias("version"), "*") for n in range(3)]
+    return out[0].unionByName(out[1]).unionByName(out[2])

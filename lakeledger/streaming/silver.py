@@ -23,44 +23,13 @@ from ..operators.cdc import END_AT, START_AT, TOMBSTONE, apply_changes
 from ..operators.dedup import latest_per_key
 from ..operators.merge import CREATED, DELETED, scd1_apply, upsert, without_tombstones
 from ..operators.scd2 import scd2_apply, scd2_history
-from ..sources.snapshots import numbered, path_exists, publish_snapshot, read_snapshot
+from ..sources.snapshots import publish_snapshot, read_snapshot
+from .scd2_store import Scd2Store
+from .versions import batch_version, read_batches
 
 Builder = Callable[[DataFrame, "DataFrame | None", int], DataFrame]
 
 
-def batch_version(spark: SparkSession, base: str, batch_id: int, offset: int | None,
-                  folders: Sequence[tuple[str, str]]) -> int:
-    """The durable number of a batch: where its run began, plus its id.
-
-    Batch ids restart at 0 with a new checkpoint.  A run is named by its
-    checkpoint's query id; its first number, kept under ``<base>/_runs``, is past
-    every number that ``folders`` (path, name prefix) hold when it starts.  A
-    call outside a stream has no run: it gets ``offset`` plus the id, and is
-    refused if newer numbers exist, as it would build on an old version.
-    """
-    newest = max((n for path, prefix in folders for n in numbered(spark, path, prefix)), default=-1)
-    run = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-    if run is None:
-        version = (offset or 0) + int(batch_id)
-        if newest > version:
-            raise RuntimeError(f"{base} already has version {newest} > {version}; "
-                               f"restarted checkpoint? pass offset={newest + 1}")
-        return version
-    place = f"{base}/_runs/{run}"
-    if path_exists(spark, f"{place}/_SUCCESS"):
-        first = spark.read.schema("first long").parquet(place).first()["first"]
-    else:
-        first = max(newest + 1, offset or 0)
-        spark.createDataFrame([(first,)], "first long").coalesce(1).write.mode("overwrite").parquet(place)
-    return first + int(batch_id)
-
-
-def read_batches(spark: SparkSession, log_base: str, schema) -> DataFrame:
-    """The change log ``<log_base>/_batch=<n>``; its schema is given, as batches may be empty."""
-    full = schema.add("_batch", "long") if "_batch" not in schema.fieldNames() else schema
-    return spark.read.schema(full).option("basePath", log_base).parquet(log_base).drop("_batch")
-
-
 class SnapshotWriter:
     """``foreachBatch`` callback: ``build(batch, previous, batch_id)`` -> next version.
 
@@ -237,35 +206,16 @@ class BucketedWriter:
 
 def bucketed_scd2_writer(base: str, keys: Sequence[str], tracked: Sequence[str],
                          sequence: Sequence[str], buckets: int, is_delete: Column | None = None,
-                         columns: Sequence[str] | None = None, **names) -> BucketedWriter:
-    """Incremental SCD2 with a bucket-partitioned log and silver table.
-
-    The batch is appended to ``<base>/log/_batch=<version>/_bucket=<b>``; the
-    rebuild reads only the touched buckets of the log (dynamic partition
-    pruning through the ``left_semi`` join on ``_bucket``).
-    """
-    keys = list(keys)
-    log_base = f"{base}/log"
-
-    def build(batch, prev, version):
-        batch.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{log_base}/_batch={version}")
-        touched = batch.select(*keys, BUCKET).distinct()
-        log = (read_batches(batch.sparkSession, log_base, batch.schema)
-                    .join(touched, on=[*keys, BUCKET], how="left_semi"))
-        rebuilt = scd2_history(log, keys, tracked, sequence, is_delete=is_delete, columns=columns, **names)
-        rebuilt = rebuilt.withColumn(BUCKET, key_bucket(keys, buckets))
-        if prev is None:
-            return rebuilt
-        kept = prev.join(touched.select(*keys), on=keys, how="left_anti")
-        return kept.unionByName(rebuilt.select(*prev.columns))
-
-    return BucketedWriter(base, keys, buckets, build, log_base=log_base)
+                         columns: Sequence[str] | None = None, **names) -> Scd2Store:
+    """Incremental SCD2 that begins with so many buckets (a power of two) and splits them as they grow."""
+    return Scd2Store(base, keys, tracked, sequence, is_delete=is_delete, columns=columns,
+                     depth=max(0, int(buckets) - 1).bit_length(), **names)
 
 
 def apply_changes_scd2_writer(base: str, keys: Sequence[str], sequence_by: Sequence[str], columns: Sequence[str],
                               buckets: int, apply_as_deletes: Column | None = None,
                               track_history_column_list: Sequence[str] | None = None,
-                              version_col: str | None = None) -> BucketedWriter:
+                              version_col: str | None = None) -> Scd2Store:
     """Type-2 :func:`~lakeledger.operators.cdc.apply_changes` of a change stream, touched buckets only.
 
     ``columns`` are stored; those that are no key and no sequence are tracked
@@ -275,7 +225,8 @@ def apply_changes_scd2_writer(base: str, keys: Sequence[str], sequence_by: Seque
     tracked = list(track_history_column_list) if track_history_column_list is not None else \
         [c for c in payload if c not in sequence_by]
     return bucketed_scd2_writer(base, keys, tracked, sequence_by, buckets, is_delete=apply_as_deletes, columns=payload,
-                                start_col=START_AT, end_col=END_AT, current_col=None, version_col=version_col)
+                                start_col=START_AT, end_col=END_AT, current_col=None, version_col=version_col,
+                                reject_null_keys=True)
 
 
 def bucketed_scd1_writer(base: str, keys: Sequence[str], tracked: Sequence[str],
@@ -302,50 +253,10 @@ def bucketed_apply_changes_writer(base: str, keys: Sequence[str], sequence_by: S
 
 def bucketed_table(spark: SparkSession, writer_or_base) -> DataFrame:
     """The readable table of a bucketed writer (tombstones hidden)."""
+    if isinstance(writer_or_base, Scd2Store):
+        return writer_or_base.history(spark)
     base = writer_or_base.base if isinstance(writer_or_base, BucketedWriter) else writer_or_base
     return visible(spark.read.parquet(f"{base}/table").drop(BUCKET))
 
 
-class FastScd2Writer:
-    """``foreachBatch`` SCD2 writer on :func:`scd2_apply_fast`.
-
-    Per batch number ``n``: append the batch to ``<base>/log/_batch=n`` (overwrite,
-    so replays are idempotent), read history and key state at the greatest
-    version below ``n``, apply, then publish ``<base>/state/v=n`` and
-    ``<base>/history/v=n``.  The log is read only for keys with late events.
-    """
-
-    def __init__(self, base: str, keys: Sequence[str], tracked: Sequence[str], sequence: Sequence[str],
-                 is_delete: Column | None = None, columns: Sequence[str] | None = None,
-                 offset: int | None = None, keep: int | None = None):
-        self.base, self.keys, self.tracked, self.sequence = base, list(keys), list(tracked), list(sequence)
-        self.is_delete, self.columns, self.offset, self.keep = is_delete, columns, offset, keep
-
-    def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
-        from ..operators.scd2 import scd2_apply_fast, scd2_key_state
-        spark = batch_df.sparkSession
-        bid = batch_version(spark, self.base, batch_id, self.offset,
-                            [(f"{self.base}/log", "_batch="), (f"{self.base}/state", "v="),
-                             (f"{self.base}/history", "v=")])
-        batch = batch_df.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            if batch.isEmpty():
-                return
-            batch.write.mode("overwrite").parquet(f"{self.base}/log/_batch={bid}")
-            log = read_batches(spark, f"{self.base}/log", batch.schema)
-            history = read_snapshot(spark, f"{self.base}/history", below=bid)
-            state = read_snapshot(spark, f"{self.base}/state", below=bid)
-            if history is None:
-                new_h = scd2_history(log, self.keys, self.tracked, self.sequence,
-                                     is_delete=self.is_delete, columns=self.columns)
-                new_s = scd2_key_state(log, self.keys, self.sequence)
-            else:
-                new_h, new_s = scd2_apply_fast(history, state, batch, log, self.keys, self.tracked,
-                                               self.sequence, is_delete=self.is_delete, columns=self.columns)
-            publish_snapshot(new_s, f"{self.base}/state", bid, keep=self.keep)
-            publish_snapshot(new_h, f"{self.base}/history", bid, keep=self.keep)
-        finally:
-            batch.unpersist()
-
-    def history(self, spark: SparkSession) -> DataFrame | None:
-        return read_snapshot(spark, f"{self.base}/history")
+FastScd2Writer = Scd2Store  # the name it had
