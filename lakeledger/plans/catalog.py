@@ -22,6 +22,7 @@ from ..operators.cdc import apply_changes
 from ..operators.changes import diff, incremental_since, postimages, read_changes, replay
 from ..operators.dedup import duplicate_keys, first_per_key, latest_per_key
 from ..operators.gold import cohort_rollup, entity_360, outcome_rates, readmissions, status_transitions
+from ..operators.histories import join_histories
 from ..operators.merge import merge_changed_only, scd1_apply, soft_delete_missing, upsert, new_keys
 from ..operators.ordered import keyed_scan
 from ..operators.scd2 import (as_of_date, as_of_join, current_rows, scd2_append_latest, scd2_apply,
@@ -943,3 +944,42 @@ def q_scd2_as_of_null_key(spark, d):
     h = scd2_history(e, ["user_id"], ["event_type"], SEQ)
     return as_of_join(e.select("event_id", "user_id", "ts"), h, ["user_id"], "ts", ["event_type", "scd_version"],
                       fact_order=["event_id"], prefix="version_")
+
+
+# --------------------------------------------------------------------------
+# Two histories of one key
+# --------------------------------------------------------------------------
+
+SEGMENT = "CASE WHEN value < 30 THEN 'low' WHEN value < 70 THEN 'mid' ELSE 'high' END"
+SEGMENT_SQL = SCD2_SQL.replace("event_type, value, false", f"{SEGMENT} AS event_type, value, false")
+
+
+def _two_histories(spark, d):
+    """Status, which deletes end, and segment over the same users' time."""
+    e = events(spark, d).withColumn("segment", F.expr(SEGMENT))
+    return history(spark, d, deletes=True), scd2_history(e, ["user_id"], ["segment"], SEQ)
+
+
+@register("q_scd2_join_histories", f"""
+WITH a AS ({_scd2_sql(deletes=True)}), b AS ({SEGMENT_SQL})
+SELECT a.user_id, a.event_type, b.event_type AS segment, greatest(a.scd_start_date, b.scd_start_date) AS scd_start_date,
+  least(a.scd_end_date, b.scd_end_date) AS scd_end_date
+FROM a JOIN b ON a.user_id = b.user_id AND a.scd_start_date < coalesce(b.scd_end_date, TIMESTAMP '9999-01-01')
+ AND b.scd_start_date < coalesce(a.scd_end_date, TIMESTAMP '9999-01-01')
+WHERE a.scd_start_date IS DISTINCT FROM a.scd_end_date AND b.scd_start_date IS DISTINCT FROM b.scd_end_date""")
+def q_scd2_join_histories(spark, d):
+    a, b = _two_histories(spark, d)
+    return join_histories(a, b, ["user_id"], ["event_type"], ["segment"])
+
+
+@register("q_entity_360_as_of", f"""
+WITH a AS ({_scd2_sql(deletes=True)}), b AS ({SEGMENT_SQL}),
+va AS (SELECT * FROM a WHERE scd_start_date <= {sql_ts(AS_OF)} AND (scd_end_date IS NULL OR {sql_ts(AS_OF)} < scd_end_date)),
+vb AS (SELECT * FROM b WHERE scd_start_date <= {sql_ts(AS_OF)} AND (scd_end_date IS NULL OR {sql_ts(AS_OF)} < scd_end_date))
+SELECT coalesce(va.user_id, vb.user_id) AS user_id, va.event_type, vb.event_type AS segment
+FROM va FULL JOIN vb ON va.user_id = vb.user_id""")
+def q_entity_360_as_of(spark, d):
+    """Every user's status and segment at an instant, whichever of them there is."""
+    a, b = _two_histories(spark, d)
+    joined = join_histories(a, b, ["user_id"], ["event_type"], ["segment"], how="full")
+    return as_of_date(joined, AS_OF).select("user_id", "event_type", "segment")

@@ -9,6 +9,8 @@ same tables, since a drained stream must equal the batch answer.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,17 +21,19 @@ from ..operators.changes import read_changes
 from ..operators.dedup import latest_per_key
 from ..operators.extracts import scd2_extract_series
 from ..operators.gold import readmissions
+from ..operators.incremental import IncrementalReader
+from ..operators.merge import upsert
 from ..operators.ordered import cut
 from ..session import scratch_path
 from ..sources.files import MULTILINE, RESCUE_COL, file_name, read_file_stream, read_files, with_ingest_metadata
 from ..sources.schemas import describe_schema, infer_or_load_schema
-from ..sources.snapshots import append_changes, publish_snapshot, read_change_stream, read_log, read_snapshot
-from ..streaming.silver import (FastScd2Writer, apply_changes_scd2_writer, apply_changes_writer,
+from ..sources.snapshots import append_changes, path_exists, publish_snapshot, read_change_stream, read_log, read_snapshot
+from ..streaming.silver import (FastScd2Writer, SnapshotWriter, apply_changes_scd2_writer, apply_changes_writer,
                                 bucketed_apply_changes_writer,
                                 bucketed_scd2_writer, bucketed_table, published,
                                 scd1_writer, scd2_writer, stream_dedup, stream_latest_per_key, upsert_writer)
 from ..streaming.scd2_store import Scd2Store, read_directory
-from ..streaming.sinks import append_stream, foreach_batch_stream
+from ..streaming.sinks import append_stream, foreach_batch_stream, state_on_disk
 from .catalog import (AUTO1_SQL, AUTO2_SQL, EV_COLS, is_del, NOW1, NOW2, OLD_STATE_SQL, READMISSION_SQL, SCD1_STATE_SQL, SCD2_SQL, SEQ,
                       _latest_sql, _orders_as_text, _scd2_sql, event_change_log, events, new_state, old_state,
                       orders_schema, register, table)
@@ -169,7 +173,8 @@ def q_stream_dedup(spark, d):
     e.write.parquet(f"{root}/landing")
     e.write.mode("append").parquet(f"{root}/landing")  # the same rows delivered twice
     out = stream_dedup(_parquet_stream(spark, f"{root}/landing", e.schema), ["event_id"])
-    append_stream(out, f"{root}/bronze", f"{root}/_chk")
+    with state_on_disk(spark):
+        append_stream(out, f"{root}/bronze", f"{root}/_chk")
     return spark.read.parquet(f"{root}/bronze")
 
 
@@ -738,3 +743,121 @@ def q_bucketed_time_travel(spark, d):
     _thirds(spark, d, root, store)
     out = [store.history(spark, version=n).select(F.lit(n).alias("version"), "*") for n in range(3)]
     return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+def _current_sql(n):
+    return f"SELECT user_id, event_type, scd_start_date, scd_version FROM ({_scd2_sql(where=f'event_id % 3 <= {n}', deletes=True)}) WHERE is_current"
+
+
+def _feed_sql(n):
+    """diff of the current rows after batch n - 1 and after batch n."""
+    old = _current_sql(n - 1) if n else _current_sql(0) + " AND false"
+    cols = ("event_type", "scd_start_date", "scd_version")
+    changed = " OR ".join(f"o.{c} IS DISTINCT FROM n.{c}" for c in cols)
+    images = [("insert", "n", "o.user_id IS NULL"), ("delete", "o", "n.user_id IS NULL"),
+              ("update_preimage", "o", f"o.user_id = n.user_id AND ({changed})"),
+              ("update_postimage", "n", f"o.user_id = n.user_id AND ({changed})")]
+    return " UNION ALL ".join(
+        f"SELECT {side}.user_id, {', '.join(f'{side}.{c}' for c in cols)}, '{kind}' AS _change_type, "
+        f"CAST({n} AS BIGINT) AS _commit_version FROM ({old}) o FULL JOIN ({_current_sql(n)}) n ON o.user_id = n.user_id "
+        f"WHERE {cond}" for kind, side, cond in images)
+
+
+@register("q_stream_writer_feed", " UNION ALL ".join(_feed_sql(n) for n in range(3)))
+def q_stream_writer_feed(spark, d):
+    """The feed that the writer stores with each commit; it is the diff of each two versions."""
+    root = scratch_path(spark, "writer_feed")
+    store = Scd2Store(f"{root}/silver", ["user_id"], ["event_type"], SEQ, is_delete=is_del(), feed=True)
+    _thirds(spark, d, root, store)
+    feed = read_log(spark, f"{root}/silver/feed")
+    return feed.drop("_commit_timestamp").withColumn("_commit_version", F.col("_commit_version").cast("bigint"))
+
+
+# --------------------------------------------------------------------------
+# Late rows at the mark
+# --------------------------------------------------------------------------
+
+@register("q_incremental_late_rows", """
+SELECT event_id, user_id, ts, CASE WHEN ts < TIMESTAMP '2024-01-10' AND event_id % 10 <> 0 THEN 0
+  WHEN ts < TIMESTAMP '2024-01-20' AND event_id % 10 <> 1 THEN 1 ELSE 2 END AS run
+FROM (SELECT * REPLACE (date_trunc('day', ts) AS ts) FROM events)""")
+def q_incremental_late_rows(spark, d):
+    """Three runs over a growing table whose times are days, so that ties abound; a tenth of the rows comes a run late."""
+    root = scratch_path(spark, "late_rows")
+    e = events(spark, d).select("event_id", "user_id", F.date_trunc("day", "ts").cast("timestamp_ntz").alias("ts"))
+    at = lambda day: F.col("ts") < F.lit(day).cast("timestamp_ntz")
+    first = at("2024-01-10") & (F.col("event_id") % 10 != 0)
+    second = at("2024-01-10") | (at("2024-01-20") & (F.col("event_id") % 10 != 1))
+    reader = IncrementalReader(f"{root}/handled", "ts", ["event_id"], lookback="15 days")
+    out = None
+    for run, there in enumerate((first, second, F.lit(True))):
+        new = cut(reader.read(e.filter(there)), f"run{run}")
+        reader.commit(new, run)
+        out = new.withColumn("run", F.lit(run)) if out is None else out.unionByName(new.withColumn("run", F.lit(run)))
+    return out
+
+
+# --------------------------------------------------------------------------
+# Sources and triggers one by one
+# --------------------------------------------------------------------------
+
+@register("q_stream_new_files_only", "SELECT event_id, user_id FROM events WHERE event_type = 'error'")
+def q_stream_new_files_only(spark, d):
+    """Without existing files: only what lands after a stream's start time."""
+    root = scratch_path(spark, "new_files")
+    e = events(spark, d).select("event_id", "user_id", "event_type")
+    e.filter(~is_del()).select("event_id", "user_id").write.json(f"{root}/landing")
+    newest = read_files(spark, f"{root}/landing", None, fmt="json").select(
+        F.max("_metadata.file_modification_time").cast("string")).first()[0]
+    time.sleep(1.1)  # some file systems count whole seconds
+    e.filter(is_del()).select("event_id", "user_id").write.mode("append").json(f"{root}/landing")
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType())])
+    src = read_file_stream(spark, f"{root}/landing", schema, fmt="json", include_existing=False, start_time=newest)
+    append_stream(src, f"{root}/bronze", f"{root}/_chk")
+    return spark.read.parquet(f"{root}/bronze").select("event_id", "user_id")
+
+
+@register("q_load_creates_or_merges", _latest_sql(cols="user_id, event_id, ts, event_type"))
+def q_load_creates_or_merges(spark, d):
+    """Each load asks whether its table is there: the first creates it, the second merges into it."""
+    root = scratch_path(spark, "create_or_merge")
+    e = events(spark, d).select("user_id", "event_id", "ts", "event_type")
+    for n in range(2):
+        rows = latest_per_key(e.filter(F.col("event_id") % 2 == n), ["user_id"], SEQ)
+        if path_exists(spark, f"{root}/table"):
+            rows = upsert(read_snapshot(spark, f"{root}/table"), rows, ["user_id"], sequence=SEQ)
+        publish_snapshot(rows, f"{root}/table", n)
+    return read_snapshot(spark, f"{root}/table")
+
+
+@register("q_stream_batch_view", "SELECT user_id, count(*) AS n_events, max(ts) AS last_ts FROM events GROUP BY user_id")
+def q_stream_batch_view(spark, d):
+    """SQL over a view of the micro-batch, merged with the state by SQL as well."""
+    root = scratch_path(spark, "batch_view")
+    stage, schema = _stage_events_by_type(spark, d, root)
+
+    def build(batch, prev, _):
+        batch.createOrReplaceTempView("incoming_updates")
+        fresh = batch.sparkSession.sql("SELECT user_id, count(*) AS n_events, max(ts) AS last_ts FROM incoming_updates "
+                                       "GROUP BY user_id")
+        if prev is None:
+            return fresh
+        fresh.unionByName(prev).createOrReplaceTempView("both_states")
+        return batch.sparkSession.sql("SELECT user_id, sum(n_events) AS n_events, max(last_ts) AS last_ts FROM both_states "
+                                      "GROUP BY user_id")
+    foreach_batch_stream(_parquet_stream(spark, stage, schema), SnapshotWriter(f"{root}/silver", build), f"{root}/_chk")
+    return published(spark, f"{root}/silver")
+
+
+@register("q_stream_processing_time", EVENTS_SQL)
+def q_stream_processing_time(spark, d):
+    """A stream that goes on by the clock until it is stopped, here when all files are through."""
+    root = scratch_path(spark, "processing_time")
+    stage, schema = _stage_events_by_type(spark, d, root)
+    q = append_stream(_parquet_stream(spark, stage, schema), f"{root}/bronze", f"{root}/_chk",
+                      trigger={"processingTime": "1 second"})
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return spark.read.parquet(f"{root}/bronze")

@@ -8,6 +8,8 @@ Under ``base``:
 * ``closed/_batch=<n>``: versions that ended in batch ``n``, sorted by their end.
   Never rewritten.
 * ``log/_batch=<n>/_slice=<s>``: the events, in fixed slices of the keys' hash.
+* ``feed/_commit_version=<n>`` (with ``feed=True``): what the batch did to the current
+  rows, as pre- and post-images; see :mod:`lakeledger.operators.changes`.
 * ``directory/v=<n>``: the buckets and the generation each is read from.  It is
   written last and whole, so a batch becomes visible at once, or not at all.
 
@@ -29,14 +31,17 @@ kept; what only older ones name is removed.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.expressions import join_on_key
+from ..operators.changes import CHANGE_TYPE, DELETE, INSERT, POST, PRE
 from ..operators.scd2 import scd2_history
-from ..sources.snapshots import _fs, list_versions, publish_snapshot, read_snapshot
+from ..sources.snapshots import _fs, append_changes, list_versions, publish_snapshot, read_snapshot
 from .versions import batch_version
 
 BUCKET, GEN, SLICE, HASH = "_bucket", "_gen", "_slice", "_hash"
@@ -58,16 +63,16 @@ class Scd2Store:
     def __init__(self, base: str, keys: Sequence[str], tracked: Sequence[str], sequence: Sequence[str],
                  is_delete: Column | None = None, columns: Sequence[str] | None = None,
                  offset: int | None = None, keep: int | None = None, depth: int = 4, bucket_bytes: int = 256 << 20,
-                 slices: int = 64, start_col: str = "scd_start_date", end_col: str = "scd_end_date",
+                 slices: int = 16, start_col: str = "scd_start_date", end_col: str = "scd_end_date",
                  current_col: str | None = "is_current", version_col: str | None = "scd_version",
-                 reject_null_keys: bool = False):
+                 reject_null_keys: bool = False, feed: bool = False):
         self.base, self.keys, self.tracked, self.sequence = base, list(keys), list(tracked), list(sequence)
         self.is_delete, self.offset, self.keep = is_delete, offset, keep
         self.payload = [c for c in (columns if columns is not None else tracked) if c not in self.keys]
         self.kept = list(dict.fromkeys([*self.payload, *[c for c in tracked if c not in self.keys]]))
         self.depth, self.bucket_bytes, self.slices = depth, bucket_bytes, slices
         self.names = start_col, end_col, current_col, version_col
-        self.reject_null_keys = reject_null_keys
+        self.reject_null_keys, self.feed = reject_null_keys, feed
 
     # ---- writing ---------------------------------------------------------
 
@@ -104,10 +109,14 @@ class Scd2Store:
             work = self._keep_work(work, "work")
         versions = self._versions(spark, batch, work, states is not None, schema, n)
         versions = self._keep_work(versions, "versions")
-        versions.filter(F.col("_end").isNotNull()).drop("_rebuilt").sort("_end") \
+        versions.filter(F.col("_end").isNotNull()).sortWithinPartitions("_end") \
             .write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{self.base}/closed/_batch={n}")
 
         state = self._state(work, versions, states is not None, n)
+        if self.feed:
+            state = self._keep_work(state, "state")
+            append_changes(self._images(state), f"{self.base}/feed", n)
+        state = state.drop("_old")
         if states is not None:
             state = join_on_key(states, touched_keys, self.keys, "left_anti").select(*state.columns).unionByName(state)
         grown = [child for e in go for child in self._grown(e)]
@@ -134,18 +143,25 @@ class Scd2Store:
         ev_cols = list(dict.fromkeys([*self.keys, *self.sequence, *self.kept]))
         deleted = F.coalesce(self.is_delete if self.is_delete is not None else F.lit(False), F.lit(False))
         seq0, rest = self.sequence[0], self.sequence[1:]
-        names = {"start_col": "_start", "end_col": "_end", "current_col": None, "version_col": "_version"}
+        order = [seq0, "_rank", *rest]  # a stored version stands before the batch's events of its instant
 
-        def built(events, sequence):
-            return scd2_history(events, self.keys, self.tracked, sequence, is_delete=F.col("_del"),
-                                columns=self.kept, **names)
+        def built(events):
+            return scd2_history(events, self.keys, self.tracked, order, is_delete=F.col("_del"), columns=self.kept,
+                                start_col="_start", end_col="_end", current_col=None, version_col="_version")
+
+        def ranked(events):
+            return events.select(*ev_cols, deleted.alias("_del"), F.lit(1).alias("_rank"))
 
-        fresh = batch.select(*ev_cols, deleted.alias("_del")).withColumn("_rank", F.lit(1))
         if not known:
-            return built(fresh, self.sequence).withColumn("_rebuilt", F.lit(False))
-        some_late = not work.filter("_late").isEmpty()
-        if some_late:
-            fresh = join_on_key(fresh, work.filter("not _late"), self.keys, "left_semi")
+            return built(ranked(batch))
+        events = ranked(batch)
+        if not work.filter("_late").isEmpty():
+            late = work.filter("_late").select(*self.keys, SLICE)
+            log = spark.read.schema(T.StructType([*schema.fields, T.StructField("_batch", T.LongType())])) \
+                .option("basePath", f"{self.base}/log").parquet(f"{self.base}/log").filter(F.col("_batch") <= n)
+            log = log.join(late.select(SLICE).distinct(), SLICE, "left_semi")  # prunes the log's folders
+            events = join_on_key(events, late, self.keys, "left_anti").unionByName(
+                ranked(join_on_key(log, late, self.keys, "left_semi")))
         # the last version stands for all events before: an upsert at its start, or a delete at its end
         stored = work.filter("not _late and _last is not null")
         synth = stored.select(
@@ -153,21 +169,11 @@ class Scd2Store:
             (F.col("_end").isNotNull() | F.col("_start").isNull()).alias("_del"),
             *[(F.col(c) if c in self.kept else F.lit(None).cast(batch.schema[c].dataType)).alias(c)
               for c in ev_cols if c not in self.keys and c != seq0])
-        # versions counted from the stored one, which is the first again if it is open
-        before = stored.select(*self.keys, (F.col("_version") - F.col("_end").isNull().cast("bigint")).alias("_off"))
-        out = join_on_key(built(fresh.unionByName(synth.select(*fresh.columns)), [seq0, "_rank", *rest]), before,
-                          self.keys, "left")
-        out = out.withColumn("_version", F.col("_version") + F.greatest(F.coalesce("_off", F.lit(0)), F.lit(0))) \
-            .drop("_off").withColumn("_rebuilt", F.lit(False))
-        if some_late:
-            late = work.filter("_late").select(*self.keys, SLICE)
-            log = spark.read.schema(T.StructType([*schema.fields, T.StructField("_batch", T.LongType())])) \
-                .option("basePath", f"{self.base}/log").parquet(f"{self.base}/log").filter(F.col("_batch") <= n)
-            log = log.join(late.select(SLICE).distinct(), SLICE, "left_semi")  # prunes the log's folders
-            log = join_on_key(log, late, self.keys, "left_semi")
-            rebuilt = built(log.select(*ev_cols, deleted.alias("_del")), self.sequence)
-            out = out.unionByName(rebuilt.withColumn("_rebuilt", F.lit(True)).select(*out.columns))
-        return out
+        # versions are counted from the stored one, which is the first again if it is open
+        before = stored.select(*self.keys, F.greatest(
+            F.col("_version") - F.col("_end").isNull().cast("bigint"), F.lit(0)).alias("_off"))
+        out = join_on_key(built(events.unionByName(synth.select(*events.columns))), before, self.keys, "left")
+        return out.withColumn("_version", F.col("_version") + F.coalesce("_off", F.lit(0))).drop("_off")
 
     def _state(self, work: DataFrame, versions: DataFrame, known: bool, n: int) -> DataFrame:
         """One row per key of the batch: its last version, its last event, since when closed versions count."""
@@ -184,7 +190,26 @@ class Scd2Store:
             since = F.when(F.col("_late"), F.lit(n)).otherwise(F.coalesce("_since", F.lit(-1)))
         return met.select(*self.keys, HASH, *[row[c].alias(c) for c in kept],
                           F.coalesce(row["_version"], F.lit(0)).cast("bigint").alias("_version"),
-                          newest.alias("_last"), since.cast("bigint").alias("_since"))
+                          newest.alias("_last"), since.cast("bigint").alias("_since"),
+                          (F.col("_o") if known else F.lit(None).cast(last.schema["_l"].dataType)).alias("_old"))
+
+    def _images(self, state: DataFrame) -> DataFrame:
+        """Changes of the current rows of the batch's keys: insert, update (before and after), delete."""
+        start, number = self.names[0], self.names[3]
+        cols = [*self.payload, "_start", "_version"]
+        was = F.coalesce((F.col("_old._version") > 0) & F.col("_old._end").isNull(), F.lit(False))
+        now = (F.col("_version") > 0) & F.col("_end").isNull()
+        new = reduce(or_, [~F.col(f"_old.{c}").eqNullSafe(F.col(c)) for c in cols])
+
+        def image(kind, old):
+            return F.struct(*[(F.col(f"_old.{c}") if old else F.col(c)).alias(c) for c in cols],
+                            F.lit(kind).alias(CHANGE_TYPE))
+        first = F.when(was & ~now, image(DELETE, True)).when(now & ~was, image(INSERT, False)) \
+            .when(was & now & new, image(PRE, True))
+        second = F.when(was & now & new, image(POST, False))
+        each = state.select(*self.keys, F.explode(F.array(first, second)).alias("_c")).filter("_c is not null")
+        return each.select(*self.keys, *[F.col(f"_c.{c}") for c in self.payload], F.col("_c._start").alias(start),
+                           *([F.col("_c._version").alias(number)] if number else []), F.col(f"_c.{CHANGE_TYPE}"))
 
     # ---- buckets ---------------------------------------------------------
 

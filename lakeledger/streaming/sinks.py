@@ -10,9 +10,10 @@ so a restarted driver or a lost executor resumes exactly where it stopped.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 
@@ -27,6 +28,38 @@ def await_query(q: StreamingQuery, timeout_s: int | None = None) -> StreamingQue
     return q
 
 
+ROCKSDB = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+@contextmanager
+def state_on_disk(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
+    """Streams started inside keep their state in RocksDB, off the heap; a batch uploads its changes only.
+
+    The number of state partitions is fixed for a stream's life when it first starts
+    (``partitions``; default: the shuffle partitions), as is the kind of store:
+    both are written to its checkpoint and hold over restarts.  Choose it for the
+    state there will be: 100 MB to 1 GB a partition.
+    """
+    wanted = dict(ROCKSDB)
+    if partitions:
+        wanted["spark.sql.shuffle.partitions"] = str(int(partitions))
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def append_stream(df: DataFrame, out: str, checkpoint: str, fmt: str = "parquet",
                   partition_by: list[str] | None = None, trigger: dict | None = None,
                   name: str | None = None) -> StreamingQuery:
