@@ -23,6 +23,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,9 +38,9 @@ from ..operators.scd2 import scd2_apply, scd2_history
 from ..sources.extracts import REFUSED, Manifest
 from ..sources.files import RESCUE_COL, read_file_stream, read_files, with_ingest_metadata
 from ..sources.schemas import bronze_out
-from ..sources.snapshots import has_partitions, list_versions, path_exists, publish_snapshot, read_snapshot
-from ..streaming.silver import (BUCKET, BucketedWriter, SnapshotWriter, bucketed_table, published,
-                                read_batches, visible)
+from ..sources.snapshots import list_versions, path_exists, publish_snapshot, read_snapshot
+from ..streaming.silver import (BucketedWriter, Scd2Store, SnapshotWriter, bucketed_scd2_writer, bucketed_table,
+                                published, read_batches, visible)
 from ..streaming.sinks import append_stream, foreach_batch_stream
 
 
@@ -85,8 +86,7 @@ def _typed(e: Entity, batch: DataFrame, load_time) -> tuple[DataFrame, DataFrame
     if RESCUE_COL in batch.columns:
         rules["nothing_rescued"] = F.col(RESCUE_COL).isNull()
     valid, rejects = quality.split_valid(typed, rules)
-    carry = [BUCKET] if BUCKET in batch.columns else []
-    return valid.select(*dict.fromkeys([*e.keys, *_payload(e), *e.sequence, *carry]),
+    return valid.select(*dict.fromkeys([*e.keys, *_payload(e), *e.sequence]),
                         F.col("_load_datetime").alias("_bronze_load_datetime"),
                         as_timestamp(load_time).alias("_silver_load_datetime")), rejects
 
@@ -111,15 +111,6 @@ def _next_state(e: Entity, src: DataFrame, prev: DataFrame | None, load_time,
     if e.kind == "scd2":
         whole = log(src)
         cols = [*[c for c in _payload(e) if c not in e.keys], *HOPS]
-        if BUCKET in src.columns:  # rebuild touched keys only; the bucket join prunes the log's folders
-            touched = src.select(*e.keys, BUCKET).distinct()
-            whole = whole.join(touched, on=[*e.keys, BUCKET], how="left_semi")
-            rebuilt = scd2_history(whole, e.keys, e.tracked, e.sequence, is_delete=e.is_delete,
-                                   columns=[*cols, BUCKET])
-            if prev is None:
-                return rebuilt
-            kept = prev.join(touched.select(*e.keys), on=e.keys, how="left_anti")
-            return kept.unionByName(rebuilt.select(*prev.columns))
         if prev is None:
             return scd2_history(whole, e.keys, e.tracked, e.sequence, is_delete=e.is_delete, columns=cols)
         return scd2_apply(prev, whole, src, e.keys, e.tracked, e.sequence, is_delete=e.is_delete, columns=cols)
@@ -131,6 +122,27 @@ def _series(e: Entity, prev: DataFrame | None, extracts: DataFrame, instants: Se
     return scd2_extract_series(prev, once, instants, e.keys, e.tracked, columns=[*_payload(e), *HOPS])
 
 
+def _store(e: Entity, out: str) -> Scd2Store:
+    return bucketed_scd2_writer(out, e.keys, e.tracked, e.sequence, e.buckets, is_delete=e.is_delete,
+                                columns=[*[c for c in _payload(e) if c not in e.keys], *HOPS])
+
+
+def _typed_batches(e: Entity, base: str, now: Callable[[int], object], writer: Scd2Store | BucketedWriter):
+    """``foreachBatch`` callback: rejects to quarantine, valid rows, typed as they are stored, to the writer."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if batch.isEmpty():
+                return
+            version = writer.number(batch.sparkSession, batch_id)
+            src, rejects = _typed(e, batch, now(version))
+            rejects.write.mode("overwrite").parquet(f"{base}/quarantine/{e.name}/_batch={version}")
+            writer(src, batch_id)
+        finally:
+            batch.unpersist()
+    return write
+
+
 def _silver_builder(e: Entity, base: str, now: Callable[[int], object]):
     def build(batch: DataFrame, prev: DataFrame | None, version: int) -> DataFrame:
         src, rejects = _typed(e, batch, now(version))
@@ -138,8 +150,7 @@ def _silver_builder(e: Entity, base: str, now: Callable[[int], object]):
         log_base = f"{base}/silver_log/{e.name}"
 
         def log(rows: DataFrame) -> DataFrame:
-            w = rows.write.mode("overwrite")
-            (w.partitionBy(BUCKET) if BUCKET in rows.columns else w).parquet(f"{log_base}/_batch={version}")
+            rows.write.mode("overwrite").parquet(f"{log_base}/_batch={version}")
             return read_batches(batch.sparkSession, log_base, rows.schema)
         return _next_state(e, src, prev, now(version), log)
     return build
@@ -223,10 +234,13 @@ def run_silver(spark: SparkSession, e: Entity, base: str, now: Callable[[int], o
     if not path_exists(spark, bronze_dir):
         return out
     stream = spark.readStream.schema(_bronze_schema(e)).parquet(bronze_dir)
-    build = _silver_builder(e, base, now)
-    log_base = f"{base}/silver_log/{e.name}"
-    writer = (BucketedWriter(out, e.keys, e.buckets, build, log_base=log_base) if e.buckets
-              else SnapshotWriter(out, build, log_base=log_base))
+    if not e.buckets:
+        writer = SnapshotWriter(out, _silver_builder(e, base, now), log_base=f"{base}/silver_log/{e.name}")
+    elif e.kind == "scd2":
+        writer = _typed_batches(e, base, now, _store(e, out))
+    else:
+        writer = _typed_batches(e, base, now, BucketedWriter(
+            out, e.keys, e.buckets, lambda src, prev, version: _next_state(e, src, prev, now(version), lambda rows: rows)))
     foreach_batch_stream(stream, writer, f"{base}/_checkpoints/silver_{e.name}")
     return out
 
@@ -244,7 +258,7 @@ def run_medallion(spark: SparkSession, entities: Sequence[Entity], landing_root:
             if not e.buckets:
                 df = published(spark, silver_dir)
             else:
-                df = bucketed_table(spark, silver_dir) if has_partitions(spark, f"{silver_dir}/table", BUCKET) else None
+                df = bucketed_table(spark, _store(e, silver_dir) if e.kind == "scd2" else silver_dir)
         if df is None:
             df = _empty_silver(spark, e, now)
         out[e.name] = df.select(*e.layout.fieldNames()) if e.layout is not None else df

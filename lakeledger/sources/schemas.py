@@ -54,7 +54,6 @@ LANDING = {
     "tnm_stage_group": T.StructType([_f("Patient_ID", S), _f("TNM_Stage_Group", S), _f("Tumor_Size_cm", DB),
                                      _f("Node_Involvement", B), _f("Metastasis", B)]),
 }
-CHANGE_FEED_FIELDS = [_f("_change_type", S), _f("_commit_timestamp", TS)]
 # ---------------------------------------------------------------------------
 
 

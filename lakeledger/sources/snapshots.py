@@ -26,19 +26,6 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def has_partitions(spark: SparkSession, path: str, column: str) -> bool:
-    """True if ``path`` holds at least one committed ``column=<value>`` folder.
-
-    Dynamic partition overwrite moves partitions in at commit and leaves no
-    ``_SUCCESS`` at the root, so this, not the marker, says "table exists".
-    """
-    _, p, fs = _fs(spark, path)
-    if not fs.exists(p):
-        return False
-    return any(st.isDirectory() and st.getPath().getName().startswith(f"{column}=")
-               for st in fs.listStatus(p))
-
-
 def list_versions(spark: SparkSession, base: str, prefix: str = "v=") -> list[int]:
     """Committed versions under ``base`` (directory listing, no data read)."""
     jvm, p, fs = _fs(spark, base)

@@ -10,22 +10,16 @@ Under ``base``:
 * ``log/_batch=<n>/_slice=<s>``: the events, in fixed slices of the keys' hash.
 * ``feed/_commit_version=<n>`` (with ``feed=True``): what the batch did to the current
   rows, as pre- and post-images; see :mod:`lakeledger.operators.changes`.
-* ``directory/v=<n>``: the buckets and the generation each is read from.  It is
-  written last and whole, so a batch becomes visible at once, or not at all.
-
-Buckets are those of an extendible hash: a bucket is a prefix of the bits of a key's
-hash.  One that has grown past ``bucket_bytes`` is split when a batch next touches it:
-its rows go to longer prefixes and the directory names those instead.  No other
-bucket is rewritten, and the number of buckets follows the table's size.
+* ``directory/v=<n>``: the buckets, which split as they grow, and the generation each
+  is read from (:mod:`lakeledger.streaming.buckets`).
 
 A key whose events in the batch are all newer than its last one goes on from its
 last version; the log is not read.  A key with a late event is rebuilt from its
 slices of the log; all its closed versions are appended again and its older ones
 stop counting (``_since``).  NULL is one more key.
 
-A version of the store is a version of the directory: ``history(version=n)`` reads
-the generations it names and the closed versions up to it.  ``keep`` versions are
-kept; what only older ones name is removed.
+A version of the store is one of its directory: ``history(version=n)`` reads the
+generations it names and the closed versions up to it.
 """
 
 from __future__ import annotations
@@ -41,20 +35,11 @@ from pyspark.sql import types as T
 from ..functions.expressions import join_on_key
 from ..operators.changes import CHANGE_TYPE, DELETE, INSERT, POST, PRE
 from ..operators.scd2 import scd2_history
-from ..sources.snapshots import _fs, append_changes, list_versions, publish_snapshot, read_snapshot
+from ..sources.snapshots import append_changes, read_snapshot
+from .buckets import BUCKET, GrowingBuckets
 from .versions import batch_version
 
-BUCKET, GEN, SLICE, HASH = "_bucket", "_gen", "_slice", "_hash"
-DIRECTORY = "depth int, prefix long, gen long, bytes long"
-
-
-def bits(depth: int) -> Column:
-    """The first ``depth`` bits of the key's hash as a number."""
-    return F.shiftrightunsigned(HASH, 64 - depth) if depth else F.lit(0).cast("bigint")
-
-
-def bucket_name(depth: int, prefix: int) -> str:
-    return f"{depth}-{prefix}"
+SLICE = "_slice"
 
 
 class Scd2Store:
@@ -62,24 +47,29 @@ class Scd2Store:
 
     def __init__(self, base: str, keys: Sequence[str], tracked: Sequence[str], sequence: Sequence[str],
                  is_delete: Column | None = None, columns: Sequence[str] | None = None,
-                 offset: int | None = None, keep: int | None = None, depth: int = 4, bucket_bytes: int = 256 << 20,
+                 offset: int | None = None, keep: int | None = 10, depth: int = 4, bucket_bytes: int = 256 << 20,
                  slices: int = 16, start_col: str = "scd_start_date", end_col: str = "scd_end_date",
                  current_col: str | None = "is_current", version_col: str | None = "scd_version",
                  reject_null_keys: bool = False, feed: bool = False):
         self.base, self.keys, self.tracked, self.sequence = base, list(keys), list(tracked), list(sequence)
-        self.is_delete, self.offset, self.keep = is_delete, offset, keep
+        self.is_delete, self.offset = is_delete, offset
+        self.buckets = GrowingBuckets(base, keys, depth, bucket_bytes, keep, data="open")
         self.payload = [c for c in (columns if columns is not None else tracked) if c not in self.keys]
         self.kept = list(dict.fromkeys([*self.payload, *[c for c in tracked if c not in self.keys]]))
-        self.depth, self.bucket_bytes, self.slices = depth, bucket_bytes, slices
+        self.slices = slices
         self.names = start_col, end_col, current_col, version_col
         self.reject_null_keys, self.feed = reject_null_keys, feed
 
     # ---- writing ---------------------------------------------------------
 
+    def number(self, spark: SparkSession, batch_id: int) -> int:
+        """The durable number of a batch."""
+        return batch_version(spark, self.base, batch_id, self.offset,
+                             [(f"{self.base}/log", "_batch="), (f"{self.base}/directory", "v=")])
+
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
-        n = batch_version(spark, self.base, batch_id, self.offset,
-                          [(f"{self.base}/log", "_batch="), (f"{self.base}/directory", "v=")])
+        n = self.number(spark, batch_id)
         hashed = F.xxhash64(*self.keys)
         if self.reject_null_keys:
             batch_df = batch_df.dropna(subset=self.keys)
@@ -90,21 +80,17 @@ class Scd2Store:
         batch = spark.read.schema(schema).parquet(f"{self.base}/log/_batch={n}")
         if batch.isEmpty():
             return
-        before = [v for v in list_versions(spark, f"{self.base}/directory") if v < n]
-        old = self._entries(spark, before[-1]) if before else \
-            [(self.depth, p, None, 0) for p in range(1 << self.depth)]
-        touched_keys = self._placed(spark, batch.groupBy(*self.keys).agg(
+        old = self.buckets.before(spark, n)
+        touched_keys = self.buckets.placed(batch.groupBy(*self.keys).agg(
             F.min(F.struct(*self.sequence)).alias("_first"), F.max(F.struct(*self.sequence)).alias("_newest"),
-            F.first(SLICE).alias(SLICE)).withColumn(HASH, hashed), old)
+            F.first(SLICE).alias(SLICE)), old)
         touched_keys = self._keep_work(touched_keys, "keys")
         touched = {r[BUCKET] for r in touched_keys.select(BUCKET).distinct().collect()}  # of the directory's names
-        stay = [e for e in old if bucket_name(*e[:2]) not in touched]
-        go = [e for e in old if bucket_name(*e[:2]) in touched]
-        states = self._open(spark, go)
+        states = self.buckets.read(spark, [e for e in old if e.name in touched])
 
         work = touched_keys
         if states is not None:
-            work = join_on_key(work, states.drop(HASH), self.keys, "left")
+            work = join_on_key(work, states, self.keys, "left")
             work = work.withColumn("_late", F.coalesce(F.col("_first") <= F.col("_last"), F.lit(False)))
             work = self._keep_work(work, "work")
         versions = self._versions(spark, batch, work, states is not None, schema, n)
@@ -119,17 +105,7 @@ class Scd2Store:
         state = state.drop("_old")
         if states is not None:
             state = join_on_key(states, touched_keys, self.keys, "left_anti").select(*state.columns).unionByName(state)
-        grown = [child for e in go for child in self._grown(e)]
-        out = f"{self.base}/open/{GEN}={n}"
-        # split over the new buckets' own hash bits, so a large bucket is written by several tasks
-        self._placed(spark, state, grown).hint("rebalance", BUCKET).write.mode("overwrite") \
-            .option("partitionOverwriteMode", "static").partitionBy(BUCKET).parquet(out)
-        sizes = self._sizes(spark, out)
-        entries = stay + [(d, p, n, sizes[bucket_name(d, p)]) if bucket_name(d, p) in sizes else (d, p, None, 0)
-                          for d, p, _, _ in grown]
-        publish_snapshot(spark.createDataFrame(entries, DIRECTORY).coalesce(1), f"{self.base}/directory", n)
-        if self.keep is not None:
-            self._retain(spark, max(2, self.keep))
+        self.buckets.replace(n, state, old, touched)
 
     def _keep_work(self, df: DataFrame, name: str) -> DataFrame:
         """Rows of this batch's keys, written once; the next batch overwrites them."""
@@ -180,7 +156,7 @@ class Scd2Store:
         kept = [*self.kept, "_start", "_end"]
         last = versions.groupBy(*self.keys).agg(F.max_by(F.struct(*kept, "_version"), "_version").alias("_l"))
         stored = ["_late", F.struct(*kept, "_version").alias("_o"), "_last", "_since"] if known else []
-        met = join_on_key(work.select(*self.keys, HASH, "_newest", *stored), last, self.keys, "left")
+        met = join_on_key(work.select(*self.keys, "_newest", *stored), last, self.keys, "left")
         if not known:
             row, newest, since = F.col("_l"), F.col("_newest"), F.lit(-1).cast("bigint")
         else:
@@ -188,7 +164,7 @@ class Scd2Store:
             row = F.when(F.col("_late") | F.col("_l").isNotNull(), F.col("_l")).otherwise(F.col("_o"))
             newest = F.greatest("_newest", "_last")
             since = F.when(F.col("_late"), F.lit(n)).otherwise(F.coalesce("_since", F.lit(-1)))
-        return met.select(*self.keys, HASH, *[row[c].alias(c) for c in kept],
+        return met.select(*self.keys, *[row[c].alias(c) for c in kept],
                           F.coalesce(row["_version"], F.lit(0)).cast("bigint").alias("_version"),
                           newest.alias("_last"), since.cast("bigint").alias("_since"),
                           (F.col("_o") if known else F.lit(None).cast(last.schema["_l"].dataType)).alias("_old"))
@@ -211,69 +187,14 @@ class Scd2Store:
         return each.select(*self.keys, *[F.col(f"_c.{c}") for c in self.payload], F.col("_c._start").alias(start),
                            *([F.col("_c._version").alias(number)] if number else []), F.col(f"_c.{CHANGE_TYPE}"))
 
-    # ---- buckets ---------------------------------------------------------
-
-    def _entries(self, spark: SparkSession, version: int) -> list[tuple]:
-        rows = spark.read.schema(DIRECTORY).parquet(f"{self.base}/directory/v={version}").collect()  # a row per bucket
-        return [tuple(r) for r in rows]
-
-    def _placed(self, spark: SparkSession, df: DataFrame, entries: Sequence[tuple]) -> DataFrame:
-        """``df`` (with its keys' hash) and each row's bucket: the one prefix in the directory."""
-        depths = sorted({d for d, *_ in entries})  # few, as hashes spread evenly
-        names = spark.createDataFrame([(d, p) for d, p, *_ in entries], "_d int, _p long")
-        at = F.explode(F.array(*[F.struct(F.lit(d).alias("d"), bits(d).alias("p")) for d in depths]))
-        return df.select("*", at.alias("_at")).join(
-            names, (F.col("_at.d") == F.col("_d")) & (F.col("_at.p") == F.col("_p"))).withColumn(
-            BUCKET, F.concat_ws("-", "_d", "_p")).drop("_at", "_d", "_p")
-
-    def _grown(self, entry: tuple) -> list[tuple]:
-        """The bucket itself, or the longer prefixes that take its rows if it is past its size."""
-        d, p, gen, size = entry
-        more = 0
-        while size > self.bucket_bytes << more and d + more < 63:
-            more += 1
-        return [(d + more, (p << more) + i, gen, size) for i in range(1 << more)]
-
-    def _sizes(self, spark: SparkSession, out: str) -> dict[str, int]:
-        """Bytes by bucket of a generation; files are listed, not read."""
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true") \
-            .option("pathGlobFilter", "*.parquet").load(out).select("path", "length")
-        by = files.groupBy(F.regexp_extract("path", f"{BUCKET}=([^/]+)/", 1).alias("b")).agg(F.sum("length").alias("n"))
-        return {r.b: r.n for r in by.collect()}
-
-    def _open(self, spark: SparkSession, entries: Sequence[tuple]) -> DataFrame | None:
-        """The states in these buckets; only their folders are listed and read."""
-        paths = [f"{self.base}/open/{GEN}={g}/{BUCKET}={bucket_name(d, p)}" for d, p, g, _ in entries if g is not None]
-        return spark.read.parquet(*paths) if paths else None
-
-    def _retain(self, spark: SparkSession, keep: int) -> None:
-        """Drop directory versions but the newest ``keep``, and generations that only those name."""
-        versions = list_versions(spark, f"{self.base}/directory")
-        if len(versions) <= keep:
-            return
-        named = {(g, d, p) for v in versions[-keep:] for d, p, g, _ in self._entries(spark, v)}
-        for v in versions[:-keep]:
-            for d, p, g, _ in self._entries(spark, v):
-                if g is not None and (g, d, p) not in named:
-                    self._remove(spark, f"{self.base}/open/{GEN}={g}/{BUCKET}={bucket_name(d, p)}")
-            self._remove(spark, f"{self.base}/directory/v={v}")
-
-    @staticmethod
-    def _remove(spark: SparkSession, path: str) -> None:
-        _, p, fs = _fs(spark, path)
-        fs.delete(p, True)
-
     # ---- reading ---------------------------------------------------------
 
     def history(self, spark: SparkSession, version: int | None = None) -> DataFrame | None:
         """All versions of all keys, now or as of a kept version of the store; None before the first batch."""
-        versions = list_versions(spark, f"{self.base}/directory")
-        if version is not None and version not in versions:
-            raise ValueError(f"version {version} is not kept under {self.base}")
-        if not versions:
+        states = self.buckets.table(spark, version)
+        if states is None:
             return None
-        v = versions[-1] if version is None else version
-        states = self._open(spark, self._entries(spark, v))
+        v = max(self.buckets.versions(spark)) if version is None else version
         start, end, current, number = self.names
 
         def shaped(df):
@@ -294,5 +215,5 @@ class Scd2Store:
 
 
 def read_directory(spark: SparkSession, base: str, version: int | None = None) -> DataFrame | None:
-    """The buckets of a store: depth, prefix, generation, bytes."""
+    """The buckets of a table: depth, prefix, generation, bytes."""
     return read_snapshot(spark, f"{base}/directory", version=version)

@@ -18,12 +18,12 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.clean import key_bucket
 from ..operators.cdc import END_AT, START_AT, TOMBSTONE, apply_changes
 from ..operators.dedup import latest_per_key
 from ..operators.merge import CREATED, DELETED, scd1_apply, upsert, without_tombstones
 from ..operators.scd2 import scd2_apply, scd2_history
 from ..sources.snapshots import publish_snapshot, read_snapshot
+from .buckets import BUCKET, GrowingBuckets
 from .scd2_store import Scd2Store
 from .versions import batch_version, read_batches
 
@@ -151,55 +151,40 @@ def stream_dedup(df: DataFrame, keys: Sequence[str], watermark: tuple[str, str]
     return df.dropDuplicates(list(keys))
 
 
-BUCKET = "_bucket"
-
-
 class BucketedWriter:
     """``foreachBatch`` callback that rewrites only the key buckets a batch touches.
 
-    The silver table lives in ``<base>/table`` partitioned by
-    ``_bucket = pmod(xxhash64(keys), buckets)``.  Per batch: read the touched
-    buckets of the table (``left_semi`` on the bucket column, which dynamic
-    partition pruning turns into a file listing of those buckets only), build
-    their new content, stage it under ``<base>/_staging/batch=<id>``, then
-    replace exactly those buckets with ``partitionOverwriteMode=dynamic``.
-    Untouched buckets are never read or written.  ``build`` must be
-    idempotent (all builders here are: sequence checks, rebuild from the log),
-    so a replayed batch rewrites the same buckets with the same rows.  A crash
-    during the final commit can leave a mix of old and new buckets until the
-    batch is replayed; the stream does replay it, as the batch is uncommitted.
+    The table lies in buckets that begin as ``buckets`` (a power of two) and split as
+    they grow; see :class:`~lakeledger.streaming.buckets.GrowingBuckets`.  Per batch:
+    read the touched buckets, build their new content, write it once as a new generation,
+    publish the directory.  Untouched buckets are neither listed, read nor written.  A
+    batch that fails leaves the table as it was; a replayed one starts from the version
+    before its own and writes the same again.  ``keep`` versions can be read.  The batch's
+    key columns have the types they are stored with.
     """
 
     def __init__(self, base: str, keys: Sequence[str], buckets: int, build: Builder,
-                 offset: int | None = None, log_base: str | None = None):
-        self.base, self.keys, self.buckets, self.build = base, list(keys), int(buckets), build
-        self.offset = offset
-        self.folders = [(f"{base}/_staging", "batch="), *([(log_base, "_batch=")] if log_base else [])]
+                 offset: int | None = None, log_base: str | None = None, keep: int | None = 10,
+                 bucket_bytes: int = 256 << 20):
+        self.base, self.build, self.offset = base, build, offset
+        self.buckets = GrowingBuckets(base, keys, max(0, int(buckets) - 1).bit_length(), bucket_bytes, keep)
+        self.folders = [(f"{base}/directory", "v="), *([(log_base, "_batch=")] if log_base else [])]
 
-    @property
-    def table(self) -> str:
-        return f"{self.base}/table"
+    def number(self, spark: SparkSession, batch_id: int) -> int:
+        """The durable number of a batch."""
+        return batch_version(spark, self.base, batch_id, self.offset, self.folders)
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
-        from ..sources.snapshots import has_partitions
         spark = batch_df.sparkSession
-        version = batch_version(spark, self.base, batch_id, self.offset, self.folders)
-        batch = batch_df.withColumn(BUCKET, key_bucket(self.keys, self.buckets)).persist(
-            StorageLevel.MEMORY_AND_DISK)
+        version = self.number(spark, batch_id)
+        batch = batch_df.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if batch.isEmpty():
                 return
-            touched = batch.select(BUCKET).distinct()
-            prev = None
-            if has_partitions(spark, self.table, BUCKET):
-                prev = spark.read.parquet(self.table).join(touched, on=BUCKET, how="left_semi")
-            out = self.build(batch, prev, version)
-            staged = f"{self.base}/_staging/batch={version}"
-            # rebalanced: one file a bucket where buckets are small, several where one is large
-            out.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(staged)
-            # the schema is given: nothing may be left of the batch
-            (spark.read.schema(out.schema).parquet(staged).write.mode("overwrite")
-                  .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(self.table))
+            old = self.buckets.before(spark, version)
+            touched = {r[0] for r in self.buckets.placed(batch, old).select(BUCKET).distinct().collect()}
+            prev = self.buckets.read(spark, [e for e in old if e.name in touched])
+            self.buckets.replace(version, self.build(batch, prev, version), old, touched)
         finally:
             batch.unpersist()
 
@@ -251,12 +236,13 @@ def bucketed_apply_changes_writer(base: str, keys: Sequence[str], sequence_by: S
     return BucketedWriter(base, keys, buckets, build)
 
 
-def bucketed_table(spark: SparkSession, writer_or_base) -> DataFrame:
-    """The readable table of a bucketed writer (tombstones hidden)."""
+def bucketed_table(spark: SparkSession, writer_or_base, version: int | None = None) -> DataFrame | None:
+    """The readable table of a bucketed writer, now or in a kept version (tombstones hidden); None without rows."""
     if isinstance(writer_or_base, Scd2Store):
-        return writer_or_base.history(spark)
+        return writer_or_base.history(spark, version)
     base = writer_or_base.base if isinstance(writer_or_base, BucketedWriter) else writer_or_base
-    return visible(spark.read.parquet(f"{base}/table").drop(BUCKET))
+    df = GrowingBuckets(base, []).table(spark, version)
+    return None if df is None else visible(df)
 
 
 FastScd2Writer = Scd2Store  # the name it had

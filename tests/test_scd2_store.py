@@ -69,7 +69,7 @@ def test_a_replayed_batch_changes_nothing_and_a_split_rewrites_one_bucket(spark)
     store(spark.createDataFrame(first, EV), 0)
     before, old = files(spark, f"{base}/open"), {(r.depth, r.prefix): r.gen for r in read_directory(spark, base).collect()}
     assert len(old) == 4
-    store.bucket_bytes = 2000
+    store.buckets.bucket_bytes = 2000
     change = [(7, 2, 1000, "b", "y", False)]
     for _ in range(2):
         store(spark.createDataFrame(change, EV), 1)
@@ -108,3 +108,30 @@ def test_null_keys_can_be_rejected_and_empty_batches_store_nothing(spark):
     assert store.history(spark) is None
     store(spark.createDataFrame([(None, 1, 1, "a", "", False), (1, 1, 1, "a", "", False)], EV), 1)
     assert [r.k for r in store.history(spark).collect()] == [1]
+
+
+def test_upserts_into_buckets_that_split_keep_their_versions(spark):
+    from lakeledger.streaming.silver import bucketed_apply_changes_writer, bucketed_table
+    base = scratch_path(spark, "upserts")
+    w = bucketed_apply_changes_writer(base, ["k"], ["seq"], 2)
+    w.buckets.bucket_bytes = 1500
+    want = {}
+    for n in range(3):
+        batch = [(k, n, f"v{n}") for k in range(0, 200, n + 1)]
+        w(spark.createDataFrame(batch, "k int, seq int, v string"), n)
+        want[n] = {**want.get(n - 1, {}), **{k: v for k, _, v in batch}}
+    for n in range(3):
+        assert {r.k: r.v for r in bucketed_table(spark, w, version=n).collect()} == want[n]
+        assert bucketed_table(spark, base, version=n).count() == 200
+    assert read_directory(spark, base).count() > 2
+
+
+def test_rows_of_an_untouched_bucket_are_refused(spark):
+    from lakeledger.streaming.silver import BucketedWriter, bucketed_table
+    base = scratch_path(spark, "astray")
+    w = BucketedWriter(base, ["k"], 8, lambda b, prev, n: b.withColumn("k", F.col("k") + n))
+    w(spark.createDataFrame([(1,), (2,)], "k int"), 0)
+    with pytest.raises(RuntimeError, match="does not touch"):
+        for n in range(1, 9):  # one of them goes to another bucket
+            w(spark.createDataFrame([(1,)], "k int"), n)
+    assert rows(bucketed_table(spark, w))  # and nothing of it is seen
