@@ -18,6 +18,7 @@ from __future__ import annotations
 from collections.abc import Collection, Sequence
 from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +26,7 @@ from ..sources.snapshots import _fs, list_versions, publish_snapshot
 
 BUCKET, GEN = "_bucket", "_gen"
 HASH = "_hash"
-DIRECTORY = "depth int, prefix long, gen long, bytes long"
+DIRECTORY = "depth long, prefix long, gen long, bytes long"
 
 
 class Entry(NamedTuple):
@@ -70,7 +71,7 @@ class GrowingBuckets:
 
     def placed(self, df: DataFrame, entries: Sequence[Entry]) -> DataFrame:
         """``df`` and each row's bucket: the one prefix of its hash that is an entry."""
-        names = df.sparkSession.createDataFrame([(e.depth, e.prefix) for e in entries], "_d int, _p long")
+        names = _local(df.sparkSession, _d=[e.depth for e in entries], _p=[e.prefix for e in entries])
         depths = sorted({e.depth for e in entries})  # few, as hashes spread evenly
         at = F.explode(F.array(*[F.struct(F.lit(d).alias("d"), _bits(d).alias("p")) for d in depths]))
         return df.withColumn(HASH, F.xxhash64(*self.keys)).select("*", at.alias("_at")).join(
@@ -100,7 +101,8 @@ class GrowingBuckets:
         if astray:
             raise RuntimeError(f"rows of buckets {sorted(astray)[:5]}, which batch {n} does not touch")
         new = [Entry(e.depth, e.prefix, n, sizes[e.name]) if e.name in sizes else Entry(e.depth, e.prefix) for e in grown]
-        publish_snapshot(spark.createDataFrame([tuple(e) for e in stay + new], DIRECTORY).coalesce(1), self.directory, n)
+        rows = _local(spark, **{f: [getattr(e, f) for e in stay + new] for f in Entry._fields})
+        publish_snapshot(rows.coalesce(1), self.directory, n)
         if self.keep is not None:
             self._retain(spark, max(2, self.keep))
 
@@ -139,6 +141,11 @@ class GrowingBuckets:
             _remove(spark, f"{self.directory}/v={v}")
 
 
+def _local(spark: SparkSession, **columns: list[int | None]) -> DataFrame:
+    """A few rows that the plan holds itself, so that reading them needs no job."""
+    return spark.createDataFrame(pa.table({n: pa.array(v, pa.int64()) for n, v in columns.items()}))
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     _, p, fs = _fs(spark, path)
     fs.delete(p, True)
