@@ -36,6 +36,7 @@ HEADLINE = [
     "q_stream_bronze_to_silver",
     "q_stream_scd2_incremental",
     "q_stream_scd2_fast",
+    "q_stream_scd2_two_part",
     "q_medallion_end_to_end",
 ]
 

@@ -73,7 +73,8 @@ class Scd2Store:
         hashed = F.xxhash64(*self.keys)
         if self.reject_null_keys:
             batch_df = batch_df.dropna(subset=self.keys)
-        batch_df.withColumn(SLICE, F.pmod(hashed, F.lit(self.slices)).cast("int")) \
+        # rebalanced: a file a slice, several where one is large, whatever the batch's partitions are
+        batch_df.withColumn(SLICE, F.pmod(hashed, F.lit(self.slices)).cast("int")).hint("rebalance", SLICE) \
             .write.mode("overwrite").option("partitionOverwriteMode", "static") \
             .partitionBy(SLICE).parquet(f"{self.base}/log/_batch={n}")
         schema = T.StructType([*batch_df.schema.fields, T.StructField(SLICE, T.IntegerType())])
