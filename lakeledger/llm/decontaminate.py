@@ -1,26 +1,26 @@
 """Benchmark decontamination: BM25 over test items with block-max WAND.
 
-Test items are cut into units of at most ``UNIT`` words; an inverted index holds
-for each term its units with BM25 impacts, as shares of the unit's own score,
-in blocks with their greatest impact.  Every training document is read in
-passages of ``2 * UNIT`` words that overlap by half, so each unit that occurs
-whole is whole in some passage.  A passage is a query of its distinct terms; all
-units that score ``threshold`` and more are retrieved, by document-at-a-time
-traversal with a pivot and block maxima.  Traversal is skipped where it could
-retrieve nothing: a passage's term maxima are summed by group of blocks, for a
-whole batch at once, and only passages with a sum of the threshold are traversed.
-
-A document may hold the question and the answer in places far apart, so that no
-passage reaches the threshold.  Such items are retrieved by keys: if the share
-``overlap`` of a part's shingles is contained, then so is one of any choice of
-more than the rest of them; each part is indexed by such a choice, those that
-the fewest items share, and an item is retrieved if a key of each part occurs.
-No item that verifies is missed.  Its score is that of its best passage.
-
-An item that was retrieved is verified against the whole document: five-word
-shingles of its question and of its answer (the last sentence, or else the last
-third of the words) must both be contained to ``overlap`` (0.8) or more; fewer
-than five words must occur in sequence.
+An item's question and answer (the last sentence, or else the last third of the
+words) are units of their own; a part of more than ``UNIT`` five-word shingles is
+cut into several, each shingle in one of them.  An inverted index holds for each
+term its units with BM25 impacts, in blocks with their greatest impact.  Every
+training document is a passage, a query of its distinct terms, whatever its
+length: a shorter passage would miss a part whose shingles stand far apart.
+
+A unit's threshold is what containment needs.  If the share ``overlap`` of its
+shingles occurs, the words of all others may be lacking at most; each word's
+impact is shared out among the shingles that hold it, so the lost impacts are at
+most the sum over the heaviest shingles that may be lacking.  Impacts are held as
+shares of that threshold, so one threshold, 1, serves all units.  If a part is
+contained to ``overlap``, so is one of its units: no item that verifies is missed.
+
+All units that reach the threshold are retrieved.  A passage's term maxima are
+first summed by group of neighbouring units, for a whole batch at once; groups
+that could complete an item are traversed document at a time, with a pivot and
+block maxima.  An item is retrieved if a unit of each of its parts is.  It is then
+verified against the whole document: five-word shingles of its question and of its
+answer must both be contained to ``overlap`` (0.8) or more; fewer than five words
+must occur in sequence.  Its score is the greatest share of a unit's own score.
 
 The index of a set of items is broadcast in shards of at most ``SHARD_CHARS``
 characters of items, each with a pass of its own, so its size is bounded however
@@ -31,15 +31,18 @@ Words are runs of anything but white space and ASCII punctuation, in lower case.
 
 Edge cases: null texts are empty; items without words match nothing; a null
 ``doc_id`` or ``item_id`` is kept; repeated documents and items give a row each;
-an empty table on either side gives no rows.
+equal scores are all kept; a long text is one passage, read whole; extra columns
+are not read; an empty table on either side gives no rows.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -48,8 +51,9 @@ from pyspark.sql import functions as F
 
 from .common import materialise, slices, strings
 
-UNIT, BLOCK, SHARD_CHARS = 64, 4, 8 << 20
-GROUPS = 64  # at most so many groups of blocks are bounded at once
+UNIT, BLOCK, SHARD_CHARS = 64, 4, 4 << 20
+GROUPS = 128  # at most so many groups of blocks are bounded at once
+PAIRS = 1 << 16  # passages with so many terms in all are bounded at once
 K1, B = 1.2, 0.75
 _PUNCTUATION = bytes(c for c in range(128) if not chr(c).isalnum())
 _TABLE = bytes(32 if c in _PUNCTUATION else c for c in range(256))
@@ -81,6 +85,34 @@ def contained(part: list[bytes], joined: bytes, n: int = 5) -> float:
     return sum(b" " + s + b" " in joined for s in own) / len(own) if own else 1.0
 
 
+def units_of(text: str, n: int = 5) -> list[tuple[int, list[bytes], set[bytes]]]:
+    """(part, words, shingles) of an item's units; a shingle belongs to the first unit that holds it."""
+    out = []
+    for number, part in enumerate(question_answer(text)):
+        seen: set[bytes] = set()
+        starts = range(max(1, len(part) - n + 1) if part else 0)
+        for at in range(0, len(starts), UNIT):
+            own, covered = set(), set()
+            for s in starts[at:at + UNIT]:
+                shingle = b" ".join(part[s:s + n])
+                if shingle not in seen:
+                    own.add(shingle)
+                    covered.update(range(s, min(s + n, len(part))))
+            seen |= own
+            if own:
+                out.append((number, [part[p] for p in sorted(covered)], own))
+    return out
+
+
+def needed(weights: dict[bytes, float], own: set[bytes], overlap: float) -> float:
+    """The least share of a unit's score in a document that holds ``overlap`` of its shingles."""
+    least = next((c for c in range(1, len(own) + 1) if c / len(own) >= overlap), len(own))
+    words = [set(s.split(b" ")) for s in own]
+    held = Counter(chain.from_iterable(words))
+    shares = sorted((sum(weights[w] / held[w] for w in each) for each in words), reverse=True)
+    return 1 - sum(shares[:len(own) - least]) / sum(weights.values())
+
+
 class Index:
     """Inverted index of item units with block maxima."""
 
@@ -88,78 +120,80 @@ class Index:
                  whole: tuple[int, int, dict[bytes, int]] | None = None):
         """``whole``: units, their words in all, and units of each term, of the set that ``items`` are of."""
         self.items = [(i, question_answer(t)) for i, t in items]
-        units = [(n, part) for n, (_, t) in enumerate(items)
-                 for w in [words_of(t)] for part in _units(w)]
-        units.sort(key=lambda u: len(u[1]))  # units of like length share blocks: tighter maxima
+        units = [(n, *unit) for n, (_, t) in enumerate(items) for unit in units_of(t)]
+        units.sort(key=lambda u: len(u[3]))  # units of like length share blocks: tighter maxima
         self.item_of = np.array([u[0] for u in units], np.int64)
-        n_units, n_words, df = whole or (len(units), sum(len(u[1]) for u in units), None)
+        self.part_of = np.array([u[1] for u in units], np.int64)
+        n_units, n_words, df = whole or (len(units), sum(len(u[2]) for u in units), None)
         mean = n_words / max(n_units, 1)
-        postings: dict[bytes, list[tuple[int, int]]] = {}
-        for u, (_, part) in enumerate(units):
-            for w in sorted(set(part)):
-                postings.setdefault(w, []).append((u, part.count(w)))
+        counts = [Counter(u[2]) for u in units]
+        postings: dict[bytes, list[int]] = {}
+        for u, tf in enumerate(counts):
+            for w in sorted(tf):
+                postings.setdefault(w, []).append(u)
         self.term = {w: k for k, w in enumerate(postings)}
-        impacts, own = [], np.zeros(len(units))
-        for w, posts in postings.items():
-            n = df[w] if df else len(posts)
-            idf = np.log1p((n_units - n + 0.5) / (n + 0.5))
-            score = np.array([idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(units[u][1]) / mean))
-                              for u, tf in posts])
-            ids = np.array([u for u, _ in posts], np.int64)
-            own[ids] += score
-            impacts.append((ids, score))
-        self.ids = [i for i, _ in impacts]
-        self.impact = [s / own[i] for i, s in impacts]
-        self.starts = [np.arange(0, len(i), BLOCK) for i in self.ids]
-        self.block_max = [np.maximum.reduceat(s, b) for s, b in zip(self.impact, self.starts)]
-        self.block_last = [i[np.minimum(b + BLOCK, len(i)) - 1] for i, b in zip(self.ids, self.starts)]
-        self.most = np.array([s.max() for s in self.impact])
+        idf = {}
+        for w, ids in postings.items():
+            n = df[w] if df else len(ids)
+            idf[w] = float(np.log1p((n_units - n + 0.5) / (n + 0.5)))
+        self.need = np.zeros(len(units))
+        scaled = []
+        for u, (_, _, words, own) in enumerate(units):
+            weights = {w: idf[w] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(words) / mean))
+                       for w, tf in sorted(counts[u].items())}
+            self.need[u] = needed(weights, own, overlap)
+            full = sum(weights.values()) * self.need[u]
+            scaled.append({w: x / full for w, x in weights.items()})
+        self.ids = [np.array(ids, np.int64) for ids in postings.values()]
+        self.impact = [np.array([scaled[u][w] for u in ids]) for w, ids in postings.items()]
+        blocks = [range(0, len(i), BLOCK) for i in self.ids]
+        self.block_max = [[float(s[b:b + BLOCK].max()) for b in bs] for s, bs in zip(self.impact, blocks)]
+        self.block_last = [[int(i[min(b + BLOCK, len(i)) - 1]) for b in bs] for i, bs in zip(self.ids, blocks)]
+        self.lists = [(i.tolist(), s.tolist()) for i, s in zip(self.ids, self.impact)]
         # the greatest impact of each term in each group of neighbouring units
-        wide = max(BLOCK, -(-len(units) // GROUPS))
-        self.group_max = np.zeros((len(self.impact), -(-len(units) // wide)), np.float32)
+        self.wide = max(BLOCK, -(-len(units) // GROUPS))
+        self.group_max = np.zeros((len(self.ids), -(-len(units) // self.wide)), np.float32)
         for t, (i, s) in enumerate(zip(self.ids, self.impact)):
-            np.maximum.at(self.group_max[t], i // wide, s)
-        self._keys(overlap)
-
-    def _keys(self, overlap: float) -> None:
-        """For each shingle length: sorted hashes of keys, and the (item, part) of each."""
-        sets = [[shingles(part) for part in parts] for _, parts in self.items]
-        shared = Counter(chain.from_iterable(chain.from_iterable(sets)))
-        keys: dict[int, list[tuple[int, int, int]]] = {}
-        self.parts = np.array([sum(bool(own) for own in parts) for parts in sets], np.int64)
-        for item, parts in enumerate(sets):
-            for part, own in enumerate(parts):
-                least = next((c for c in range(1, len(own) + 1) if c / len(own) >= overlap), len(own))
-                for key in sorted(own, key=lambda x: (shared[x], x))[:len(own) - least + 1]:
-                    codes = np.array([self.term[w] for w in key.split(b" ")], np.int64)
-                    keys.setdefault(len(codes), []).append((int(_rolled(codes, len(codes))[0]), item, part))
-        self.keys = {}
-        for n, found in keys.items():
-            found.sort()
-            self.keys[n] = (np.array([f[0] for f in found], np.uint64), np.array([f[1:] for f in found], np.int64))
-
-    def score(self, item: int, words: list[bytes]) -> float:
-        """Greatest score of the item's units in a passage."""
-        best, units = 0.0, set(np.flatnonzero(self.item_of == item).tolist())
-        for i in range(0, max(len(words), 1), UNIT):
-            held = dict.fromkeys(units, 0.0)
-            for t in {self.term[w] for w in words[i:i + 2 * UNIT] if w in self.term}:
-                for u in units:
-                    at = int(np.searchsorted(self.ids[t], u))
-                    if at < len(self.ids[t]) and self.ids[t][at] == u:
-                        held[u] += float(self.impact[t][at])
-            best = max(best, *held.values())
-        return best
-
-    def wand(self, terms: list[int], threshold: float) -> list[tuple[int, float]]:
-        """All (unit, score) with a score of ``threshold`` and more."""
-        end, found = len(self.item_of), []
-        cursors = [[int(self.ids[t][0]), 0, t] for t in terms]
+            np.maximum.at(self.group_max[t], i // self.wide, s)
+        # units by item and part, for joining the parts of an item
+        self.order = np.lexsort((self.part_of, self.item_of))
+        key = self.item_of[self.order] * 2 + self.part_of[self.order]
+        self.part_start = np.flatnonzero(np.diff(key, prepend=-1))
+        self.item_start = np.flatnonzero(np.diff(key[self.part_start] // 2, prepend=-1))
+        self.units_of_item = np.diff(np.append(self.part_start[self.item_start], len(units)))
+        size = np.bincount(key, weights=[len(units[u][3]) for u in self.order], minlength=2 * len(self.items))
+        self.longer = np.where(size[1::2] > size[::2], 1, 0)
+        self.main = self.part_of == self.longer[self.item_of]
+        self.parts = np.bincount(key[self.part_start] // 2, minlength=len(self.items))
+
+    def able(self, passing: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Groups of ``passing`` (passages x groups) that can complete an item: with its longer part, with any part."""
+        unit = passing[:, self.order // self.wide]
+        part = np.logical_or.reduceat(unit, self.part_start, axis=1)
+        item = np.logical_and.reduceat(part, self.item_start, axis=1)
+        unit &= np.repeat(item, self.units_of_item, axis=1)
+        first, both = np.zeros_like(passing), np.zeros_like(passing)
+        row, at = np.nonzero(unit)
+        both[row, self.order[at] // self.wide] = True
+        main = self.main[self.order[at]]
+        first[row[main], self.order[at[main]] // self.wide] = True
+        return first, both
+
+    def wand(self, terms: list[int], threshold: float, low: int = 0, high: int | None = None) -> list[tuple[int, float]]:
+        """All (unit, score) of the units from ``low`` to ``high`` with a score of ``threshold`` and more."""
+        end, found = len(self.item_of) if high is None else min(high, len(self.item_of)), []
+        groups = slice(low // self.wide, -(-end // self.wide))
+        cursors = []
+        for t, most in zip(terms, self.group_max[terms, groups].max(axis=1, initial=0).tolist()):
+            ids, impact = self.lists[t]
+            at = bisect_left(ids, low)
+            if at < len(ids) and ids[at] < end:  # rounded maxima are raised a little
+                cursors.append([ids[at], at, most * (1 + 1e-6), ids, impact, self.block_last[t], self.block_max[t]])
         while cursors:
-            cursors.sort()
+            cursors.sort(key=_unit)
             total, pivot = 0.0, -1
-            for k, (_, _, t) in enumerate(cursors):
-                total += self.most[t]
+            for k, c in enumerate(cursors):
+                total += c[2]
                 if total >= threshold:
                     pivot = k
                     break
@@ -168,121 +202,92 @@ class Index:
             doc = cursors[pivot][0]
             while pivot + 1 < len(cursors) and cursors[pivot + 1][0] == doc:
                 pivot += 1
+            moved = cursors[:pivot + 1]
             bound, reach = 0.0, end
-            for c in cursors[:pivot + 1]:
-                blocks = self.block_last[c[2]]
-                b = int(np.searchsorted(blocks, doc))
-                if b < len(blocks):
-                    bound += self.block_max[c[2]][b]
-                    reach = min(reach, int(blocks[b]) + 1)
+            for c in moved:
+                b = bisect_left(c[5], doc)
+                if b < len(c[5]):
+                    bound += c[6][b]
+                    reach = min(reach, c[5][b] + 1)
             if bound < threshold:  # no unit up to the nearest end of a block can reach it
                 if pivot + 1 < len(cursors):
                     reach = min(reach, cursors[pivot + 1][0])
                 target = max(reach, doc + 1)
-                moved = cursors[:pivot + 1]
             elif cursors[0][0] == doc:
-                score = sum(float(self.impact[c[2]][c[1]]) for c in cursors[:pivot + 1])
+                score = sum(c[4][c[1]] for c in moved)
                 if score >= threshold:
                     found.append((doc, score))
-                target, moved = doc + 1, cursors[:pivot + 1]
+                target = doc + 1
             else:
-                target, moved = doc, [c for c in cursors[:pivot] if c[0] < doc]
+                target, moved = doc, [c for c in moved if c[0] < doc]
             for c in moved:
-                ids = self.ids[c[2]]
-                c[1] = int(np.searchsorted(ids, target))
-                c[0] = int(ids[c[1]]) if c[1] < len(ids) else end
+                c[1] = bisect_left(c[3], target, c[1])
+                c[0] = c[3][c[1]] if c[1] < len(c[3]) else end
             cursors = [c for c in cursors if c[0] < end]
         return found
 
 
-def _rolled(codes: np.ndarray, n: int) -> np.ndarray:
-    """A hash of each run of ``n`` codes."""
-    out = np.zeros(max(0, len(codes) - n + 1), np.uint64)
-    for i in range(n):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + codes[i:i + len(out)].astype(np.uint64) + np.uint64(1)
-        out ^= out >> np.uint64(29)
-    return out
+_unit = itemgetter(0)
 
 
-def by_keys(index: Index, texts: list[list[bytes]]) -> list[set[int]]:
-    """Per text the items of which each part has a key in it."""
-    get = index.term.get
-    sizes = np.array([len(t) + 1 for t in texts], np.int64)
-    codes = np.fromiter((c for t in texts for c in chain((get(w, -1) for w in t), (-1,))), np.int64, int(sizes.sum()))
-    text_of = np.repeat(np.arange(len(texts)), sizes)
-    unknown = np.concatenate(([0], np.cumsum(codes < 0)))
-    met: list[set[tuple[int, int]]] = [set() for _ in texts]
-    for n, (hashes, entries) in index.keys.items():
-        whole = np.flatnonzero(unknown[n:] == unknown[:-n])  # runs of known words within a text
-        if not len(whole):
-            continue
-        own = _rolled(codes, n)[whole]
-        a = np.searchsorted(hashes, own)
-        for i in np.flatnonzero(hashes[np.minimum(a, len(hashes) - 1)] == own).tolist():
-            z = int(np.searchsorted(hashes, own[i], "right"))
-            met[text_of[whole[i]]].update(map(tuple, entries[a[i]:z].tolist()))
-    out = []
-    for m in met:
-        n_met = Counter(item for item, _ in m)
-        out.append({item for item, k in n_met.items() if k == index.parts[item]})
-    return out
+def _traverse(index: Index, terms: np.ndarray, groups: np.ndarray, threshold: float,
+              met: dict[tuple[int, int], float]) -> None:
+    """Add to ``met`` the (item, part) that a passage retrieves from ``groups``, with their greatest score."""
+    for g in groups.tolist():
+        there = terms[index.group_max[terms, g] > 0].tolist()
+        for unit, score in index.wand(there, threshold - 1e-9, g * index.wide, (g + 1) * index.wide):
+            key = (int(index.item_of[unit]), int(index.part_of[unit]))
+            met[key] = max(score * float(index.need[unit]), met.get(key, 0.0))
 
 
-def _units(words: list[bytes]) -> list[list[bytes]]:
-    return [words[i:i + UNIT] for i in range(0, len(words), UNIT)]
-
-
-def candidates(index: Index, texts: list[list[bytes]], threshold: float) -> list[dict[int, float]]:
-    """Per text the items that some passage retrieves, with their best score."""
+def candidates(index: Index, texts: list[list[bytes]], threshold: float = 1.0) -> list[dict[int, float]]:
+    """Per text the items of which a unit of each part is retrieved, with their greatest score."""
     out: list[dict[int, float]] = [{} for _ in texts]
-    terms = len(index.most)
+    terms = len(index.ids)
     if not terms:
         return out
     get = index.term.get
     codes = np.fromiter((get(w, -1) for t in texts for w in t), np.int64)
-    sizes = np.array([len(t) for t in texts], np.int64)
-    halves = -(-sizes // UNIT)  # half passages of each text
-    first = np.concatenate(([0], np.cumsum(halves + 1)))  # one empty half between texts
-    start = np.concatenate(([0], np.cumsum(sizes)))[:-1]
-    half = (np.arange(len(codes)) - np.repeat(start, sizes)) // UNIT + np.repeat(first[:-1], sizes)
-    kept = np.flatnonzero(codes >= 0)
-    half, codes = half[kept], codes[kept]
-    # passage p is halves p and p + 1: a half's terms go to both, each once
-    pairs = np.unique(np.concatenate((half, half - 1)) * terms + np.concatenate((codes, codes)))
-    pairs = pairs[pairs >= 0]
-    passage, code = pairs // terms, pairs % terms
-    ends = np.searchsorted(passage, np.arange(first[-1] + 1))
-    over = np.zeros(first[-1], bool)
-    for p in range(0, first[-1], 512):
-        a, z = ends[p], ends[min(p + 512, first[-1])]
-        if z > a:
-            own, at = np.unique(passage[a:z], return_index=True)
-            bound = np.add.reduceat(index.group_max[code[a:z]], at, axis=0).max(axis=1)
-            over[own[bound >= threshold - 1e-4]] = True
-    over[first[1:] - 1] = False  # the empty half and what follows it: a part of the next passage
-    text_of = np.repeat(np.arange(len(texts)), halves + 1)
-    for p in np.flatnonzero(over).tolist():
-        mine = out[text_of[p]]
-        for unit, score in index.wand(code[ends[p]:ends[p + 1]].tolist(), threshold - 1e-9):
-            item = int(index.item_of[unit])
-            mine[item] = max(score, mine.get(item, 0.0))
+    text = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    kept = codes >= 0
+    pairs = np.unique(text[kept] * terms + codes[kept])
+    text, code = pairs // terms, pairs % terms
+    ends = np.searchsorted(text, np.arange(len(texts) + 1))
+    stop = 0
+    while stop < len(texts):
+        a, begin = ends[stop], stop
+        stop = min(max(begin + 1, int(np.searchsorted(ends, a + PAIRS, "right")) - 1), begin + 256, len(texts))
+        z = ends[stop]
+        if a == z:
+            continue
+        own, at = np.unique(text[a:z], return_index=True)
+        passing = np.add.reduceat(index.group_max[code[a:z]], at, axis=0) >= threshold - 1e-4
+        some = passing.any(axis=1)
+        own, (first, both) = own[some], index.able(passing[some])
+        for n in np.flatnonzero(first.any(axis=1)).tolist():
+            mine, met = code[ends[own[n]]:ends[own[n] + 1]], {}
+            _traverse(index, mine, np.flatnonzero(first[n]), threshold, met)
+            if any(index.longer[item] == part for item, part in met):  # else no item can be complete
+                _traverse(index, mine, np.flatnonzero(both[n] & ~first[n]), threshold, met)
+            held = Counter(item for item, _ in met)
+            out[own[n]] = {item: max(met.get((item, part), 0.0) for part in (0, 1))
+                           for item, k in held.items() if k == index.parts[item]}
     return out
 
 
-def matches(index: Index, texts: list[str], threshold: float, overlap: float) -> list[list[tuple]]:
+def matches(index: Index, texts: list[str], overlap: float) -> list[list[tuple]]:
     """Per text (item number, score, question overlap, answer overlap) of each verified item."""
     words = [words_of(t) for t in texts]
     out = []
-    for w, found, keyed in zip(words, candidates(index, words, threshold), by_keys(index, words)):
-        keyed -= found.keys()
-        found |= dict.fromkeys(keyed, 0.0)
+    for w, found in zip(words, candidates(index, words)):
         joined = b" " + b" ".join(w) + b" " if found else b""
         rows = []
         for item in sorted(found):
             question, answer = index.items[item][1]
-            q, a = contained(question, joined), contained(answer, joined)
+            a = contained(answer, joined)
+            q = contained(question, joined) if a >= overlap else 0.0
             if q >= overlap and a >= overlap:
-                rows.append((item, index.score(item, w) if item in keyed else found[item], q, a))
+                rows.append((item, found[item], q, a))
         out.append(rows)
     return out
 
@@ -292,7 +297,7 @@ def _count_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         n_units, n_words = Counter(), Counter()
         for shard, text in zip(b.column("shard").to_pylist(), strings(b, "t")):
-            for part in _units(words_of(text)):
+            for _, part, _ in units_of(text):
                 n_units.update((shard, w) for w in {*part, None})
                 n_words[shard, None] += len(part)
         if n_units:
@@ -328,7 +333,7 @@ def _shards(items: DataFrame, max_chars: int, overlap: float) -> Iterator[Index]
 MATCH = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
 
 
-def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.6, overlap: float = 0.8,
+def contaminated(docs: DataFrame, items: DataFrame, overlap: float = 0.8,
                  shard_chars: int = SHARD_CHARS) -> DataFrame:
     """One row per document and test item that the document holds."""
     spark = docs.sparkSession
@@ -339,7 +344,7 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.6, over
 
         def scan(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for b in slices(batches, "text", 2 << 20):
-                each = matches(index.value, strings(b, "text"), threshold, overlap)
+                each = matches(index.value, strings(b, "text"), overlap)
                 hits = [(d, index.value.items[m[0]][0], *m[1:])
                         for d, ms in zip(b.column("doc_id").to_pylist(), each) for m in ms]
                 if hits:
@@ -352,7 +357,7 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.6, over
     return found if found is not None else spark.createDataFrame([], MATCH)
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, threshold: float = 0.6, overlap: float = 0.8,
+def decontaminate(docs: DataFrame, items: DataFrame, overlap: float = 0.8,
                   shard_chars: int = SHARD_CHARS) -> DataFrame:
     """``docs`` without the rows that hold a test item; narrow, so texts are never shuffled."""
     spark, at = docs.sparkSession, docs.columns.index("text")
@@ -362,7 +367,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, threshold: float = 0.6, ove
         def scan(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for b in slices(batches, "text", 2 << 20):
                 texts = [t or "" for t in b.column(at).to_pylist()]
-                clean = [not m for m in matches(index.value, texts, threshold, overlap)]
+                clean = [not m for m in matches(index.value, texts, overlap)]
                 yield b.filter(pa.array(clean, pa.bool_()))
 
         docs = docs.mapInArrow(scan, docs.schema)
