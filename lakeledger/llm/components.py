@@ -20,8 +20,9 @@ def _star(edges: DataFrame, both: bool) -> DataFrame:
             edges.select(F.col("v").alias("n"), F.col("u").alias("m")))
     else:
         near = edges.select(F.col("v").alias("n"), F.col("u").alias("m"))
-    least = near.groupBy("n").agg(F.min("m").alias("_m")) \
-                .select(F.col("n").alias("k"), F.least("n", "_m").alias("least"))
+    # written first: AQE can split a hub's rows in a join with a table, not in one with an aggregate
+    least = materialise(near.groupBy("n").agg(F.min("m").alias("_m"))
+                        .select(F.col("n").alias("k"), F.least("n", "_m").alias("least")), "least")
     met = near.join(least, F.col("n") == F.col("k"))
     if both:
         moved = met.filter(F.col("m") > F.col("n")).select(F.col("least").alias("u"), F.col("m").alias("v"))
@@ -35,8 +36,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """``node, component`` for each node of ``edges`` (u, v longs); component = its least node.
 
     Each round is written to the shared folder.  Rounds grow with the logarithm
-    of a component's size.  Minima are combined before their shuffle; no list
-    of neighbours is ever built, so a hub of any degree is fine.
+    of a component's size.  Minima are combined before their shuffle and written,
+    so the rows of a hub, or of a component's root in late rounds, are split over
+    tasks by AQE's skew handling; no list of neighbours is ever built.
     """
     now = materialise(edges.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
                       .filter("u < v").distinct(), "edges")

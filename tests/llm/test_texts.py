@@ -96,6 +96,29 @@ def test_components_of_chains_hubs_and_nothing(spark):
     assert connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_least_neighbours_are_a_table_when_they_are_joined(spark):
+    """So AQE can split the rows of a hub; it can't beside an aggregate."""
+    from lakeledger.llm import components
+    n = 200_000
+    edges = spark.range(1, n + 1).select(F.lit(0).cast("long").alias("u"), F.col("id").alias("v"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        star = components._star(edges.repartition(8, "v"), True)
+        assert star.count() == n and star.filter("u = 0").count() == n
+        plan = star._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Aggregate") == 1  # the distinct alone
+        got = connected_components(edges.limit(20_000))
+        assert got.filter("component = 0").count() == got.count() == 20_001
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
 def test_keep_one_of_each_group(edge, hard):
     docs = edge([(5, "a b c d e f", "s"), (3, "A b c d e f", "s"), (3, "A b c d e f", "s"), (3, "other text here", "s"),
                  (None, "lonely words only", "s"), (None, "and more lonely ones", "s"), (9, "OTHER text here", "s")])
