@@ -24,6 +24,7 @@ from ..operators.gold import readmissions
 from ..operators.incremental import IncrementalReader
 from ..operators.merge import upsert
 from ..operators.ordered import cut
+from ..operators.sketches import HLL_ERROR, KLL_ERROR, SketchLog
 from ..session import scratch_path
 from ..sources.files import MULTILINE, RESCUE_COL, file_name, read_file_stream, read_files, with_ingest_metadata
 from ..sources.schemas import describe_schema, infer_or_load_schema
@@ -861,3 +862,37 @@ def q_stream_processing_time(spark, d):
     finally:
         q.stop()
     return spark.read.parquet(f"{root}/bronze")
+
+
+def _sketch_sql(col: str, dups: str = "CAST(NULL AS BIGINT)", quantile: str = "CAST(NULL AS BOOLEAN)") -> str:
+    return (f"SELECT '{col}' AS column_name, count(*) AS n_rows, count(*) - count({col}) AS n_null, "
+            f"true AS distinct_ok, {quantile} AS median_ok, {dups} AS n_repeated FROM events")
+
+
+@register("q_quality_sketches", " UNION ALL ".join([
+    _sketch_sql("event_id", "(SELECT count(*) FROM (SELECT event_id FROM events WHERE event_id IS NOT NULL "
+                            "GROUP BY event_id HAVING count(*) > 1))"),
+    _sketch_sql("user_id"), _sketch_sql("event_type"), _sketch_sql("value", quantile="true")]))
+def q_quality_sketches(spark, d):
+    """Sketches of each micro-batch, merged over the stream, held against exact counts."""
+    root = scratch_path(spark, "quality_sketches")
+    stage, schema = _stage_events_by_type(spark, d, root)
+    log = SketchLog(f"{root}/sketches", ["event_id", "user_id", "event_type", "value"], ["value"])
+    foreach_batch_stream(_parquet_stream(spark, stage, schema), log.write, f"{root}/_chk")
+    e, names = events(spark, d), log.columns
+    report = log.report(spark, at=[0.5]).filter(F.col("column_name").isin(names))
+    exact = e.agg(*[F.count_distinct(c).alias(c) for c in names]) \
+        .select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("exact"))
+                                    for c in names])).alias("x")).select("x.*")
+    median = F.lit(report.filter("column_name = 'value'").first().quantiles[0])
+    ranks = e.filter("value IS NOT NULL").agg(F.avg((F.col("value") < median).cast("int")).alias("below"),
+                                              F.avg((F.col("value") <= median).cast("int")).alias("upto")).first()
+    median_ok = ranks.below <= 0.5 + KLL_ERROR and ranks.upto >= 0.5 - KLL_ERROR
+    repeated = {k: v.count() for k, v in log.duplicates(e, ["event_id", "user_id"]).items()}
+    n_repeated = F.coalesce(*[F.when(F.col("column_name") == k, F.lit(n).cast("bigint")) for k, n in repeated.items()],
+                            F.lit(None).cast("bigint"))
+    return report.join(exact, "column_name").select(
+        "column_name", "n_rows", "n_null",
+        (F.abs(F.col("n_distinct") - F.col("exact")) <= HLL_ERROR * F.col("exact") + 0.5).alias("distinct_ok"),
+        F.when(F.col("quantiles").isNotNull(), F.lit(median_ok)).alias("median_ok"),
+        n_repeated.alias("n_repeated"))
