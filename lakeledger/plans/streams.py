@@ -24,6 +24,7 @@ from ..operators.gold import readmissions
 from ..operators.incremental import IncrementalReader
 from ..operators.merge import upsert
 from ..operators.ordered import cut
+from ..operators.replay import SchemaLog, replay_quarantine
 from ..operators.sketches import HLL_ERROR, KLL_ERROR, SketchLog
 from ..session import scratch_path
 from ..sources.files import MULTILINE, RESCUE_COL, file_name, read_file_stream, read_files, with_ingest_metadata
@@ -896,3 +897,30 @@ def q_quality_sketches(spark, d):
         (F.abs(F.col("n_distinct") - F.col("exact")) <= HLL_ERROR * F.col("exact") + 0.5).alias("distinct_ok"),
         F.when(F.col("quantiles").isNotNull(), F.lit(median_ok)).alias("median_ok"),
         n_repeated.alias("n_repeated"))
+
+
+@register("q_quarantine_replay", """
+SELECT o_orderkey, o_custkey, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate,
+       CASE WHEN o_orderpriority = '5-LOW' THEN 'EXTRA' END AS o_note
+FROM orders WHERE o_orderpriority <> '4-NOT SPECIFIED'""")
+def q_quarantine_replay(spark, d):
+    """Lines with a column too many heal under the next schema; two replays, of which the second adds nothing."""
+    root = scratch_path(spark, "quarantine_replay")
+    o, late = table(spark, d, "orders"), F.col("o_orderpriority")
+    price = F.when(late == "4-NOT SPECIFIED", F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string"))
+    line = F.concat_ws(",", F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"), "o_orderstatus",
+                       price, F.date_format("o_orderdate", "yyyy-MM-dd"), F.when(late == "5-LOW", F.lit("EXTRA")))
+    o.select(line.alias("value")).write.text(f"{root}/landing")
+    log = SchemaLog(f"{root}/schema")
+    log.widen(spark, RESCUE_SCHEMA)
+    src = read_file_stream(spark, f"{root}/landing", log.read(spark), options={"header": "false"}, max_files=2)
+    append_stream(with_ingest_metadata(src), f"{root}/bronze", f"{root}/_chk")
+    bronze = spark.read.parquet(f"{root}/bronze")
+    log.widen(spark, T.StructType([*RESCUE_SCHEMA.fields, T.StructField("o_note", T.StringType())]))
+    quarantine, names = bronze.filter(F.col(RESCUE_COL).isNotNull()), log.read(spark).fieldNames()
+    silver = bronze.filter(F.col(RESCUE_COL).isNull()).select(*[c for c in names if c in bronze.columns])
+    for _ in range(2):
+        healed = replay_quarantine(quarantine, log.read(spark), f"{root}/healed")
+        if healed is not None:
+            silver = silver.unionByName(healed, allowMissingColumns=True)
+    return silver.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_note")
