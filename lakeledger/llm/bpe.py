@@ -2,22 +2,28 @@
 
 A rolling hash over the bytes of a text cuts it where the hash of the last 32
 bytes has a given form, so that equal passages give equal chunks wherever they
-stand.  A chunk is encoded once while a worker's memo holds it; documents are
-first dealt by range of (a hash of) the least hash of their lines, so that copies and near
-copies meet in one task (the second sort key splits a large group of copies
-over many tasks).  Within a chunk, distinct blank-separated pieces are encoded
-by the tokenizers library once.
-
-A chunk's own ids are wrong at its ends if the cut is inside a word.  At each
-join the last piece of the left chunk and the first of the right are encoded
-together and replace the separate ids.  Cuts without a blank on both sides are
-given up.  This is exact for tokenizers whose pre-tokens contain no blank
-(checked when the tokenizer is loaded): pieces are then independent, and a
-chunk's ids are those of its pieces in the memo, one after the other.  That the
-ends of both chunks agree with the window's pieces is therefore a guard only.
+stand.  A chunk is encoded by the library, as a whole and once, while a worker's memo
+holds it; documents are first dealt by range of (a hash of) the least hash of
+their lines, so that copies and near copies meet in one task (the second sort
+key splits a large group of copies over many tasks).
+
+A chunk's own ids may be wrong at its ends, as the cut may stand inside a word, a
+run of signs or a character with its marks.  At each join a window, the end of
+the left chunk and the beginning of the right one, is encoded by the library in
+three ways: both together, and each end on its own.  The window counts only if
+the left chunk's ids end with those of its end, and the right chunk's begin with
+those of its beginning; if not, it doubles, up to both chunks whole.  Chunks whose
+two windows meet are encoded again as one.
+
+Exactness: each end of a window holds a blank, and no token of a tokenizer
+accepted here goes over a blank (checked when it is loaded), so what stands
+before the first and behind the last blank of a window does not depend on the
+other side.  Agreement shows that the chunks' ids outside the window, together
+with the window's up to those blanks, are the ids of the text.  Cuts without a
+blank on both sides are given up.
 
 Decoding follows the library for a tokenizer without a decoder: tokens joined by
-one blank; it is kept per piece beside the ids.
+one blank.
 
 Edge cases: null text is empty and gives no ids; a null ``doc_id`` is kept; a
 text of any length is cut the same way; repeated rows give repeated results; an
@@ -78,10 +84,35 @@ def chunks(raw: bytes, cuts: np.ndarray) -> list[bytes]:
     return out
 
 
+def _edge(byte: int) -> bool:
+    """Whether a window may begin or end here: an ASCII sign, blank or control character."""
+    return byte < 0x80 and not (0x30 <= byte <= 0x39 or 0x41 <= byte <= 0x5A or 0x61 <= byte <= 0x7A)
+
+
+def tail(raw: bytes, width: int) -> bytes | None:
+    """The last ``width`` bytes of a chunk from their first edge on; None if that holds no blank."""
+    if width >= len(raw):
+        return raw
+    start = len(raw) - width
+    while start < len(raw) and not _edge(raw[start]):
+        start += 1
+    return raw[start:] if raw.find(b" ", start) >= 0 else None
+
+
+def head(raw: bytes, width: int) -> bytes | None:
+    """The first ``width`` bytes of a chunk up to their last edge; None if that holds no blank."""
+    if width >= len(raw):
+        return raw
+    end = width
+    while end and not _edge(raw[end - 1]):
+        end -= 1
+    return raw[:end] if raw.find(b" ", 0, end) >= 0 else None
+
+
 class ChunkEncoder:
-    """Encodes texts; remembers pieces and chunks up to a bound."""
+    """Encodes texts; remembers chunks (``chunk_bytes``) and joins' windows (``entries``) up to a bound."""
 
-    def __init__(self, path: str, entries: int = 400_000, chunk_bytes: int = 24 << 20):
+    def __init__(self, path: str, entries: int = 100_000, chunk_bytes: int = 24 << 20):
         self.tok = tokenizer(path)
         spec = json.loads(self.tok.to_str())
         pre = json.dumps(spec["pre_tokenizer"])
@@ -89,109 +120,108 @@ class ChunkEncoder:
                 or any(" " in t["content"] for t in spec["added_tokens"]):
             raise ValueError("chunk reuse needs a tokenizer whose pre-tokens hold no blank")
         self.entries, self.chunk_bytes = entries, chunk_bytes
-        self.memo: dict[str, tuple[bytes, bytes]] = {"": (b"", b"")}
-        self.fresh: dict[str, tuple[bytes, bytes]] = {}  # pieces of this call that found no room in the memo
-        self.known: dict[bytes, tuple] = {}
-        self.held = self.missed = self.encoded = self.reused = 0
-
-    def learn(self, pieces: set[str]) -> None:
-        """Encode pieces in one call of the library; the memo keeps the first ones, which hold the frequent ones.
-
-        Once full it stays as it is until it has missed four times as many, as it
-        does when the texts change, and then starts anew.
-        """
-        new = [p for p in pieces if p not in self.memo and p not in self.fresh]
-        if not new:
-            return
-        name = self.tok.id_to_token
-        found = {}
-        for p, e in zip(new, self.tok.encode_batch_fast(new, add_special_tokens=False)):
-            ids = e.ids
-            found[p] = (array("I", ids).tobytes() if sys.byteorder == "little" else
-                        np.array(ids, "<u4").tobytes(), " ".join(map(name, ids)).encode())
-        if len(self.memo) + len(new) <= self.entries:
-            self.memo.update(found)
-            return
-        self.fresh.update(found)
-        self.missed += len(new)
-        if self.missed > 4 * self.entries:
-            self.fresh |= self.memo  # what this call has looked up stays
-            self.memo, self.missed = {"": (b"", b"")}, 0
-
-    def encode_pieces(self, pieces: list[str], got: list | None = None) -> tuple[bytes, list[bytes]]:
-        """The ids of learned pieces and their decoded texts; ``got`` is what the memo had of them before."""
-        got = list(map(self.memo.get, pieces)) if got is None else got
-        if None in got:
-            got = [g or self.memo.get(p) or self.fresh[p] for p, g in zip(pieces, got)]
-        return b"".join([g[0] for g in got]), [g[1] for g in got if g[0]]
-
-    def encode_chunk(self, pieces: list[str], got: list) -> tuple:
-        """(first pieces, last pieces, ids, decoded pieces) of a chunk on its own."""
-        ids, words = self.encode_pieces(pieces, got)
-        return pieces[:8], pieces[-8:], ids, words
-
-    def keep(self, chunks_now: dict[bytes, tuple]) -> None:
-        """Remember chunks for later texts, up to the bound."""
-        size = sum(2 * len(c) + 2 * len(got[2]) + 16 * len(got[3]) for c, got in chunks_now.items())
-        if self.held + size > self.chunk_bytes:
-            self.known, self.held = {}, 0
-        if size <= self.chunk_bytes:
-            self.known.update(chunks_now)
-            self.held += size
-
-    def repair(self, left: tuple, right: tuple) -> tuple[int, int, bytes, list[bytes], int, int]:
-        """(bytes of ids lost at the left, at the right, the window's ids, decoded, words lost left, right)."""
-        width = 1
-        while True:
-            tail, head = left[1][-width:], right[0][:width]
-            window = tail[:-1] + [tail[-1] + head[0]] + head[1:]
-            self.learn({*tail, *head, *window})
-            a, wa = self.encode_pieces(tail)
-            b, wb = self.encode_pieces(head)
-            if left[2].endswith(a) and right[2].startswith(b):
-                return len(a), len(b), *self.encode_pieces(window), len(wa), len(wb)
-            if width >= 8:
-                raise ValueError("a join did not agree within its window")
-            width *= 2
+        size = max(self.tok.get_vocab().values()) + 1
+        self.names = [(self.tok.id_to_token(i) or "").encode() for i in range(size)]
+        self.known: dict[bytes, bytes] = {}  # ids of chunks, the younger half of the memo
+        self.older: dict[bytes, bytes] = {}
+        self.windows: dict[bytes, bytes] = {}
+        self.held = self.encoded = self.reused = self.widened = self.merged = 0
+
+    def library(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of texts on their own, little-endian unsigned 32-bit integers."""
+        found = self.tok.encode_batch_fast([t.decode("utf-8", "surrogatepass") for t in texts],
+                                           add_special_tokens=False)
+        if sys.byteorder == "little":
+            return [array("I", e.ids).tobytes() for e in found]
+        return [np.array(e.ids, "<u4").tobytes() for e in found]
+
+    def keep(self, chunk: bytes, ids: bytes) -> None:
+        """Remember a chunk; when half the bound is full, the older half makes room."""
+        size = len(chunk) + len(ids) + 200
+        if self.held + size > self.chunk_bytes // 2:
+            self.older, self.known, self.held = self.known, {}, 0
+        self.known[chunk] = ids
+        self.held += size
+
+    def encode_chunks(self, wanted: set[bytes]) -> dict[bytes, bytes]:
+        """The ids of distinct chunks; those that the memo lacks go through the library in one call."""
+        found, new = {}, []
+        for c in wanted:
+            if (ids := self.known.get(c)) is not None:
+                found[c] = ids
+            elif (ids := self.older.get(c)) is not None:
+                found[c] = ids
+                self.keep(c, ids)
+            else:
+                new.append(c)
+        for c, ids in zip(new, self.library(new)):
+            found[c] = ids
+            self.keep(c, ids)
+        self.encoded += len(new)
+        return found
 
-    def join(self, parts: list[tuple]) -> tuple[bytes, bytes]:
-        """(ids, decoded text) of a text from its chunks."""
-        if len(parts) == 1:
-            return parts[0][2], b" ".join(parts[0][3])
-        ids, words, skip, skip_words = [], [], 0, 0
-        for left, right in zip(parts, parts[1:]):
-            a, b, window, window_words, wa, wb = self.repair(left, right)
-            ids += [left[2][skip:len(left[2]) - a], window]
-            words += left[3][skip_words:len(left[3]) - wa]
-            words += window_words
-            skip, skip_words = b, wb
-        ids.append(parts[-1][2][skip:])
-        words += parts[-1][3][skip_words:]
-        return b"".join(ids), b" ".join(words)
+    def repair(self, ids: dict[bytes, bytes], joins: set[tuple[bytes, bytes]]) -> dict[tuple, tuple[int, int, bytes]]:
+        """Per join: bytes of ids that go at the left chunk's end and the right one's beginning, and what replaces both."""
+        done, width = {}, WINDOW
+        while joins:
+            tried = {(a, b): (tail(a, width), head(b, width)) for a, b in joins}
+            tried = {j: (x, y, x + y) for j, (x, y) in tried.items() if x is not None and y is not None}
+            wanted = {t for w in tried.values() for t in w}
+            got = {t: self.windows[t] for t in wanted if t in self.windows}
+            new = list(wanted - got.keys())
+            fresh = dict(zip(new, self.library(new)))
+            got |= fresh
+            if width == WINDOW:  # wider ones are rare and long
+                if len(self.windows) + len(fresh) > self.entries:
+                    self.windows = {}
+                self.windows.update(list(fresh.items())[:self.entries])
+            for (a, b), (x, y, both) in tried.items():
+                if ids[a].endswith(got[x]) and ids[b].startswith(got[y]):
+                    done[a, b] = len(got[x]), len(got[y]), got[both]
+            joins = joins - done.keys()
+            self.widened += len(joins)
+            width *= 2
+        return done
 
     def encode(self, texts: list[bytes], cuts: list[np.ndarray]) -> list[tuple[bytes, bytes]]:
         """(ids, decoded text) of each text in UTF-8; chunks that are known, or come twice, are encoded once."""
-        self.fresh = {}
         parts = [chunks(t, c) for t, c in zip(texts, cuts)]
-        distinct = {c for p in parts for c in p}
-        mine = {c: self.known[c] for c in distinct if c in self.known}
-        self.encoded += len(distinct) - len(mine)
-        self.reused += sum(map(len, parts)) - len(distinct) + len(mine)
-        split, get, lacking = {}, self.memo.get, set()
-        for c in distinct - mine.keys():
-            pieces = c.decode("utf-8", "surrogatepass").split(" ")
-            split[c] = pieces, (got := list(map(get, pieces)))
-            if None in got:
-                lacking.update(p for p, g in zip(pieces, got) if g is None)
-        for p in parts:
-            for left, right in zip(p, p[1:]):
-                lacking.add((left[left.rfind(b" ") + 1:] + right[:right.find(b" ")]).decode("utf-8", "surrogatepass"))
-        self.learn(lacking)
-        new = {c: self.encode_chunk(*s) for c, s in split.items()}
-        mine |= new
-        out = [self.join([mine[c] for c in p]) for p in parts]
-        self.keep(new)
-        return out
+        before, total = self.encoded, sum(map(len, parts))
+        out: list[bytes] = [b""] * len(texts)
+        open_now = list(range(len(texts)))
+        while open_now:
+            ids = self.encode_chunks({c for i in open_now for c in parts[i]})
+            joined = self.repair(ids, {j for i in open_now for j in zip(parts[i], parts[i][1:])})
+            again = []
+            for i in open_now:
+                p = parts[i]
+                ends = [joined[j] for j in zip(p, p[1:])]
+                lost = list(zip([0, *[e[1] for e in ends]], [*[e[0] for e in ends], 0]))
+                if all(a + b <= len(ids[c]) for c, (a, b) in zip(p, lost)):
+                    own = [ids[c][a:len(ids[c]) - b] for c, (a, b) in zip(p, lost)]
+                    out[i] = b"".join([x for o, e in zip(own, ends) for x in (o, e[2])] + own[-1:])
+                else:  # the windows of a chunk meet: it and its right neighbour are one from now on
+                    parts[i] = self.merge(p, [a + b > len(ids[c]) for c, (a, b) in zip(p, lost)])
+                    again.append(i)
+            open_now = again
+        self.reused += max(0, total - self.encoded + before)
+        names = self.names
+        return [(x, b" ".join([names[t] for t in np.frombuffer(x, "<u4").tolist()])) for x in out]
+
+    def merge(self, parts: list[bytes], full: list[bool]) -> list[bytes]:
+        """Each chunk marked ``full`` in one with its right neighbour (the last one with its left)."""
+        runs: list[list[bytes]] = []
+        open_run = False
+        for c, f in zip(parts, full):
+            if open_run:
+                runs[-1].append(c)
+            else:
+                runs.append([c])
+            open_run = f
+        if open_run and len(runs) > 1 and len(runs[-1]) == 1:
+            runs[-2:] = [runs[-2] + runs[-1]]
+        self.merged += len(parts) - len(runs)
+        return [b"".join(r) for r in runs]
 
 
 @lru_cache(maxsize=2)

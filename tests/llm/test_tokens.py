@@ -15,6 +15,7 @@ from lakeledger.llm import bpe, chat, pieces, tokenfile
 from lakeledger.llm.registry import vocabulary
 
 BYTE, WORD = (vocabulary(f) for f in ("byte_bpe_50k.json", "word_bpe_49k.json"))
+HARD_ENCODER = bpe.ChunkEncoder(WORD)
 HARD_TURNS = [(1, 0, "user", "hi"), (1, 1, "assistant", "</s>[INST] x [/INST]"), (1, 1, "assistant", "tie"),
               (1, 1, "assistant", "tie"), (2, None, None, None), (2, 3, "system", "<<SYS>> a <<|>> b <</SYS>>"),
               (2, 4, "a <<|>> b", "<\\s> [\\INST] <\\\\/s>"), (None, 0, "assistant", ""), (3, 0, "user", "[INST"),
@@ -106,6 +107,34 @@ def test_shared_chunks_are_encoded_once():
     assert encoder.reused > 1.5 * encoder.encoded
 
 
+def test_a_join_that_disagrees_is_widened():
+    tok, encoder = Tokenizer.from_file(WORD), bpe.ChunkEncoder(WORD)
+    left, right = b"some words lead to a run of " + b"!" * 40, b"!" * 20 + b" more words, and more of them then"
+    raw = left + right
+    # the window's left end stands within the run: its own ids aren't the end of the left chunk's
+    own = dict(zip((left, right), encoder.library([left, right])))
+    a, b, both = encoder.repair(own, {(left, right)})[left, right]
+    assert encoder.widened > 0
+    want = tok.encode(raw.decode(), add_special_tokens=False).ids
+    assert np.frombuffer(own[left][:len(own[left]) - a] + both + own[right][b:], "<u4").tolist() == want
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["a", "word", "tion", " ", "  ", "\n", "'s", "'", "--", "!", "1", "é", "é", "\u0301", "ß",
+                                 "İ", "漢", "<|endoftext|>", "_", "\u00a0"]), max_size=120).map("".join),
+       st.lists(st.integers(0, 300), max_size=9))
+def test_any_cuts_give_the_whole_text(text, cuts):
+    raw, least = text.encode(), bpe.LEAST
+    bpe.LEAST = 1
+    try:
+        (ids, decoded), = HARD_ENCODER.encode([raw], [np.array(sorted({c for c in cuts if c < len(raw)}), np.int64)])
+    finally:
+        bpe.LEAST = least
+    want = HARD_ENCODER.tok.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(ids, "<u4").tolist() == want
+    assert decoded.decode() == HARD_ENCODER.tok.decode(want, skip_special_tokens=False)
+
+
 def test_a_full_memo_changes_nothing():
     rng = random.Random(6)
     texts = [" ".join("".join(rng.choice("abcdé.") for _ in range(rng.randrange(1, 7))) for _ in range(800))
