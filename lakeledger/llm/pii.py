@@ -7,14 +7,22 @@ shape: numbers (tokens of four and more digits, or short groups of digits next
 to one another) and handles (``@name``, words joined by dots or underscores,
 and e-mail addresses written with "at" and "dot").
 
-Patterns and values make a bipartite graph, which Spark joins in rounds.  A
-pattern takes a shape for a kind if it has ``min_seeds`` distinct known values
-of the kind, and these are the share ``accept`` of all its values, base ones and
-those of the shape (smoothed by one).  All slots of the shape in it are spans of
-the kind.  Distinctive values among them (seven and more digits, handles) are
-known from the next round on: they count in other patterns, and are spans
-wherever they stand.  Only values known before a pattern was taken speak for it.
-Rounds go on until no pattern is new.
+Patterns and values make a bipartite graph, which Spark scores in rounds.  A base
+value has score 1.  A pattern takes a shape for a kind if it has ``min_seeds``
+distinct known values of the kind, these are the share ``accept`` of all its
+values, base ones and those of the shape (smoothed by one), and the sum of their
+scores is the share ``trust`` of all its values (not smoothed).  The latter is the
+pattern's score.  All slots of the shape in it are spans of the kind.
+Distinctive values among them (seven and more digits, handles) are known from
+the next round on, with the best score of the patterns that found them: they
+count in other patterns, and are spans wherever they stand.
+
+So a score is a product of shares along the path from base values, and a path
+ends before its product is under ``trust``: doubt does not add up over rounds.
+A pattern's score stays as it was when it was taken, so nothing that it found
+speaks for it, whether by itself or through other patterns.  Scores are whole
+millionths, sums of them the same in any order.  Rounds go on until none takes a
+pattern; what is known depends on the patterns taken alone.
 
 Edges (pattern, value) are made distinct before they are counted, sums are
 combined before their shuffle, and what a frequent pattern or value is joined
@@ -22,17 +30,22 @@ with is written first, so that AQE can split it: a context that fills a third of
 the corpus is not one task's.
 
 Edge cases: a null text is the empty text; repeated rows are one instance each
-value; an empty table, or one without seeds, has base spans only.  A word of
-letters alone is not a slot.
+value; an empty table, or one without seeds, has base spans only; a null ``doc_id`` is
+kept; of labels with equal scores the last in the alphabet counts.  A word of
+letters alone is not a slot.  Words of any length are whole in a pattern: those
+over ``LONG`` characters by their length and a hash, so that many slots within
+one very long word cost no more than its length.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,6 +54,9 @@ from .common import materialise, slices, strings
 from .spans import join_spans
 
 KINDS = ("email", "ip", "card", "phone")
+ONE = 1_000_000  # the score of a base value
+LONG, REACH = 80, 170  # longer words are hashed; characters that are searched for words at first
+FACTOR = 0x9E3779B97F4A7C15
 
 # The forms of the base kinds.
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
@@ -97,10 +113,58 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
-def contexts(text: str, start: int, end: int, reach: int = 80) -> tuple[str, str]:
-    """The two words to the left and to the right, within ``reach`` characters, in lower case."""
-    left = text[max(0, start - reach):start].lower().split()[-2:]
-    right = text[end:end + reach].lower().split()[:2]
+class Words:
+    """The blank-separated words of a text, for contexts."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self._ends: tuple[list[int], list[int]] | None = None
+        self._sums: np.ndarray | None = None
+
+    def _word(self, start: int, end: int) -> str:
+        """A word in lower case; a long one by its length and a hash, with A-Z lower-cased."""
+        if end - start <= LONG:
+            return self.text[start:end].lower()
+        if self._sums is None:  # prefix sums of code point times FACTOR ** position, modulo 2 ** 64
+            codes = np.frombuffer(self.text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+            codes += np.where((codes >= 65) & (codes <= 90), 33, 1).astype(np.uint64)
+            codes *= np.cumprod(np.full(len(codes), FACTOR, np.uint64), dtype=np.uint64)
+            self._sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(codes, dtype=np.uint64)))
+        total = (int(self._sums[end]) - int(self._sums[start])) * pow(FACTOR, -start, 1 << 64) % (1 << 64)
+        return f"#{end - start}:{total:016x}"
+
+    def _spans(self) -> tuple[list[int], list[int]]:
+        if self._ends is None:
+            found = [m.span() for m in re.finditer(r"\S+", self.text)]
+            self._ends = [s for s, _ in found], [e for _, e in found]
+        return self._ends
+
+    def left(self, end: int) -> list[str]:
+        """The last two words, or parts of words, before ``end``."""
+        begin = max(0, end - REACH)
+        near = self.text[begin:end].split()
+        whole = near if not begin else near[1:]  # the first one may begin earlier
+        if (len(whole) >= 2 or not begin) and all(len(w) <= LONG for w in whole[-2:]):
+            return [w.lower() for w in whole[-2:]]
+        starts, ends = self._spans()
+        k = bisect_left(starts, end)
+        return [self._word(s, min(e, end)) for s, e in zip(starts[max(0, k - 2):k], ends[max(0, k - 2):k])]
+
+    def right(self, start: int) -> list[str]:
+        """The first two words, or parts of words, from ``start`` on."""
+        stop = start + REACH
+        near = self.text[start:stop].split()
+        whole = near if stop >= len(self.text) else near[:-1]
+        if (len(whole) >= 2 or stop >= len(self.text)) and all(len(w) <= LONG for w in whole[:2]):
+            return [w.lower() for w in whole[:2]]
+        starts, ends = self._spans()
+        k = bisect_right(ends, start)
+        return [self._word(max(s, start), e) for s, e in zip(starts[k:k + 2], ends[k:k + 2])]
+
+
+def contexts(words: Words, start: int, end: int) -> tuple[str, str]:
+    """The two words to the left and to the right, in lower case."""
+    left, right = words.left(start), words.right(end)
     return " ".join(["<", *left]) if left else "", " ".join([">", *right]) if right else ""
 
 
@@ -180,8 +244,8 @@ def _hash(s: str) -> str:
     return hashlib.blake2b(s.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
 
 
-def _found(text: str, kind: str, shape: str, start: int, end: int) -> dict:
-    (left, right), value = contexts(text, start, end), identity(kind or shape, text[start:end])
+def _found(words: Words, kind: str, shape: str, start: int, end: int) -> dict:
+    (left, right), value = contexts(words, start, end), identity(kind or shape, words.text[start:end])
     return {"kind": kind, "shape": shape, "start": start, "end": end, "left": left, "right": right,
             "value": _hash(value), "strong": bool(kind) or distinctive(shape, value)}
 
@@ -196,8 +260,9 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kinds = Counter(s[0] for s in base)
             counts.append([kinds[k] for k in KINDS])
             shas.append(hashlib.sha256(",".join(f"{k}:{s}:{e}" for k, s, e in base).encode()).hexdigest())
-            found.append([_found(text, k, "", s, e) for k, s, e in base]
-                         + [_found(text, "", shape, s, e) for shape, s, e in slots(text, base)])
+            words = Words(text)
+            found.append([_found(words, k, "", s, e) for k, s, e in base]
+                         + [_found(words, "", shape, s, e) for shape, s, e in slots(text, base)])
             rows.append(f"{task}-{n}")
             n += 1
         yield pa.record_batch(
@@ -212,13 +277,13 @@ def _sides(each: DataFrame, *columns: str) -> DataFrame:
     return each.select(F.explode(F.array("left", "right")).alias("pattern"), *columns).filter("pattern <> ''")
 
 
-def bootstrap(each: DataFrame, min_seeds: int = 3, accept: float = 0.7) -> tuple[DataFrame, DataFrame]:
+def bootstrap(each: DataFrame, min_seeds: int = 3, accept: float = 0.7, trust: float = 0.6) -> tuple[DataFrame, DataFrame]:
     """(``pattern, shape, label, score`` of the patterns taken, ``value, label, score`` of the values known).
 
     ``each`` has ``kind`` (empty for a slot), ``shape``, ``left``, ``right``, ``value``, ``strong``.
     """
     known = materialise(each.filter("kind <> ''").select("value", F.col("kind").alias("label"),
-                                                         F.lit(1.0).alias("score")).distinct(), "known")
+                                                         F.lit(ONE).cast("long").alias("score")).distinct(), "known")
     sides = _sides(each, "kind", "shape", "value", "strong")
     able = materialise(sides.filter("strong").select("pattern", "value").distinct().groupBy("pattern")
                        .agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_seeds).select("pattern"), "able")
@@ -228,30 +293,30 @@ def bootstrap(each: DataFrame, min_seeds: int = 3, accept: float = 0.7) -> tuple
         .select("pattern", F.explode(shapes).alias("shape"), "value", "strong", (F.col("kind") == "").alias("slot"))
         .groupBy("pattern", "shape", "value").agg(F.max("strong").alias("strong"), F.max("slot").alias("slot")), "edges")
     sizes = materialise(edges.groupBy("pattern", "shape").agg(F.count(F.lit(1)).alias("n")), "sizes")
-    before = 0
+    taken = None
     while True:
-        held = edges.join(known.select("value", "label").distinct(), "value") \
-            .groupBy("pattern", "shape", "label").agg(F.count(F.lit(1)).alias("held")) \
-            .filter(F.col("held") >= min_seeds)
-        best = held.join(sizes, ["pattern", "shape"]) \
-            .withColumn("score", F.col("held") / (F.col("n") + 1)).filter(F.col("score") >= accept) \
-            .groupBy("pattern", "shape").agg(F.max(F.struct("score", "label")).alias("b"))
-        taken = materialise(best.select("pattern", "shape", "b.label", "b.score"), "taken")
-        now = taken.count()
-        if now == before:  # shares only grow, so the same number is the same patterns
+        held = edges.join(known, "value").groupBy("pattern", "shape", "label") \
+            .agg(F.count(F.lit(1)).alias("held"), F.sum("score").alias("weight")).filter(F.col("held") >= min_seeds)
+        fit = held.join(sizes, ["pattern", "shape"]).withColumn("score", F.expr("weight div n")) \
+            .filter((F.col("held") / (F.col("n") + 1) >= accept) & (F.col("score") >= round(trust * ONE)))
+        if taken is not None:
+            fit = fit.join(taken, ["pattern", "shape"], "left_anti")
+        fresh = materialise(fit.groupBy("pattern", "shape").agg(F.max(F.struct("score", "label")).alias("b"))
+                            .select("pattern", "shape", "b.label", "b.score"), "taken")
+        taken = fresh if taken is None else taken.unionByName(fresh)
+        if fresh.isEmpty():
             return taken, known
-        before = now
-        new = edges.filter("slot AND strong").join(taken, ["pattern", "shape"]).select("value", "label", "score")
+        new = edges.filter("slot AND strong").join(fresh, ["pattern", "shape"]).select("value", "label", "score")
         known = materialise(known.unionByName(new).groupBy("value", "label")
                             .agg(F.max("score").alias("score")), "known")
 
 
-def extract(docs: DataFrame, min_seeds: int = 3, accept: float = 0.7) -> tuple[DataFrame, DataFrame]:
+def extract(docs: DataFrame, min_seeds: int = 3, accept: float = 0.7, trust: float = 0.6) -> tuple[DataFrame, DataFrame]:
     """(rows of documents with base counts, all their spans ``_row, kind, start, end``)."""
     rows = materialise(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
                        .mapInArrow(_scan, SCAN_SCHEMA), "pii")
     each = rows.select("_row", F.explode("found").alias("f")).select("_row", "f.*")
-    taken, known = bootstrap(each, min_seeds, accept)
+    taken, known = bootstrap(each, min_seeds, accept, trust)
     free = each.filter("kind = ''")
     values = materialise(known.groupBy("value").agg(F.max(F.struct("score", "label")).alias("b"))
                          .select("value", "b.label", "b.score"), "values")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from fractions import Fraction
 
 import xxhash
 
@@ -91,6 +92,53 @@ def pii_base(text):
     return found
 
 
+def pii_spans(docs, slots, identity, distinctive, min_seeds=3, accept=0.7, trust=0.6):
+    """All spans of each (doc_id, text) by a plain bootstrap; the shapes of slots and values are given."""
+    found, instances = [], []
+    for n, (_, text) in enumerate(docs):
+        text = text or ""
+        base = pii_base(text)
+        found.append({tuple(s) for s in base})
+        for kind, shape, s, e in [(k, "", s, e) for k, s, e in base] + [("", k, s, e) for k, s, e in slots(text, base)]:
+            left, right = text[:s].split()[-2:], text[e:].split()[:2]
+            value = identity(kind or shape, text[s:e])
+            sides = [("L", " ".join(left).lower())] * bool(left) + [("R", " ".join(right).lower())] * bool(right)
+            instances.append((n, kind, shape, s, e, value, bool(kind) or distinctive(shape, value), sides))
+    score = {(v, kind): Fraction(1) for _, kind, _, _, _, v, _, _ in instances if kind}
+    members = {}  # (pattern, shape) -> value -> may be found
+    for _, kind, shape, _, _, v, strong, sides in instances:
+        for p in sides:
+            for x in [shape] if shape else ["number", "handle"]:
+                members.setdefault((p, x), {}).setdefault(v, False)
+                members[p, x][v] |= bool(shape) and strong
+    taken = {}
+    while True:
+        fresh = {}
+        for p, values in members.items():
+            if p in taken:
+                continue
+            for kind in ("email", "ip", "card", "phone"):
+                known = [score[v, kind] for v in values if (v, kind) in score]
+                share = Fraction(sum(known) * 10**6 // len(values), 10**6)
+                if len(known) >= min_seeds and len(known) / (len(values) + 1) >= accept and share >= Fraction(str(trust)):
+                    fresh[p] = max(fresh.get(p, (Fraction(0), "")), (share, kind))
+        if not fresh:
+            break
+        taken |= fresh
+        for p, (share, kind) in fresh.items():
+            for v, slot in members[p].items():
+                if slot:
+                    score[v, kind] = max(score.get((v, kind), Fraction(0)), share)
+    for n, kind, shape, s, e, v, strong, sides in instances:
+        if not kind:
+            marks = [taken[p, shape] for p in sides if (p, shape) in taken]
+            marks += [(w, k) for (u, k), w in score.items() if u == v and strong]
+            if marks:
+                found[n].add((max(marks)[1], s, e))
+    order = ["email", "ip", "card", "phone"]
+    return [",".join(f"{k}:{s}:{e}" for k, s, e in sorted(f, key=lambda x: (order.index(x[0]), x[1], x[2]))) for f in found]
+
+
 def span_digest(spans):
     return sha(",".join(f"{k}:{s}:{e}" for k, s, e in spans))
 

@@ -193,6 +193,53 @@ def test_discovered_values_are_seeds_and_marked_everywhere(edge):
     assert got[500] == "email:16:38" and got[501] == "email:16:25"
 
 
+def test_doubt_does_not_add_up_over_rounds(edge):
+    number = "55512{:05d}".format
+    rows = [(i, f"kindly dial: +1 555 12 {i:05d} a{i} b{i}", "a") for i in range(72)]
+    rows += [(100 + i, f"kindly dial: {number(500 + i)} c{i} d{i}", "a") for i in range(25)]      # 72 seeds of 97
+    rows += [(200 + i, f"room was {number(500 + i)} e{i} f{i}", "a") for i in range(25)]
+    rows += [(300 + i, f"room was {number(700 + i)} g{i} h{i}", "a") for i in range(9)]           # 25 found ones of 34
+    rows += [(400 + i, f"lot has {number(700 + i)} i{i} j{i}", "a") for i in range(9)]
+    rows += [(500 + i, f"lot has {number(900 + i)} k{i} l{i}", "a") for i in range(2)]            # none near
+    got = {r.doc_id: bool(r.spans) for r in pii.personal_spans(edge(rows)).collect()}
+    marked = [sum(got[i] for i in got if a <= i < b) for a, b in ((0, 200), (200, 300), (300, 400), (400, 500), (500, 600))]
+    assert marked == [97, 25, 0, 0, 0]
+
+
+def test_bootstrap_against_brute_force(edge):
+    rng = random.Random(3)
+    leads = ["phone me at", "mail goes to", "server on", "id is", "see", "x" * 300 + " at", "y" * 299 + "z at", ""]
+    tails = ["now", "or " + "w" * 400, "please do", "then\n", ""]
+    digits = [f"{rng.randrange(10**9, 10**10)}" for _ in range(12)]
+    values = {"phone": lambda: f"+{rng.choice(digits)}", "plain": lambda: rng.choice(digits),
+              "mail": lambda: f"u{rng.randrange(9)}@mail.example.org", "handle": lambda: f"@name_{rng.randrange(6)}",
+              "year": lambda: str(rng.randrange(1990, 2030)), "spelt": lambda: f"u{rng.randrange(9)} at mail dot org"}
+    liked = {"phone me at": ["phone"] * 12 + ["plain", "plain"], "mail goes to": ["mail"] * 9 + ["handle", "spelt"],
+             "id is": ["plain", "year"], "x" * 300 + " at": ["phone"] * 9 + ["plain"]}
+    rows = []
+    for i in range(260):
+        lead = rng.choice(leads)
+        rows.append((i, f"{lead} {values[rng.choice(liked.get(lead, list(values)))]()} {rng.choice(tails)}", "a"))
+    rows += [(900, None, "a"), (901, "", "a"), (900, None, "a"), (None, rows[0][1], None)]
+    got = sorted([(r.doc_id, r.spans) for r in pii.personal_spans(edge(rows)).collect()], key=repr)
+    want = R.pii_spans([r[:2] for r in rows], pii.slots, pii.identity, pii.distinctive)
+    assert got == sorted([(r[0], w) for r, w in zip(rows, want)], key=repr)
+    assert any(w and w != ",".join(f"{k}:{s}:{e}" for k, s, e in R.pii_base(r[1] or "")) for r, w in zip(rows, want))
+
+
+def test_contexts_hold_whole_words():
+    long = "Path/" * 60
+    words = pii.Words(f"one {long} 12345 {long} two")
+    at = words.text.index(" 12345") + 1
+    left, right = pii.contexts(words, at, at + 5)
+    assert left.startswith("< one #300:") and right.startswith("> #300:") and right.endswith(" two")
+    other = pii.Words(f"one X{long[1:]} 12345 {long} two")
+    assert pii.contexts(other, at, at + 5)[0] != left and pii.contexts(other, at, at + 5)[1] == right
+    assert pii.contexts(pii.Words(f"one {long.upper()} 12345"), at, at + 5) == (left, "")
+    words = pii.Words("12345," * 30_000)
+    assert all(pii.contexts(words, i * 6, i * 6 + 5) for i in range(30_000))
+
+
 def test_slots_are_shapes():
     text = "call (555) 123-4567 or 4111 1111 1111 1112, 12 eggs, in 2024, x_y z.w @me bob [at] a [dot] b 1 2"
     assert [(k, text[s:e]) for k, s, e in pii.slots(text, [])] == [
