@@ -22,6 +22,10 @@ other side.  Agreement shows that the chunks' ids outside the window, together
 with the window's up to those blanks, are the ids of the text.  Cuts without a
 blank on both sides are given up.
 
+Texts of simple characters (most Latin ones) are lower-cased here and go through
+the library's pre-tokenizer and model without its normalizer, whose other steps
+change nothing in them; that halves the time.
+
 Decoding follows the library for a tokenizer without a decoder: tokens joined by
 one blank.
 
@@ -34,6 +38,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import sys
 from array import array
 from collections.abc import Iterator
@@ -109,6 +114,27 @@ def head(raw: bytes, width: int) -> bytes | None:
     return raw[:end] if raw.find(b" ", 0, end) >= 0 else None
 
 
+# characters that NFC leaves as they are, whatever stands beside them, and whose lower case has no context
+SIMPLE = re.compile(r"[\t\n\r -~\u00a1-\u02ff\u2010-\u2027\u20ac]*")
+# The steps before the model that simple texts can do without.
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+
+
+def simpler(spec: dict, byte_level: bool):
+    """The tokenizer without its normalizer (and without its map of bytes), for lower-case simple texts; None if unfit.
+
+    The blanks that the normalizer folds are no part of any pre-token, and the
+    map of bytes leaves signs, digits and letters of ASCII as they are.
+    """
+    steps = spec["pre_tokenizer"].get("pretokenizers", [])
+    if (spec["normalizer"] or {}).get("normalizers") != NORMALIZERS or len(steps) != 2 or steps[1] != BYTE_LEVEL:
+        return None
+    from tokenizers import Tokenizer
+    return Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "pre_tokenizer": {
+        "type": "Sequence", "pretokenizers": steps if byte_level else steps[:1]}}))
+
+
 class ChunkEncoder:
     """Encodes texts; remembers chunks (``chunk_bytes``) and joins' windows (``entries``) up to a bound."""
 
@@ -119,6 +145,8 @@ class ChunkEncoder:
         if spec["decoder"] is not None or '"behavior": "Removed"' not in pre or "[^\\\\s" not in pre \
                 or any(" " in t["content"] for t in spec["added_tokens"]):
             raise ValueError("chunk reuse needs a tokenizer whose pre-tokens hold no blank")
+        self.latin, self.ascii = simpler(spec, True), simpler(spec, False)
+        self.added = [t["content"].lower() for t in spec["added_tokens"]]
         self.entries, self.chunk_bytes = entries, chunk_bytes
         size = max(self.tok.get_vocab().values()) + 1
         self.names = [(self.tok.id_to_token(i) or "").encode() for i in range(size)]
@@ -129,11 +157,21 @@ class ChunkEncoder:
 
     def library(self, texts: list[bytes]) -> list[bytes]:
         """The ids of texts on their own, little-endian unsigned 32-bit integers."""
-        found = self.tok.encode_batch_fast([t.decode("utf-8", "surrogatepass") for t in texts],
-                                           add_special_tokens=False)
-        if sys.byteorder == "little":
-            return [array("I", e.ids).tobytes() for e in found]
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        kinds: dict[object, tuple[list[int], list[str]]] = {}
+        for i, raw in enumerate(texts):
+            text, by = raw.decode("utf-8", "surrogatepass"), self.tok
+            if self.latin is not None and SIMPLE.fullmatch(text):
+                low = text.lower()
+                if not any(t in low for t in self.added):
+                    text, by = low, self.ascii if text.isascii() else self.latin
+            at, own = kinds.setdefault(by, ([], []))
+            at.append(i)
+            own.append(text)
+        out = [b""] * len(texts)
+        for by, (at, own) in kinds.items():
+            for i, e in zip(at, by.encode_batch_fast(own, add_special_tokens=False)):
+                out[i] = array("I", e.ids).tobytes() if sys.byteorder == "little" else np.array(e.ids, "<u4").tobytes()
+        return out
 
     def keep(self, chunk: bytes, ids: bytes) -> None:
         """Remember a chunk; when half the bound is full, the older half makes room."""

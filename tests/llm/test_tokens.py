@@ -107,6 +107,16 @@ def test_shared_chunks_are_encoded_once():
     assert encoder.reused > 1.5 * encoder.encoded
 
 
+def test_simple_texts_need_no_normalizer():
+    encoder = bpe.ChunkEncoder(WORD)
+    assert encoder.latin is not None and encoder.ascii is not None
+    every = [chr(c) for c in range(0x3100) if bpe.SIMPLE.fullmatch(chr(c))]
+    texts = ["".join(every), *[f"A{c}b {c}{c} 1{c}" for c in every], "<|STARTOFTEXT|> x <|endoftext|> Y", "it's  IT'S\t'S\r\n\nno"]
+    texts += ["é" + c + "a" for c in map(chr, range(0x20, 0x400))]
+    for t, got in zip(texts, encoder.library([t.encode() for t in texts])):
+        assert np.frombuffer(got, "<u4").tolist() == encoder.tok.encode(t, add_special_tokens=False).ids, t
+
+
 def test_a_join_that_disagrees_is_widened():
     tok, encoder = Tokenizer.from_file(WORD), bpe.ChunkEncoder(WORD)
     left, right = b"some words lead to a run of " + b"!" * 40, b"!" * 20 + b" more words, and more of them then"
