@@ -22,9 +22,10 @@ other side.  Agreement shows that the chunks' ids outside the window, together
 with the window's up to those blanks, are the ids of the text.  Cuts without a
 blank on both sides are given up.
 
-Texts of simple characters (most Latin ones) are lower-cased here and go through
-the library's pre-tokenizer and model without its normalizer, whose other steps
-change nothing in them; that halves the time.
+Texts of simple characters (most Latin ones) are lower-cased and their words'
+ends marked here, many at a time by numpy; the library then takes a chunk as one
+sequence through the same model spelled with these marks.  Its normalizer would
+change nothing else in them, and its split by words takes most of its time.
 
 Decoding follows the library for a tokenizer without a decoder: tokens joined by
 one blank.
@@ -40,6 +41,7 @@ import hashlib
 import json
 import re
 import sys
+import unicodedata
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
@@ -116,23 +118,85 @@ def head(raw: bytes, width: int) -> bytes | None:
 
 # characters that NFC leaves as they are, whatever stands beside them, and whose lower case has no context
 SIMPLE = re.compile(r"[\t\n\r -~\u00a1-\u02ff\u2010-\u2027\u20ac]*")
-# The steps before the model that simple texts can do without.
+# The steps before the model, which `marked` does for simple texts.
 NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLIT = {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+         "behavior": "Removed", "invert": True}
 BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+BLANK, LETTER, DIGIT, SIGN = range(4)
+LAST = 256  # added to the last byte of a word
+
+_POINTS = [chr(c) for c in range(0x10000)]  # simple characters and their lower case are among them
+KINDS = np.array([BLANK if c in "\t\n\r " else {"L": LETTER, "N": DIGIT}.get(unicodedata.category(c)[0], SIGN)
+                  for c in _POINTS], np.uint8)
+SIZES = np.array([1 if c < "\x80" else 2 if c < "\u0800" else 3 for c in _POINTS], np.int64)
+
+
+def byte_level() -> list[str]:
+    """The character that stands for each byte in a byte-level tokenizer: itself if it can be seen, else one from 256 on."""
+    seen = [33 <= b <= 126 or 161 <= b <= 172 or b >= 174 for b in range(256)]
+    return [chr(b if s else 256 + b - sum(seen[:b])) for b, s in enumerate(seen)]
+
+
+# the signs of bytes as code points: byte-level characters, from LAST on those of last bytes, 0 for blanks
+SIGNS = np.array([*map(ord, byte_level()), *range(0x180, 0x280)], "<u2")
+SIGNS[[b + i for b in b"\t\n\r " for i in (0, LAST)]] = 0
+
+
+def marked(texts: list[str]) -> list[str]:
+    """Lower-case simple texts in byte signs: without blanks, and words (pre-tokens) told by their last bytes."""
+    joined = "\n" + "\n".join(texts) + "\n\n"
+    units, raw = np.frombuffer(joined.encode("utf-16-le"), "<u2"), np.frombuffer(joined.encode(), np.uint8)
+    kind = KINDS[units]
+    last = kind == DIGIT
+    last[:-1] |= kind[:-1] != kind[1:]
+    quote = np.flatnonzero(units == ord("'"))
+    quote = quote[kind[quote - 1] != SIGN]  # within a run of signs it is one of them
+    a, b = units[quote + 1], units[quote + 2]
+    one = np.isin(a, [ord(c) for c in "stmd"])
+    two = np.isin(a, [ord("r"), ord("v")]) & (b == ord("e")) | (a == ord("l")) & (b == ord("l"))
+    last[quote[one | two]] = False
+    last[quote[one] + 1] = last[quote[two] + 2] = True
+    at = np.flatnonzero(last)
+    if len(raw) > len(units):
+        at = np.cumsum(SIZES[units])[at] - 1
+    codes = raw.astype(np.int64)
+    codes[at] += LAST
+    signs = SIGNS[codes]
+    kept = signs > 0
+    starts = np.cumsum([1, *[len(t.encode()) + 1 for t in texts]])
+    ends = np.cumsum(np.add.reduceat(kept, starts, dtype=np.int64)).tolist()
+    flat = signs[kept].tobytes().decode("utf-16-le")
+    return [flat[s:e] for s, e in zip([0, *ends], ends[:-1])]
+
+
+def unsplit(spec: dict):
+    """The tokenizer for :func:`marked` texts, which takes each as one sequence; None if the tokenizer is unfit.
+
+    Its model is the same with another spelling: the end of a word is part of its
+    last byte's sign.  No merge goes on behind such a sign (checked), so that words
+    do not meet, and neither a normalizer nor a split by words is needed.
+    """
+    model, steps = spec["model"], spec["pre_tokenizer"].get("pretokenizers", [])
+    end, added = model.get("end_of_word_suffix"), {t["content"] for t in spec["added_tokens"]}
+    if (spec["normalizer"] or {}).get("normalizers") != NORMALIZERS or steps != [SPLIT, BYTE_LEVEL] \
+            or model["type"] != "BPE" or not end or any(model.get(k) for k in (
+                "continuing_subword_prefix", "unk_token", "dropout", "byte_fallback", "ignore_merges")):
+        return None
+    plain = byte_level()
+    ends = {c: chr(0x180 + b) for b, c in enumerate(plain)}
 
+    def spelled(token: str) -> str:
+        return token[:-len(end) - 1] + ends[token[-len(end) - 1]] if token.endswith(end) else token
 
-def simpler(spec: dict, byte_level: bool):
-    """The tokenizer without its normalizer (and without its map of bytes), for lower-case simple texts; None if unfit.
-
-    The blanks that the normalizer folds are no part of any pre-token, and the
-    map of bytes leaves signs, digits and letters of ASCII as they are.
-    """
-    steps = spec["pre_tokenizer"].get("pretokenizers", [])
-    if (spec["normalizer"] or {}).get("normalizers") != NORMALIZERS or len(steps) != 2 or steps[1] != BYTE_LEVEL:
+    words = [t for t in model["vocab"] if t not in added]
+    if any(t == end or not ends.keys() >= set(t) for t in words) or any(a.endswith(end) for a, _ in model["merges"]) \
+            or not {*plain, *[c + end for c in plain]} <= set(words):
         return None
     from tokenizers import Tokenizer
-    return Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "pre_tokenizer": {
-        "type": "Sequence", "pretokenizers": steps if byte_level else steps[:1]}}))
+    return Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "pre_tokenizer": None, "model": model | {
+        "vocab": {t if t in added else spelled(t): i for t, i in model["vocab"].items()},
+        "merges": [[spelled(a), spelled(b)] for a, b in model["merges"]], "end_of_word_suffix": None}}))
 
 
 class ChunkEncoder:
@@ -145,7 +209,7 @@ class ChunkEncoder:
         if spec["decoder"] is not None or '"behavior": "Removed"' not in pre or "[^\\\\s" not in pre \
                 or any(" " in t["content"] for t in spec["added_tokens"]):
             raise ValueError("chunk reuse needs a tokenizer whose pre-tokens hold no blank")
-        self.latin, self.ascii = simpler(spec, True), simpler(spec, False)
+        self.latin = self.ascii = unsplit(spec)
         self.added = [t["content"].lower() for t in spec["added_tokens"]]
         self.entries, self.chunk_bytes = entries, chunk_bytes
         size = max(self.tok.get_vocab().values()) + 1
@@ -157,19 +221,18 @@ class ChunkEncoder:
 
     def library(self, texts: list[bytes]) -> list[bytes]:
         """The ids of texts on their own, little-endian unsigned 32-bit integers."""
-        kinds: dict[object, tuple[list[int], list[str]]] = {}
+        rest, simple = ([], []), ([], [])  # places and texts
         for i, raw in enumerate(texts):
-            text, by = raw.decode("utf-8", "surrogatepass"), self.tok
+            text, to = raw.decode("utf-8", "surrogatepass"), rest
             if self.latin is not None and SIMPLE.fullmatch(text):
                 low = text.lower()
                 if not any(t in low for t in self.added):
-                    text, by = low, self.ascii if text.isascii() else self.latin
-            at, own = kinds.setdefault(by, ([], []))
-            at.append(i)
-            own.append(text)
+                    text, to = low, simple
+            to[0].append(i)
+            to[1].append(text)
         out = [b""] * len(texts)
-        for by, (at, own) in kinds.items():
-            for i, e in zip(at, by.encode_batch_fast(own, add_special_tokens=False)):
+        for by, at, own in ((self.tok, *rest), (self.latin, simple[0], marked(simple[1]))):
+            for i, e in zip(at, by.encode_batch_fast(own, add_special_tokens=False) if own else []):
                 out[i] = array("I", e.ids).tobytes() if sys.byteorder == "little" else np.array(e.ids, "<u4").tobytes()
         return out
 

@@ -1,5 +1,6 @@
 """Chat formatting, token files and BPE: exact round trips against the library."""
 
+import json
 import random
 
 import numpy as np
@@ -117,6 +118,30 @@ def test_simple_texts_need_no_normalizer():
         assert np.frombuffer(got, "<u4").tolist() == encoder.tok.encode(t, add_special_tokens=False).ids, t
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["a", "word", "tion", " ", "\n\t", "'s", "'re", "'l", "''", "'", "-", "\u2019", "7", "½",
+                                          "é", "ß", "ª", "\u20ac", "İ"]), max_size=40).map("".join), max_size=5))
+def test_simple_texts_go_through_the_library_unsplit(texts):
+    encoder = HARD_ENCODER
+    assert encoder.latin.pre_tokenizer is None  # no split by words, which took most of the time
+    lows = [t.lower() for t in texts]
+    # a mark (from U+0180 on) at each word's end, and nothing else lost but blanks
+    words = [[w for w, _ in encoder.tok.pre_tokenizer.pre_tokenize_str(t)] for t in lows]
+    plain = bpe.byte_level()
+    assert bpe.marked(lows) == ["".join(w[:-1] + chr(0x180 + plain.index(w[-1])) for w in ws) for ws in words]
+    for t, got in zip(texts, encoder.library([t.encode() for t in texts])):
+        assert np.frombuffer(got, "<u4").tolist() == encoder.tok.encode(t, add_special_tokens=False).ids, t
+
+
+def test_a_model_that_merges_over_words_is_split():
+    spec = json.loads(HARD_ENCODER.tok.to_str())
+    assert bpe.unsplit(spec) is not None
+    vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
+    over = spec["model"] | {"vocab": vocab | {"a</w>b": len(vocab)}, "merges": [*merges, ["a</w>", "b"]]}
+    lacking = spec["model"] | {"vocab": {t: i for t, i in vocab.items() if t != "a</w>"}}
+    assert bpe.unsplit(spec | {"model": over}) is None and bpe.unsplit(spec | {"model": lacking}) is None
+
+
 def test_a_join_that_disagrees_is_widened():
     tok, encoder = Tokenizer.from_file(WORD), bpe.ChunkEncoder(WORD)
     left, right = b"some words lead to a run of " + b"!" * 40, b"!" * 20 + b" more words, and more of them then"
