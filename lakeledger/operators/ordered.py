@@ -121,9 +121,9 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
         cols[ffill_prefix + c] = F.last(c, ignorenulls=True).over(upto)
     if row_number:
         cols[row_number] = F.count_if(counted).over(upto)
-    # Catalyst measures the summary (a row per partition) and picks the join
-    met = laid.withColumns(cols).join(
-        _summary(laid, keys, order, lag, lead, ffill, counted if row_number else None), PART, "left")
+    # a row per partition goes to all tasks, so that the rows stay where their windows were
+    met = laid.withColumns(cols).join(F.broadcast(
+        _summary(laid, keys, order, lag, lead, ffill, counted if row_number else None)), PART, "left")
 
     key = F.struct(*keys)
     in_first, in_last = key.eqNullSafe(F.col("_first")), key.eqNullSafe(F.col("_last"))

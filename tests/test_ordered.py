@@ -63,3 +63,18 @@ def test_no_partition_of_the_layout_is_twice_the_mean(spark, case):
         spark.conf.unset(CONF_KEY)
     sizes = [r["count"] for r in laid.groupBy("_part").count().collect()]
     assert len(sizes) == 4 and max(sizes) < 2 * 5000
+
+
+def test_rows_are_not_shuffled_again_to_meet_the_summary(spark):
+    """A row per partition goes to the tasks, even where Catalyst would take its estimate for too much."""
+    df = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 1, None)], "k int, t int, v string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = keyed_scan(df, ["k"], ["t"], lag=["v"], lead=["v"])
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+        assert sorted((r.k, r.t, r.prev_v, r.next_v) for r in got.collect()) == [
+            (1, 1, None, "b"), (1, 2, "a", None), (2, 1, None, None)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
